@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import html
+import re
 
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from tabloom.functions.fixed_values import DELETED, NO_AUTHOR, STOP_WORDS
 
@@ -26,7 +28,7 @@ def capture(text: Column, pattern: str, group: int = 1) -> Column:
     return F.nullif(F.regexp_extract(text, pattern, group), F.lit(""))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _unescape(text: pd.Series) -> pd.Series:
     return text.map(html.unescape, na_action="ignore")
 
@@ -40,19 +42,34 @@ def decode_entities(text: Column) -> Column:
     return F.coalesce(_unescape(F.when(text.contains("&"), text)), text)
 
 
+_HIDDEN_BLOCKS = r"(?is)<!--.*?-->|<(script|style)\b.*?</\1\s*>"
+_TAGS = r"<[a-zA-Z/!?][^>]*>"
+
+
 def strip_markup(text: Column) -> Column:
     """Replace comments, script and style blocks and tags by blanks."""
-    bare = F.regexp_replace(text, r"(?is)<!--.*?-->|<(script|style)\b.*?</\1\s*>", " ")
-    return F.regexp_replace(bare, r"<[a-zA-Z/!?][^>]*>", " ")
+    return F.regexp_replace(F.regexp_replace(text, _HIDDEN_BLOCKS, " "), _TAGS, " ")
 
 
-def clean_text(text: Column) -> Column:
-    """Plain words of a post: markup, links, user names and punctuation go.
+@F.pandas_udf(StringType())
+def _escaped_markup_to_text(text: pd.Series) -> pd.Series:
+    """Entities may hide markup and markup may hold entities: resolve on both sides."""
 
-    Entities are resolved before and inside the markup, so twice.
-    """
-    plain = decode_entities(strip_markup(decode_entities(F.coalesce(text, F.lit("")))))
-    no_links = F.regexp_replace(plain, r"(?U)http\S+|www\.\S+", " ")
+    def plain(value: str) -> str:
+        visible = re.sub(_HIDDEN_BLOCKS, " ", html.unescape(value))
+        return html.unescape(re.sub(_TAGS, " ", visible))
+
+    return text.map(plain, na_action="ignore")
+
+
+def markup_to_text(text: Column) -> Column:
+    """Text of a marked-up value. Only values with an entity visit Python."""
+    return F.coalesce(_escaped_markup_to_text(F.when(text.contains("&"), text)), strip_markup(text), F.lit(""))
+
+
+def clean_text(text: Column) -> Column:
+    """Plain words of a post: markup, links, user names and punctuation go."""
+    no_links = F.regexp_replace(markup_to_text(text), r"(?U)http\S+|www\.\S+", " ")
     no_names = F.regexp_replace(no_links, r"(?U)/u/\w+", " USER ")
     return F.btrim(F.regexp_replace(no_names, r"[^a-zA-Z0-9]+", " "))
 

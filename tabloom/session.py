@@ -36,6 +36,15 @@ def load(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Give every core a share of a scan that has fewer splits than cores.
+
+    For heavy per-row work on a few files only; a large scan passes unchanged.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder for written tables and stream checkpoints.
 
