@@ -73,13 +73,13 @@ def block_multiply(a: DataFrame, b: DataFrame, size: int = 256, group: int = 4,
     pairs = left.select(
         F.col("bi"),
         F.floor(F.col("bi") / group).alias("gi"),
-        F.explode(F.sequence(F.lit(0), F.lit(last_j))).cast("bigint").alias("gj"),
+        F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(last_j).cast("bigint"))).alias("gj"),
         F.col("bj").alias("bk"),
         F.col("data").alias("left_data"),
     ).join(
         right.select(
             F.col("bj"),
-            F.explode(F.sequence(F.lit(0), F.lit(last_i))).cast("bigint").alias("gi"),
+            F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(last_i).cast("bigint"))).alias("gi"),
             F.floor(F.col("bj") / group).alias("gj"),
             F.col("bi").alias("bk"),
             F.col("data").alias("right_data"),

@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabloom.functions.text import or_default
 from tabloom.functions.values import file_title
 from tabloom.operators.ranking import top_per_group
 
@@ -78,9 +77,12 @@ def source_sizes(spark: SparkSession, paths: list[str], pattern: str = "*") -> D
     )
 
 
-def filled_count(columns: list[str]):
+def filled_count(columns: list[str]) -> Column:
     """Number of columns with a value, as an expression."""
-    return reduce(lambda a, b: a + b, (or_default(F.col(c), "").cast("string").__ne__("").cast("int") for c in columns))
+    return reduce(
+        lambda a, b: a + b,
+        (F.coalesce((F.col(c).cast("string") != "").cast("int"), F.lit(0)) for c in columns),
+    )
 
 
 def map_summary(rows: DataFrame, latitude: str = "latitude", longitude: str = "longitude") -> DataFrame:

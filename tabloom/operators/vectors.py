@@ -19,7 +19,7 @@ from pyspark.ml.feature import PCA, CountVectorizerModel, ElementwiseProduct, No
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
@@ -50,8 +50,6 @@ class TermWeights:
 
     def vectorise(self, docs: DataFrame, text: str, output: str = "vector") -> DataFrame:
         """Adds unit-length sparse vectors; no shuffle, no second fit."""
-        active = SparkSession.active()
-        assert active is not None
         counter = CountVectorizerModel.from_vocabulary(self.terms, inputCol="_terms", outputCol="_counts")
         scaler = ElementwiseProduct(
             scalingVec=Vectors.dense(self.weights), inputCol="_counts", outputCol="_weighted"
@@ -91,16 +89,20 @@ def fit_terms(docs: DataFrame, text: str, max_features: int = 5000, min_docs: in
 
 
 def sparse_parts(vector: Column) -> Column:
-    """``struct<indices, values>`` of a vector's entries that are not zero."""
-    return let(
-        vector_to_array(vector),
-        lambda a: let(
-            F.filter(F.transform(a, lambda x, i: F.when(x != 0, i)), lambda i: i.isNotNull()),
-            lambda idx: F.struct(
-                idx.alias("indices"), F.transform(idx, lambda i: F.get(a, i)).alias("values")
-            ),
-        ),
-    )
+    """``struct<indices, values>`` of a vector's entries that are not zero.
+
+    No inner function refers to an outer one's variable: Spark cannot feed such
+    an expression to a Python function.
+    """
+
+    def entries(a: Column) -> Column:
+        marks = F.transform(a, lambda x, i: F.when(x != 0, i))
+        return F.struct(
+            F.filter(marks, lambda i: i.isNotNull()).alias("indices"),
+            F.filter(a, lambda x: x != 0).alias("values"),
+        )
+
+    return let(vector_to_array(vector), entries)
 
 
 def weighted_terms(vectors: DataFrame, model: TermWeights, id_column: str, vector: str = "vector") -> DataFrame:
@@ -219,7 +221,7 @@ def cluster_texts(
 def assign_texts(docs: DataFrame, text: str, model: TermWeights, centroids: np.ndarray) -> DataFrame:
     """Adds ``cluster_id`` and ``centroid_distance`` with a fitted model."""
     parts = model.vectorise(docs, text).withColumn("_parts", sparse_parts(F.col("vector"))).drop("vector")
-    hit = parts.withColumn("_hit", nearest_sparse(centroids)(F.struct("_parts.indices", "_parts.values")))
+    hit = parts.withColumn("_hit", nearest_sparse(centroids)(F.col("_parts")))
     return hit.withColumns(
         {"cluster_id": F.col("_hit.cluster_id"), "centroid_distance": F.col("_hit.distance")}
     ).drop("_hit", "_parts")
@@ -313,7 +315,7 @@ def _shipped(queries: DataFrame, members: DataFrame, n: int) -> DataFrame:
 
 def _blocked(queries: DataFrame, members: DataFrame, n: int, q_rows: int, m_rows: int) -> DataFrame:
     def sizes(rows: DataFrame, per_block: int, name: str) -> DataFrame:
-        return rows.groupBy("cluster_id").agg(F.ceil(F.count("*") / per_block).cast("int").alias(name))
+        return rows.groupBy("cluster_id").agg(F.ceil(F.count("*") / per_block).alias(name))
 
     grid = sizes(queries, q_rows, "q_blocks").join(sizes(members, m_rows, "m_blocks"), "cluster_id")
     spot = F.xxhash64("id")
@@ -324,8 +326,8 @@ def _blocked(queries: DataFrame, members: DataFrame, n: int, q_rows: int, m_rows
     )
     m = members.join(grid, "cluster_id").select(
         "id", "cluster_id", "vector",
-        F.explode(F.sequence(F.lit(0), F.col("q_blocks") - 1)).cast("bigint").alias("q_block"),
-        F.pmod(spot, "m_blocks").cast("int").alias("m_block"),
+        F.explode(F.sequence(F.lit(0), F.col("q_blocks") - 1)).alias("q_block"),
+        F.pmod(spot, "m_blocks").alias("m_block"),
     )
 
     def meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
@@ -338,6 +340,35 @@ def _blocked(queries: DataFrame, members: DataFrame, n: int, q_rows: int, m_rows
     return q.groupBy(*keys).cogroup(m.groupBy(*keys)).applyInPandas(meet, _MATCH)
 
 
+def most_similar_texts(
+    queries: DataFrame, members: DataFrame, query_id: str, member_id: str, text: str, model: TermWeights, n: int = 5
+) -> DataFrame:
+    """Per query text the ``n`` members of its cluster with the highest cosine.
+
+    Vectors have unit length, so the cosine is the sum of weight products over
+    shared terms: a join on (cluster, term) in which the member side can be
+    as large as it likes and sums combine on the map side. Members without
+    any shared term score 0 and fill the ranking only where fewer than ``n`` share one.
+    """
+
+    def entries(rows: DataFrame, row_id: str, prefix: str) -> DataFrame:
+        parts = model.vectorise(rows.select(row_id, "cluster_id", text), text)
+        flat = parts.select(
+            F.col(row_id).alias(f"{prefix}_id"), "cluster_id", sparse_parts(F.col("vector")).alias("p")
+        )
+        return flat.select(f"{prefix}_id", "cluster_id", F.inline(F.arrays_zip("p.indices", "p.values"))).toDF(
+            f"{prefix}_id", "cluster_id", "term", f"{prefix}_weight"
+        )
+
+    scored = (
+        entries(members, member_id, "member")
+        .join(entries(queries, query_id, "query"), ["cluster_id", "term"])
+        .groupBy("query_id", "member_id")
+        .agg(F.sum(F.col("query_weight") * F.col("member_weight")).alias("similarity"))
+    )
+    return top_per_group(scored, ["query_id"], [F.desc(F.round("similarity", 12)), F.asc("member_id")], n)
+
+
 def project_2d(rows: DataFrame, vector: str = "vector") -> DataFrame:
     """Adds ``pc1, pc2``: centred principal components, largest loading positive."""
     if len(rows.take(2)) < 2:

@@ -215,13 +215,13 @@ def page_fallback_lookup(spark, folder):
         "s_suppkey",
         F.expr("CASE WHEN s_acctbal < 0 THEN NULL ELSE concat('33', lpad(s_nationkey, 3, '0'), lpad(s_suppkey, 6, '0')) END").alias("api_number"),
         F.concat("s_name", F.lit(" Well File No 7")).alias("well_name"),
-        F.expr("CASE WHEN s_nationkey % 3 = 0 THEN 'Dunn Co' WHEN s_nationkey % 3 = 1 THEN 'Grand Forks' END").alias("county"),
+        F.expr("CASE WHEN s_nationkey < 7 THEN 'Dunn Co' WHEN s_nationkey < 16 THEN 'Grand Forks' END").alias("county"),
     )
     base = "https://www.drillingedge.com/north-dakota/"
     tail = "concat('/wells/supplier-', lpad(s_suppkey, 9, '0'), '/33-', lpad(s_nationkey, 3, '0'), '-', lpad(s_suppkey, 6, '0'))"
-    county = "CASE WHEN s_nationkey % 3 = 0 THEN 'dunn-county' ELSE 'grand-forks-county' END"
+    county = "CASE WHEN s_nationkey < 7 THEN 'dunn-county' ELSE 'grand-forks-county' END"
     empty = [F.lit(None).cast("string").alias(c) for c in ("closest_city", "oil_produced", "gas_produced")]
-    own = suppliers.where("s_nationkey % 3 < 2").select(
+    own = suppliers.where("s_nationkey < 16").select(
         F.expr(f"concat('{base}', {county}, {tail})").alias("url"),
         F.expr("CASE WHEN s_nationkey < 10 THEN 'Active' END").alias("well_status"),
         F.lit("").alias("well_type"), *empty,
@@ -408,9 +408,9 @@ FROM flat""",
     ),
     "page_fallback_lookup": Query(
         page_fallback_lookup,
-        """SELECT s_suppkey, CASE WHEN s_acctbal < 0 THEN NULL WHEN s_nationkey % 3 < 2 AND s_nationkey < 10 THEN 'Active'
+        """SELECT s_suppkey, CASE WHEN s_acctbal < 0 THEN NULL WHEN s_nationkey < 10 THEN 'Active'
     ELSE 'Inactive' END AS well_status,
-  CASE WHEN s_acctbal < 0 THEN NULL WHEN s_nationkey % 3 < 2 AND s_nationkey < 10 THEN '' ELSE 'Gas' END AS well_type,
+  CASE WHEN s_acctbal < 0 THEN NULL WHEN s_nationkey < 10 THEN '' ELSE 'Gas' END AS well_type,
   CAST(NULL AS VARCHAR) AS closest_city FROM supplier""",
     ),
     "page_assembly": Query(

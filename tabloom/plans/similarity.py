@@ -1 +1,242 @@
-QUERIES = {}
+"""Text vectors, clusters and nearest neighbours.
+
+Centroids of the embedding queries are the means of label groups (label modulo
+16, so at most 16 of them whatever the labels are).
+"""
+
+from __future__ import annotations
+
+import numpy as np
+from pyspark.ml.functions import array_to_vector
+from pyspark.sql import functions as F
+
+from tabloom.functions import text as tx
+from tabloom.functions import values
+from tabloom.operators import merge, ranking, vectors
+from tabloom.plans import Query
+from tabloom.session import load, scratch_dir, spread
+
+GROUPS = 16
+_TEXT_FEATURES = 5000
+
+
+def _embeddings(spark, folder):
+    return spread(load(spark, folder, "embeddings")).select(
+        "vec_id", F.pmod("label", F.lit(GROUPS)).alias("label"), F.col("embedding").cast("array<double>").alias("vector")
+    )
+
+
+def _centroids(rows) -> np.ndarray:
+    return vectors.group_centroids(rows, "label", "vector", GROUPS)
+
+
+def _assigned(rows, centroids: np.ndarray):
+    hit = vectors.nearest_dense(centroids)(F.col("vector"))
+    return rows.withColumn("_hit", hit).withColumns(
+        {"cluster_id": F.col("_hit.cluster_id"), "centroid_distance": F.col("_hit.distance")}
+    ).drop("_hit")
+
+
+def group_means(spark, folder):
+    found = _centroids(_embeddings(spark, folder))
+    rows = [(g, i, float(v)) for g, c in enumerate(found) if not np.isnan(c).any() for i, v in enumerate(c)]
+    return spark.createDataFrame(rows, "label int, i int, mean double").withColumn("mean", F.round("mean", 6))
+
+
+def nearest_centroid(spark, folder):
+    rows = _embeddings(spark, folder)
+    return _assigned(rows, _centroids(rows)).select(
+        "vec_id", "cluster_id", F.round("centroid_distance", 5).alias("centroid_distance")
+    )
+
+
+def cluster_members(spark, folder):
+    """Members and mean distance per cluster."""
+    rows = _embeddings(spark, folder)
+    return _assigned(rows, _centroids(rows)).groupBy("cluster_id").agg(
+        F.count("*").alias("members"), F.round(F.avg("centroid_distance"), 5).alias("mean_distance")
+    )
+
+
+def near_centroid(spark, folder):
+    rows = _embeddings(spark, folder)
+    assigned = _assigned(rows, _centroids(rows)).withColumn("centroid_distance", F.round("centroid_distance", 9))
+    return vectors.near_centroid(assigned, [F.asc("vec_id")], 5).select(
+        "cluster_id", "vec_id", F.round("centroid_distance", 5).alias("centroid_distance"),
+        F.col("rank").cast("bigint").alias("rank"),
+    )
+
+
+def cluster_view(spark, folder):
+    """Twenty members closest to the centroid of each cluster, with a cut title."""
+    rows = _embeddings(spark, folder)
+    assigned = _assigned(rows, _centroids(rows)).withColumn("centroid_distance", F.round("centroid_distance", 9))
+    top = vectors.near_centroid(assigned, [F.asc("vec_id")], 20)
+    title = F.repeat(F.concat(F.lit("Vector "), F.col("vec_id").cast("string"), F.lit(" ")), 6)
+    return top.select("cluster_id", "vec_id", values.shortened(title, 60).alias("title"))
+
+
+def cluster_writeback(spark, folder):
+    """Labels and distances stored on the rows; other columns stay as they are."""
+    rows = _embeddings(spark, folder)
+    stored = load(spark, folder, "documents").select(
+        F.col("doc_id").alias("id"), "source",
+        F.lit(None).cast("int").alias("cluster_id"), F.lit(None).cast("double").alias("centroid_distance"),
+    )
+    found = _assigned(rows, _centroids(rows)).select(
+        F.col("vec_id").alias("id"), "cluster_id", F.round("centroid_distance", 5).alias("centroid_distance")
+    )
+    return merge.update_join(stored, found, "id", ["cluster_id", "centroid_distance"])
+
+
+def _query_sides(spark, folder):
+    """Each group mean as a query; members carry their nearest centroid."""
+    rows = _embeddings(spark, folder)
+    centroids = _centroids(rows)
+    found = [(g, g, c.tolist()) for g, c in enumerate(centroids) if not np.isnan(c).any()]
+    queries = spark.createDataFrame(found, "id bigint, cluster_id int, vector array<double>")
+    members = _assigned(rows, centroids).select(F.col("vec_id").alias("id"), "cluster_id", "vector")
+    return queries, members
+
+
+def _ranked(rows):
+    return rows.select(
+        "query_id", "member_id", F.round("similarity", 5).alias("similarity"), F.col("rank").cast("bigint").alias("rank")
+    )
+
+
+def cosine_topk(spark, folder):
+    return _ranked(vectors.most_similar(*_query_sides(spark, folder), n=5))
+
+
+def cosine_topk_blocks(spark, folder):
+    """The same with the method for many queries: blocks on both sides."""
+    queries, members = _query_sides(spark, folder)
+    return _ranked(vectors.most_similar(queries, members, n=5, max_shipped=3, block_rows=20))
+
+
+def tfidf_terms(spark, folder):
+    docs = spread(load(spark, folder, "documents")).select("doc_id", "text")
+    model = vectors.fit_terms(docs, "text", _TEXT_FEATURES)
+    long = vectors.weighted_terms(model.vectorise(docs, "text"), model, "doc_id")
+    return long.withColumn("weight", F.round("weight", 6))
+
+
+def term_statistics(spark, folder):
+    docs = spread(load(spark, folder, "documents"))
+    return vectors.term_statistics(docs, "text").where(F.col("docs") >= 2)
+
+
+def kmeans_sizes(spark, folder):
+    """K-means on embeddings: members, mean distance and share of nearest assignments."""
+    rows = _embeddings(spark, folder).withColumn("features", array_to_vector("vector"))
+    centroids = vectors.fit_centroids(rows, "features", k=10, restarts=3)
+    return _assigned(rows, centroids).groupBy("cluster_id").agg(
+        F.count("*").alias("members"), F.round(F.avg("centroid_distance"), 5).alias("mean_distance")
+    )
+
+
+def _stored(spark, rows, purpose: str):
+    """Cleaned texts as a stored table, so that many passes read them instead of cleaning again."""
+    path = scratch_dir(spark, purpose)
+    rows.write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def _clustered_texts(spark, folder):
+    docs = spread(load(spark, folder, "documents")).select("doc_id", tx.clean_text(F.col("text")).alias("clean_text"))
+    posts = _stored(spark, docs, "posts")
+    return vectors.cluster_texts(posts, "clean_text", k=6, max_features=1000, restarts=2)
+
+
+def text_clusters(spark, folder):
+    rows, _, _ = _clustered_texts(spark, folder)
+    return rows.select("doc_id", "cluster_id", F.round("centroid_distance", 6).alias("centroid_distance"))
+
+
+def text_cluster_keywords(spark, folder):
+    rows, _, _ = _clustered_texts(spark, folder)
+    words = rows.withColumn("keywords", tx.top_keywords(F.col("clean_text")))
+    return vectors.cluster_keywords(words, "cluster_id", "keywords", [F.col("doc_id")])
+
+
+def text_queries(spark, folder):
+    """Benchmark texts as queries: nearest cluster, then the closest documents in it."""
+    rows, model, centroids = _clustered_texts(spark, folder)
+    items = load(spark, folder, "benchmark").select("item_id", tx.clean_text(F.col("text")).alias("clean_text"))
+    queries = _stored(spark, items, "questions")
+    asked = vectors.assign_texts(queries, "clean_text", model, centroids)
+    return vectors.most_similar_texts(asked, rows, "item_id", "doc_id", "clean_text", model, n=5)
+
+
+def pca_projection(spark, folder):
+    rows = _embeddings(spark, folder).withColumn("features", array_to_vector("vector"))
+    return vectors.project_2d(rows.select("vec_id", "features"), "features").select(
+        "vec_id", F.round("pc1", 6).alias("pc1"), F.round("pc2", 6).alias("pc2")
+    )
+
+
+_EMBEDDED = f"""
+e AS (SELECT vec_id, label % {GROUPS} AS label, unnest(embedding)::DOUBLE AS v, generate_subscripts(embedding, 1) - 1 AS i FROM embeddings),
+c AS (SELECT label AS cluster_id, i, avg(v) AS m FROM e GROUP BY 1, 2)"""
+_ASSIGNED = _EMBEDDED + """,
+gaps AS (SELECT vec_id, cluster_id, sqrt(sum((v - m) * (v - m))) AS d FROM e JOIN c USING (i) GROUP BY 1, 2),
+hit AS (SELECT vec_id, arg_min(cluster_id, d) AS cluster_id, min(d) AS d FROM gaps GROUP BY 1)"""
+_COSINE = f"""WITH {_ASSIGNED},
+scores AS (SELECT c.cluster_id AS query_id, e.vec_id AS member_id, sum(v * m) / sqrt(sum(v * v)) / sqrt(sum(m * m)) AS s
+  FROM hit JOIN c USING (cluster_id) JOIN e ON e.vec_id = hit.vec_id AND e.i = c.i GROUP BY 1, 2)
+SELECT query_id::BIGINT AS query_id, member_id, round(s, 5) AS similarity, rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(s, 12) DESC, member_id) AS rank FROM scores) WHERE rank <= 5"""
+_TERMS = r"""
+words AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\pL\pN_]+')) AS w,
+          generate_subscripts(regexp_extract_all(lower(text), '[\pL\pN_]+'), 1) AS p FROM documents),
+kept AS (SELECT doc_id, w, row_number() OVER (PARTITION BY doc_id ORDER BY p) AS p FROM words WHERE length(w) > 1),
+terms AS (SELECT doc_id, w AS token FROM kept
+          UNION ALL SELECT a.doc_id, a.w || ' ' || b.w FROM kept a JOIN kept b ON a.doc_id = b.doc_id AND b.p = a.p + 1),
+tf AS (SELECT doc_id, token, count(*) AS n FROM terms GROUP BY 1, 2),
+stats AS (SELECT token, CAST(sum(n) AS BIGINT) AS total, count(*) AS docs FROM tf GROUP BY 1)"""
+
+QUERIES = {
+    "group_means": Query(
+        group_means, f"WITH {_EMBEDDED} SELECT cluster_id AS label, i::INTEGER AS i, round(m, 6) AS mean FROM c"
+    ),
+    "nearest_centroid": Query(
+        nearest_centroid, f"WITH {_ASSIGNED} SELECT vec_id, cluster_id, round(d, 5) AS centroid_distance FROM hit"
+    ),
+    "cluster_members": Query(
+        cluster_members,
+        f"WITH {_ASSIGNED} SELECT cluster_id, count(*) AS members, round(avg(d), 5) AS mean_distance FROM hit GROUP BY 1",
+    ),
+    "near_centroid": Query(
+        near_centroid,
+        f"""WITH {_ASSIGNED} SELECT cluster_id, vec_id, round(d, 5) AS centroid_distance, rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY cluster_id ORDER BY round(d, 9), vec_id) AS rank FROM hit) WHERE rank <= 5""",
+    ),
+    "cluster_view": Query(
+        cluster_view,
+        f"""WITH {_ASSIGNED} SELECT cluster_id, vec_id, CASE WHEN length(t) > 60 THEN substr(t, 1, 60) || '...' ELSE t END AS title
+FROM (SELECT *, repeat('Vector ' || vec_id || ' ', 6) AS t,
+             row_number() OVER (PARTITION BY cluster_id ORDER BY round(d, 9), vec_id) AS rank FROM hit) WHERE rank <= 20""",
+    ),
+    "cluster_writeback": Query(
+        cluster_writeback,
+        f"""WITH {_ASSIGNED} SELECT doc_id AS id, source, cluster_id, round(d, 5) AS centroid_distance
+FROM documents LEFT JOIN hit ON vec_id = doc_id""",
+    ),
+    "cosine_topk": Query(cosine_topk, _COSINE),
+    "cosine_topk_blocks": Query(cosine_topk_blocks, _COSINE),
+    "tfidf_terms": Query(
+        tfidf_terms,
+        f"""WITH {_TERMS},
+vocabulary AS (SELECT token, ln((1 + (SELECT count(*) FROM documents)) / (1 + docs)::DOUBLE) + 1 AS idf FROM stats
+  WHERE docs >= 2 ORDER BY total DESC, token LIMIT {_TEXT_FEATURES}),
+weighted AS (SELECT doc_id, token, n * idf AS x FROM tf JOIN vocabulary USING (token))
+SELECT doc_id, token AS term, round(x / sqrt(sum(x * x) OVER (PARTITION BY doc_id)), 6) AS weight FROM weighted""",
+    ),
+    "term_statistics": Query(term_statistics, f"WITH {_TERMS} SELECT token, total, docs FROM stats WHERE docs >= 2"),
+    "kmeans_sizes": Query(kmeans_sizes),
+    "text_clusters": Query(text_clusters),
+    "text_cluster_keywords": Query(text_cluster_keywords),
+    "text_queries": Query(text_queries),
+    "pca_projection": Query(pca_projection),
+}

@@ -1 +1,79 @@
-QUERIES = {}
+"""Streams over the event table, run to the end of the files present."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tabloom.operators.merge import last_per_key
+from tabloom.plans import Query
+from tabloom.session import load, scratch_dir
+from tabloom.streaming import refresh
+
+
+def _events(spark, folder, source: str | None = None, files_per_batch: int | None = None):
+    schema = load(spark, folder, "events").schema
+    if source:
+        return refresh.stream_files(spark, source, schema, files_per_batch=files_per_batch)
+    return refresh.stream_files(spark, folder, schema, "events.parquet")
+
+
+def _prepared(batch):
+    return batch.select("user_id", "event_id", "event_type", F.coalesce("value", F.lit(0.0)).alias("value"))
+
+
+def stream_refresh(spark, folder):
+    """Latest event per user, from one pass over the file."""
+    table, checkpoint = scratch_dir(spark, "users"), scratch_dir(spark, "users-progress")
+    refresh.run_refresh(
+        lambda: refresh.start_refresh(_events(spark, folder), table, checkpoint, "user_id", "event_id", _prepared)
+    )
+    return refresh.latest_rows(spark, table, "user_id")
+
+
+def stream_refresh_batches(spark, folder):
+    """The same from many files, three per micro-batch, then compacted."""
+    landing, table = scratch_dir(spark, "landing"), scratch_dir(spark, "users")
+    checkpoint, compacted = scratch_dir(spark, "users-progress"), scratch_dir(spark, "users-compact")
+    ordered = load(spark, folder, "events").repartitionByRange(8, "event_id").sortWithinPartitions("event_id")
+    ordered.write.parquet(landing)
+    # Files of one batch may arrive in any order, so the event id decides across batches too.
+    refresh.run_refresh(
+        lambda: refresh.start_refresh(
+            _events(spark, folder, landing, 3), table, checkpoint, "user_id", "event_id", _prepared
+        )
+    )
+    written = spark.read.parquet(table).drop("batch_id")
+    last_per_key(written, "user_id", "event_id").write.parquet(f"{compacted}/batch_id=0")
+    return refresh.latest_rows(spark, compacted, "user_id")
+
+
+def stream_dedup(spark, folder):
+    """First-seen pairs of user and event type."""
+    table, checkpoint = scratch_dir(spark, "pairs"), scratch_dir(spark, "pairs-progress")
+    refresh.run_refresh(
+        lambda: refresh.start_first_seen(
+            _events(spark, folder).select("user_id", "event_type"), table, checkpoint, ["user_id", "event_type"]
+        )
+    )
+    return spark.read.parquet(table)
+
+
+def stream_dedup_watermark(spark, folder):
+    """First-seen events with state that is dropped after an hour."""
+    table, checkpoint = scratch_dir(spark, "seen"), scratch_dir(spark, "seen-progress")
+    stream = _events(spark, folder).select("event_id", F.col("ts").cast("timestamp").alias("ts"))
+    refresh.run_refresh(
+        lambda: refresh.start_first_seen(stream, table, checkpoint, ["event_id"], event_time="ts")
+    )
+    return spark.read.parquet(table).select("event_id")
+
+
+_LATEST = """SELECT user_id, max(event_id) AS event_id, arg_max(event_type, event_id) AS event_type,
+  arg_max(coalesce(value, 0), event_id) AS value FROM events GROUP BY 1"""
+
+QUERIES = {
+    "stream_refresh": Query(stream_refresh, _LATEST),
+    "stream_refresh_batches": Query(stream_refresh_batches, _LATEST),
+    "stream_dedup": Query(stream_dedup, "SELECT DISTINCT user_id, event_type FROM events"),
+    "stream_dedup_watermark": Query(stream_dedup_watermark, "SELECT DISTINCT event_id FROM events"),
+}
