@@ -106,25 +106,48 @@ def keyword_tokens(text: Column) -> Column:
     )
 
 
-def token_counts(tokens: Column) -> Column:
-    """``array<struct<token, n, first_pos>>`` of a token array.
+def _run_starts(differs, items: Column) -> Column:
+    marks = F.transform(items, lambda x, i: F.when((i == 0) | differs(F.get(items, i - 1), x), i))
+    return F.filter(marks, lambda i: i.isNotNull())
+
+
+def _run_length(starts: Column, j: Column, start: Column, items: Column) -> Column:
+    return F.coalesce(F.get(starts, j + 1), F.size(items)) - start
+
 
-    Sorting the row's own (token, position) pairs puts equal tokens side by
-    side, so run boundaries give counts. Everything happens inside the row:
-    counting words per document moves no data between executors.
+def term_counts(terms: Column) -> Column:
+    """``array<struct<token, n>>`` of a token array.
+
+    Sorting the row's own tokens puts equal ones side by side, so run
+    boundaries give counts. Everything happens inside the row: counting
+    words per document moves no data between executors.
     """
+
+    def runs(s: Column) -> Column:
+        return let(
+            _run_starts(lambda a, b: a != b, s),
+            lambda starts: F.transform(
+                starts,
+                lambda i, j: F.struct(F.get(s, i).alias("token"), _run_length(starts, j, i, s).alias("n")),
+            ),
+        )
+
+    return let(F.sort_array(terms), runs)
+
+
+def token_counts(tokens: Column) -> Column:
+    """As :func:`term_counts`, with the position at which a token appears first."""
     pairs = F.sort_array(F.transform(tokens, lambda t, i: F.struct(t.alias("t"), i.alias("p"))))
 
     def runs(s: Column) -> Column:
-        marks = F.transform(s, lambda x, i: F.when((i == 0) | (F.get(s, i - 1)["t"] != x["t"]), i))
         return let(
-            F.filter(marks, lambda i: i.isNotNull()),
-            lambda b: F.transform(
-                b,
-                lambda start, j: F.struct(
-                    F.get(s, start)["t"].alias("token"),
-                    (F.coalesce(F.get(b, j + 1), F.size(s)) - start).alias("n"),
-                    F.get(s, start)["p"].alias("first_pos"),
+            _run_starts(lambda a, b: a["t"] != b["t"], s),
+            lambda starts: F.transform(
+                starts,
+                lambda i, j: F.struct(
+                    F.get(s, i)["t"].alias("token"),
+                    _run_length(starts, j, i, s).alias("n"),
+                    F.get(s, i)["p"].alias("first_pos"),
                 ),
             ),
         )

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
-from tabloom.functions.text import let, token_counts
+from tabloom.functions.text import let, term_counts
 from tabloom.operators.ranking import top_per_group
 
 _NEAREST = "cluster_id int, distance double"
@@ -65,7 +65,7 @@ def term_statistics(docs: DataFrame, text: str) -> DataFrame:
     Repeats within a document are folded inside the row, and the rest
     combines on the map side, so a frequent term costs one row per task.
     """
-    counts = docs.select(F.inline(token_counts(word_terms(F.col(text)))))
+    counts = docs.select(F.inline(term_counts(word_terms(F.col(text)))))
     return counts.groupBy("token").agg(F.sum("n").alias("total"), F.count("*").alias("docs"))
 
 
@@ -105,12 +105,15 @@ def sparse_parts(vector: Column) -> Column:
     return let(vector_to_array(vector), entries)
 
 
+def _entries(vector: Column) -> Column:
+    return let(sparse_parts(vector), lambda p: F.arrays_zip(p["indices"], p["values"]))
+
+
 def weighted_terms(vectors: DataFrame, model: TermWeights, id_column: str, vector: str = "vector") -> DataFrame:
     """Vectors in long form: one row per document and term."""
     spark = vectors.sparkSession
     names = spark.createDataFrame(list(enumerate(model.terms)), "i int, term string")
-    parts = vectors.select(id_column, sparse_parts(F.col(vector)).alias("p"))
-    entries = parts.select(id_column, F.inline(F.arrays_zip("p.indices", "p.values"))).toDF(id_column, "i", "weight")
+    entries = vectors.select(id_column, F.inline(_entries(F.col(vector)))).toDF(id_column, "i", "weight")
     # The vocabulary has at most ``max_features`` rows.
     return entries.join(F.broadcast(names), "i").select(id_column, "term", "weight")
 
@@ -236,7 +239,8 @@ def cluster_keywords(rows: DataFrame, cluster: str, keywords: str, order: list[C
     words = F.col(keywords)
     if dict(rows.dtypes)[keywords] == "string":
         words = F.split(words, ",")
-    seen = rows.select(cluster, F.struct(*order).alias("_row"), F.posexplode(words).alias("_pos", "keyword"))
+    # The outer form keeps Spark from testing (and so computing) the array a second time.
+    seen = rows.select(cluster, F.struct(*order).alias("_row"), F.posexplode_outer(words).alias("_pos", "keyword"))
     seen = seen.withColumn("keyword", F.btrim("keyword")).where(F.col("keyword") != "")
     counted = seen.groupBy(cluster, "keyword").agg(
         F.count("*").alias("n"), F.min(F.struct("_row", "_pos")).alias("_first")
@@ -352,11 +356,8 @@ def most_similar_texts(
     """
 
     def entries(rows: DataFrame, row_id: str, prefix: str) -> DataFrame:
-        parts = model.vectorise(rows.select(row_id, "cluster_id", text), text)
-        flat = parts.select(
-            F.col(row_id).alias(f"{prefix}_id"), "cluster_id", sparse_parts(F.col("vector")).alias("p")
-        )
-        return flat.select(f"{prefix}_id", "cluster_id", F.inline(F.arrays_zip("p.indices", "p.values"))).toDF(
+        unit = model.vectorise(rows.select(row_id, "cluster_id", text), text)
+        return unit.select(row_id, "cluster_id", F.inline(_entries(F.col("vector")))).toDF(
             f"{prefix}_id", "cluster_id", "term", f"{prefix}_weight"
         )
 

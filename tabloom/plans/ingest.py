@@ -395,8 +395,8 @@ FROM flat""",
     ),
     "html_titles": Query(
         html_titles,
-        """SELECT page_id, replace(replace(replace(trim(regexp_extract(html, '<title>([^<]*)</title>', 1)),
-  '&lt;', '<'), '&gt;', '>'), '&amp;', '&') AS title FROM pages""",
+        """SELECT page_id, regexp_replace(replace(replace(trim(regexp_extract(html, '<title>([^<]*)</title>', 1)),
+  '&lt;', '<'), '&gt;', '>'), '&amp;?', '&', 'g') AS title FROM pages""",
     ),
     "kv_page_fields": Query(
         kv_page_fields,

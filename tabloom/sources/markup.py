@@ -253,7 +253,8 @@ def page_links(pages: DataFrame, key: str, html: str = "html") -> DataFrame:
     """One row per link: position, address and text."""
     pattern = r"(?is)<a\b[^>]*?href=\"([^\"]*)\"[^>]*>(.*?)</a>"
     found = F.regexp_extract_all(F.col(html), F.lit(pattern), F.lit(0))
-    return pages.select(key, F.posexplode(found).alias("position", "_link")).select(
+    links = pages.select(key, F.posexplode_outer(found).alias("position", "_link")).where(F.col("_link").isNotNull())
+    return links.select(
         key,
         "position",
         F.regexp_extract("_link", pattern, 1).alias("href"),

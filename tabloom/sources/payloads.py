@@ -1,4 +1,8 @@
-"""JSON payloads as tables. Parsing is narrow: one payload is one row."""
+"""JSON payloads as tables. Parsing is narrow: one payload is one row.
+
+Arrays are unfolded with the outer form, as Spark would parse the payload a
+second time to drop empty ones; the NULL rows are filtered or never join.
+"""
 
 from __future__ import annotations
 
@@ -23,7 +27,7 @@ def listing_posts(
 ) -> DataFrame:
     """The first posts of each listing with their position, defaults filled in."""
     children = F.slice(F.from_json(payload, _LISTING_DDL)["data"]["children"], 1, first)
-    posts = payloads.select(*keys, F.posexplode(children).alias("_pos", "_child"))
+    posts = payloads.select(*keys, F.posexplode_outer(children).alias("_pos", "_child"))
     posts = posts.where(F.col("_child.data").isNotNull())
 
     def text(name: str) -> Column:
@@ -61,9 +65,9 @@ def search_articles(
     ``searches`` holds ``term, search``, ``summaries`` holds ``term, summary``.
     """
     ids = F.slice(F.from_json(search, _SEARCH_DDL)["esearchresult"]["idlist"], 1, first)
-    found = searches.select(term, F.posexplode(ids).alias("_pos", "pmid"))
+    found = searches.select(term, F.posexplode_outer(ids).alias("_pos", "pmid"))
     known = summaries.select(
-        term, F.explode(F.from_json(summary, _SUMMARY_DDL)["result"]).alias("pmid", "_json")
+        term, F.explode_outer(F.from_json(summary, _SUMMARY_DDL)["result"]).alias("pmid", "_json")
     )
     article = found.join(known, [term, "pmid"]).withColumn("_a", F.from_json("_json", _ARTICLE_DDL))
 
