@@ -71,7 +71,8 @@ def clean_text(text: Column) -> Column:
     """Plain words of a post: markup, links, user names and punctuation go."""
     no_links = F.regexp_replace(markup_to_text(text), r"(?U)http\S+|www\.\S+", " ")
     no_names = F.regexp_replace(no_links, r"(?U)/u/\w+", " USER ")
-    return F.btrim(F.regexp_replace(no_names, r"[^a-zA-Z0-9]+", " "))
+    # Joining the words found is several times faster than replacing what lies between them.
+    return F.array_join(F.regexp_extract_all(no_names, F.lit("[a-zA-Z0-9]+"), F.lit(0)), " ")
 
 
 def ascii_text(value: Column) -> Column:
@@ -99,9 +100,8 @@ def mask_author(name: Column, salt: str = "") -> Column:
 
 def keyword_tokens(text: Column) -> Column:
     """Lower-case words of at least three letters that carry meaning."""
-    words = F.transform(F.split(text, r"(?U)\s+"), F.lower)
     return F.filter(
-        words,
+        F.split(F.lower(text), r"(?U)\s+"),
         lambda w: (F.length(w) > 2) & ~w.isin(STOP_WORDS) & ~w.rlike(r"^\d+$"),
     )
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabloom.functions.text import or_default
+from tabloom.session import broadcast_if_small
 
 
 def with_defaults(rows: DataFrame, words: list[str], numbers: list[str]) -> DataFrame:
@@ -39,7 +40,7 @@ def nested_documents(
         .where(F.col("_n") > max_children)
         .select(key, F.ceil(F.col("_n") / max_children).alias("_parts"))
     )
-    spread = children.join(large, key, "left").withColumn(
+    spread = children.join(broadcast_if_small(large), key, "left").withColumn(
         "part", F.coalesce(F.pmod(F.xxhash64(*order), "_parts"), F.lit(0)).cast("bigint")
     )
     item = F.struct(*(F.col(c).alias(f"_o{i}") for i, c in enumerate(order)), F.struct(*columns).alias("item"))

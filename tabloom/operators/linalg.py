@@ -21,9 +21,10 @@ _CELL = "row bigint, col bigint, v double"
 def multiply(a: DataFrame, b: DataFrame) -> DataFrame:
     """Matrix product of sparse cells: join on the inner index, sum per cell.
 
-    The products are combined on the map side before the second shuffle.
-    Where an inner index is very frequent on both sides, use
-    :func:`block_multiply`, which forms no single products.
+    Cells are unique, so one inner index meets at most as many pairs as the
+    result has cells, and the products are combined on the map side before they
+    are shuffled. For dense matrices use :func:`block_multiply`,
+    which forms no single products.
     """
     right = b.select(F.col("row").alias("col"), F.col("col").alias("_j"), F.col("v").alias("_w"))
     return (

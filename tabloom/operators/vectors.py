@@ -25,8 +25,11 @@ from pyspark.storagelevel import StorageLevel
 
 from tabloom.functions.text import let, term_counts
 from tabloom.operators.ranking import top_per_group
+from tabloom.session import broadcast_if_small
 
 _NEAREST = "cluster_id int, distance double"
+# Member rows made dense at a time.
+_CHUNK = 1000
 
 
 def word_terms(text: Column) -> Column:
@@ -253,18 +256,23 @@ def near_centroid(rows: DataFrame, order: list[Column], n: int = 5) -> DataFrame
     return top_per_group(rows, ["cluster_id"], [F.asc("centroid_distance"), *order], n)
 
 
-def _unit(x: np.ndarray) -> np.ndarray:
+def _unit(vectors: pd.Series, size: int | None) -> np.ndarray:
+    """Rows of unit length; ``size`` is given for sparse vectors. Zero rows stay zero."""
+    if size is None:
+        x = np.stack(vectors.to_numpy()).astype(np.float64)
+    else:
+        x = np.zeros((len(vectors), size))
+        for row, parts in enumerate(vectors):
+            x[row, parts["indices"]] = parts["values"]
     length = np.linalg.norm(x, axis=1, keepdims=True)
     return np.divide(x, length, out=np.zeros_like(x), where=length > 0)
 
 
-def _best_matches(
-    q_ids: np.ndarray, q: np.ndarray, m_ids: np.ndarray, m: np.ndarray, n: int
-) -> pd.DataFrame:
-    """Per query the ``n`` most similar members of this batch (smaller id on ties)."""
+def _best_matches(q_ids: np.ndarray, scores: np.ndarray, m_ids: np.ndarray, n: int) -> pd.DataFrame:
+    """Per query (row of scores) the ``n`` best members; the smaller id wins a tie."""
     by_id = np.argsort(m_ids, kind="stable")
-    m_ids, scores = m_ids[by_id], q @ m[by_id].T
-    order = np.argsort(-scores, axis=1, kind="stable")[:, :n]
+    m_ids, scores = m_ids[by_id], scores[:, by_id]
+    order = np.argsort(-scores.round(12), axis=1, kind="stable")[:, :n]
     return pd.DataFrame(
         {
             "query_id": np.repeat(q_ids, order.shape[1]),
@@ -274,6 +282,13 @@ def _best_matches(
     )
 
 
+def _best_of(found: list[pd.DataFrame], n: int) -> pd.DataFrame:
+    """The ``n`` best rows per query of several partial results."""
+    rows = pd.concat(found, ignore_index=True)
+    rows["_s"] = -rows["similarity"].round(12)
+    return rows.sort_values(["query_id", "_s", "member_id"]).groupby("query_id").head(n).drop(columns="_s")
+
+
 _MATCH = "query_id bigint, member_id bigint, similarity double"
 
 
@@ -281,47 +296,57 @@ def most_similar(
     queries: DataFrame,
     members: DataFrame,
     n: int = 5,
+    size: int | None = None,
     max_shipped: int = 1000,
     block_rows: int = 50_000,
 ) -> DataFrame:
     """Per query the ``n`` members of its cluster with the highest cosine.
 
-    Both sides have ``id, cluster_id, vector`` (array of double). The queries
-    are counted: up to ``max_shipped`` travel to the members, so members are
-    scanned once and never shuffled, and each batch hands on ``n`` rows per query.
-    More queries than that meet the members in blocks of bounded size on both
+    Both sides have ``id, cluster_id, vector``: an array of double, or
+    ``struct<indices, values>`` when ``size`` is given. The queries are counted:
+    up to ``max_shipped`` travel to the members, so members are scanned
+    once and never shuffled, and each task hands on ``n`` rows per query. More
+    queries than that meet the members in blocks of bounded size on both
     sides. Either way no list of all pairs exists, and the result is exact.
     """
     if queries.limit(max_shipped + 1).count() <= max_shipped:
-        partial = _shipped(queries, members, n)
+        partial = _shipped(queries, members, n, size)
     else:
-        partial = _blocked(queries, members, n, max_shipped, block_rows)
+        partial = _blocked(queries, members, n, size, max_shipped, block_rows)
     order = [F.desc(F.round("similarity", 12)), F.asc("member_id")]
     return top_per_group(partial, ["query_id"], order, n)
 
 
-def _shipped(queries: DataFrame, members: DataFrame, n: int) -> DataFrame:
-    by_cluster: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-    local = queries.select("id", "cluster_id", "vector").toPandas()
-    for cluster, part in local.groupby("cluster_id"):
-        by_cluster[cluster] = (part["id"].to_numpy(), _unit(np.stack(part["vector"].to_numpy())))
+def _shipped(queries: DataFrame, members: DataFrame, n: int, size: int | None) -> DataFrame:
+    by_cluster = {
+        cluster: (part["id"].to_numpy(), _unit(part["vector"], size))
+        for cluster, part in queries.select("id", "cluster_id", "vector").toPandas().groupby("cluster_id")
+    }
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        best: dict[int, pd.DataFrame] = {}
         for batch in batches:
-            for cluster, part in batch.groupby("cluster_id"):
-                if cluster in by_cluster:
+            for start in range(0, len(batch), _CHUNK):
+                for cluster, part in batch.iloc[start : start + _CHUNK].groupby("cluster_id"):
+                    if cluster not in by_cluster:
+                        continue
                     q_ids, q = by_cluster[cluster]
-                    m = _unit(np.stack(part["vector"].to_numpy()))
-                    yield _best_matches(q_ids, q, part["id"].to_numpy(), m, n)
+                    found = _best_matches(q_ids, q @ _unit(part["vector"], size).T, part["id"].to_numpy(), n)
+                    best[cluster] = _best_of([best[cluster], found], n) if cluster in best else found
+        yield from best.values()
 
     return members.select("id", "cluster_id", "vector").mapInPandas(scan, _MATCH)
 
 
-def _blocked(queries: DataFrame, members: DataFrame, n: int, q_rows: int, m_rows: int) -> DataFrame:
+def _blocked(
+    queries: DataFrame, members: DataFrame, n: int, size: int | None, q_rows: int, m_rows: int
+) -> DataFrame:
     def sizes(rows: DataFrame, per_block: int, name: str) -> DataFrame:
         return rows.groupBy("cluster_id").agg(F.ceil(F.count("*") / per_block).alias(name))
 
-    grid = sizes(queries, q_rows, "q_blocks").join(sizes(members, m_rows, "m_blocks"), "cluster_id")
+    grid = broadcast_if_small(
+        sizes(queries, q_rows, "q_blocks").join(sizes(members, m_rows, "m_blocks"), "cluster_id")
+    )
     spot = F.xxhash64("id")
     q = queries.join(grid, "cluster_id").select(
         "id", "cluster_id", "vector",
@@ -337,37 +362,31 @@ def _blocked(queries: DataFrame, members: DataFrame, n: int, q_rows: int, m_rows
     def meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if left.empty or right.empty:
             return pd.DataFrame({"query_id": [], "member_id": [], "similarity": []})
-        q_unit, m_unit = (_unit(np.stack(side["vector"].to_numpy())) for side in (left, right))
-        return _best_matches(left["id"].to_numpy(), q_unit, right["id"].to_numpy(), m_unit, n)
+        q_ids, q_unit = left["id"].to_numpy(), _unit(left["vector"], size)
+        best: list[pd.DataFrame] = []
+        for start in range(0, len(right), _CHUNK):
+            part = right.iloc[start : start + _CHUNK]
+            found = _best_matches(q_ids, q_unit @ _unit(part["vector"], size).T, part["id"].to_numpy(), n)
+            best = [_best_of([*best, found], n)]
+        return best[0]
 
     keys = ["cluster_id", "q_block", "m_block"]
     return q.groupBy(*keys).cogroup(m.groupBy(*keys)).applyInPandas(meet, _MATCH)
 
 
 def most_similar_texts(
-    queries: DataFrame, members: DataFrame, query_id: str, member_id: str, text: str, model: TermWeights, n: int = 5
+    queries: DataFrame, members: DataFrame, query_id: str, member_id: str, text: str, model: TermWeights, n: int = 5,
+    **limits: int,
 ) -> DataFrame:
-    """Per query text the ``n`` members of its cluster with the highest cosine.
-
-    Vectors have unit length, so the cosine is the sum of weight products over
-    shared terms: a join on (cluster, term) in which the member side can be
-    as large as it likes and sums combine on the map side. Members without
-    any shared term score 0 and fill the ranking only where fewer than ``n`` share one.
-    """
+    """:func:`most_similar` for texts with a fitted vocabulary and a ``cluster_id``."""
 
-    def entries(rows: DataFrame, row_id: str, prefix: str) -> DataFrame:
+    def side(rows: DataFrame, row_id: str) -> DataFrame:
         unit = model.vectorise(rows.select(row_id, "cluster_id", text), text)
-        return unit.select(row_id, "cluster_id", F.inline(_entries(F.col("vector")))).toDF(
-            f"{prefix}_id", "cluster_id", "term", f"{prefix}_weight"
+        return unit.select(
+            F.col(row_id).cast("bigint").alias("id"), "cluster_id", sparse_parts(F.col("vector")).alias("vector")
         )
 
-    scored = (
-        entries(members, member_id, "member")
-        .join(entries(queries, query_id, "query"), ["cluster_id", "term"])
-        .groupBy("query_id", "member_id")
-        .agg(F.sum(F.col("query_weight") * F.col("member_weight")).alias("similarity"))
-    )
-    return top_per_group(scored, ["query_id"], [F.desc(F.round("similarity", 12)), F.asc("member_id")], n)
+    return most_similar(side(queries, query_id), side(members, member_id), n, len(model.terms), **limits)
 
 
 def project_2d(rows: DataFrame, vector: str = "vector") -> DataFrame:

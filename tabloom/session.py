@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def build_session(app: str = "tabloom", master: str | None = None, **conf: str) -> SparkSession:
@@ -45,6 +46,14 @@ def spread(rows: DataFrame) -> DataFrame:
     return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
 
 
+def broadcast_if_small(rows: DataFrame, limit: int = 100_000) -> DataFrame:
+    """Mark a side for broadcast once its rows are counted to be at most ``limit``.
+
+    Beyond that the join stays a shuffle join, which AQE splits where keys are skewed.
+    """
+    return F.broadcast(rows) if rows.limit(limit + 1).count() <= limit else rows
+
+
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder for written tables and stream checkpoints.
 

@@ -36,9 +36,13 @@ def start_refresh(
     seq: str | list[str],
     prepare: Callable[[DataFrame], DataFrame] | None = None,
     interval_seconds: float | None = None,
+    afterwards: Callable[[SparkSession, int], None] | None = None,
 ) -> StreamingQuery:
     """Keep the latest row per key of a stream.
 
+    ``prepare`` works on each batch before it is stored (cleaning, say),
+    ``afterwards`` on the stored table (clustering, say).
+
     With ``interval_seconds`` (at least 10) the query runs for ever,
     without it every file present is taken and the query ends.
     """
@@ -46,6 +50,8 @@ def start_refresh(
     def merge(batch: DataFrame, batch_id: int) -> None:
         rows = prepare(batch) if prepare else batch
         last_per_key(rows, key, seq).write.mode("overwrite").parquet(f"{table}/batch_id={batch_id}")
+        if afterwards:
+            afterwards(batch.sparkSession, batch_id)
 
     writer = stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
     if interval_seconds is None:

@@ -118,10 +118,10 @@ class Session:
         self.conf = {k.replace("_", "."): v for k, v in settings.items()}
 
 
-def test_scratch_folder_comes_from_the_session(spark):
+def test_scratch_folder_comes_from_the_session():
     shared = scratch_dir(Session(spark_checkpoint_dir="hdfs://h/tmp/", spark_master="yarn"), "x")
     assert shared.startswith("hdfs://h/tmp/x-")
-    assert "tabloom-" in scratch_dir(spark, "x")
+    assert "tabloom-" in scratch_dir(Session(spark_master="local[4]"), "x")
     with pytest.raises(RuntimeError):
         scratch_dir(Session(spark_master="yarn"), "x")
 

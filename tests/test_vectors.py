@@ -110,12 +110,13 @@ def test_most_similar_is_exact(spark, limits):
     assert [r["similarity"] for r in got] == pytest.approx([s for _, _, s in expected])
 
 
-def test_text_similarity_matches_dense_cosine(spark):
+@pytest.mark.parametrize("limits", [{}, {"max_shipped": 1, "block_rows": 2}])
+def test_text_similarity_matches_dense_cosine(spark, limits):
     texts = ["leg day squat", "leg day", "arm day", "squat squat leg", "run far", "run leg"]
     d = docs(spark, texts).withColumn("cluster_id", F.lit(0))
     model = vectors.fit_terms(d, "text", min_docs=1)
     q = docs(spark, ["leg squat", "run"]).select((F.col("id") + 100).alias("qid"), "text", F.lit(0).alias("cluster_id"))
-    got = vectors.most_similar_texts(q, d, "qid", "id", "text", model, 3).collect()
+    got = vectors.most_similar_texts(q, d, "qid", "id", "text", model, 3, **limits).collect()
     dense = {r["id"]: r["vector"].toArray() for r in model.vectorise(d, "text").collect()}
     asked = {r["qid"]: r["vector"].toArray() for r in model.vectorise(q, "text").collect()}
     for r in got:
