@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabloom.functions import fixed_values as fv
-from tabloom.functions.text import capture
+from tabloom.functions.text import ascii_text, capture, numeric_text
 from tabloom.functions.values import coordinates
 
 WELL_FIELDS = [
@@ -146,10 +146,18 @@ def extract_treatments(documents: DataFrame, text: str = "text") -> DataFrame:
     )
 
 
+def extract_documents(documents: DataFrame, text: str = "text", filename: str = "filename") -> DataFrame:
+    """Well and treatment columns side by side, from one pass over the texts.
+
+    ``formation`` is NULL where a document has no treatment record.
+    """
+    section = F.regexp_extract(F.col(text), fv.TREATMENT_SECTION, 0)
+    both = extract_wells(documents, text, filename).withColumn("_section", section)
+    return both.withColumns(treatment_fields(F.col("_section"))).drop("_section")
+
+
 def clean_wells(wells: DataFrame, text_columns: list[str]) -> DataFrame:
     """Readable text columns and zero for missing coordinates."""
-    from tabloom.functions.text import ascii_text
-
     cleaned = {c: ascii_text(F.col(c)) for c in text_columns if c in wells.columns}
     zero = {c: F.coalesce(F.col(c), F.lit(0)) for c in ("latitude", "longitude") if c in wells.columns}
     return wells.withColumns({**cleaned, **zero})
@@ -157,8 +165,6 @@ def clean_wells(wells: DataFrame, text_columns: list[str]) -> DataFrame:
 
 def clean_treatments(treatments: DataFrame) -> DataFrame:
     """Readable text and comma-free numbers in the treatment columns."""
-    from tabloom.functions.text import ascii_text, numeric_text
-
     words = ["formation", "treatment_type", "volume_units"]
     return treatments.withColumns(
         {c: ascii_text(F.col(c)) if c in words else numeric_text(F.col(c)) for c in TREATMENT_FIELDS}

@@ -101,14 +101,16 @@ def map_summary(rows: DataFrame, latitude: str = "latitude", longitude: str = "l
     )
 
 
-def extraction_counts(wells: DataFrame, treatments: DataFrame, doc: str) -> DataFrame:
-    """Documents with and without an id, treatment records and text length."""
-    records = treatments.select(doc, F.lit(1).alias("_n")).groupBy(doc).agg(F.sum("_n").alias("_n"))
+def extraction_counts(extracted: DataFrame) -> DataFrame:
+    """Documents with and without an id, treatment records and text length of the former.
+
+    Works on the columns of ``fields.extract_documents``.
+    """
     has_id = F.col("file_number").isNotNull()
-    return wells.join(records, doc, "left").agg(
+    return extracted.agg(
         F.count_if(has_id).alias("succeeded"),
         F.count_if(~has_id).alias("failed"),
-        F.sum(F.when(has_id, F.coalesce("_n", F.lit(0))).otherwise(0)).alias("treatment_records"),
+        F.count_if(has_id & F.col("formation").isNotNull()).alias("treatment_records"),
         F.sum(F.when(has_id, F.col("text_length")).otherwise(0)).alias("text_length"),
     )
 

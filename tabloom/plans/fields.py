@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tabloom.functions import fields, values
 from tabloom.operators import export, profile
 from tabloom.plans import Query
-from tabloom.session import load, spread
+from tabloom.session import load, scratch_dir, spread
 
 _MINUTE = "(10 + c_nationkey)"
 _SECOND = "(c_custkey % 60 + 0.25)"
@@ -58,9 +58,7 @@ def stim_extract(spark, folder):
 
 
 def extraction_counts(spark, folder):
-    documents = _documents(spark, folder)
-    wells = fields.extract_wells(documents)
-    return profile.extraction_counts(wells, fields.extract_treatments(documents), "c_custkey")
+    return profile.extraction_counts(fields.extract_documents(_documents(spark, folder)))
 
 
 def cleaned_wells(spark, folder):
@@ -105,9 +103,12 @@ def nested_export(spark, folder):
 
 
 def export_documents(spark, folder):
-    """Whole documents as JSON text."""
-    wells = fields.extract_wells(_documents(spark, folder)).select("c_custkey", "file_number", "well_name", "latitude")
-    treatments = fields.clean_treatments(fields.extract_treatments(_documents(spark, folder)))
+    """Whole documents as JSON text; extracted once, stored, then split into parents and children."""
+    path = scratch_dir(spark, "extracted")
+    fields.extract_documents(_documents(spark, folder)).drop("text").write.parquet(path)
+    extracted = spark.read.parquet(path)
+    wells = extracted.select("c_custkey", "file_number", "well_name", "latitude")
+    treatments = fields.clean_treatments(extracted.where(F.col("formation").isNotNull()))
     wells = export.with_defaults(wells, ["file_number", "well_name"], []).withColumn(
         "latitude", F.coalesce(F.round("latitude", 6), F.lit(0.0))
     )

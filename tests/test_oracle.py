@@ -1,6 +1,7 @@
 """Every registered query against its SQL on the smallest data set."""
 
 import os
+import subprocess
 import sys
 
 import pytest
@@ -34,3 +35,15 @@ def test_entry(spark):
 
 def test_every_sql_has_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_executors_need_no_installation(tmp_path):
+    """Python workers start in a folder from which the package cannot be imported."""
+    root = os.path.dirname(os.path.abspath(entry.__file__))
+    code = (
+        f"import sys; sys.path.insert(0, {root!r}); import __spark_entry__ as e; from tabloom import build_session; "
+        "s = build_session('away', 'local[2]', **{'spark.sql.shuffle.partitions': '2'}); "
+        f"print('rows', [e.queries()[n](s, {FOLDER!r}).count() for n in ('portfolio_metrics', 'forum_posts', 'cosine_topk')])"
+    )
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=300)
+    assert "rows [5, 300, 50]" in done.stdout, done.stderr[-2000:]
