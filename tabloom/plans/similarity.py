@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tabloom.functions import text as tx
 from tabloom.functions import values
 from tabloom.operators import merge, ranking, vectors
+from tabloom.operators.posts import cluster_stored_posts, preprocess_posts, stored_defaults
 from tabloom.plans import Query
 from tabloom.session import load, scratch_dir, spread
 
@@ -169,6 +170,35 @@ def text_queries(spark, folder):
     return vectors.most_similar_texts(asked, rows, "item_id", "doc_id", "clean_text", model, n=5)
 
 
+def _stored_posts(spark, folder):
+    """Order lines as posts: the part is the title, the month of shipping the body."""
+    lines = load(spark, folder, "lineitem").join(
+        load(spark, folder, "part").select(F.col("p_partkey").alias("l_partkey"), "p_name", "p_type"), "l_partkey"
+    )
+    posts = lines.select(
+        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey").alias("post_id"),
+        F.concat_ws(" ", "p_name", F.initcap("p_type")).alias("title"),
+        F.concat(F.lit("<p>ships "), F.date_format("l_shipdate", "MMMM"), F.lit("</p>")).alias("body"),
+        F.concat(F.lit("supplier"), F.col("l_suppkey").cast("string")).alias("author"),
+        F.unix_date(F.to_date("l_shipdate")).cast("bigint").alias("created_utc"),
+        F.col("l_quantity").alias("score"),
+        F.col("l_orderkey").alias("seq"),
+    )
+    fresh = stored_defaults(preprocess_posts(posts, "title", "body", "author"), ["score"]).drop("author", "body")
+    empty = fresh.drop("seq").limit(0)
+    return _stored(spark, merge.replace_upsert(empty, fresh, "post_id", "seq"), "posts")
+
+
+def post_clusters(spark, folder):
+    """From raw rows to stored, clustered posts: the five posts nearest to each centroid."""
+    clustered, _ = cluster_stored_posts(_stored_posts(spark, folder), k=6, restarts=2)
+    rows = clustered.withColumn("centroid_distance", F.round("centroid_distance", 9))
+    near = vectors.near_centroid(rows, [F.desc("created_utc"), F.asc("post_id")], 5)
+    return near.select(
+        "cluster_id", "rank", "post_id", "title", "clean_text", "keywords", "topic_hint", "author_masked", "score"
+    )
+
+
 def pca_projection(spark, folder):
     rows = _embeddings(spark, folder).withColumn("features", array_to_vector("vector"))
     return vectors.project_2d(rows.select("vec_id", "features"), "features").select(
@@ -238,5 +268,6 @@ SELECT doc_id, token AS term, round(x / sqrt(sum(x * x) OVER (PARTITION BY doc_i
     "text_clusters": Query(text_clusters),
     "text_cluster_keywords": Query(text_cluster_keywords),
     "text_queries": Query(text_queries),
+    "post_clusters": Query(post_clusters),
     "pca_projection": Query(pca_projection),
 }

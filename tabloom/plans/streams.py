@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tabloom.operators.merge import last_per_key
 from tabloom.plans import Query
 from tabloom.session import load, scratch_dir
 from tabloom.streaming import refresh
@@ -42,8 +41,7 @@ def stream_refresh_batches(spark, folder):
             _events(spark, folder, landing, 3), table, checkpoint, "user_id", "event_id", _prepared
         )
     )
-    written = spark.read.parquet(table).drop("batch_id")
-    last_per_key(written, "user_id", "event_id").write.parquet(f"{compacted}/batch_id=0")
+    refresh.compact(spark, table, "user_id", compacted, seq="event_id")
     return refresh.latest_rows(spark, compacted, "user_id")
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tabloom.functions import text as tx
 from tabloom.functions.fixed_values import STOP_WORDS
+from tabloom.operators.posts import preprocess_posts
 from tabloom.operators.vectors import cluster_keywords
 from tabloom.plans import Query
 from tabloom.session import load, spread
@@ -64,20 +65,6 @@ def topic_hints(spark, folder):
     return hints.groupBy("topic_hint").agg(F.count("*").alias("docs"))
 
 
-def preprocess_posts(posts, title: str, body: str, author: str, salt: str = ""):
-    """All derived post columns in one projection."""
-    merged = F.concat_ws(" ", F.coalesce(title, F.lit("")), F.coalesce(body, F.lit("")))
-    cleaned = posts.withColumn("clean_text", tx.clean_text(merged))
-    words = cleaned.withColumn("_words", tx.top_keywords(F.col("clean_text")))
-    return words.withColumns(
-        {
-            "author_masked": tx.mask_author(F.col(author), salt),
-            "keywords": F.concat_ws(",", "_words"),
-            "topic_hint": tx.topic_hint(F.col("_words")),
-        }
-    ).drop("_words")
-
-
 def preprocess_docs(spark, folder):
     posts = _posts(spark, folder).withColumn("title", F.concat(F.lit("Doc from "), "source"))
     return preprocess_posts(posts, "title", "post", "source").select(

@@ -71,14 +71,17 @@ def run_refresh(start: Callable[[], StreamingQuery], attempts: int = 3, report=p
                 raise
 
 
-def latest_rows(spark: SparkSession, table: str, key: str) -> DataFrame:
-    """Current state of a refreshed table: the newest batch's row per key."""
-    return last_per_key(spark.read.parquet(table), key, "batch_id").drop("batch_id")
+def latest_rows(spark: SparkSession, table: str, key: str, seq: str = "batch_id") -> DataFrame:
+    """Current state of a refreshed table: one row per key.
+
+    The newest batch wins, or the highest ``seq`` where batches may arrive out of order.
+    """
+    return last_per_key(spark.read.parquet(table), key, seq).drop("batch_id")
 
 
-def compact(spark: SparkSession, table: str, key: str, into: str) -> None:
+def compact(spark: SparkSession, table: str, key: str, into: str, seq: str = "batch_id") -> None:
     """Write the current state as the first batch of a new table folder."""
-    latest_rows(spark, table, key).write.mode("errorifexists").parquet(f"{into}/batch_id=-1")
+    latest_rows(spark, table, key, seq).write.mode("errorifexists").parquet(f"{into}/batch_id=-1")
 
 
 def start_first_seen(
