@@ -14,6 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA, CountVectorizerModel, ElementwiseProduct, Normalizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -91,32 +92,40 @@ def fit_terms(docs: DataFrame, text: str, max_features: int = 5000, min_docs: in
     return TermWeights([r["token"] for r in rows], weights)
 
 
+def _flat(vectors: pa.StructArray) -> tuple[pa.ListArray, pa.ListArray]:
+    """Index and value lists of an Arrow column of sparse vectors."""
+    fields = dict(zip((f.name for f in vectors.type), vectors.flatten()))
+    return fields["indices"], fields["values"]
+
+
 def sparse_parts(vector: Column) -> Column:
-    """``struct<indices, values>`` of a vector's entries that are not zero.
+    """``struct<indices, values>`` of a sparse vector column, without making it dense."""
 
-    No inner function refers to an outer one's variable: Spark cannot feed such
-    an expression to a Python function.
-    """
+    @F.arrow_udf("indices array<int>, values array<double>")
+    def parts(vectors: pa.Array) -> pa.Array:
+        return pa.StructArray.from_arrays(_flat(vectors), ["indices", "values"])
 
-    def entries(a: Column) -> Column:
-        marks = F.transform(a, lambda x, i: F.when(x != 0, i))
-        return F.struct(
-            F.filter(marks, lambda i: i.isNotNull()).alias("indices"),
-            F.filter(a, lambda x: x != 0).alias("values"),
-        )
+    return parts(vector)
 
-    return let(vector_to_array(vector), entries)
 
+def sparse_entries(vector: Column) -> Column:
+    """``array<struct<i, weight>>`` of a sparse vector column."""
 
-def _entries(vector: Column) -> Column:
-    return let(sparse_parts(vector), lambda p: F.arrays_zip(p["indices"], p["values"]))
+    @F.arrow_udf("array<struct<i: int, weight: double>>")
+    def entries(vectors: pa.Array) -> pa.Array:
+        indices, values = _flat(vectors)
+        pairs = pa.StructArray.from_arrays([indices.flatten(), values.flatten()], ["i", "weight"])
+        starts = indices.offsets.to_numpy()
+        return pa.ListArray.from_arrays(pa.array(starts - starts[0], pa.int32()), pairs)
+
+    return entries(vector)
 
 
 def weighted_terms(vectors: DataFrame, model: TermWeights, id_column: str, vector: str = "vector") -> DataFrame:
     """Vectors in long form: one row per document and term."""
     spark = vectors.sparkSession
     names = spark.createDataFrame(list(enumerate(model.terms)), "i int, term string")
-    entries = vectors.select(id_column, F.inline(_entries(F.col(vector)))).toDF(id_column, "i", "weight")
+    entries = vectors.select(id_column, F.inline(sparse_entries(F.col(vector))))
     # The vocabulary has at most ``max_features`` rows.
     return entries.join(F.broadcast(names), "i").select(id_column, "term", "weight")
 
@@ -194,21 +203,27 @@ def nearest_dense(centroids: np.ndarray):
 
 
 def nearest_sparse(centroids: np.ndarray):
-    """As :func:`nearest_dense`, for ``struct<indices, values>`` columns."""
+    """As :func:`nearest_dense`, for sparse vector columns.
+
+    Only the entries present are multiplied, however many features there are.
+    """
     by_term = np.ascontiguousarray(centroids.T)
     square = (centroids * centroids).sum(axis=1)
 
-    @F.pandas_udf(_NEAREST)
-    def assign(parts: pd.DataFrame) -> pd.DataFrame:
-        dots = np.zeros((len(parts), len(square)))
-        own = np.zeros(len(parts))
-        for row, (idx, val) in enumerate(zip(parts["indices"], parts["values"])):
-            dots[row] = val @ by_term[idx]
-            own[row] = val @ val
-        gaps = np.maximum(own[:, None] - 2 * dots + square, 0)
-        best = np.argmin(gaps, axis=1)
-        return pd.DataFrame(
-            {"cluster_id": best.astype(np.int32), "distance": np.sqrt(gaps[np.arange(len(parts)), best])}
+    @F.arrow_udf(_NEAREST)
+    def assign(vectors: pa.Array) -> pa.Array:
+        indices, values = _flat(vectors)
+        n = len(vectors)
+        row = np.repeat(np.arange(n), np.diff(indices.offsets.to_numpy()))
+        index, value = indices.flatten().to_numpy(), values.flatten().to_numpy()
+        own = np.bincount(row, value * value, n)
+        gaps = np.empty((n, len(square)))
+        for j in range(len(square)):
+            gaps[:, j] = own - 2 * np.bincount(row, by_term[index, j] * value, n) + square[j]
+        best = gaps.argmin(axis=1)
+        distance = np.sqrt(np.maximum(gaps[np.arange(n), best], 0))
+        return pa.StructArray.from_arrays(
+            [pa.array(best.astype(np.int32)), pa.array(distance)], ["cluster_id", "distance"]
         )
 
     return assign
@@ -226,11 +241,10 @@ def cluster_texts(
 
 def assign_texts(docs: DataFrame, text: str, model: TermWeights, centroids: np.ndarray) -> DataFrame:
     """Adds ``cluster_id`` and ``centroid_distance`` with a fitted model."""
-    parts = model.vectorise(docs, text).withColumn("_parts", sparse_parts(F.col("vector"))).drop("vector")
-    hit = parts.withColumn("_hit", nearest_sparse(centroids)(F.col("_parts")))
+    hit = model.vectorise(docs, text, "_vector").withColumn("_hit", nearest_sparse(centroids)(F.col("_vector")))
     return hit.withColumns(
         {"cluster_id": F.col("_hit.cluster_id"), "centroid_distance": F.col("_hit.distance")}
-    ).drop("_hit", "_parts")
+    ).drop("_hit", "_vector")
 
 
 def cluster_keywords(rows: DataFrame, cluster: str, keywords: str, order: list[Column], n: int = 10) -> DataFrame:
