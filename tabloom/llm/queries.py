@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabloom.llm import classifier, decontaminate, mixing, near_dup, resharding
+from tabloom.llm import classifier, decontaminate, html_text, line_dedup, mixing, near_dup, quality_rules, resharding, secret_scan, token_counts
 from tabloom.session import load
 
 OLD_SHARDS, NEW_SHARDS = 32, 40
@@ -49,11 +49,38 @@ def grouped(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def tokens(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_counts.token_counts(load(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def site_lines(spark: SparkSession, folder: str) -> DataFrame:
+    return line_dedup.drop_site_lines(load(spark, folder, "documents"))
+
+
+def banded(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_rules.compression_rules(load(spark, folder, "documents"))
+
+
+def page_text(spark: SparkSession, folder: str) -> DataFrame:
+    return html_text.main_text(load(spark, folder, "pages"))
+
+
+def secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_scan.scan_secrets(load(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_cgk_decontamination": leaks,
     "op2_min_cost_flow_reshard": resharded,
     "op3_pivotal_mix": mixed,
+    "op4_transducer_tokens": tokens,
+    "op5_site_line_dedup": site_lines,
+    "op6_compression_bands": banded,
+    "op7_host_suffix_html": page_text,
+    "op8_zstd_novelty_secrets": secrets,
     "op9_nb_svm_quality": scored,
     "op10_superminhash_dedup": grouped,
 }
-SQL: dict[str, str] = {}
+SQL = {"op5_site_line_dedup": line_dedup.SQL}
