@@ -41,7 +41,7 @@ def drop_site_lines(pages: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 SQL = rf"""
 with pages as (select doc_id, source, string_split(coalesce(text, ''), chr(10)) as lines from documents),
-seen as (select source, unnest(list_distinct(list_filter(lines, x -> regexp_matches(x, '[^\x20\x09-\x0D]')))) as line from pages),
+seen as (select source, unnest(list_distinct(list_filter(lines, lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')))) as line from pages),
 totals as (select source, count(*) as n from pages group by source),
 dropped as (
   select s.source, list(s.line) as lines from (select source, line, count(*) as n from seen group by source, line) s
@@ -49,7 +49,7 @@ dropped as (
   where s.n >= {LEAST} and s.n > {RATIO} * t.n group by s.source),
 kept as (
   select p.doc_id, p.source, p.lines,
-         list_filter(p.lines, x -> not list_contains(coalesce(d.lines, []), x)) as rest
+         list_filter(p.lines, lambda x: not list_contains(coalesce(d.lines, []), x)) as rest
   from pages p left join dropped d on p.source is not distinct from d.source)
 select doc_id, source, len(lines) as n_lines, len(lines) - len(rest) as n_dropped, array_to_string(rest, chr(10)) as text from kept
 """
