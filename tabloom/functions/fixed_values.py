@@ -6,13 +6,12 @@ only a line feed ends a line"; ``s`` lets a dot cross lines.
 """
 
 # Words that never become keywords.
-STOP_WORDS = (
-    "a an and are as at be been but by for from "
-    "has have he her his i if in is it its just "
-    "me my not of on or our so that the their them "
-    "they this to too was we were what when which who "
-    "will with you your"
-).split()
+STOP_WORDS = [
+    "a", "an", "and", "are", "as", "at", "be", "been", "but", "by", "for", "from", "has", "have",
+    "he", "her", "his", "i", "if", "in", "is", "it", "its", "just", "me", "my", "not", "of", "on",
+    "or", "our", "so", "that", "the", "their", "them", "they", "this", "to", "too", "was", "we",
+    "were", "what", "when", "which", "who", "will", "with", "you", "your",
+]
 
 # Author names that stand for "no author".
 NO_AUTHOR = ["[deleted]", "None"]
@@ -21,9 +20,6 @@ DELETED = "[deleted]"
 # Close-price column names, in order of preference.
 CLOSE_NAMES = ["Close", "Adj Close", "close", "adj_close"]
 
-# Columns whose values are counted in a catalogue profile.
-PROFILED_COLUMNS = ["Title", "BodyPart", "Equipment", "Type", "Difficulty", "Desc"]
-
 # County names accepted in documents.
 COUNTIES = [
     "mckenzie", "williams", "mountrail", "dunn", "burke", "divide",

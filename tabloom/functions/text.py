@@ -43,7 +43,13 @@ def decode_entities(text: Column) -> Column:
 
 
 _HIDDEN_BLOCKS = r"(?is)<!--.*?-->|<(script|style)\b.*?</\1\s*>"
-_TAGS = r"<[a-zA-Z/!?][^>]*>"
+# A quoted attribute value may hold a ``>``; a tag with an odd quote ends at the first one.
+_TAGS = r"<[a-zA-Z/!?](?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>|<[a-zA-Z/!?][^>]*>"
+
+
+def visible_text(text: Column) -> Column:
+    """Markup gone and white space collapsed; entities stay as they are, so escaped markup stays text."""
+    return F.btrim(F.regexp_replace(strip_markup(text), r"\s+", " "))
 
 
 def strip_markup(text: Column) -> Column:

@@ -24,16 +24,16 @@ def score_number(text: Column) -> Column:
     """``1.2k points`` -> 1200, ``37 points`` -> 37, anything else -> 0."""
     low = F.lower(text)
     thousands = capture(low, r"([\d\.]+)\s*k").try_cast("double") * 1000
-    plain = capture(low, r"(\d+)").try_cast("int")
+    plain = capture(low, r"(\d+)").try_cast("bigint")
     return F.when(
-        low.contains("point"), F.coalesce(thousands.cast("int"), plain, F.lit(0))
-    ).otherwise(0)
+        low.contains("point"), F.coalesce(thousands.try_cast("bigint"), plain, F.lit(0).cast("bigint"))
+    ).otherwise(F.lit(0).cast("bigint"))
 
 
 def comment_number(text: Column) -> Column:
     """``1,234 comments`` -> 1234, no number -> 0."""
     digits = capture(F.replace(text, F.lit(","), F.lit("")), r"(\d+)")
-    return F.coalesce(digits.try_cast("int"), F.lit(0))
+    return F.coalesce(digits.try_cast("bigint"), F.lit(0).cast("bigint"))
 
 
 def absolute_url(url: Column, base: str) -> Column:

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabloom.functions.text import or_default
-from tabloom.session import broadcast_if_small
 
 
 def with_defaults(rows: DataFrame, words: list[str], numbers: list[str]) -> DataFrame:
@@ -26,31 +25,20 @@ def nested_documents(
     order: list[str],
     columns: list[str],
     name: str,
-    max_children: int = 10_000,
+    part: str | None = None,
 ) -> DataFrame:
-    """Parents with an array of their children, ``[]`` where there are none.
+    """Parents with an array of their children, ``[]`` where there are none: one document per parent.
 
-    A parent with more than ``max_children`` children becomes several
-    documents (``part`` 0, 1, …) that together hold all of them, so a parent
-    that owns a third of the children is spread over many tasks.
+    A document is one value, so a parent's children meet in one task. Where that is too much, ``part``
+    names a column of the children (a year, say): there is then one document per parent and part.
     """
-    large = (
-        children.groupBy(key)
-        .agg(F.count("*").alias("_n"))
-        .where(F.col("_n") > max_children)
-        .select(key, F.ceil(F.col("_n") / max_children).alias("_parts"))
-    )
-    spread = children.join(broadcast_if_small(large), key, "left").withColumn(
-        "part", F.coalesce(F.pmod(F.xxhash64(*order), "_parts"), F.lit(0)).cast("bigint")
-    )
+    keys = [key, part] if part else [key]
     item = F.struct(*(F.col(c).alias(f"_o{i}") for i, c in enumerate(order)), F.struct(*columns).alias("item"))
-    grouped = spread.groupBy(key, "part").agg(
+    grouped = children.groupBy(*keys).agg(
         F.transform(F.sort_array(F.collect_list(item)), lambda x: x["item"]).alias(name)
     )
     empty = F.array().cast(grouped.schema[name].dataType)
-    return parents.join(grouped, key, "left").withColumns(
-        {"part": F.coalesce("part", F.lit(0)), name: F.coalesce(name, empty)}
-    )
+    return parents.join(grouped, key, "left").withColumn(name, F.coalesce(name, empty))
 
 
 def write_csv(rows: DataFrame, path: str) -> None:

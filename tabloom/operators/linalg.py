@@ -35,11 +35,11 @@ def multiply(a: DataFrame, b: DataFrame) -> DataFrame:
 
 
 def _pack(cells: DataFrame, size: int) -> DataFrame:
-    """Dense ``size`` x ``size`` blocks, zero-padded at the edges."""
+    """Dense ``size`` x ``size`` blocks, zero-padded at the edges; cells that come more than once are summed."""
 
     def pack(key: tuple, part: pa.Table) -> pa.Table:
         block = np.zeros((size, size))
-        block[part.column("r").to_numpy(), part.column("c").to_numpy()] = part.column("v").to_numpy()
+        np.add.at(block, (part.column("r").to_numpy(), part.column("c").to_numpy()), part.column("v").to_numpy())
         return pa.table(
             {"bi": [key[0].as_py()], "bj": [key[1].as_py()], "data": pa.array([block.tobytes()], pa.binary())}
         )

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tabloom.functions import fields, values
 from tabloom.operators import export, profile
 from tabloom.plans import Query
-from tabloom.session import load, scratch_dir, spread
+from tabloom.session import load, scratch_dir
 
 _MINUTE = "(10 + c_nationkey)"
 _SECOND = "(c_custkey % 60 + 0.25)"
@@ -41,7 +41,7 @@ def _documents(spark, folder):
         f"WHEN c_nationkey < 19 THEN {_FORM} ELSE {_APPROVAL} END"
     )
     name = "CASE WHEN c_mktsegment = 'BUILDING' THEN 'scan.pdf' ELSE concat('W', c_custkey, '.pdf') END"
-    return spread(load(spark, folder, "customer")).select(
+    return load(spark, folder, "customer").select(
         "c_custkey", F.expr(text).alias("text"), F.expr(name).alias("filename")
     )
 
@@ -62,10 +62,13 @@ def extraction_counts(spark, folder):
 
 
 def cleaned_wells(spark, folder):
-    wells = fields.extract_wells(_documents(spark, folder)).withColumn("latitude", F.col("latitude").cast("decimal(10,6)"))
-    columns = ["api_number", "well_name", "operator", "county", "field_name"]
+    wells = fields.extract_wells(_documents(spark, folder)).withColumns({
+        "well_status": F.expr("concat('<b>Act</b>ive é  ', c_custkey % 3)"), "well_type": F.lit(None).cast("string"),
+        "closest_city": F.expr("concat('City ', c_custkey)"), "oil_produced": F.lit(""), "gas_produced": F.expr("concat(c_custkey, ' MCF ')"),
+    })
+    columns = [*fields.WELL_FIELDS, "well_status", "well_type", "closest_city", "oil_produced", "gas_produced"]
     return fields.clean_wells(wells, columns).select(
-        "c_custkey", *columns, F.col("latitude").cast("double").alias("latitude")
+        "c_custkey", *columns, F.col("latitude").cast("double").alias("latitude"), F.col("longitude").cast("double").alias("longitude")
     )
 
 
@@ -80,7 +83,7 @@ def coordinates(spark, folder):
     text = """CASE WHEN o_orderstatus = 'F' THEN concat('Lat N 47° ', month(o_orderdate), ''' ', day(o_orderdate), '.5" W 101 ° ', day(o_orderdate), '’ ', month(o_orderdate), '”')
       WHEN o_orderstatus = 'O' THEN concat('bad 99° 00'' 00" N, 46º ', month(o_orderdate), '′ ', day(o_orderdate), '.5″ N 105˚', day(o_orderdate), '′', month(o_orderdate), '″w')
       ELSE concat('Latitude 12.3456 Lat: 48.', 1000 + day(o_orderdate), ' Lon=-104.', 1000 + month(o_orderdate)) END"""
-    rows = spread(load(spark, folder, "orders")).select("o_orderkey", F.expr(text).alias("text"))
+    rows = load(spark, folder, "orders").select("o_orderkey", F.expr(text).alias("text"))
     found = rows.select("o_orderkey", values.coordinates(F.col("text")).alias("c"))
     return found.select(
         "o_orderkey", F.round("c.latitude", 6).alias("latitude"), F.round("c.longitude", 6).alias("longitude")
@@ -99,7 +102,7 @@ def nested_export(spark, folder):
         export.with_defaults(parents, words=["segment"], numbers=[]),
         children, "c_custkey", ["o_orderkey"], ["status", "stages"], "treatments",
     )
-    return documents.select("c_custkey", "segment", "part", F.to_json("treatments").alias("treatments"))
+    return documents.select("c_custkey", "segment", F.to_json("treatments").alias("treatments"))
 
 
 def export_documents(spark, folder):
@@ -115,7 +118,7 @@ def export_documents(spark, folder):
     nested = export.nested_documents(
         wells, treatments, "c_custkey", ["c_custkey"], ["formation", "top_ft"], "stimulation_data"
     )
-    return export.json_text(nested.drop("part"))
+    return export.json_text(nested)
 
 
 _KIND = """
@@ -156,9 +159,11 @@ FROM wells JOIN sized USING (c_custkey) LEFT JOIN stims USING (c_custkey)""",
     ),
     "cleaned_wells": Query(
         cleaned_wells,
-        f"""WITH {_KIND} SELECT c_custkey, coalesce(api_number, 'N/A') AS api_number, coalesce(well_name, 'N/A') AS well_name,
-  coalesce(operator, 'N/A') AS operator, coalesce(county, 'N/A') AS county, coalesce(field_name, 'N/A') AS field_name,
-  coalesce(latitude, 0) AS latitude FROM wells""",
+        f"""WITH {_KIND} SELECT c_custkey, 'Active ' || c_custkey % 3 AS well_status, 'N/A' AS well_type,
+  'City ' || c_custkey AS closest_city, 'N/A' AS oil_produced, c_custkey || ' MCF' AS gas_produced, coalesce(api_number, 'N/A') AS api_number,
+  coalesce(well_name, 'N/A') AS well_name, coalesce(operator, 'N/A') AS operator, coalesce(county, 'N/A') AS county,
+  coalesce(field_name, 'N/A') AS field_name, coalesce(section, 'N/A') AS section, coalesce(township, 'N/A') AS township,
+  coalesce(range_val, 'N/A') AS range_val, coalesce(latitude, 0) AS latitude, coalesce(longitude, 0) AS longitude FROM wells""",
     ),
     "cleaned_treatments": Query(cleaned_treatments, f"WITH {_KIND} SELECT * FROM stims"),
     "coordinates": Query(
@@ -172,7 +177,7 @@ FROM t""",
     ),
     "nested_export": Query(
         nested_export,
-        """SELECT c_custkey, coalesce(nullif(c_mktsegment, 'BUILDING'), 'N/A') AS segment, 0::BIGINT AS part,
+        """SELECT c_custkey, coalesce(nullif(c_mktsegment, 'BUILDING'), 'N/A') AS segment,
   coalesce('[' || string_agg('{"status":"' || CASE o_orderstatus WHEN 'P' THEN 'N/A' ELSE o_orderstatus END || '","stages":"' ||
     CASE o_orderpriority WHEN '5-LOW' THEN '0' ELSE o_orderpriority END || '"}', ',' ORDER BY o_orderkey) || ']', '[]') AS treatments
 FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY ALL""",

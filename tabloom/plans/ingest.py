@@ -9,7 +9,7 @@ from tabloom.functions import values
 from tabloom.functions.fixed_values import FORUM_BASE, FORUM_JSON_BASE
 from tabloom.operators import export, ranking
 from tabloom.plans import Query
-from tabloom.session import load, scratch_dir, spread
+from tabloom.session import load, scratch_dir
 from tabloom.sources import files, markup, payloads
 
 NOW = "2025-01-01 00:00:00"
@@ -65,13 +65,13 @@ def summary_lookup(spark, folder):
 def author_lines(spark, folder):
     """Words of each conversation turn as author names."""
     rows = load(spark, folder, "conversations")
-    names = F.transform(F.slice(F.split("text", " "), 1, 5), lambda w: F.struct(w.alias("name")))
+    names = F.transform(F.split("text", " "), lambda w: F.struct(w.alias("name")))
     return rows.select("conv_id", "turn", values.author_line(names).alias("authors"))
 
 
 def _sightings(spark, folder):
     events = load(spark, folder, "events").select("user_id", "event_id", "event_type", "value")
-    return [events.where(F.col("event_type") == kind) for kind in ("purchase", "view", "click")]
+    return [events.where(F.col("event_type") == kind) for kind in ("purchase", "view", "click", "signup", "error")]
 
 
 def listing_union_dedup(spark, folder):
@@ -104,7 +104,7 @@ def source_fallback(spark, folder):
 def drift_union(spark, folder):
     """Rows with typed scores and rows with score text in one table."""
     typed = load(spark, folder, "orders").select(
-        F.col("o_orderkey").alias("post_id"), F.col("o_custkey").cast("int").alias("score"),
+        F.col("o_orderkey").alias("post_id"), F.col("o_custkey").cast("bigint").alias("score"),
         F.col("o_orderstatus").alias("selftext"),
     )
     texts = load(spark, folder, "lineitem").select(
@@ -125,9 +125,10 @@ def score_texts(spark, folder):
         F.expr("""CASE WHEN p_size < 10 THEN concat(p_size, '.', p_size % 10, 'k points')
                        WHEN p_size < 20 THEN concat(p_size, ',', lpad(p_size, 3, '0'), ' Points')
                        WHEN p_size < 30 THEN concat(p_size, ' point')
-                       WHEN p_size < 40 THEN concat(p_size, ' votes') END""").alias("score"),
+                       WHEN p_size < 40 THEN concat(p_size, ' votes')
+                       WHEN p_size < 45 THEN '9999999999k points' ELSE '99999999999999999999 points' END""").alias("score"),
         F.expr("""CASE WHEN p_size < 25 THEN concat(p_size, ',', lpad(p_size, 3, '0'), ' comments')
-                       WHEN p_size < 45 THEN 'comment' END""").alias("comments"),
+                       WHEN p_size < 45 THEN 'comment' ELSE '3,000,000,000 comments' END""").alias("comments"),
     )
     return parts.select(
         "p_partkey", F.coalesce(values.score_number(F.col("score")), F.lit(0)).alias("score"),
@@ -168,7 +169,7 @@ def _forum_pages(spark, folder):
  '<a class="comments" href="http://e.example/c">comment</a></div>',
  '<div class="thing self" data-fullname="t3_s', c_custkey, '" data-timestamp="1000"><div class="score">3</div>',
  '<a class="comments" href="https://h/comments/s', c_custkey, '">comment</a></div></div></body></html>')"""
-    return spread(load(spark, folder, "customer")).select("c_custkey", F.expr(html).alias("html"))
+    return load(spark, folder, "customer").select("c_custkey", F.expr(html).alias("html"))
 
 
 def forum_posts(spark, folder):
@@ -195,13 +196,13 @@ def html_titles(spark, folder):
 
 def _well_pages(spark, folder):
     """Table pages for some customers, running text for others, hidden values in both."""
-    html = """CASE WHEN c_nationkey < 12 THEN concat('<html><table><tr><th>Well Status</th><td> ', c_mktsegment,
-  '</td></tr><tr><td>Note</td></tr><TR class="r"><td><b>Well Type</b></td><td>Oil &amp; Gas<br></td></tr>',
+    html = """CASE WHEN c_nationkey < 12 THEN concat('<html><table><tr><th>Well Status</th><td> <b>&lt;5</b><i title="a>b">', c_mktsegment,
+  '</i></td></tr><tr><td>Note</td></tr><TR class="r"><td><b>Well Type</b></td><td>Oil &amp; Gas<br></td></tr>',
   '<tr><td>Closest City</td><td>Members Only</td></tr>',
   '<tr><td>Total Oil Prod</td><td>', c_custkey, ',000</td></tr></table></html>')
  ELSE concat('<html><body><p>Well Status</p><div>', c_mktsegment, '</div><p>Well Type <i>Gas</i></p> Township 150 ',
   'Closest City ', c_name, ' Latitude 48 <span>Total Gas Prod</span> <b>', c_custkey, ',5</b></body></html>') END"""
-    return spread(load(spark, folder, "customer")).select("c_custkey", F.expr(html).alias("html"))
+    return load(spark, folder, "customer").select("c_custkey", F.expr(html).alias("html"))
 
 
 def kv_page_fields(spark, folder):
@@ -284,7 +285,8 @@ def json_round_trip(spark, folder):
 
 _TAIL = f"'{NOW}' AS"
 _FORUM = "CAST(c_custkey AS VARCHAR)"
-_SCORES = """CASE WHEN p_size < 10 THEN p_size * 1000 + p_size * 100 WHEN p_size < 30 THEN p_size ELSE 0 END"""
+_SCORES = """CASE WHEN p_size < 10 THEN p_size * 1000::BIGINT + p_size * 100 WHEN p_size < 30 THEN p_size
+  WHEN p_size BETWEEN 40 AND 44 THEN 9999999999000 ELSE 0 END"""
 
 QUERIES = {
     "listing_flatten": Query(
@@ -319,15 +321,14 @@ FROM supplier, generate_series(1, 5) AS g(i) WHERE i <> 3""",
     ),
     "listing_union_dedup": Query(
         listing_union_dedup,
-        """SELECT user_id, event_id, event_type, value FROM events WHERE event_type IN ('purchase', 'view', 'click')
+        """SELECT user_id, event_id, event_type, value FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY
-  CASE event_type WHEN 'purchase' THEN 0 WHEN 'view' THEN 1 ELSE 2 END, event_id) = 1""",
+  list_position(['purchase', 'view', 'click', 'signup', 'error'], event_type), event_id) = 1""",
     ),
     "listing_union_target": Query(
         listing_union_target,
         """SELECT user_id, event_id, event_type, value FROM (
-  SELECT *, CASE event_type WHEN 'purchase' THEN 0 WHEN 'view' THEN 1 ELSE 2 END AS part
-  FROM events WHERE event_type IN ('purchase', 'view', 'click')
+  SELECT *, list_position(['purchase', 'view', 'click', 'signup', 'error'], event_type) AS part FROM events
   QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY part, event_id) = 1)
 ORDER BY part, event_id LIMIT 60""",
     ),
@@ -345,13 +346,13 @@ SELECT * FROM t QUALIFY priority = min(priority) OVER (PARTITION BY o_custkey)""
     ),
     "drift_union": Query(
         drift_union,
-        """SELECT o_orderkey AS post_id, o_custkey::INTEGER AS score, o_orderstatus AS selftext, NULL::INTEGER AS num_comments
-FROM orders UNION ALL SELECT l_orderkey, l_quantity::INTEGER, NULL, l_linenumber FROM lineitem""",
+        """SELECT o_orderkey AS post_id, o_custkey::BIGINT AS score, o_orderstatus AS selftext, NULL::BIGINT AS num_comments
+FROM orders UNION ALL SELECT l_orderkey, l_quantity::BIGINT, NULL, l_linenumber::BIGINT FROM lineitem""",
     ),
     "score_texts": Query(
         score_texts,
         f"""SELECT p_partkey, {_SCORES} AS score,
-  CASE WHEN p_size < 25 THEN p_size * 1000 + p_size ELSE 0 END AS comments FROM part""",
+  CASE WHEN p_size < 25 THEN p_size * 1000::BIGINT + p_size WHEN p_size < 45 THEN 0 ELSE 3000000000 END AS comments FROM part""",
     ),
     "url_forms": Query(
         url_forms,
@@ -366,8 +367,8 @@ FROM supplier""",
         forum_posts,
         f"""SELECT c_custkey, 1 AS position, {_FORUM} AS post_id, 't3_' || {_FORUM} AS fullname,
   1700000000 + c_custkey AS created_utc, c_mktsegment || ' &more' AS title,
-  'Body of ' || {_FORUM} || ' second <line>' AS selftext, c_name AS author, c_nationkey AS score,
-  1000 + c_nationkey AS num_comments, 'https://old.reddit.com/r/x/comments/' || {_FORUM} || '/t/' AS url,
+  'Body of ' || {_FORUM} || ' second <line>' AS selftext, c_name AS author, c_nationkey::BIGINT AS score,
+  1000::BIGINT + c_nationkey AS num_comments, 'https://old.reddit.com/r/x/comments/' || {_FORUM} || '/t/' AS url,
   'https://old.reddit.com/r/x/comments/' || {_FORUM} || '/t/' AS permalink, 1 AS is_self, 0 AS over_18, 0 AS stickied
 FROM customer
 UNION ALL
@@ -400,7 +401,7 @@ FROM flat""",
     ),
     "kv_page_fields": Query(
         kv_page_fields,
-        """SELECT c_custkey, c_mktsegment AS well_status,
+        """SELECT c_custkey, CASE WHEN c_nationkey < 12 THEN '<5 ' ELSE '' END || c_mktsegment AS well_status,
   CASE WHEN c_nationkey < 12 THEN 'Oil & Gas' ELSE 'Gas' END AS well_type,
   CASE WHEN c_nationkey < 12 THEN NULL ELSE c_name END AS closest_city,
   CASE WHEN c_nationkey < 12 THEN c_custkey || ',000' END AS oil_produced,
@@ -415,9 +416,9 @@ FROM flat""",
     ),
     "page_assembly": Query(
         page_assembly,
-        """SELECT conv_id, turn // 1000 AS part, string_agg(text, chr(10) ORDER BY turn) AS text,
+        """SELECT conv_id, string_agg(text, chr(10) ORDER BY turn) AS text,
   length(string_agg(text, chr(10) ORDER BY turn)) AS text_length
-FROM conversations WHERE text <> '' GROUP BY 1, 2""",
+FROM conversations WHERE text <> '' GROUP BY 1""",
     ),
     "engaged_posts": Query(
         engaged_posts,

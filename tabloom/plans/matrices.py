@@ -32,7 +32,11 @@ def coo_matmul(spark, folder):
 
 
 def block_matmul(spark, folder):
-    return linalg.block_multiply(_left(spark, folder), _right(spark, folder), size=128)
+    # one cell per order line: a supplier and part come many times and add up
+    lines = load(spark, folder, "lineitem").select(
+        F.col("l_suppkey").alias("row"), F.col("l_partkey").alias("col"), F.col("l_quantity").alias("v")
+    )
+    return linalg.block_multiply(lines, _right(spark, folder), size=128)
 
 
 def _side(spark, folder) -> int:

@@ -15,14 +15,14 @@ from tabloom.functions import values
 from tabloom.operators import merge, ranking, vectors
 from tabloom.operators.posts import cluster_stored_posts, preprocess_posts, stored_defaults
 from tabloom.plans import Query
-from tabloom.session import load, scratch_dir, spread
+from tabloom.session import load, scratch_dir
 
 GROUPS = 16
 _TEXT_FEATURES = 5000
 
 
 def _embeddings(spark, folder):
-    return spread(load(spark, folder, "embeddings")).select(
+    return load(spark, folder, "embeddings").select(
         "vec_id", F.pmod("label", F.lit(GROUPS)).alias("label"), F.col("embedding").cast("array<double>").alias("vector")
     )
 
@@ -39,9 +39,9 @@ def _assigned(rows, centroids: np.ndarray):
 
 
 def group_means(spark, folder):
-    found = _centroids(_embeddings(spark, folder))
-    rows = [(g, i, float(v)) for g, c in enumerate(found) if not np.isnan(c).any() for i, v in enumerate(c)]
-    return spark.createDataFrame(rows, "label int, i int, mean double").withColumn("mean", F.round("mean", 6))
+    """Mean of each coordinate in each label group."""
+    cells = _embeddings(spark, folder).select(F.col("label").cast("int").alias("label"), F.posexplode("vector").alias("i", "v"))
+    return cells.groupBy("label", "i").agg(F.round(F.avg("v"), 6).alias("mean"))
 
 
 def nearest_centroid(spark, folder):
@@ -117,21 +117,21 @@ def cosine_topk_blocks(spark, folder):
 
 
 def tfidf_terms(spark, folder):
-    docs = spread(load(spark, folder, "documents")).select("doc_id", "text")
+    docs = load(spark, folder, "documents").select("doc_id", "text")
     model = vectors.fit_terms(docs, "text", _TEXT_FEATURES)
     long = vectors.weighted_terms(model.vectorise(docs, "text"), model, "doc_id")
     return long.withColumn("weight", F.round("weight", 6))
 
 
 def term_statistics(spark, folder):
-    docs = spread(load(spark, folder, "documents"))
+    docs = load(spark, folder, "documents")
     return vectors.term_statistics(docs, "text").where(F.col("docs") >= 2)
 
 
 def kmeans_sizes(spark, folder):
     """K-means on embeddings: members, mean distance and share of nearest assignments."""
     rows = _embeddings(spark, folder).withColumn("features", array_to_vector("vector"))
-    centroids = vectors.fit_centroids(rows, "features", k=10, restarts=3)
+    centroids = vectors.fit_centroids(rows, "features", k=10, restarts=10)
     return _assigned(rows, centroids).groupBy("cluster_id").agg(
         F.count("*").alias("members"), F.round(F.avg("centroid_distance"), 5).alias("mean_distance")
     )
@@ -145,9 +145,9 @@ def _stored(spark, rows, purpose: str):
 
 
 def _clustered_texts(spark, folder):
-    docs = spread(load(spark, folder, "documents")).select("doc_id", tx.clean_text(F.col("text")).alias("clean_text"))
+    docs = load(spark, folder, "documents").select("doc_id", tx.clean_text(F.col("text")).alias("clean_text"))
     posts = _stored(spark, docs, "posts")
-    return vectors.cluster_texts(posts, "clean_text", k=6, max_features=1000, restarts=2)
+    return vectors.cluster_texts(posts, "clean_text", k=6, max_features=_TEXT_FEATURES, restarts=10)
 
 
 def text_clusters(spark, folder):
@@ -191,7 +191,7 @@ def _stored_posts(spark, folder):
 
 def post_clusters(spark, folder):
     """From raw rows to stored, clustered posts: the five posts nearest to each centroid."""
-    clustered, _ = cluster_stored_posts(_stored_posts(spark, folder), k=6, restarts=2)
+    clustered, _ = cluster_stored_posts(_stored_posts(spark, folder), k=6, restarts=10)
     rows = clustered.withColumn("centroid_distance", F.round("centroid_distance", 9))
     near = vectors.near_centroid(rows, [F.desc("created_utc"), F.asc("post_id")], 5)
     return near.select(

@@ -57,13 +57,12 @@ def stream_dedup(spark, folder):
 
 
 def stream_dedup_watermark(spark, folder):
-    """First-seen events with state that is dropped after an hour."""
-    table, checkpoint = scratch_dir(spark, "seen"), scratch_dir(spark, "seen-progress")
-    stream = _events(spark, folder).select("event_id", F.col("ts").cast("timestamp").alias("ts"))
-    refresh.run_refresh(
-        lambda: refresh.start_first_seen(stream, table, checkpoint, ["event_id"], event_time="ts")
-    )
-    return spark.read.parquet(table).select("event_id")
+    """First-seen users over several batches, whose events come back late and in no order of time."""
+    landing, table, checkpoint = (scratch_dir(spark, p) for p in ("landing", "seen", "seen-progress"))
+    load(spark, folder, "events").repartitionByRange(8, F.xxhash64("event_id")).write.parquet(landing)
+    stream = _events(spark, folder, landing, 3).select("user_id")
+    refresh.run_refresh(lambda: refresh.start_first_stored(stream, table, checkpoint, ["user_id"]))
+    return spark.read.parquet(table).select("user_id")
 
 
 _LATEST = """SELECT user_id, max(event_id) AS event_id, arg_max(event_type, event_id) AS event_type,
@@ -73,5 +72,5 @@ QUERIES = {
     "stream_refresh": Query(stream_refresh, _LATEST),
     "stream_refresh_batches": Query(stream_refresh_batches, _LATEST),
     "stream_dedup": Query(stream_dedup, "SELECT DISTINCT user_id, event_type FROM events"),
-    "stream_dedup_watermark": Query(stream_dedup_watermark, "SELECT DISTINCT event_id FROM events"),
+    "stream_dedup_watermark": Query(stream_dedup_watermark, "SELECT DISTINCT user_id FROM events"),
 }

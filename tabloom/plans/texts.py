@@ -9,7 +9,7 @@ from tabloom.functions.fixed_values import STOP_WORDS
 from tabloom.operators.posts import preprocess_posts
 from tabloom.operators.vectors import cluster_keywords
 from tabloom.plans import Query
-from tabloom.session import load, spread
+from tabloom.session import load
 
 # The same expression builds the marked-up post in Spark and in the SQL.
 _POST = """concat('<p class="a">', text, '</p> see http://x.example/', CAST(doc_id AS VARCHAR(20)),
@@ -18,7 +18,7 @@ _POST = """concat('<p class="a">', text, '</p> see http://x.example/', CAST(doc_
 
 
 def _posts(spark, folder):
-    return spread(load(spark, folder, "documents")).select("doc_id", "source", F.expr(_POST).alias("post"))
+    return load(spark, folder, "documents").select("doc_id", "source", F.expr(_POST).alias("post"))
 
 
 def clean_documents(spark, folder):
@@ -26,7 +26,7 @@ def clean_documents(spark, folder):
 
 
 def ascii_clean(spark, folder):
-    return spread(load(spark, folder, "documents")).select(
+    return load(spark, folder, "documents").select(
         "doc_id", tx.ascii_text(F.expr("concat('<i>', text, '</i>')")).alias("value"),
         tx.ascii_text(F.expr("CASE WHEN doc_id % 2 = 0 THEN concat('<b>', chr(233), '</b>') END")).alias("blank"),
     )
@@ -49,19 +49,19 @@ def mask_customers(spark, folder):
 
 def doc_keywords(spark, folder):
     words = tx.top_keywords(tx.clean_text(F.col("text")))
-    return spread(load(spark, folder, "documents")).select("doc_id", F.concat_ws(",", words).alias("keywords"))
+    return load(spark, folder, "documents").select("doc_id", F.concat_ws(",", words).alias("keywords"))
 
 
 def doc_token_counts(spark, folder):
     counts = tx.token_counts(tx.keyword_tokens(tx.clean_text(F.col("text"))))
-    return spread(load(spark, folder, "documents")).select("doc_id", F.inline(counts)).select(
+    return load(spark, folder, "documents").select("doc_id", F.inline(counts)).select(
         "doc_id", "token", F.col("n").cast("bigint").alias("n"), F.col("first_pos").cast("bigint").alias("first_pos")
     )
 
 
 def topic_hints(spark, folder):
     words = tx.top_keywords(tx.clean_text(F.col("text")))
-    hints = spread(load(spark, folder, "documents")).select(tx.topic_hint(words).alias("topic_hint"))
+    hints = load(spark, folder, "documents").select(tx.topic_hint(words).alias("topic_hint"))
     return hints.groupBy("topic_hint").agg(F.count("*").alias("docs"))
 
 
@@ -73,7 +73,7 @@ def preprocess_docs(spark, folder):
 
 
 def source_keywords(spark, folder):
-    docs = spread(load(spark, folder, "documents")).select(
+    docs = load(spark, folder, "documents").select(
         "doc_id", "source", tx.top_keywords(tx.clean_text(F.col("text"))).alias("keywords")
     )
     top = cluster_keywords(docs, "source", "keywords", [F.col("doc_id")])

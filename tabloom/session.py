@@ -6,7 +6,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def build_session(app: str = "tabloom", master: str | None = None, **conf: str) -> SparkSession:
@@ -24,6 +23,8 @@ def build_session(app: str = "tabloom", master: str | None = None, **conf: str)
         # Stream state may outgrow the heap.
         "spark.sql.streaming.stateStore.providerClass":
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        # Small tables are read by every core; large scans are split by size alone.
+        "spark.sql.files.openCostInBytes": str(1 << 20),
         "spark.ui.enabled": "false",
         **conf,
     }
@@ -40,23 +41,6 @@ def load(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
-def spread(rows: DataFrame) -> DataFrame:
-    """Give every core a share of a scan that has fewer splits than cores.
-
-    For heavy per-row work on a few files only; a large scan passes unchanged.
-    """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
-
-
-def broadcast_if_small(rows: DataFrame, limit: int = 100_000) -> DataFrame:
-    """Mark a side for broadcast once its rows are counted to be at most ``limit``.
-
-    Beyond that the join stays a shuffle join, which AQE splits where keys are skewed.
-    """
-    return F.broadcast(rows) if rows.limit(limit + 1).count() <= limit else rows
-
-
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder for written tables and stream checkpoints.
 

@@ -8,12 +8,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame | None:
-    """Headered CSV with quoted line breaks, ``None`` where the path is missing.
+def read_csv(
+    spark: SparkSession, path: str, schema: StructType | str | None = None, multi_line: bool = True
+) -> DataFrame | None:
+    """Headered CSV, ``None`` where the path is missing.
 
-    Without a schema the types are inferred, which costs an extra pass.
+    Quoted line breaks need ``multi_line``, which reads a file in one task; sources without them say so and
+    large files are split. Without a schema the types are inferred, which costs an extra pass.
     """
-    reader = spark.read.option("header", True).option("multiLine", True).option("escape", '"')
+    reader = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
     reader = reader.schema(schema) if schema else reader.option("inferSchema", True)
     try:
         return reader.csv(path)
@@ -27,17 +30,15 @@ def document_files(spark: SparkSession, folder: str) -> DataFrame:
     return files.select(F.element_at(F.split("path", "/"), -1).alias("filename"), "path", "length")
 
 
-def joined_pages(pages: DataFrame, doc: str, page: str, text: str, pages_per_part: int = 1000) -> DataFrame:
-    """Page texts joined by line breaks in page order, with the text length.
+def joined_pages(pages: DataFrame, doc: str, page: str, text: str) -> DataFrame:
+    """The whole text of each document: its page texts joined by line breaks in page order, with the length.
 
-    Documents longer than ``pages_per_part`` pages come in parts of
-    that many pages, so no task ever holds more of one document than that.
-    Page numbers are unique within a document.
+    Page numbers are unique within a document. A document is one value, so its pages meet in one task.
     """
-    filled = pages.where(F.col(text) != "").withColumn("part", F.floor(F.col(page) / pages_per_part))
-    grouped = filled.groupBy(doc, "part").agg(F.sort_array(F.collect_list(F.struct(page, text))).alias("_pages"))
+    filled = pages.where(F.col(text) != "")
+    grouped = filled.groupBy(doc).agg(F.sort_array(F.collect_list(F.struct(page, text))).alias("_pages"))
     whole = F.array_join(F.transform("_pages", lambda p: p[text]), "\n")
-    return grouped.select(doc, "part", whole.alias("text")).withColumn("text_length", F.length("text"))
+    return grouped.select(doc, whole.alias("text")).withColumn("text_length", F.length("text"))
 
 
 def engaged_posts(posts: DataFrame) -> DataFrame:

@@ -24,7 +24,7 @@ from tabloom.functions.fixed_values import (
     PAGE_LABELS,
     PAGE_TEXT_PATTERNS,
 )
-from tabloom.functions.text import capture, decode_entities, let
+from tabloom.functions.text import capture, decode_entities, visible_text
 from tabloom.functions.values import (
     absolute_url,
     bare_id,
@@ -175,19 +175,19 @@ def listing_rows(
     )
 
 
-def _plain(html: Column) -> Column:
-    untagged = F.regexp_replace(html, r"\s*<[^>]*>\s*", " ")
-    return F.btrim(decode_entities(untagged))
-
-
 def key_value_fields(html: Column) -> dict[str, Column]:
-    """Known labels of a page: table rows first, running text for the rest."""
-    rows = F.slice(F.split(html, r"(?i)<tr\b[^>]*>"), 2, 1_000_000)
+    """Known labels of a page: table rows first, running text for the rest.
+
+    Markup goes first and entities are resolved in the few values found, so escaped markup stays text
+    and no page leaves the JVM.
+    """
+    parts = F.split(html, r"(?i)<tr\b[^>]*>")
+    rows = F.filter(parts, lambda _, i: i > 0)
 
     def pair(row: Column) -> Column:
         cells = F.transform(
             F.split(F.split(row, r"(?i)</tr\s*>")[0], r"(?i)<t[dh]\b[^>]*>"),
-            lambda c: F.btrim(F.regexp_replace(c, r"<[^>]*>", "")),
+            visible_text,
         )
         return F.struct(F.lower(F.get(cells, F.lit(1))).alias("label"), F.get(cells, F.lit(2)).alias("value"))
 
@@ -199,23 +199,21 @@ def key_value_fields(html: Column) -> dict[str, Column]:
     def from_rows(label: str) -> Column:
         return F.get(F.filter(pairs, lambda p: p["label"].contains(label)), F.lit(0))["value"]
 
-    running = F.regexp_replace(F.regexp_replace(html, r"\s*<[^>]*>\s*", " "), r"^ +| +$", "")
+    running = visible_text(html)
 
     def from_text(name: str) -> Column:
         value = F.btrim(capture(running, PAGE_TEXT_PATTERNS[name]))
         return F.when((value != "") & (F.lower(value) != HIDDEN_VALUE), value)
 
     return {
-        name: F.substring(F.coalesce(from_rows(label), from_text(name)), 1, size)
+        name: F.substring(F.btrim(decode_entities(F.coalesce(from_rows(label), from_text(name)))), 1, size)
         for label, name, size in PAGE_LABELS
     }
 
 
 def with_page_fields(pages: DataFrame, html: str = "html") -> DataFrame:
-    """Adds the five page columns; entities are resolved first."""
-    return pages.withColumn("_html", decode_entities(F.col(html))).withColumns(
-        key_value_fields(F.col("_html"))
-    ).drop("_html")
+    """Adds the five page columns."""
+    return pages.withColumns(key_value_fields(F.col(html)))
 
 
 def page_lookup(wells: DataFrame, pages: DataFrame, first_county: Column, second_county: Column) -> DataFrame:

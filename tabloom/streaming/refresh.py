@@ -84,23 +84,29 @@ def compact(spark: SparkSession, table: str, key: str, into: str, seq: str = "ba
     latest_rows(spark, table, key, seq).write.mode("errorifexists").parquet(f"{into}/batch_id=-1")
 
 
-def start_first_seen(
-    stream: DataFrame, table: str, checkpoint: str, keys: list[str], event_time: str | None = None,
-    delay: str = "1 hour",
-) -> StreamingQuery:
-    """Write each key the first time it appears.
-
-    State grows with the number of keys. Where repeats only come within
-    ``delay`` of each other, give ``event_time`` and state is dropped after it.
-    """
-    if event_time:
-        unique = stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(keys)
-    else:
-        unique = stream.dropDuplicates(keys)
+def start_first_seen(stream: DataFrame, table: str, checkpoint: str, keys: list[str]) -> StreamingQuery:
+    """Write each key the first time it appears, however late. State grows with the number of keys."""
     return (
-        unique.writeStream.format("parquet")
+        stream.dropDuplicates(keys).writeStream.format("parquet")
         .option("path", table)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
+
+
+def start_first_stored(stream: DataFrame, table: str, checkpoint: str, keys: list[str]) -> StreamingQuery:
+    """The same without stream state: each batch is compared with the keys the table has.
+
+    A batch writes its own folder, and a replayed one does not count as known, so it writes the same rows again.
+    """
+
+    def keep_new(batch: DataFrame, batch_id: int) -> None:
+        fresh = batch.dropDuplicates(keys)
+        if batch_id:
+            known = batch.sparkSession.read.parquet(table).where(F.col("batch_id") < batch_id)
+            fresh = fresh.join(known.select(*keys), keys, "left_anti")
+        fresh.write.mode("overwrite").parquet(f"{table}/batch_id={batch_id}")
+
+    writer = stream.writeStream.foreachBatch(keep_new).option("checkpointLocation", checkpoint)
+    return writer.trigger(availableNow=True).start()

@@ -34,8 +34,6 @@ def test_pages_join_in_order_without_empty_ones(spark):
     )
     got = files.joined_pages(rows, "doc", "page", "text").orderBy("doc").collect()
     assert [(r["doc"], r["text"], r["text_length"]) for r in got] == [("d", "a\nc", 3), ("e", "y\nx", 3)]
-    parts = files.joined_pages(rows, "doc", "page", "text", pages_per_part=2).orderBy("doc", "part").collect()
-    assert [(r["doc"], r["part"], r["text"]) for r in parts] == [("d", 0, "a"), ("d", 1, "c"), ("e", 2, "y\nx")]
 
 
 def test_listing_limits_and_defaults(spark):
@@ -77,17 +75,14 @@ def test_page_fields_take_rows_first_then_text(spark):
     assert row[0]["closest_city"] is None and row[1]["well_status"] is None
 
 
-def test_nested_documents_split_large_parents_and_lose_nothing(spark):
+def test_nested_documents_are_one_per_parent(spark):
     parents = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "k int, n string")
-    children = spark.range(1000).select(F.when(F.col("id") < 990, 1).otherwise(2).alias("k"), "id", F.col("id").alias("v"))
-    rows = export.nested_documents(parents, children, "k", ["id"], ["v"], "kids", max_children=100).collect()
-    by_parent = {}
-    for r in rows:
-        by_parent.setdefault(r["k"], []).append(r)
-    assert len(by_parent[1]) == 10 and len(by_parent[2]) == 1 and by_parent[3][0]["kids"] == []
-    assert sorted(x["v"] for r in by_parent[1] for x in r["kids"]) == list(range(990))
-    assert [x["v"] for x in by_parent[2][0]["kids"]] == list(range(990, 1000))
-    assert max(len(r["kids"]) for r in rows) < 160
+    children = spark.range(1000).select(F.when(F.col("id") < 990, 1).otherwise(2).alias("k"), "id", F.col("id").alias("v"), (F.col("id") % 3).alias("third"))
+    rows = {r["k"]: r for r in export.nested_documents(parents, children, "k", ["id"], ["v"], "kids").collect()}
+    assert sorted(rows) == [1, 2, 3] and rows[3]["kids"] == []
+    assert [x["v"] for x in rows[1]["kids"]] == list(range(990)) and [x["v"] for x in rows[2]["kids"]] == list(range(990, 1000))
+    parts = export.nested_documents(parents, children, "k", ["id"], ["v"], "kids", part="third").where("k = 1").collect()
+    assert sorted(r["third"] for r in parts) == [0, 1, 2] and sum(len(r["kids"]) for r in parts) == 990
 
 
 def test_json_keeps_nulls(spark):
