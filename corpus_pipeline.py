@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tabloom.llm import classifier, decontaminate, mixing, near_dup, queries, resharding
 from tabloom.llm.grams import stored
@@ -33,9 +32,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every row with its new shard and its slot there; the columns of the documents stay."""
     rows = resharding.sized(docs, queries.OLD_SHARDS)
-    plan = resharding.reshard(rows, queries.OLD_SHARDS, queries.NEW_SHARDS)
-    plan = plan.select("rkey", F.col("copy").alias("_copy"), "size", "shard", "slot")
-    return resharding.numbered(docs).join(plan, ["rkey", "_copy"]).drop("rkey", "_copy")
+    return resharding.placed(docs, resharding.reshard(rows, queries.OLD_SHARDS, queries.NEW_SHARDS))
 
 
 STAGES = [

@@ -5,7 +5,7 @@ that moves costs one (or what the caller's costs say). Successive shortest paths
 many nodes as there are shards. A shard's documents stand in a fixed order of blocks; the flow cuts that order into
 runs of bytes, and a document goes where the run goes that holds its middle byte. A second solution, from the
 layout reached to the same capacities, moves the smallest documents of the shards that got too much, so that whole
-documents cost no balance. Running sums are taken per block and per shard, never over a whole shard at once.
+documents cost no balance; a document larger than an equal share has a shard to itself. Running sums are taken per block and per shard, never over a whole shard at once.
 
 Cases: a null text has no bytes; repeated rows are documents of their own; a null old shard is the shard
 ``hash(null)``; an empty table gives no rows; shards without capacity get nothing.
@@ -96,24 +96,35 @@ def _offsets(rows: DataFrame, shard: str, order: list[Column], value: Column, na
     return rows.join(sums, [shard, "block"]).withColumn(name, F.col("_base") + F.col("_in")).drop("_base", "_in")
 
 
-def _moved(rows: DataFrame, old: int, capacity: list[int], order: list[Column], cost) -> DataFrame:
-    """Rows (from, block, size, ...) with ``to``: the shard the flow sends them to."""
-    sizes = {r["from"]: r["n"] for r in rows.groupBy("from").agg(F.sum("size").alias("n")).collect()}
+def _moved(rows: DataFrame, old: int, capacity: list[int], order: list[Column], cost, mark: Column) -> DataFrame:
+    """Rows (from, block, size, ...) with ``to``: the shard of the run that ``mark``, a byte of the document, is before the end of."""
+    sizes = {r["from"]: r["n"] for r in rows.groupBy("from").agg(F.sum("size").alias("n")).collect()}  # a row per shard
     flow = min_cost_flow([int(sizes.get(i, 0)) for i in range(old)], capacity, cost)
     cuts: dict[int, list] = {}
     for i, j, first, end in runs_of(flow):
         cuts.setdefault(i, []).append((first, end, j))
     rows = _offsets(rows, "from", order, F.col("size"), "at")
-    middle = F.col("at") + F.col("size") / 2
     to = F.lit(None).cast("int")
     for i, runs in cuts.items():
         inner = F.lit(runs[-1][2])
         for _, end, j in reversed(runs[:-1]):
-            inner = F.when(middle < end, F.lit(j)).otherwise(inner)
+            inner = F.when(mark <= end, F.lit(j)).otherwise(inner)
         to = F.when(F.col("from") == i, inner).otherwise(to)
     return rows.withColumn("to", to.cast("int")).drop("at")
 
 
+def _alone(rows: DataFrame, total: int, shards: int) -> list:
+    """Documents larger than an equal share of what is left: each gets a shard of its own. At most one per shard is looked at."""
+    largest = rows.select("rkey", "copy", "size").orderBy(F.desc("size"), "rkey", "copy").limit(shards).collect()
+    out = []
+    for r in largest:
+        if r["size"] * (shards - len(out)) <= total or len(out) == shards - 1:
+            break
+        out.append(r)
+        total -= r["size"]
+    return out
+
+
 def even_capacities(total: int, shards: int) -> list[int]:
     """Capacities that add up to ``total``, at most one byte apart."""
     return [total // shards + (j < total % shards) for j in range(shards)]
@@ -129,18 +140,30 @@ def reshard(rows: DataFrame, old_shards: int, shards: int, capacity: list[int] |
     again = Window.partitionBy("rkey").orderBy(F.lit(0))
     rows = stored(rows.withColumn("copy", F.row_number().over(again)), "old-layout")
     count, total = rows.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
-    capacity = capacity or even_capacities(int(total), shards)
+    alone = [] if capacity else _alone(rows, int(total), shards)
+    if not capacity:
+        rest = int(total) - sum(r["size"] for r in alone)
+        capacity = [0] * len(alone) + even_capacities(rest, shards - len(alone))
     parts = max(16, -(-int(count) // BLOCK_ROWS))
     spread = F.pmod(F.xxhash64("rkey", "copy"), F.lit(parts)).cast("long")
     rows = rows.withColumn("block", spread)
-    placed = stored(_moved(rows, old_shards, capacity, [F.col("rkey"), F.col("copy")], cost), "placed")
+    own = None
+    if alone:
+        places = [(r["rkey"], r["copy"], j) for j, r in enumerate(alone)]
+        places = F.broadcast(rows.sparkSession.createDataFrame(places, "rkey long, copy int, to int"))
+        own = rows.join(places, ["rkey", "copy"]).select(*rows.columns, "to")
+        rows = rows.join(places, ["rkey", "copy"], "left_anti").select(*rows.columns)
+    middle, end = F.col("at") + F.col("size") / 2, F.col("at") + F.col("size")
+    layout = stored(_moved(rows, old_shards, capacity, [F.col("rkey"), F.col("copy")], cost, middle), "placed")
     for turn in range(passes - 1):
         step = F.floor(F.log2(F.col("size").cast("double") + 1) * 4).cast("long")
-        again = placed.withColumn("origin", F.col("from")).withColumn("from", F.col("to")).drop("to")
+        again = layout.withColumn("origin", F.col("from")).withColumn("from", F.col("to")).drop("to")
         again = again.withColumn("block", step * parts + F.pmod(F.col("block"), F.lit(parts)))
-        moved = _moved(again, shards, capacity, [F.col("size"), F.col("rkey"), F.col("copy")], None)
-        placed = stored(moved.withColumn("from", F.col("origin")).drop("origin"), f"evened-{turn}")
-    out = placed.withColumnRenamed("to", "shard").withColumn("block", spread)
+        # only whole documents that fit into what a shard has too much leave it
+        moved = _moved(again, shards, capacity, [F.col("size"), F.col("rkey"), F.col("copy")], None, end)
+        layout = stored(moved.withColumn("from", F.col("origin")).drop("origin"), f"evened-{turn}")
+    layout = layout if own is None else layout.unionByName(own)
+    out = layout.withColumnRenamed("to", "shard").withColumn("block", spread)
     out = _offsets(out, "shard", [F.col("rkey"), F.col("copy")], F.lit(1), "slot")
     return out.withColumn("slot", F.col("slot").cast("long")).drop("block")
 
@@ -158,22 +181,33 @@ def sized(docs: DataFrame, old_shards: int, id_col: str = "doc_id", text_col: st
 
 
 def numbered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shard_col: str = "source") -> DataFrame:
-    """The documents with ``rkey`` and ``_copy``, which number equal rows: the keys of ``reshard``'s rows."""
+    """The documents with ``__rkey`` and ``__copy``, which number equal rows: the keys of ``reshard``'s rows."""
     kept = [F.col(f"`{c}`") for c in docs.columns]
     parts = [F.col(id_col).cast("long"), F.col(text_col).cast("string"), F.col(shard_col).cast("string")]
     key = F.xxhash64(*[x for c in (parts[0], parts[2], parts[1]) for x in (c, c.isNull())])
-    rows = docs.select(*kept, key.alias("rkey"))
-    return rows.withColumn("_copy", F.row_number().over(Window.partitionBy("rkey").orderBy(F.lit(0))))
+    rows = docs.select(*kept, key.alias("__rkey"))
+    return rows.withColumn("__copy", F.row_number().over(Window.partitionBy("__rkey").orderBy(F.lit(0))))
+
+
+def placed(docs: DataFrame, plan: DataFrame, id_col: str = "doc_id", text_col: str = "text", shard_col: str = "source") -> DataFrame:
+    """The documents with size, shard and slot of their plan; a name the documents have is taken with an underscore before it."""
+    names = {}
+    for name in ("size", "shard", "slot"):
+        names[name] = name
+        while names[name] in docs.columns:
+            names[name] = "_" + names[name]
+    keys = plan.select(F.col("rkey").alias("__rkey"), F.col("copy").alias("__copy"), *[F.col(a).alias(b) for a, b in names.items()])
+    return numbered(docs, id_col, text_col, shard_col).join(keys, ["__rkey", "__copy"]).drop("__rkey", "__copy")
 
 
 def rewrite(spark: SparkSession, docs: DataFrame, plan: DataFrame, folder: str) -> DataFrame:
     """Write the files of the affected shards: those that gain or lose a document; returns (shard, affected, rows).
 
-    ``docs`` and ``plan`` share ``rkey``; a shard that keeps exactly its documents is left as it is.
+    A shard that keeps exactly its documents is left as it is.
     """
     lost = plan.filter("`from` <> shard").select(F.explode(F.array("from", "shard")).alias("shard")).distinct()
     state = plan.groupBy("shard").agg(F.count("*").alias("rows")).join(lost.withColumn("affected", F.lit(True)), "shard", "left")
     state = stored(state.withColumn("affected", F.coalesce("affected", F.lit(False))), "shards")
-    keys = plan.join(state.filter("affected").select("shard"), "shard", "left_semi").select("rkey", "shard").distinct()
-    docs.join(keys, "rkey").write.partitionBy("shard").mode("overwrite").parquet(os.path.join(folder, "shards"))
+    rows = placed(docs, plan.join(state.filter("affected").select("shard"), "shard", "left_semi"))
+    rows.write.partitionBy(rows.columns[-2]).mode("overwrite").parquet(os.path.join(folder, "shards"))
     return state
