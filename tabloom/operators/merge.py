@@ -2,9 +2,8 @@
 
 Update batches are reduced to one row per key first, with an aggregate that
 combines on the map side, so a key repeated in a third of the batch is
-harmless and every later join is one row to one row. The target is joined, not
-rewritten, and nothing forces a broadcast: Spark broadcasts an update batch
-whose measured size allows it and sort-merges it otherwise.
+harmless. An upsert is one full outer join of target and reduced batch: each side is
+shuffled once, and the target is neither scanned again nor rewritten.
 """
 
 from __future__ import annotations
@@ -30,14 +29,11 @@ def first_per_key(rows: DataFrame, key: str | list[str], seq: str | list[str]) -
     return rows.groupBy(*keys).agg(value.alias("_row")).select("_row.*")
 
 
-def _new_rows(target: DataFrame, updates: DataFrame, key: str) -> DataFrame:
-    """Updates whose key the target does not have.
-
-    The keys both sides share are found first: with a small batch that is a
-    broadcast semi join, so the target's keys are never shuffled.
-    """
-    known = target.select(key).join(updates.select(key), key, "left_semi")
-    return updates.join(known, key, "left_anti")
+def _merged(target: DataFrame, latest: DataFrame, key: str) -> DataFrame:
+    """Key, ``_old`` and ``_new``: both sides side by side from one full outer join, each shuffled once."""
+    old = target.select(key, F.struct(*target.columns).alias("_old"))
+    new = latest.select(key, F.struct(*latest.columns).alias("_new"))
+    return old.join(new, key, "full_outer")
 
 
 def replace_upsert(
@@ -48,18 +44,14 @@ def replace_upsert(
     Columns in ``keep`` (an insertion stamp, say) hold their value on update.
     """
     columns = target.columns
-    latest = last_per_key(updates, key, seq).select(*columns)
-    renamed = latest.select(key, F.struct(*columns).alias("_new"))
-    replaced = target.join(renamed, key, "left").select(
-        key,
-        *(
-            F.when(F.col("_new").isNotNull(), F.col("_new")[c]).otherwise(F.col(c)).alias(c)
-            for c in columns
-            if c != key and c not in keep
-        ),
-        *keep,
-    )
-    return replaced.select(*columns).unionByName(_new_rows(target, latest, key))
+    old, new = F.col("_old"), F.col("_new")
+
+    def value(c: str) -> Column:
+        first, second = (old, new) if c in keep else (new, old)
+        return F.when(first.isNotNull(), first[c]).otherwise(second[c]).alias(c)
+
+    both = _merged(target, last_per_key(updates, key, seq).select(*columns), key)
+    return both.select(*(F.col(c) if c == key else value(c) for c in columns))
 
 
 def coalesce_upsert(
@@ -74,14 +66,13 @@ def coalesce_upsert(
     latest = updates.groupBy(key).agg(
         *(F.max_by(c, F.when(F.col(c).isNotNull(), order)).alias(c) for c in columns)
     )
-    renamed = latest.select(key, F.struct(*columns).alias("_new"))
-    filled = target.join(renamed, key, "left").select(
-        *(
-            F.coalesce(F.col("_new")[c], F.col(c)).alias(c) if c in columns else F.col(c)
-            for c in target.columns
-        )
-    )
-    return filled.unionByName(_new_rows(target, latest, key), allowMissingColumns=True)
+    old, new = F.col("_old"), F.col("_new")
+
+    def value(c: str) -> Column:
+        return (F.coalesce(new[c], old[c]) if c in columns else old[c]).alias(c)
+
+    both = _merged(target, latest, key)
+    return both.select(*(F.col(c) if c == key else value(c) for c in target.columns))
 
 
 def child_replace(
