@@ -33,12 +33,14 @@ def table_shape(rows: DataFrame) -> DataFrame:
     return wide.select("records", F.lit(len(rows.columns)).alias("columns"), cells)
 
 
-def collection_summary(sources: dict[str, DataFrame | None | Exception]) -> DataFrame:
-    """One row per source file: title, records, columns and a status.
+def collection_summary(sources: dict[str, DataFrame | None | Exception], paths: dict[str, str] | None = None) -> DataFrame:
+    """One row per source file: title, records, columns, size in KB and a status.
 
     ``None`` stands for a source that was not collected, an exception for one
-    that failed. Counts come from the tables, without reading their columns.
+    that failed. Counts come from the tables, without reading their columns,
+    sizes from the files under ``paths``; a source without a path has size 0.
     """
+    paths = paths or {}
 
     def describe(filename: str, rows: DataFrame | None | Exception) -> DataFrame:
         if isinstance(rows, DataFrame):
@@ -47,11 +49,17 @@ def collection_summary(sources: dict[str, DataFrame | None | Exception]) -> Data
             spark = SparkSession.getActiveSession()
             counted, width = spark.range(1).select(F.lit(0).cast("bigint").alias("records")), 0
             status = "Not collected" if rows is None else "Error"
-        return counted.select(
+        sized = counted.select("records", F.lit(0).cast("bigint").alias("length"))
+        if filename in paths:
+            files = counted.sparkSession.read.format("binaryFile").option("pathGlobFilter", "part-*").load(paths[filename])
+            sized = sized.unionByName(files.select(F.lit(0).cast("bigint").alias("records"), "length"))
+        sized = sized.agg(F.sum("records").alias("records"), F.round(F.sum("length") / 1024, 2).alias("size_kb"))
+        return sized.select(
             file_title(F.lit(filename)).alias("source"),
             F.lit(filename).alias("filename"),
             "records",
             F.lit(width).alias("columns"),
+            "size_kb",
             F.lit(status).alias("status"),
         )
 

@@ -198,7 +198,8 @@ def nearest_dense(centroids: np.ndarray):
         distance = np.sqrt(((x - c[best]) ** 2).sum(axis=1))
         return pd.DataFrame({"cluster_id": usable[best].astype(np.int32), "distance": distance})
 
-    return assign
+    # Spark may not copy it below a join, where it would run a second time
+    return assign.asNondeterministic()
 
 
 def nearest_sparse(centroids: np.ndarray):
@@ -225,7 +226,8 @@ def nearest_sparse(centroids: np.ndarray):
             [pa.array(best.astype(np.int32)), pa.array(distance)], ["cluster_id", "distance"]
         )
 
-    return assign
+    # Spark may not copy it below a join, where it would run a second time
+    return assign.asNondeterministic()
 
 
 def cluster_texts(

@@ -6,10 +6,10 @@ from pyspark.sql import functions as F
 
 from tabloom.operators import profile, ranking
 from tabloom.plans import Query
-from tabloom.session import load
+from tabloom.session import load, scratch_dir
 from tabloom.sources import files
 
-_TABLES = ["customer", "orders", "lineitem", "part", "documents"]
+_TABLES = {"customer": "c_custkey", "orders": "o_orderkey", "lineitem": "l_orderkey", "part": "p_partkey", "documents": "doc_id"}
 
 
 def value_counts(spark, folder):
@@ -30,8 +30,14 @@ def table_shape(spark, folder):
 
 
 def _summary(spark, folder):
-    sources = {f"{t}_rows.csv": load(spark, folder, t) for t in _TABLES}
-    return profile.collection_summary({**sources, "web_posts.csv": None, "broken_feed.csv": ValueError("unreadable")})
+    """The keys of each table as collected CSV files, one source that was not collected and one that failed."""
+    paths, sources = {}, {}
+    for table, key in _TABLES.items():
+        paths[f"{table}_rows.csv"] = path = scratch_dir(spark, f"{table}-rows")
+        load(spark, folder, table).select(key).write.csv(path)
+        sources[f"{table}_rows.csv"] = spark.read.schema(f"{key} bigint").csv(path)
+    sources |= {"web_posts.csv": None, "broken_feed.csv": ValueError("unreadable")}
+    return profile.collection_summary(sources, paths)
 
 
 def collection_summary(spark, folder):
@@ -112,11 +118,11 @@ def _pairs(table: str, columns: list[str]) -> str:
 
 
 _SUMMARY_SQL = "summary AS (" + " UNION ALL ".join(
-    f"""SELECT '{t.title()} Rows' AS source, '{t}_rows.csv' AS filename, (SELECT count(*) FROM {t}) AS records,
-  (SELECT count(*)::INTEGER FROM (DESCRIBE {t})) AS columns, 'Success' AS status"""
-    for t in _TABLES
-) + """ UNION ALL SELECT 'Web Posts', 'web_posts.csv', 0, 0, 'Not collected'
-UNION ALL SELECT 'Broken Feed', 'broken_feed.csv', 0, 0, 'Error')"""
+    f"""SELECT '{t.title()} Rows' AS source, '{t}_rows.csv' AS filename, count(*) AS records, 1::INTEGER AS columns,
+  round(sum(length({key}::VARCHAR) + 1) / 1024, 2)::DOUBLE AS size_kb, 'Success' AS status FROM {t}"""
+    for t, key in _TABLES.items()
+) + """ UNION ALL SELECT 'Web Posts', 'web_posts.csv', 0, 0, 0, 'Not collected'
+UNION ALL SELECT 'Broken Feed', 'broken_feed.csv', 0, 0, 0, 'Error')"""
 _LOG_SQL = """log AS (
   SELECT CASE l_returnflag WHEN 'A' THEN 'CPU' WHEN 'N' THEN 'GPU_TILED' ELSE 'GPU_NAIVE' END AS implementation,
          l_linenumber * 512 AS size, CAST(l_quantity AS INTEGER) AS repeats, l_extendedprice AS time

@@ -137,6 +137,36 @@ def kmeans_sizes(spark, folder):
     )
 
 
+def kmeans_invariants(spark, folder):
+    """What must hold for any fit: every row sits with its nearest centroid, centroids are their members' means,
+    and the cost is not above that of the label means."""
+    rows = _embeddings(spark, folder).withColumn("features", array_to_vector("vector"))
+    centroids = vectors.fit_centroids(rows, "features", k=GROUPS, restarts=10)
+    kept = _stored(spark, _assigned(rows.drop("features"), centroids), "assigned")
+    cells = kept.select("vec_id", "cluster_id", F.posexplode("vector").alias("i", "v"))
+    table = spark.createDataFrame(
+        [(c, i, float(m)) for c, row in enumerate(centroids) for i, m in enumerate(row)], "centroid int, i int, m double"
+    )
+    gaps = cells.join(F.broadcast(table), "i").groupBy("vec_id", "cluster_id", "centroid").agg(F.sum((F.col("v") - F.col("m")) ** 2).alias("gap"))
+    own = gaps.groupBy("vec_id").agg(
+        F.min("gap").alias("least"), F.max(F.when(F.col("cluster_id") == F.col("centroid"), F.col("gap"))).alias("mine")
+    )
+    means = cells.groupBy("cluster_id", "i").agg(F.avg("v").alias("mean"))
+    moved = means.join(F.broadcast(table), (F.col("cluster_id") == F.col("centroid")) & (means["i"] == table["i"]))
+    labelled = _assigned(_embeddings(spark, folder), _centroids(_embeddings(spark, folder)))
+    parts = [
+        own.select(F.lit("rows").alias("what"), F.lit(1).alias("n")),
+        own.where(F.col("mine") > F.col("least") + 1e-9).select(F.lit("misassigned").alias("what"), F.lit(1).alias("n")),
+        moved.where(F.abs(F.col("mean") - F.col("m")) > 1e-2).select(F.lit("moved").alias("what"), F.lit(1).alias("n")),
+    ]
+    counts = parts[0].unionByName(parts[1]).unionByName(parts[2]).groupBy().agg(
+        *(F.count_if(F.col("what") == w).alias(w) for w in ("rows", "misassigned", "moved"))
+    )
+    cost = kept.agg(F.sum(F.col("centroid_distance") ** 2)).head()[0] or 0.0
+    other = labelled.agg(F.sum(F.col("centroid_distance") ** 2)).head()[0] or 0.0
+    return counts.withColumn("dearer", F.lit(bool(cost > other * 1.001)))
+
+
 def _stored(spark, rows, purpose: str):
     """Cleaned texts as a stored table, so that many passes read them instead of cleaning again."""
     path = scratch_dir(spark, purpose)
@@ -265,6 +295,10 @@ SELECT doc_id, token AS term, round(x / sqrt(sum(x * x) OVER (PARTITION BY doc_i
     ),
     "term_statistics": Query(term_statistics, f"WITH {_TERMS} SELECT token, total, docs FROM stats WHERE docs >= 2"),
     "kmeans_sizes": Query(kmeans_sizes),
+    "kmeans_invariants": Query(
+        kmeans_invariants,
+        "SELECT count(*) AS rows, 0::BIGINT AS misassigned, 0::BIGINT AS moved, false AS dearer FROM embeddings",
+    ),
     "text_clusters": Query(text_clusters),
     "text_cluster_keywords": Query(text_cluster_keywords),
     "text_queries": Query(text_queries),
