@@ -22,7 +22,7 @@ from tabloom.llm.grams import GOLD, U, as_bytes, byte_table, mix, runs, shingles
 
 SLOTS, ROWS = 128, 4
 BANDS = SLOTS // ROWS
-BLOCK = 256
+BLOCK, FAMILY, WIDTH = 512, 256, 4096
 UNSET = (1 << 64) - 1
 
 
@@ -109,46 +109,78 @@ def set_rows(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.Recor
             yield pa.RecordBatch.from_arrays([cls.slice(first, last - first), lists], names=["cls", "items"])
 
 
-def block_pairs(batches: Iterator[pa.RecordBatch], floor: float) -> Iterator[pa.RecordBatch]:
-    """Pairs of different components within each block of a bucket whose signatures agree on ``floor`` of the slots.
-
-    Rows arrive sorted by bucket and pair of blocks, so that a block never has more than two blocks' members.
-    """
-    held: list[tuple] = []
-    last = None
-
-    def pairs() -> tuple[list, list]:
-        left, right = [], []
-        sig = np.stack([np.asarray(x[2], dtype=np.int16) for x in held])
-        side = np.array([x[3] for x in held])
-        comp = np.array([x[1] for x in held], dtype=object)
-        for i in range(len(held) - 1):
-            other = np.arange(i + 1, len(held))
-            if last[1] != last[2]:
-                other = other[side[other] != side[i]]
-            other = other[comp[other] != comp[i]]
-            near = other[(sig[other] == sig[i]).mean(axis=1) >= floor]
-            for k in near:
-                a, b = sorted((held[i][0], held[k][0]))
-                left.append(a)
-                right.append(b)
-        return left, right
-
-    def out() -> Iterator[pa.RecordBatch]:
-        a, b = pairs()
-        if a:
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
-
+def _blocks(batches: Iterator[pa.RecordBatch], columns: tuple[str, ...]) -> Iterator[tuple[tuple, list[tuple]]]:
+    """The rows of each (group, p, q), which arrive sorted: a block never has more than two parts' members."""
+    last, held = None, []
     for batch in batches:
-        columns = [batch.column(c).to_pylist() for c in ("bkey", "p", "q", "cls", "comp", "sig", "mine")]
-        for key, p, q, cls, comp, sig, mine in zip(*columns, strict=True):
-            if (key, p, q) != last:
+        for row in zip(*[batch.column(c).to_pylist() for c in ("grp", "p", "q", *columns)], strict=True):
+            if row[:3] != last:
                 if len(held) > 1:
-                    yield from out()
-                held, last = [], (key, p, q)
-            held.append((cls, comp, sig, mine))
+                    yield last, held
+                last, held = row[:3], []
+            held.append(row[3:])
     if len(held) > 1:
-        yield from out()
+        yield last, held
+
+
+def _joining(members: list[tuple], near) -> Iterator[tuple[bytes, bytes]]:
+    """Pairs that join members of different components, at most one fewer than members.
+
+    ``members`` begin with class and component; ``near(i, others)`` says which of ``others`` are close to ``i``.
+    """
+    names = {c: k for k, c in enumerate(dict.fromkeys(m[1] for m in members))}
+    root = np.array([names[m[1]] for m in members])
+    for i in range(len(members) - 1):
+        others = np.flatnonzero(root[i + 1 :] != root[i]) + i + 1
+        if len(others):
+            for k in others[near(i, others)]:
+                if root[k] != root[i]:
+                    yield tuple(sorted((members[i][0], members[k][0])))
+                    root[root == root[k]] = root[i]
+
+
+def alike_rows(batches: Iterator[pa.RecordBatch], floor: float) -> Iterator[pa.RecordBatch]:
+    """Joining pairs whose signatures agree on ``floor`` of the slots, for each block of a bucket."""
+    for _, members in _blocks(batches, ("cls", "comp", "sig")):
+        sig = np.array([m[2] for m in members], dtype=np.int16)
+        pairs = list(_joining(members, lambda i, others, sig=sig: (sig[others] == sig[i]).mean(axis=1) >= floor))
+        if pairs:
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in pairs], pa.binary()) for k in (0, 1)], names=["a", "b"])
+
+
+def linked_rows(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Joining pairs whose full sets reach the similarity, for each block of a family.
+
+    Intersections of all pairs of a block are products of 0/1 matrices, some shared shingles at a time.
+    """
+    for _, members in _blocks(batches, ("cls", "comp", "items")):
+        sizes = np.array([len(m[2]) for m in members])
+        items = np.concatenate([np.asarray(m[2], dtype=np.int64) for m in members])
+        owner = np.repeat(np.arange(len(members)), sizes)
+        _, column, times = np.unique(items, return_inverse=True, return_counts=True)
+        shared = times[column] > 1
+        _, column = np.unique(column[shared], return_inverse=True)
+        owner, order = owner[shared], np.argsort(column, kind="stable")
+        column, owner = column[order], owner[order]
+        both = np.zeros((len(members), len(members)), dtype=np.float64)
+        width = int(column[-1]) + 1 if len(column) else 0
+        for at in range(0, width, WIDTH):
+            a, b = np.searchsorted(column, [at, at + WIDTH])
+            part = np.zeros((len(members), min(WIDTH, width - at)), dtype=np.float32)
+            part[owner[a:b], column[a:b] - at] = 1
+            both += part @ part.T
+        close = both * (100 + percent) >= percent * (sizes[:, None] + sizes[None, :])
+        pairs = list(_joining(members, lambda i, others, close=close: close[i, others]))
+        if pairs:
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in pairs], pa.binary()) for k in (0, 1)], names=["a", "b"])
+
+
+def _dealt(rows: DataFrame, count: str, size: int, *columns: str) -> DataFrame:
+    """Rows of each ``grp`` in pairs of parts of about ``size`` rows, one pair after the other."""
+    parts = F.ceil(F.col(count) / size).cast("int")
+    rows = rows.withColumn("mine", F.pmod(F.xxhash64("cls"), parts).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
+    rows = rows.select("grp", F.least("mine", "other").alias("p"), F.greatest("mine", "other").alias("q"), *columns)
+    return rows.repartition("grp", "p", "q").sortWithinPartitions("grp", "p", "q")
 
 
 def components(edges: DataFrame, limit: int = 60) -> DataFrame:
@@ -189,7 +221,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def near_duplicates(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 75, star_rounds: int = 2
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 75, stars: bool = True
 ) -> DataFrame:
     """Groups of documents linked by a similarity of shingle sets of at least ``percent``.
 
@@ -197,9 +229,10 @@ def near_duplicates(
     component_id (the smallest id reachable), kept. Candidates are classes of equal sets that share a band;
     each is confirmed on full sets. A pair exactly at 75 % shares none of the 32 bands with probability 5e-6.
 
-    A bucket of any size is worked off in two ways that emit no pair twice and never all pairs of a group:
-    ``star_rounds`` times against one centre, which joins a group of copies with as many pairs as members; then
-    members still in different components meet in blocks of 256, and only pairs with similar signatures go on.
+    A bucket of any size is worked off without emitting its pairs. Every member is compared with the bucket's heaviest member (the one
+    with most neighbours), which joins most of a group of copies with as many pairs as members. Members still in different
+    components then meet in blocks of ``BLOCK``, and classes with similar signatures form families, each block emitting at most
+    one pair per member; in a family all full sets meet in blocks of ``FAMILY``, and what joins components there is a link.
     """
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     source = source.withColumn("text_key", F.xxhash64("text"))
@@ -227,40 +260,38 @@ def near_duplicates(
 
     floor = max(0.0, percent / 100 - 0.18)  # four and a half deviations of the estimate
     alike = F.aggregate(F.zip_with("sa", "sb", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
-    links = tried = labels = None
-    for turn in range(star_rounds):
-        placed = members.join(wanted.select("cls", "weight"), "cls")
-        if labels is None:
-            placed = placed.withColumn("comp", F.col("cls"))
-            centre = placed.groupBy("bkey").agg(F.max_by("cls", F.struct("weight", "cls")).alias("a"))
-            placed = placed.join(centre, "bkey").filter("cls <> a")
-        else:
-            placed = placed.join(labels, placed["cls"] == labels["node"], "left").withColumn("comp", F.coalesce("comp", "cls"))
-            sized = placed.groupBy("bkey", "comp").agg(F.count("*").alias("k"), F.max_by("cls", F.struct("weight", "cls")).alias("a"))
-            centre = sized.groupBy("bkey").agg(F.min_by(F.struct("a", F.col("comp").alias("ca")), F.struct("k", "a")).alias("c"), F.count("*").alias("parts"))
-            centre = centre.filter("parts > 1").select("bkey", "c.a", "c.ca")
-            placed = placed.join(centre, "bkey").filter("comp <> ca")
-        pairs = placed.select(F.least("a", "cls").alias("a"), F.greatest("a", "cls").alias("b")).distinct()
-        links, tried, labels = _round(pairs, links, tried, sets, sigs, alike, floor, percent, turn)
-    if star_rounds:
-        placed = members.join(labels, members["cls"] == labels["node"], "left").withColumn("comp", F.coalesce("comp", "cls"))
+    placed = members.join(wanted.select("cls", "weight"), "cls")
+    centre = placed.groupBy("bkey").agg(F.max_by("cls", F.struct("weight", "cls")).alias("a"))
+    if stars:
+        pairs = members.join(centre, "bkey").filter("cls <> a")
+        pairs = pairs.select(F.least("a", "cls").alias("a"), F.greatest("a", "cls").alias("b")).distinct()
+        near = pairs.join(sigs.select(F.col("cls").alias("a"), F.col("sig").alias("sa")), "a")
+        near = near.join(sigs.select(F.col("cls").alias("b"), F.col("sig").alias("sb")), "b")
+        near = stored(near.filter(alike >= F.ceil(F.lit(floor * SLOTS))).select("a", "b"), "near")
+        links = stored(_verified(near, sets, percent), "found")
+        comps = components(links)
     else:
-        placed = members.withColumn("comp", F.col("cls"))
+        links = wanted.select(F.col("cls").alias("a"), F.col("cls").alias("b")).limit(0)
+        comps = wanted.select(F.col("cls").alias("node"), F.col("cls").alias("comp")).limit(0)
+    named = wanted.join(comps, wanted["cls"] == comps["node"], "left").select("cls", F.coalesce("comp", "cls").alias("comp"), "sig")
+    named = stored(named, "named")
+    placed = members.join(named.select("cls", "comp"), "cls")
     open_ = placed.groupBy("bkey").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x <> y").select("bkey")
-    placed = placed.join(open_, "bkey").join(sigs, "cls")
-    parts = F.ceil(F.col("n") / BLOCK).cast("int")
-    placed = placed.withColumn("mine", F.pmod(F.xxhash64("cls"), parts).cast("int"))
-    placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
-    placed = placed.withColumn("p", F.least("mine", "other")).withColumn("q", F.greatest("mine", "other"))
-    placed = placed.select("bkey", "p", "q", "cls", "comp", "sig", "mine")
-    placed = placed.repartition("bkey", "p", "q").sortWithinPartitions("bkey", "p", "q")
-    pairs = placed.mapInArrow(lambda batches: block_pairs(batches, floor), "a binary, b binary").distinct()
-    links, _, labels = _round(pairs, links, tried, sets, sigs, alike, floor, percent, star_rounds)
+    placed = placed.join(open_, "bkey").join(sigs, "cls").withColumnRenamed("bkey", "grp")
+    similar = _dealt(placed, "n", BLOCK, "cls", "comp", "sig").mapInArrow(lambda batches: alike_rows(batches, floor), "a binary, b binary")
+    similar = stored(similar.distinct(), "similar")
+    ties = named.filter("cls <> comp").select(F.col("cls").alias("a"), F.col("comp").alias("b")).union(similar)
+    families = components(ties).withColumnRenamed("comp", "grp")
+    family = named.select("cls", "comp").join(families, F.col("cls") == F.col("node")).drop("node")
+    mixed = family.groupBy("grp").agg(F.count("*").alias("n"), F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x <> y")
+    family = family.join(mixed.select("grp", "n"), "grp").join(sets, "cls")
+    more = _dealt(family, "n", FAMILY, "cls", "comp", "items").mapInArrow(lambda batches: linked_rows(batches, percent), "a binary, b binary")
+    labels = components(links.union(more))
 
     lows = labels.join(classes.select("cls", "low"), labels["node"] == classes["cls"])
     lows = lows.groupBy("comp").agg(F.min("low").alias("component_id"))
-    named = labels.join(lows, "comp").select(F.col("node").alias("cls"), "component_id")
-    alone = classes.join(named, "cls", "left").select("cls", F.coalesce("component_id", "low").alias("component_id"))
+    joined = labels.join(lows, "comp").select(F.col("node").alias("cls"), "component_id")
+    alone = classes.join(joined, "cls", "left").select("cls", F.coalesce("component_id", "low").alias("component_id"))
     out = rows.select("doc_id", "text_key", "cls", "n_shingles")
     joined = out.filter("n_shingles > 0").join(alone, "cls")
     empty = out.filter("n_shingles = 0").withColumn("component_id", F.col("doc_id"))
@@ -271,19 +302,6 @@ def near_duplicates(
     )
 
 
-def _round(pairs, links, tried, sets, sigs, alike, floor, percent, turn):
-    """Confirm new pairs; returns all links, all tried pairs and the components so far."""
-    if tried is not None:
-        pairs = pairs.join(tried, ["a", "b"], "left_anti")
-    near = pairs.join(sigs.select(F.col("cls").alias("a"), F.col("sig").alias("sa")), "a")
-    near = near.join(sigs.select(F.col("cls").alias("b"), F.col("sig").alias("sb")), "b")
-    near = stored(near.filter(alike >= F.ceil(F.lit(floor * SLOTS))).select("a", "b"), f"tried-{turn}")
-    found = stored(_verified(near, sets, percent), f"found-{turn}")
-    links = found if links is None else links.union(found)
-    tried = near if tried is None else tried.union(near)
-    return links, tried, components(links)
-
-
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """The documents without near duplicates: of each group the row whose id is the group's smallest stays.
 
@@ -293,8 +311,7 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     verdict = verdict.groupBy("doc_id", "cls", (F.col("n_shingles") == 0).alias("blank")).agg(
         F.min("text_key").alias("text_key"), F.count("*").alias("times")
     )
-    keys = verdict.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"))
-    marked = docs.withColumn("_key", F.xxhash64(F.col(text_col).cast("string"))).withColumn("_id", F.col(id_col).cast("long"))
-    joined = marked.join(keys.withColumnRenamed("_id", "_kid").withColumnRenamed("_key", "_kkey"),
-                         F.col("_id").eqNullSafe(F.col("_kid")) & (F.col("_key") == F.col("_kkey")))
-    return joined.dropDuplicates(["_id", "_key"]).select(*docs.columns)
+    keys = verdict.select(F.col("doc_id").alias("__kid"), F.col("text_key").alias("__kkey"))
+    marked = docs.withColumns({"__key": F.xxhash64(F.col(text_col).cast("string")), "__id": F.col(id_col).cast("long")})
+    joined = marked.join(keys, F.col("__id").eqNullSafe(F.col("__kid")) & (F.col("__key") == F.col("__kkey")))
+    return joined.dropDuplicates(["__id", "__key"]).select(*[F.col(f"`{c}`") for c in docs.columns])
