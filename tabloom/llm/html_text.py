@@ -4,7 +4,7 @@ A page is cut into text blocks by its markup; blocks in menus, headers, footers,
 reader comments are page furniture. The words of all blocks of a host's pages, laid end to end, are sorted as a
 suffix array to the depth of the shortest run that counts; runs that distinct pages share stand side by side there.
 Blocks that such runs cover are boilerplate and the unique runs stay. Where a page names its article, its blocks go only if
-at least half of the pages repeat them; elsewhere a tenth is enough. A page most of which is repeated is a
+nine tenths of the pages, and at least ten, repeat them, as articles quote and copy each other; elsewhere a tenth is enough. A page most of which is repeated is a
 copy of another page, not boilerplate, and keeps its blocks.
 
 A host of many pages is worked off in parts of about ``PART`` pages, dealt by a hash of the page, so a task holds
@@ -204,7 +204,7 @@ def _chosen(rows: pd.DataFrame, run: int) -> pd.DataFrame:
         place = np.asarray(places[i], dtype=np.int64)
         named = bool((place == 2).any())
         main = place == 2 if named else place == 1
-        least = max(3, -(-pages // 2)) if named else max(2, -(-pages // 10))
+        least = max(10, -(-9 * pages // 10)) if named else max(2, -(-pages // 10))
         covered = main & (lows[a:b] >= least) & (sizes[a:b] > 0)
         if 2 * sizes[a:b][covered].sum() > sizes[a:b][main].sum():
             covered[:] = False
