@@ -29,7 +29,7 @@ from tabloom.operators.ranking import top_per_group
 
 _NEAREST = "cluster_id int, distance double"
 # Member rows made dense at a time.
-_CHUNK = 1000
+_CHUNK = 256
 
 
 def word_terms(text: Column) -> Column:
@@ -276,9 +276,11 @@ def _unit(vectors: pd.Series, size: int | None) -> np.ndarray:
     if size is None:
         x = np.stack(vectors.to_numpy()).astype(np.float64)
     else:
-        x = np.zeros((len(vectors), size))
-        for row, parts in enumerate(vectors):
-            x[row, parts["indices"]] = parts["values"]
+        parts = list(vectors)
+        row = np.repeat(np.arange(len(parts)), [len(p["indices"]) for p in parts])
+        x = np.zeros((len(parts), size))
+        if len(row):
+            x[row, np.concatenate([p["indices"] for p in parts])] = np.concatenate([p["values"] for p in parts])
     length = np.linalg.norm(x, axis=1, keepdims=True)
     return np.divide(x, length, out=np.zeros_like(x), where=length > 0)
 
@@ -312,47 +314,21 @@ def most_similar(
     members: DataFrame,
     n: int = 5,
     size: int | None = None,
-    max_shipped: int = 1000,
-    block_rows: int = 50_000,
+    block_rows: int = 2000,
 ) -> DataFrame:
     """Per query the ``n`` members of its cluster with the highest cosine.
 
     Both sides have ``id, cluster_id, vector``: an array of double, or
-    ``struct<indices, values>`` when ``size`` is given. The queries are counted:
-    up to ``max_shipped`` travel to the members, so members are scanned
-    once and never shuffled, and each task hands on ``n`` rows per query. More
-    queries than that meet the members in blocks of bounded size on both
-    sides. Either way no list of all pairs exists, and the result is exact.
+    ``struct<indices, values>`` when ``size`` is given. Both sides of a cluster are dealt into
+    blocks of about ``block_rows``, and each pair of blocks is one matrix product that hands on ``n`` rows
+    per query: no list of all pairs exists, and the result is exact. Members are
+    read twice, so a caller stores what is dear to compute.
     """
-    if queries.limit(max_shipped + 1).count() <= max_shipped:
-        partial = _shipped(queries, members, n, size)
-    else:
-        partial = _blocked(queries, members, n, size, max_shipped, block_rows)
+    partial = _blocked(queries, members, n, size, block_rows, block_rows)
     order = [F.desc(F.round("similarity", 12)), F.asc("member_id")]
     return top_per_group(partial, ["query_id"], order, n)
 
 
-def _shipped(queries: DataFrame, members: DataFrame, n: int, size: int | None) -> DataFrame:
-    by_cluster = {
-        cluster: (part["id"].to_numpy(), _unit(part["vector"], size))
-        for cluster, part in queries.select("id", "cluster_id", "vector").toPandas().groupby("cluster_id")
-    }
-
-    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        best: dict[int, pd.DataFrame] = {}
-        for batch in batches:
-            for start in range(0, len(batch), _CHUNK):
-                for cluster, part in batch.iloc[start : start + _CHUNK].groupby("cluster_id"):
-                    if cluster not in by_cluster:
-                        continue
-                    q_ids, q = by_cluster[cluster]
-                    found = _best_matches(q_ids, q @ _unit(part["vector"], size).T, part["id"].to_numpy(), n)
-                    best[cluster] = _best_of([best[cluster], found], n) if cluster in best else found
-        yield from best.values()
-
-    return members.select("id", "cluster_id", "vector").mapInPandas(scan, _MATCH)
-
-
 def _blocked(
     queries: DataFrame, members: DataFrame, n: int, size: int | None, q_rows: int, m_rows: int
 ) -> DataFrame:

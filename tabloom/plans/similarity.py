@@ -97,7 +97,7 @@ def _query_sides(spark, folder):
     found = [(g, g, c.tolist()) for g, c in enumerate(centroids) if not np.isnan(c).any()]
     queries = spark.createDataFrame(found, "id bigint, cluster_id int, vector array<double>")
     members = _assigned(rows, centroids).select(F.col("vec_id").alias("id"), "cluster_id", "vector")
-    return queries, members
+    return queries, _stored(spark, members, "assigned")
 
 
 def _ranked(rows):
@@ -113,7 +113,7 @@ def cosine_topk(spark, folder):
 def cosine_topk_blocks(spark, folder):
     """The same with the method for many queries: blocks on both sides."""
     queries, members = _query_sides(spark, folder)
-    return _ranked(vectors.most_similar(queries, members, n=5, max_shipped=3, block_rows=20))
+    return _ranked(vectors.most_similar(queries, members, n=5, block_rows=20))
 
 
 def tfidf_terms(spark, folder):
@@ -197,7 +197,7 @@ def text_queries(spark, folder):
     items = load(spark, folder, "benchmark").select("item_id", tx.clean_text(F.col("text")).alias("clean_text"))
     queries = _stored(spark, items, "questions")
     asked = vectors.assign_texts(queries, "clean_text", model, centroids)
-    return vectors.most_similar_texts(asked, rows, "item_id", "doc_id", "clean_text", model, n=5)
+    return vectors.most_similar_texts(asked, _stored(spark, rows, "assigned"), "item_id", "doc_id", "clean_text", model, n=5)
 
 
 def _stored_posts(spark, folder):

@@ -94,7 +94,7 @@ def sides(spark):
     return queries, members, spark.createDataFrame(queries, schema), spark.createDataFrame(members, schema)
 
 
-@pytest.mark.parametrize("limits", [{}, {"max_shipped": 2, "block_rows": 7}])
+@pytest.mark.parametrize("limits", [{}, {"block_rows": 7}])
 def test_most_similar_is_exact(spark, limits):
     queries, members, q, m = sides(spark)
     got = vectors.most_similar(q, m, 4, **limits).orderBy("query_id", "rank").collect()
@@ -110,7 +110,7 @@ def test_most_similar_is_exact(spark, limits):
     assert [r["similarity"] for r in got] == pytest.approx([s for _, _, s in expected])
 
 
-@pytest.mark.parametrize("limits", [{}, {"max_shipped": 1, "block_rows": 2}])
+@pytest.mark.parametrize("limits", [{}, {"block_rows": 2}])
 def test_text_similarity_matches_dense_cosine(spark, limits):
     texts = ["leg day squat", "leg day", "arm day", "squat squat leg", "run far", "run leg"]
     d = docs(spark, texts).withColumn("cluster_id", F.lit(0))
