@@ -32,7 +32,7 @@ def stream_refresh(spark, folder):
 def stream_refresh_batches(spark, folder):
     """The same from many files, three per micro-batch, then compacted."""
     landing, table = scratch_dir(spark, "landing"), scratch_dir(spark, "users")
-    checkpoint, compacted = scratch_dir(spark, "users-progress"), scratch_dir(spark, "users-compact")
+    checkpoint = scratch_dir(spark, "users-progress")
     ordered = load(spark, folder, "events").repartitionByRange(8, "event_id").sortWithinPartitions("event_id")
     ordered.write.parquet(landing)
     # Files of one batch may arrive in any order, so the event id decides across batches too.
@@ -41,8 +41,27 @@ def stream_refresh_batches(spark, folder):
             _events(spark, folder, landing, 3), table, checkpoint, "user_id", "event_id", _prepared
         )
     )
-    refresh.compact(spark, table, "user_id", compacted, seq="event_id")
-    return refresh.latest_rows(spark, compacted, "user_id")
+    refresh.compact(spark, table, "user_id", seq="event_id")
+    return refresh.latest_rows(spark, table, "user_id")
+
+
+def refresh_cycles(spark, folder):
+    """Four cycles: files land, are taken in and stored; one cycle fails between, and every second one compacts."""
+    landing, table, checkpoint = (scratch_dir(spark, p) for p in ("landing", "users", "users-progress"))
+    events = load(spark, folder, "events")
+
+    def cycle(number: int) -> None:
+        events.where(F.pmod("event_id", F.lit(4)) == number).write.mode("append").parquet(landing)
+        if number == 2:
+            raise RuntimeError("taken in by the next cycle")
+        refresh.run_refresh(
+            lambda: refresh.start_refresh(_events(spark, folder, landing), table, checkpoint, "user_id", "event_id", _prepared)
+        )
+        if number % 2:
+            refresh.compact(spark, table, "user_id", seq="event_id")
+
+    refresh.run_cycles(cycle, times=4, report=lambda _: None)
+    return refresh.latest_rows(spark, table, "user_id", seq="event_id")
 
 
 def stream_dedup(spark, folder):
@@ -71,6 +90,7 @@ _LATEST = """SELECT user_id, max(event_id) AS event_id, arg_max(event_type, even
 QUERIES = {
     "stream_refresh": Query(stream_refresh, _LATEST),
     "stream_refresh_batches": Query(stream_refresh_batches, _LATEST),
+    "refresh_cycles": Query(refresh_cycles, _LATEST),
     "stream_dedup": Query(stream_dedup, "SELECT DISTINCT user_id, event_type FROM events"),
     "stream_dedup_watermark": Query(stream_dedup_watermark, "SELECT DISTINCT user_id FROM events"),
 }

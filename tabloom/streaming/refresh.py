@@ -8,6 +8,7 @@ failure overwrites that folder with the same rows.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -79,9 +80,45 @@ def latest_rows(spark: SparkSession, table: str, key: str, seq: str = "batch_id"
     return last_per_key(spark.read.parquet(table), key, seq).drop("batch_id")
 
 
-def compact(spark: SparkSession, table: str, key: str, into: str, seq: str = "batch_id") -> None:
-    """Write the current state as the first batch of a new table folder."""
-    latest_rows(spark, table, key, seq).write.mode("errorifexists").parquet(f"{into}/batch_id=-1")
+def compact(spark: SparkSession, table: str, key: str, seq: str = "batch_id") -> None:
+    """Replace the batch folders of a table by one with its current state; a refresh goes on with the same table.
+
+    The state is written beside the table's folders and joins them below all others, so it never outranks a batch.
+    Then the old folders go from the oldest on: whatever is left when this breaks off still gives the
+    same state, and the next compaction finishes the work.
+    """
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    root = hadoop.Path(table)
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = (s.getPath().getName() for s in files.listStatus(root))
+    ids = sorted(int(n.removeprefix("batch_id=")) for n in names if n.startswith("batch_id="))
+    lowest = min(ids[0], 0) - 1
+    written = f"{table}/_compact{lowest}"
+    latest_rows(spark, table, key, seq).write.mode("overwrite").parquet(written)
+    if not files.rename(hadoop.Path(written), hadoop.Path(f"{table}/batch_id={lowest}")):
+        raise OSError(f"cannot place the compacted batch in {table}")
+    for i in ids:
+        files.delete(hadoop.Path(f"{table}/batch_id={i}"), True)
+
+
+def run_cycles(cycle: Callable[[int], None], times: int | None = None, interval_seconds: float = 0.0, report=print) -> int:
+    """Run a refresh cycle (take in, prepare, store, recluster) again and again; returns how many worked.
+
+    A failed cycle is reported and the next one starts on time; what it left undone lies before the
+    stream's checkpoint and is taken in then. Without ``times`` it runs for ever.
+    """
+    worked = number = 0
+    while times is None or number < times:
+        due = time.monotonic() + interval_seconds
+        try:
+            cycle(number)
+            worked += 1
+        except Exception as problem:
+            report(f"refresh cycle {number} failed: {problem}")
+        number += 1
+        if number != times:
+            time.sleep(max(0.0, due - time.monotonic()))
+    return worked
 
 
 def start_first_seen(stream: DataFrame, table: str, checkpoint: str, keys: list[str]) -> StreamingQuery:

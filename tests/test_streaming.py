@@ -28,9 +28,25 @@ def test_batches_keep_the_latest_and_resume_at_the_checkpoint(spark, tmp_path):
     assert state(spark, table) == [(1, 2, "b"), (2, 5, "d"), (3, 1, "e")]
     # Only the new file was read the second time.
     assert spark.read.parquet(table).where("batch_id = 1").count() == 2
-    compacted = str(tmp_path / "compact")
-    refresh.compact(spark, table, "id", compacted)
-    assert state(spark, compacted) == [(1, 2, "b"), (2, 5, "d"), (3, 1, "e")]
+    refresh.compact(spark, table, "id")
+    assert state(spark, table) == [(1, 2, "b"), (2, 5, "d"), (3, 1, "e")]
+    assert [r["batch_id"] for r in spark.read.parquet(table).select("batch_id").distinct().collect()] == [-1]
+    land(spark, folder, [(3, 9, "f")])
+    refresh.run_refresh(start)
+    refresh.compact(spark, table, "id")
+    assert state(spark, table) == [(1, 2, "b"), (2, 5, "d"), (3, 9, "f")]
+
+
+def test_cycles_go_on_after_a_failure():
+    seen, reports = [], []
+
+    def cycle(number):
+        seen.append(number)
+        if number == 1:
+            raise ValueError("once")
+
+    assert refresh.run_cycles(cycle, times=4, report=reports.append) == 3
+    assert seen == [0, 1, 2, 3] and reports == ["refresh cycle 1 failed: once"]
 
 
 def test_failed_batch_is_reported_and_run_again(spark, tmp_path):
@@ -67,3 +83,12 @@ def test_first_seen_across_files(spark, tmp_path):
     land(spark, folder, [(1, 3, "c"), (2, 1, "d")])
     refresh.run_refresh(start)
     assert sorted(r["id"] for r in spark.read.parquet(table).collect()) == [1, 2]
+
+
+def test_first_stored_takes_late_keys_once(spark, tmp_path):
+    folder, table, mark = (str(tmp_path / n) for n in ("in", "table", "mark"))
+    for rows in ([(1, 100, "a"), (2, 2000, "b")], [(3, 200, "c"), (4, 2100, "d"), (1, 2100, "e")], [(3, 1, "f")]):
+        land(spark, folder, rows)
+        refresh.run_refresh(lambda: refresh.start_first_stored(
+            refresh.stream_files(spark, folder, SCHEMA).select("id"), table, mark, ["id"]))
+    assert sorted(r["id"] for r in spark.read.parquet(table).collect()) == [1, 2, 3, 4]
