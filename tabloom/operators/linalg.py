@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_BLOCK = "bi bigint, bj bigint, data binary"
+_BLOCK = "bi bigint, bj bigint, places binary, data binary"
 _CELL = "row bigint, col bigint, v double"
 
 
@@ -34,14 +34,36 @@ def multiply(a: DataFrame, b: DataFrame) -> DataFrame:
     )
 
 
+def _coded(block: np.ndarray) -> tuple[bytes | None, bytes]:
+    """Places and values of a block's cells, or the whole block where that is shorter."""
+    flat = block.ravel()
+    places = np.flatnonzero(flat).astype(np.int32)
+    if places.nbytes + 8 * len(places) < flat.nbytes:
+        return places.tobytes(), flat[places].tobytes()
+    return None, flat.tobytes()
+
+
+def _decoded(places: pa.Scalar, data: pa.Scalar, size: int) -> np.ndarray:
+    values = np.frombuffer(data.as_buffer())
+    if not places.is_valid:
+        return values.reshape(size, size)
+    block = np.zeros(size * size)
+    block[np.frombuffer(places.as_buffer(), dtype=np.int32)] = values
+    return block.reshape(size, size)
+
+
 def _pack(cells: DataFrame, size: int) -> DataFrame:
-    """Dense ``size`` x ``size`` blocks, zero-padded at the edges; cells that come more than once are summed."""
+    """``size`` x ``size`` blocks, as long as their cells need; cells that come more than once are summed."""
 
     def pack(key: tuple, part: pa.Table) -> pa.Table:
         block = np.zeros((size, size))
         np.add.at(block, (part.column("r").to_numpy(), part.column("c").to_numpy()), part.column("v").to_numpy())
+        places, data = _coded(block)
         return pa.table(
-            {"bi": [key[0].as_py()], "bj": [key[1].as_py()], "data": pa.array([block.tobytes()], pa.binary())}
+            {
+                "bi": [key[0].as_py()], "bj": [key[1].as_py()],
+                "places": pa.array([places], pa.binary()), "data": pa.array([data], pa.binary()),
+            }
         )
 
     return (
@@ -58,55 +80,51 @@ def _pack(cells: DataFrame, size: int) -> DataFrame:
 
 
 def block_multiply(a: DataFrame, b: DataFrame, size: int = 256, group: int = 4, held: int = 64) -> DataFrame:
-    """Matrix product by dense blocks; returns the non-zero cells.
+    """Matrix product by blocks; returns the non-zero cells.
 
     Blocks meet per (row group, column group, inner block), where a group is
     ``group`` blocks: no meeting holds more than ``group``^2 pairs, however long
-    the matrices are. A task sums up to ``held`` result blocks before it
+    the matrices are, and a block is copied only to groups the other side has blocks for. What is
+    shuffled follows the number of cells. A task sums up to ``held`` result blocks before it
     passes them on, and the final sum streams over partial blocks.
     """
     left, right = _pack(a, size), _pack(b, size)
-    rows_of_blocks = F.floor(F.max("row") / size / group)
-    last_i = a.agg(rows_of_blocks).head()[0]
-    last_j = b.agg(F.floor(F.max("col") / size / group)).head()[0]
-    if last_i is None or last_j is None:
-        return a.select("row", F.col("col"), F.col("v").cast("double")).limit(0)
+    row_groups = a.select(
+        F.floor(F.col("col") / size).alias("bk"), F.floor(F.floor(F.col("row") / size) / group).alias("gi")
+    ).distinct()
+    column_groups = b.select(
+        F.floor(F.col("row") / size).alias("bk"), F.floor(F.floor(F.col("col") / size) / group).alias("gj")
+    ).distinct()
     pairs = left.select(
-        F.col("bi"),
-        F.floor(F.col("bi") / group).alias("gi"),
-        F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(last_j).cast("bigint"))).alias("gj"),
-        F.col("bj").alias("bk"),
-        F.col("data").alias("left_data"),
-    ).join(
+        "bi", F.floor(F.col("bi") / group).alias("gi"), F.col("bj").alias("bk"),
+        F.struct("places", "data").alias("l"),
+    ).join(column_groups, "bk").join(
         right.select(
-            F.col("bj"),
-            F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(last_i).cast("bigint"))).alias("gi"),
-            F.floor(F.col("bj") / group).alias("gj"),
-            F.col("bi").alias("bk"),
-            F.col("data").alias("right_data"),
-        ),
+            "bj", F.floor(F.col("bj") / group).alias("gj"), F.col("bi").alias("bk"),
+            F.struct("places", "data").alias("r"),
+        ).join(row_groups, "bk"),
         ["gi", "gj", "bk"],
     )
 
     def rows_out(sums: dict) -> pa.RecordBatch:
+        coded = [_coded(s) for s in sums.values()]
         return pa.RecordBatch.from_arrays(
             [
                 pa.array([k[0] for k in sums], pa.int64()),
                 pa.array([k[1] for k in sums], pa.int64()),
-                pa.array([s.tobytes() for s in sums.values()], pa.binary()),
+                pa.array([c[0] for c in coded], pa.binary()),
+                pa.array([c[1] for c in coded], pa.binary()),
             ],
-            ["bi", "bj", "data"],
+            ["bi", "bj", "places", "data"],
         )
 
-    def matrix(value: pa.Scalar) -> np.ndarray:
-        return np.frombuffer(value.as_buffer()).reshape(size, size)
-
     def product(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[tuple[int, int], np.ndarray] = {}
         for batch in batches:
             spots = zip(batch.column("bi").to_pylist(), batch.column("bj").to_pylist())
-            for spot, l, r in zip(spots, batch.column("left_data"), batch.column("right_data")):
-                part = matrix(l) @ matrix(r)
+            sides = [batch.column(c) for c in ("left_places", "left_data", "right_places", "right_data")]
+            for spot, lp, ld, rp, rd in zip(spots, *sides):
+                part = _decoded(lp, ld, size) @ _decoded(rp, rd, size)
                 if spot in sums:
                     sums[spot] += part
                 else:
@@ -120,8 +138,8 @@ def block_multiply(a: DataFrame, b: DataFrame, size: int = 256, group: int = 4,
     def total(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = np.zeros((size, size))
         for batch in batches:
-            for value in batch.column("data"):
-                block += matrix(value)
+            for places, data in zip(batch.column("places"), batch.column("data")):
+                block += _decoded(places, data, size)
         r, c = np.nonzero(block)
         yield pa.RecordBatch.from_arrays(
             [
@@ -132,8 +150,11 @@ def block_multiply(a: DataFrame, b: DataFrame, size: int = 256, group: int = 4,
             ["row", "col", "v"],
         )
 
-    partial = pairs.select("bi", "bj", "left_data", "right_data").mapInArrow(product, _BLOCK)
-    return partial.groupBy("bi", "bj").applyInArrow(total, _CELL)
+    flat = pairs.select(
+        "bi", "bj", F.col("l.places").alias("left_places"), F.col("l.data").alias("left_data"),
+        F.col("r.places").alias("right_places"), F.col("r.data").alias("right_data"),
+    )
+    return flat.mapInArrow(product, _BLOCK).groupBy("bi", "bj").applyInArrow(total, _CELL)
 
 
 def filter_grid(grid: DataFrame, kernel: list[list[float]], side: int, tile: int = 256) -> DataFrame:

@@ -63,3 +63,11 @@ def test_empty_tiles_are_zeros_and_int_columns_work(spark):
 def test_even_or_uneven_kernels_are_refused(spark, kernel):
     with pytest.raises(ValueError):
         linalg.filter_grid(cells(spark, np.eye(3)).toDF("y", "x", "v"), kernel, 3)
+
+
+def test_repeated_cells_add_up(spark):
+    left = spark.createDataFrame([(0, 0, 1.0), (0, 0, 2.0), (90, 3, 1.0)], "row long, col long, v double")
+    right = spark.createDataFrame([(0, 70, 1.0), (3, 0, 4.0), (500, 1, 9.0)], "row long, col long, v double")
+    got = {(r["row"], r["col"]): r["v"] for r in linalg.block_multiply(left, right, size=8, group=2).collect()}
+    assert got == {(0, 70): 3.0, (90, 0): 4.0}
+    assert got == {(r["row"], r["col"]): r["v"] for r in linalg.multiply(left, right).collect()}
