@@ -125,14 +125,19 @@ def as_bytes(column: pa.Array) -> list[bytes]:
 
 def runs(texts: list[bytes], limit: int = 1 << 20) -> Iterator[tuple[int, int]]:
     """Ranges of rows with about ``limit`` bytes each; a longer text stands alone."""
+    yield from size_runs([len(t) for t in texts], limit)
+
+
+def size_runs(sizes: list[int], limit: int) -> Iterator[tuple[int, int]]:
+    """Ranges whose sizes add up to about ``limit``; a larger one stands alone."""
     first, total = 0, 0
-    for i, text in enumerate(texts):
-        if i > first and total + len(text) > limit:
+    for i, size in enumerate(sizes):
+        if i > first and total + size > limit:
             yield first, i
             first, total = i, 0
-        total += len(text)
-    if texts:
-        yield first, len(texts)
+        total += size
+    if sizes:
+        yield first, len(sizes)
 
 
 def split_words(texts: list[bytes], table: bytes, ignored: bytes = b"") -> tuple[np.ndarray, np.ndarray]:

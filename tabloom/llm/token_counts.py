@@ -24,10 +24,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabloom.llm.grams import kept_in_worker, runs
+from tabloom.llm.grams import kept_in_worker, size_runs
 
 CHUNK = 128
 KEPT = 150_000
@@ -259,11 +260,11 @@ def _counted(batches: Iterator[pa.RecordBatch], spec: str) -> Iterator[pa.Record
     machine = kept_in_worker(("bpe", hash(spec)), lambda: Transducer(json.loads(spec)))
     gc.disable()  # hundreds of thousands of states and no cycle that could go before them
     for batch in batches:
-        texts = [x or "" for x in batch.column("text").to_pylist()]
-        sizes = [len(t.encode()) for t in texts]
+        column = batch.column("text")
+        sizes = pc.binary_length(column).fill_null(0).to_pylist()
         tokens = []
-        for first, last in runs([t.encode() for t in texts], 1 << 19):
-            tokens += machine.counts(texts[first:last])
+        for first, last in size_runs(sizes, 1 << 19):
+            tokens += machine.counts([x or "" for x in column.slice(first, last - first).to_pylist()])
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(tokens, pa.int64())], names=["doc_id", "n_bytes", "n_tokens"])
 
 
