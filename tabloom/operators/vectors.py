@@ -79,12 +79,11 @@ def fit_terms(docs: DataFrame, text: str, max_features: int = 5000, min_docs: in
     to the alphabetically smaller term. Weight: ``ln((1 + n) / (1 + docs)) + 1``.
     """
     n_docs = docs.count()
-
-    def best(least: int) -> list:
-        kept = term_statistics(docs, text).where(F.col("docs") >= least)
-        return kept.orderBy(F.desc("total"), F.asc("token")).limit(max_features).collect()
-
-    rows = best(min_docs) or best(1)
+    common = F.col("docs") >= min_docs
+    # One pass over the texts: terms that qualify come first, the others only matter if none does.
+    order = [F.desc(common), F.desc("total"), F.asc("token")]
+    rows = term_statistics(docs, text).orderBy(*order).limit(max_features).collect()
+    rows = [r for r in rows if r["docs"] >= min_docs] or rows
     if not rows:
         raise ValueError("no terms in the documents")
     weights = [math.log((1 + n_docs) / (1 + r["docs"])) + 1 for r in rows]
