@@ -10,8 +10,8 @@ Each candidate is confirmed by the edit distance between the whole item and the
 
 A word is compared without its case and without characters other than letters, digits and bytes above ASCII.
 
-Cases: null and empty texts or items match nothing; a repeated item reports under each of its ids; an item of fewer
-than eight words is its own window; rows with a null id are checked like the others.
+Cases: null and empty texts or items match nothing, nor do items of fewer than ``LEAST`` words, which cannot be told from ordinary
+text; a repeated item reports under each of its ids; an item of fewer than eight words is its own window; rows with a null id are checked like the others.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from tabloom.llm.grams import GOLD, U, as_bytes, byte_table, kept_in_worker, mix, runs, split_words, stored
 
 REPEATS, SAMPLES = 3, 9
-EDIT_RATIO = 0.2
+EDIT_RATIO, LEAST = 0.2, 5
 BLOCK_BYTES = 4 << 20
 STEP = 1 << 14
 
@@ -79,7 +79,7 @@ class Table:
         self.ids, self.words, self.limit = [], [], []
         for ident, text in items:
             words, _ = _words([text])
-            if len(words):
+            if len(words) >= LEAST:
                 self.ids.append(ident)
                 self.words.append(words)
                 self.limit.append(int(len(words) * ratio))

@@ -45,26 +45,38 @@ WORDS = frozenset(
     "recommended recommendations share sharing social comment comments disqus replies respond subscribe newsletter signup "
     "login pagination pager toolbar skip hidden".split()
 )
+STATES = frozenset("has with no without is js not".split())
+HEADS = frozenset("header masthead banner".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 TAG = re.compile(r"<(?:!--.*?(?:-->|\Z)|(/?)([a-zA-Z][^\s>/]*)((?:[^'\">]++|\"[^\"]*\"|'[^']*')*+)>|(/?)([a-zA-Z][^\s>/]*)([^>]*)>|[!?/][^>]*>)", re.S)
 ATTRIBUTE = re.compile(r"""(class|id|role|style|hidden|aria-hidden)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?(?=[\s/"']|$)""", re.I)
 UNFINISHED = re.compile(r"<[a-zA-Z/!?][^<>]*\Z")
 
 
-def _is_furniture(name: str, attributes: str) -> bool:
+def _named_words(value: str) -> set[str]:
+    """The words of class and id names; a name like ``has-sidebar`` says what its element has, not what it is."""
+    names = (re.split(r"[_-]+", name) for name in value.split())
+    return {word for parts in names if parts[0] not in STATES for word in parts}
+
+
+def _furniture(name: str, attributes: str, inside: bool) -> int:
+    """2 for page furniture, 1 for the head of an article, whose headings stay, 0 for anything else."""
     if name in FURNITURE:
-        return True
-    if not attributes or attributes.isspace():
-        return False
+        return 1 if name == "header" and inside else 2
+    if not attributes or attributes.isspace() or name in ("html", "body"):
+        return 0
+    found = 0
     for m in ATTRIBUTE.finditer(attributes):
         key, value = m.group(1).lower(), (m.group(2) or m.group(3) or m.group(4) or "").lower()
-        if key in ("class", "id") and name not in ("body", "html") and not WORDS.isdisjoint(re.split(r"[\s_-]+", value)):
-            return True
-        if (key == "role" and value in ROLES) or key == "hidden" or (key == "aria-hidden" and value == "true"):
-            return True
-        if key == "style" and re.search(r"display\s*:\s*none", value):
-            return True
-    return False
+        if key in ("class", "id"):
+            words = _named_words(value) & WORDS
+            if words:
+                found = max(found, 1 if inside and words <= HEADS else 2)
+        elif key == "role":
+            found = max(found, 2 * (value in ROLES))
+        elif key == "hidden" or (key == "aria-hidden" and value == "true") or (key == "style" and re.search(r"display\s*:\s*none", value)):
+            found = 2
+    return found
 
 
 def text_blocks(page: str) -> tuple[list[str], list[int]]:
@@ -120,10 +132,8 @@ def text_blocks(page: str) -> tuple[list[str], list[int]]:
                     if stack[i][0] in BLOCKS:
                         break
             _, depth, inside = stack[-1] if stack else ("", 0, False)
-            odd = _is_furniture(name, m.group(3) or m.group(6) or "")
-            # an article's own header holds its title
-            step = 2 if odd and not (name == "header" and inside) else int(odd)
-            stack.append((name, depth + step, inside or name in ("article", "main") or 'role="main"' in (m.group(3) or "")))
+            depth += _furniture(name, m.group(3) or m.group(6) or "", inside)
+            stack.append((name, depth, inside or name in ("article", "main") or 'role="main"' in (m.group(3) or "")))
         if stack:
             _, furniture, article = stack[-1]
             heading = any(s[0] in HEADINGS for s in stack)
@@ -155,7 +165,7 @@ def suffix_groups(tokens: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarra
     while h < depth:
         step = min(h, depth - h)
         following = np.zeros(n, dtype=np.int64)
-        following[: n - step] = rank[step:]
+        following[: max(0, n - step)] = rank[step:]
         _, rank = np.unique(rank * (n + 2) + following, return_inverse=True)
         rank = rank.astype(np.int64) + 1
         h += step
@@ -182,7 +192,7 @@ def shared_runs(words: np.ndarray, bounds: np.ndarray, run: int = RUN) -> np.nda
     value[order] = support[group]
     value[ends] = 0
     best = value.copy()  # a word has the best of the runs that reach it
-    for k in range(1, run):
+    for k in range(1, min(run, len(value))):
         np.maximum(best[k:], value[: len(value) - k], out=best[k:])
     return best[at]
 

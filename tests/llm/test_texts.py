@@ -148,6 +148,8 @@ def test_blocks_of_a_page():
     texts, places = html_text.text_blocks(PAGE.format(7))
     assert [t for t, p in zip(texts, places) if p == 2] == ["Title <7>", "First one 7. second line", "Café €7 inline", "item 7", "item two", "code 7"]
     assert [t for t, p in zip(texts, places) if p == 1] == []
+    odd = '<div class="site has-sidebar"><article><div class="post-header"><h2>T</h2><i>by A</i></div>x<div class="share-box">s</div></article></div><p hidden>h</p>y'
+    assert html_text.text_blocks(odd) == (["T", "by A", "x", "s", "h", "y"], [2, 0, 2, 0, 0, 1])
     assert html_text.text_blocks("") == ([], []) and html_text.text_blocks("plain &amp; text <a href='x") == (["plain & text"], [1])
 
 
