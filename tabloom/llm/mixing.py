@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from tabloom.llm.grams import GOLD, U, mix, row_key, stored
 
 MOST = 3.0
-LEAF, FAN = 20_000, 256
+LEAF, FAN = 1_000, 256
 NEAR = 1e-9
 
 
@@ -146,10 +146,10 @@ def plan_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
 
 def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **how) -> DataFrame:
     """The mixed documents: each row as often as the mix takes it, with the columns of ``docs``."""
-    plan = plan_mix(docs, id_col, text_col, source_col, **how).filter("copies > 0").select(F.col("rkey").alias("_rkey"), F.col("copies").alias("_copies"))
-    keyed = docs.withColumn("_mine", F.xxhash64(
+    plan = plan_mix(docs, id_col, text_col, source_col, **how).filter("copies > 0").select(F.col("rkey").alias("__rkey"), F.col("copies").alias("__copies"))
+    keyed = docs.withColumn("__mine", F.xxhash64(
         F.col(id_col).cast("long"), F.col(id_col).cast("long").isNull(), F.col(source_col).cast("string"),
         F.col(source_col).cast("string").isNull(), F.col(text_col).cast("string"), F.col(text_col).cast("string").isNull()))
-    joined = keyed.join(plan, F.col("_mine") == F.col("_rkey"))
-    copies = joined.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
+    joined = keyed.join(plan, F.col("__mine") == F.col("__rkey"))
+    copies = joined.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies"))))
     return copies.select(*[F.col(f"`{c}`") for c in docs.columns])
