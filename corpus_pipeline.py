@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tabloom.llm import classifier, decontaminate, mixing, near_dup, queries, resharding
 from tabloom.llm.grams import stored
-from tabloom.session import load
+from tabloom.session import load, scratch_dir
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,9 +30,9 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every row with its new shard and its slot there; the columns of the documents stay."""
-    rows = resharding.sized(docs, queries.OLD_SHARDS)
-    return resharding.placed(docs, resharding.reshard(rows, queries.OLD_SHARDS, queries.NEW_SHARDS))
+    """Every row, from the rewritten shards, with its new shard and its slot there; the columns of the documents stay."""
+    plan = resharding.reshard(resharding.sized(docs, queries.OLD_SHARDS), queries.OLD_SHARDS, queries.NEW_SHARDS)
+    return resharding.resharded(spark, docs, plan, scratch_dir(spark, "resharded"))
 
 
 STAGES = [

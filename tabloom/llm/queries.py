@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabloom.llm import classifier, decontaminate, html_text, line_dedup, mixing, near_dup, quality_rules, resharding, secret_scan, token_counts
-from tabloom.session import load
+from tabloom.session import load, scratch_dir
 
 OLD_SHARDS, NEW_SHARDS = 32, 40
 
@@ -25,8 +25,10 @@ def leaks(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def resharded(spark: SparkSession, folder: str) -> DataFrame:
-    rows = resharding.sized(load(spark, folder, "documents"), OLD_SHARDS)
-    out = resharding.reshard(rows, OLD_SHARDS, NEW_SHARDS)
+    docs = load(spark, folder, "documents")
+    plan = resharding.reshard(resharding.sized(docs, OLD_SHARDS), OLD_SHARDS, NEW_SHARDS)
+    files = resharding.resharded(spark, docs, plan, scratch_dir(spark, "resharded"))
+    out = resharding.sized(files, OLD_SHARDS, keep=("shard", "slot"))
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
                       F.lit(None).cast("int").alias("grown_shard"), F.col("from").alias("old_shard"))
 

@@ -168,15 +168,16 @@ def reshard(rows: DataFrame, old_shards: int, shards: int, capacity: list[int] |
     return out.withColumn("slot", F.col("slot").cast("long")).drop("block")
 
 
-def sized(docs: DataFrame, old_shards: int, id_col: str = "doc_id", text_col: str = "text", shard_col: str = "source", overhead: int = 16) -> DataFrame:
-    """(doc_id, rkey, size, text_crc32, from): the old layout keeps each value of ``shard_col`` in one of ``old_shards`` shards."""
+def sized(docs: DataFrame, old_shards: int, id_col: str = "doc_id", text_col: str = "text", shard_col: str = "source", overhead: int = 16,
+          keep: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, rkey, size, text_crc32, from) and the columns of ``keep``: the old layout keeps each value of ``shard_col`` in one of ``old_shards`` shards."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
-                       F.col(shard_col).cast("string").alias("source"))
+                       F.col(shard_col).cast("string").alias("source"), *keep)
     text = F.coalesce(F.col("text"), F.lit(""))
     return rows.select(
         "doc_id", row_key("doc_id", "source", "text").alias("rkey"), (F.octet_length(text) + overhead).cast("long").alias("size"),
         F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"),
-        F.pmod(F.xxhash64("source", F.col("source").isNull()), F.lit(old_shards)).cast("int").alias("from"),
+        F.pmod(F.xxhash64("source", F.col("source").isNull()), F.lit(old_shards)).cast("int").alias("from"), *keep,
     )
 
 
@@ -189,13 +190,19 @@ def numbered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     return rows.withColumn("__copy", F.row_number().over(Window.partitionBy("__rkey").orderBy(F.lit(0))))
 
 
-def placed(docs: DataFrame, plan: DataFrame, id_col: str = "doc_id", text_col: str = "text", shard_col: str = "source") -> DataFrame:
-    """The documents with size, shard and slot of their plan; a name the documents have is taken with an underscore before it."""
+def _names(docs: DataFrame) -> dict[str, str]:
+    """The columns ``placed`` adds; a name the documents have is taken with an underscore before it."""
     names = {}
     for name in ("size", "shard", "slot"):
         names[name] = name
         while names[name] in docs.columns:
             names[name] = "_" + names[name]
+    return names
+
+
+def placed(docs: DataFrame, plan: DataFrame, id_col: str = "doc_id", text_col: str = "text", shard_col: str = "source") -> DataFrame:
+    """The documents with size, shard and slot of their plan."""
+    names = _names(docs)
     keys = plan.select(F.col("rkey").alias("__rkey"), F.col("copy").alias("__copy"), *[F.col(a).alias(b) for a, b in names.items()])
     return numbered(docs, id_col, text_col, shard_col).join(keys, ["__rkey", "__copy"]).drop("__rkey", "__copy")
 
@@ -203,11 +210,29 @@ def placed(docs: DataFrame, plan: DataFrame, id_col: str = "doc_id", text_col: s
 def rewrite(spark: SparkSession, docs: DataFrame, plan: DataFrame, folder: str) -> DataFrame:
     """Write the files of the affected shards: those that gain or lose a document; returns (shard, affected, rows).
 
-    A shard that keeps exactly its documents is left as it is.
+    A shard that keeps exactly its documents is left as it is, one that loses all of them loses its files.
     """
     lost = plan.filter("`from` <> shard").select(F.explode(F.array("from", "shard")).alias("shard")).distinct()
-    state = plan.groupBy("shard").agg(F.count("*").alias("rows")).join(lost.withColumn("affected", F.lit(True)), "shard", "left")
-    state = stored(state.withColumn("affected", F.coalesce("affected", F.lit(False))), "shards")
+    state = plan.groupBy("shard").agg(F.count("*").alias("rows")).join(lost.withColumn("affected", F.lit(True)), "shard", "full")
+    state = stored(state.select("shard", F.coalesce("affected", F.lit(False)).alias("affected"), F.coalesce("rows", F.lit(0)).alias("rows")), "shards")
     rows = placed(docs, plan.join(state.filter("affected").select("shard"), "shard", "left_semi"))
-    rows.write.partitionBy(rows.columns[-2]).mode("overwrite").parquet(os.path.join(folder, "shards"))
+    path, name = os.path.join(folder, "shards"), _names(docs)["shard"]
+    # only the folders of shards that get rows are replaced
+    rows.write.partitionBy(name).option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path)
+    for row in state.filter("rows = 0").collect():  # at most a row per shard
+        gone = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{name}={row['shard']}")
+        gone.getFileSystem(spark._jsc.hadoopConfiguration()).delete(gone, True)
     return state
+
+
+def resharded(spark: SparkSession, docs: DataFrame, plan: DataFrame, folder: str) -> DataFrame:
+    """The documents with size, shard and slot: those of affected shards as rewritten under ``folder``, the others as they are."""
+    plan = stored(plan, "plan")
+    state = rewrite(spark, docs, plan, folder)
+    same = placed(docs, plan.join(state.filter("not affected").select("shard"), "shard", "left_semi"))
+    if not state.filter("affected and rows > 0").head(1):
+        return same
+    files = spark.read.schema(same.schema).parquet(os.path.join(folder, "shards"))
+    files = files.join(F.broadcast(state.filter("affected").select(F.col("shard").alias("__new"))), F.col(_names(docs)["shard"]) == F.col("__new")).drop("__new")
+    files = files.select(same.columns)
+    return files.unionByName(same) if state.filter("not affected").head(1) else files

@@ -205,6 +205,24 @@ def test_an_even_layout_moves_nothing_and_rewrites_nothing(spark, tmp_path):
     assert sum(r.rows for r in state if r.affected) == spark.read.parquet(str(tmp_path / "g" / "shards")).count() == 120
 
 
+def test_a_rewrite_leaves_other_shards_and_empties_lost_ones(spark, tmp_path):
+    docs = documents(spark, [(i, "x" * 84, "en", str(i), 0, 0, 0.0, "", 0) for i in range(40)])
+    keys = resharding.sized(docs, 4).withColumn("from", F.pmod("doc_id", F.lit(4)).cast("int"))
+    old = keys.withColumn("copy", F.lit(1)).withColumn("shard", F.col("from")).withColumn("slot", F.lit(0).cast("long"))
+    path = str(tmp_path / "shards")
+    resharding.placed(docs, old).write.partitionBy("_shard").parquet(path)
+    kept = sorted((tmp_path / "shards" / "_shard=0").glob("*.parquet"))
+    # shard 3 goes to shard 2; 0 and 1 keep their documents
+    plan = old.withColumn("shard", F.least("from", F.lit(2)))
+    state = {r.shard: (r.affected, r.rows) for r in resharding.rewrite(spark, docs, plan, str(tmp_path)).collect()}
+    assert state == {0: (False, 10), 1: (False, 10), 2: (True, 20), 3: (True, 0)}
+    assert kept and sorted((tmp_path / "shards" / "_shard=0").glob("*.parquet")) == kept
+    got = spark.read.parquet(path).select("doc_id", "_shard").collect()
+    assert sorted((r.doc_id, r._shard) for r in got) == [(i, min(i % 4, 2)) for i in range(40)]
+    whole = resharding.resharded(spark, docs, plan, str(tmp_path / "new"))
+    assert sorted((r.doc_id, r._shard) for r in whole.collect()) == [(i, min(i % 4, 2)) for i in range(40)]
+
+
 def quality_tables(spark):
     rng = random.Random(2)
     rows = [(i, words(i, rng.randrange(5, 90)) + (" ###%% buy now" * 3 if i % 4 == 0 else ""), "en", "s", 0, 0, 0.0, "", 0) for i in range(600)]
