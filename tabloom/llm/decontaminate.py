@@ -5,13 +5,14 @@ advances, and the symbol under it is the output. Two sequences at a small edit d
 their outputs are at a small Hamming distance. A repetition samples a few steps of the walk; equal samples make a
 candidate, and repetitions with independent coins bring the recall to its target. Windows of an item's size class
 are embedded at every word of every document; all of an item's own windows of that size are in the table of
-keys. The walk of a window is stopped after the first sampled step at which no item has the word under the pointer.
+keys. A walk stays inside its window on both sides, so equal windows have equal keys. Items of fewer than ``WHOLE`` words are
+found by exact pieces instead: of one piece more than the edits allowed, one is unedited. The walk of a window is stopped after the first sampled step at which no item has the word under the pointer.
 Each candidate is confirmed by the edit distance between the whole item and the text around the window.
 
 A word is compared without its case and without characters other than letters, digits and bytes above ASCII.
 
 Cases: null and empty texts or items match nothing, nor do items of fewer than ``LEAST`` words, which cannot be told from ordinary
-text; a repeated item reports under each of its ids; an item of fewer than eight words is its own window; rows with a null id are checked like the others.
+text; a repeated item reports under each of its ids; rows with a null id are checked like the others.
 """
 
 from __future__ import annotations
@@ -26,7 +27,8 @@ from pyspark.sql import functions as F
 
 from tabloom.llm.grams import GOLD, U, as_bytes, byte_table, kept_in_worker, mix, runs, split_words, stored
 
-REPEATS, SAMPLES = 3, 9
+REPEATS, SAMPLES = 8, 9
+WHOLE = 16
 EDIT_RATIO, LEAST = 0.2, 5
 BLOCK_BYTES = 4 << 20
 STEP = 1 << 14
@@ -51,8 +53,8 @@ def folded(text: bytes) -> bytes:
 
 
 def window_size(n: int) -> int:
-    """Words in a window for items of ``n`` words: the whole item up to 15 words, else half its size class."""
-    return n if n < 8 else max(8, 1 << (n.bit_length() - 2))
+    """Words in a window for items of ``n`` words: half its size class; 0 for items that are found by pieces."""
+    return 0 if n < WHOLE else 1 << (n.bit_length() - 2)
 
 
 def _steps(size: int, repeat: int) -> list[int]:
@@ -94,12 +96,13 @@ class Table:
         self.plan = []
         for repeat in range(repeats):
             coins = _coins(every, repeat)
-            for size in np.unique(classes):
+            for size in np.unique(classes[classes > 0]):
                 steps, chosen = _steps(int(size), repeat), np.flatnonzero(classes == size)
                 many = lengths[chosen] - size + 1
                 owner = np.repeat(chosen, many)
                 offset = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-                p, last = begins[owner] + offset, begins[owner] + lengths[owner] - 1
+                p = begins[owner] + offset
+                last = p + size - 1
                 key, masks, j = np.zeros(len(p), dtype=np.uint64), [], 0
                 for step in steps:
                     while j < step:
@@ -113,7 +116,40 @@ class Table:
                     mask[_place(key)] = True
                     masks.append(mask)
                 order = np.argsort(key, kind="stable")
-                self.plan.append((repeat, steps, key[order], owner[order], offset[order], first, masks))
+                self.plan.append((repeat, int(size), steps, key[order], owner[order], offset[order], first, masks))
+
+        cuts: dict[int, list[tuple[int, int]]] = {}
+        for item in np.flatnonzero(classes == 0):
+            n, parts = int(lengths[item]), min(int(lengths[item]), self.limit[item] + 1)
+            for i in range(parts):
+                cuts.setdefault(n * (i + 1) // parts - n * i // parts, []).append((int(item), n * i // parts))
+        self.pieces = []
+        for size, places in sorted(cuts.items()):
+            owner, offset = np.array(places, dtype=np.int64).T
+            p, key = begins[owner] + offset, np.zeros(len(places), dtype=np.uint64)
+            for i in range(size):
+                key = key * U(GOLD) + number[p + i]
+            mask = np.zeros(1 << 16, dtype=bool)
+            mask[_place(key)] = True
+            order = np.argsort(key, kind="stable")
+            self.pieces.append((size, key[order], owner[order], offset[order], mask))
+
+    def pieced(self, numbers: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Item and estimated first word of the item, for every place of an exact piece of a short item."""
+        live = np.flatnonzero(numbers)
+        for size, keys, owner, offset, mask in self.pieces:
+            at = live[live + size <= len(numbers)]
+            key = numbers.take(at).view(np.uint64)
+            for i in range(1, size):
+                seen = numbers.take(at + i)
+                both = np.flatnonzero(seen)
+                at, key = at.take(both), key.take(both) * U(GOLD) + seen.take(both).view(np.uint64)
+            both = np.flatnonzero(mask.take(_place(key)))
+            at, key = at.take(both), key.take(both)
+            left, right = np.searchsorted(keys, key, "left"), np.searchsorted(keys, key, "right")
+            many = right - left
+            which = np.repeat(left, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+            yield owner[which], np.repeat(at, many) - offset[which]
 
     def numbers(self, words: np.ndarray) -> np.ndarray:
         """Each word's number among the items' words; 0 if no item has it."""
@@ -136,7 +172,7 @@ class Table:
             numbers[lo : lo + len(part)] = number
             repeat, coins, end = -1, None, len(part) - 1
             count = min(STEP, total - lo)
-            for r, steps, keys, owner, offset, first, masks in self.plan:
+            for r, size, steps, keys, owner, offset, first, masks in self.plan:
                 if r != repeat:
                     repeat, coins = r, _coins(part, r)
                 at = p = np.arange(count)
@@ -147,8 +183,8 @@ class Table:
                         move >>= U(j)
                         move &= U(1)
                         p = p + move.view(np.int64)
-                        if lo + count > last - 64:
-                            np.minimum(p, end, out=p)
+                        if j + 2 > size or lo + count > last - 64:
+                            np.minimum(p, np.minimum(at + (size - 1), end), out=p)
                         j += 1
                     seen = number.take(p)
                     if not i:
@@ -167,6 +203,9 @@ class Table:
                 which = np.repeat(left, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
                 found_item.append(owner[which])
                 found_at.append(np.repeat(at, many) - offset[which] + lo)
+        for item, place in self.pieced(numbers):
+            found_item.append(item)
+            found_at.append(place)
         if not found_item:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
         both = np.unique((np.concatenate(found_item) << 40) | (np.concatenate(found_at) + (1 << 20)))

@@ -90,6 +90,21 @@ def test_blocks_of_the_benchmark_change_nothing(spark, monkeypatch):
     assert {(r.doc_id, r.item_id, r.distance) for r in decontaminate.find_leaks(docs, items).collect()} == whole
 
 
+def test_leaks_of_every_length_and_of_whole_windows():
+    rng = random.Random(4)
+    items = [(i, words(800 + i, 5 + i % 16, 2000).encode()) for i in range(320)]
+    table = decontaminate.Table(items, decontaminate.EDIT_RATIO, decontaminate.REPEATS)
+    for rate, longest in ((0, 1.0), (0.2, 0.95)):
+        texts = []
+        for i, text in items:
+            n = len(text.split())
+            texts.append(f"{words(i, 30, 5000)} {edited(text.decode(), int(n * rate), rng)} {words(i + 1, 30, 5000)}".encode())
+        found = {(a, b) for a, b, *_ in table.matches(texts)}
+        got = [(i, i) in found for i in range(320)]
+        assert all(x for (_, t), x in zip(items, got) if len(t.split()) < decontaminate.WHOLE)
+        assert sum(got) >= longest * 320
+
+
 def plain_targets(sizes):
     """Share, stop, reshare until none is above."""
     names = sorted(sizes, key=lambda s: (s is None, s or ""))
