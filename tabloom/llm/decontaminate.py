@@ -9,14 +9,16 @@ keys. A walk stays inside its window on both sides, so equal windows have equal
 found by exact pieces instead: of one piece more than the edits allowed, one is unedited. The walk of a window is stopped after the first sampled step at which no item has the word under the pointer.
 Each candidate is confirmed by the edit distance between the whole item and the text around the window.
 
-A word is compared without its case and without characters other than letters, digits and bytes above ASCII.
+A word is compared without its case and without characters other than letters, digits and bytes above ASCII. In scripts
+written without blanks each character is a word. Items of fewer than ``LEAST`` words allow no edit, and their whole
+tokens must stand in the text: all characters between the first and the last letter or digit count.
 
-Cases: null and empty texts or items match nothing, nor do items of fewer than ``LEAST`` words, which cannot be told from ordinary
-text; a repeated item reports under each of its ids; rows with a null id are checked like the others.
+Cases: null and empty texts or items match nothing, nor do items without a letter, digit or byte above ASCII; a repeated item reports under each of its ids; rows with a null id are checked like the others.
 """
 
 from __future__ import annotations
 
+import functools
 import re
 from collections.abc import Iterator
 
@@ -35,10 +37,26 @@ STEP = 1 << 14
 
 
 IGNORED = bytes(i for i in range(33, 127) if not chr(i).isalnum())
+# Characters of scripts without blanks, as UTF-8: Thai, Lao, Myanmar, Khmer, kana, Han.
+SOLO = (rb"(?:\xe0[\xb8-\xbb][\x80-\xbf]|\xe1(?:[\x80\x81\x9e\x9f][\x80-\xbf]|\x82[\x80-\x9f])|\xe3[\x81-\x83\x90-\xbf][\x80-\xbf]"
+        rb"|[\xe4-\xe9][\x80-\xbf]{2}|\xef[\xa4-\xab][\x80-\xbf]|\xf0[\xa0-\xbf][\x80-\xbf]{2})")
+APART = re.compile(SOLO)
+TOKEN = re.compile(SOLO + rb"|(?:(?!" + SOLO + rb")[^ \t-\r])+")
 
 
 def _words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    return split_words([folded(t) for t in texts], byte_table(lower=True), IGNORED)
+    texts = [folded(t) for t in texts]
+    return split_words([t if t.isascii() else APART.sub(rb" \g<0> ", t) for t in texts], byte_table(lower=True), IGNORED)
+
+
+def _places(text: bytes) -> list[tuple[int, int]]:
+    """First and end byte of each word."""
+    return [m.span() for m in TOKEN.finditer(text) if m.group().translate(None, IGNORED)]
+
+
+def _plain(text: bytes) -> bytes:
+    """The text as short items are compared: without case, outer punctuation and kinds of white space."""
+    return b" ".join(folded(text).translate(byte_table(lower=True)).split()).strip(IGNORED + b" ")
 
 
 def folded(text: bytes) -> bytes:
@@ -78,13 +96,14 @@ class Table:
     """Keys of all windows of a block of items, by repetition and window size."""
 
     def __init__(self, items: list[tuple[int, bytes]], ratio: float, repeats: int):
-        self.ids, self.words, self.limit = [], [], []
+        self.ids, self.words, self.limit, self.plain = [], [], [], []
         for ident, text in items:
             words, _ = _words([text])
-            if len(words) >= LEAST:
+            if len(words):
                 self.ids.append(ident)
                 self.words.append(words)
-                self.limit.append(int(len(words) * ratio))
+                self.limit.append(int(len(words) * ratio) if len(words) >= LEAST else 0)
+                self.plain.append(_plain(text))
         lengths = np.array([len(w) for w in self.words], dtype=np.int64)
         every = np.concatenate(self.words) if self.words else np.zeros(0, np.uint64)
         self.known = np.unique(every)
@@ -261,6 +280,7 @@ class Table:
             return []
         items, places = self.candidates(words)
         out: dict[tuple[int, int], tuple[int, int]] = {}
+        spans = functools.cache(lambda k: _places(texts[k]))
         for item in np.unique(items):
             at, n, slack = places[items == item], len(self.words[item]), self.limit[item]
             owner = np.searchsorted(bounds, np.clip(at + n // 2, 0, len(words) - 1), "right") - 1
@@ -269,14 +289,20 @@ class Table:
                 distance, end = self.distances(words, int(item), a, bounds[o], bounds[o + 1])
                 for k in np.flatnonzero(distance <= slack):
                     key, found = (int(o[k]), int(item)), (int(distance[k]), int(end[k]))
+                    if n < LEAST:
+                        if key in out:
+                            continue
+                        stop = found[1] - int(bounds[o[k]])
+                        run = spans(key[0])[stop - n : stop]
+                        if _plain(texts[key[0]][run[0][0] : run[-1][1]]) != self.plain[item]:
+                            continue
                     if key not in out or found < out[key]:
                         out[key] = found
         rows = []
         for (text, item), (distance, end) in sorted(out.items()):
-            spans = [m.span() for m in re.finditer(rb"[^ \t-\r]+", texts[text]) if m.group().translate(None, IGNORED)]
             stop = end - int(bounds[text])
             first = max(0, stop - len(self.words[item]))
-            rows.append((text, self.ids[item], distance, spans[first][0], spans[max(stop, first + 1) - 1][1]))
+            rows.append((text, self.ids[item], distance, spans(text)[first][0], spans(text)[max(stop, first + 1) - 1][1]))
         return rows
 
 

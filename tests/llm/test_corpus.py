@@ -105,6 +105,16 @@ def test_leaks_of_every_length_and_of_whole_windows():
         assert sum(got) >= longest * 320
 
 
+def test_leaks_of_short_items_and_of_scripts_without_blanks():
+    han = "".join(chr(0x4E00 + 37 * i) for i in range(30))
+    items = [(1, b"x = 3 + 4"), (2, b"Paris"), (3, han.encode()), (4, "東京は".encode()), (5, b"!!")]
+    table = decontaminate.Table(items, decontaminate.EDIT_RATIO, decontaminate.REPEATS)
+    other = f"{han[:12]}丁{han[13:]}"
+    texts = ["so x = 3  + 4.", "x - 3 + 4 and x 3 4", "in (paris), now", "parisian", f"前{han}後", f"前 {other}後", "この東京は大きい", "!!", "x 3 4 x = 3 + 4"]
+    got = [(a, b, d, texts[a].encode()[i:j].decode()) for a, b, d, i, j in table.matches([t.encode() for t in texts])]
+    assert got == [(0, 1, 0, "x = 3  + 4."), (2, 2, 0, "(paris),"), (4, 3, 0, han), (5, 3, 1, other), (6, 4, 0, "東京は"), (8, 1, 0, "x = 3 + 4")]
+
+
 def plain_targets(sizes):
     """Share, stop, reshare until none is above."""
     names = sorted(sizes, key=lambda s: (s is None, s or ""))
