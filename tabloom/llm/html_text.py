@@ -1,14 +1,15 @@
 """Main text of HTML pages by structure and a suffix array per host.
 
 A page is cut into text blocks by its markup; blocks in menus, headers, footers, sidebars, notices, adverts, forms and
-reader comments are page furniture. The words of all blocks of a host's pages, laid end to end, are sorted as a
-suffix array to the depth of the shortest run that counts; runs that distinct pages share stand side by side there.
-Blocks that such runs cover are boilerplate and the unique runs stay. Where a page names its article, its blocks go only if
-nine tenths of the pages, and at least ten, repeat them, as articles quote and copy each other; elsewhere a tenth is enough. A page most of which is repeated is a
-copy of another page, not boilerplate, and keeps its blocks.
+reader comments are page furniture and go. The words of all other blocks of a host's pages, laid end to end, are sorted
+as a suffix array to the depth of the shortest run that counts; runs that distinct pages share stand side by side there.
+Blocks that runs on a tenth of the host's pages cover are boilerplate and the unique runs stay. As articles quote and
+copy each other, a run in a named article must also stand on three pages and on half of them in the same block from the
+article's first or last, or else on half of the host's pages. A page most of which is repeated is a copy of another page, not
+boilerplate: it keeps its blocks and does not count for others.
 
-A host of many pages is worked off in parts of about ``PART`` pages, dealt by a hash of the page, so a task holds
-one part; what a host repeats on a tenth of its pages is repeated in every part.
+A host of many pages is sorted in parts of about ``PART`` pages, dealt by a hash of the page. A run on a tenth of the host
+is on a tenth of some part, so the parts name their frequent runs, all parts count all runs named, and the sums decide.
 
 Cases: null or empty html gives an empty text; a page without url belongs to the host ''; repeated rows are copies
 of each other; unclosed elements end with their parent and an unfinished tag at the end is dropped.
@@ -26,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabloom.llm.grams import byte_table, split_words
+from tabloom.llm.grams import byte_table, shingles, split_words, stored
 
 PART = 200
 RUN = 8
@@ -173,8 +174,8 @@ def suffix_groups(tokens: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarra
     return order, rank[order]
 
 
-def shared_runs(words: np.ndarray, bounds: np.ndarray, run: int = RUN) -> np.ndarray:
-    """For each word of the pages laid end to end: on how many pages the best run of ``run`` words over it stands."""
+def run_groups(words: np.ndarray, bounds: np.ndarray, run: int = RUN) -> tuple[np.ndarray, np.ndarray]:
+    """For each word of the pages laid end to end: the group of equal runs it begins, and on how many pages they stand."""
     pages = len(bounds) - 1
     owner = np.repeat(np.arange(pages), np.diff(bounds))
     # a mark of its own ends each page, so that no run leaves it
@@ -191,34 +192,130 @@ def shared_runs(words: np.ndarray, bounds: np.ndarray, run: int = RUN) -> np.nda
     value = np.zeros(len(tokens), dtype=np.int64)
     value[order] = support[group]
     value[ends] = 0
+    which = np.zeros(len(tokens), dtype=np.int64)
+    which[order] = group
+    return which[at], value[at]
+
+
+def shared_runs(words: np.ndarray, bounds: np.ndarray, run: int = RUN) -> np.ndarray:
+    """For each word of the pages laid end to end: on how many pages the best run of ``run`` words over it stands."""
+    value = run_groups(words, bounds, run)[1]
+    owner = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
     best = value.copy()  # a word has the best of the runs that reach it
     for k in range(1, min(run, len(value))):
-        np.maximum(best[k:], value[: len(value) - k], out=best[k:])
-    return best[at]
-
-
-def _chosen(rows: pd.DataFrame, run: int) -> pd.DataFrame:
-    """Main text of the pages of one part of a host."""
-    texts, places = list(rows["texts"]), list(rows["places"])
-    blocks = [t.encode() for page in texts for t in page]
-    words, bounds = split_words(blocks, byte_table()) if blocks else (np.zeros(0, np.uint64), np.zeros(1, np.int64))
-    counts = np.array([len(p) for p in texts], dtype=np.int64)
-    firsts = np.cumsum(counts) - counts
-    per_page = np.concatenate([bounds[firsts], bounds[-1:]])
-    support = shared_runs(words, per_page, run) if len(words) else np.zeros(0, np.int64)
-    lows = np.minimum.reduceat(support, np.minimum(bounds[:-1], max(0, len(support) - 1))) if len(support) else np.zeros(len(blocks), np.int64)
-    sizes = np.diff(bounds)
-    pages, out, repeated = len(texts), [], []
-    for i in range(pages):
-        a, b = firsts[i], firsts[i] + counts[i]
-        place = np.asarray(places[i], dtype=np.int64)
-        named = bool((place == 2).any())
-        main = place == 2 if named else place == 1
-        least = max(10, -(-9 * pages // 10)) if named else max(2, -(-pages // 10))
-        covered = main & (lows[a:b] >= least) & (sizes[a:b] > 0)
-        if 2 * sizes[a:b][covered].sum() > sizes[a:b][main].sum():
+        same = owner[k:] == owner[:-k]
+        best[k:][same] = np.maximum(best[k:][same], value[:-k][same])
+    return best
+
+
+class Part:
+    """The runs of the pages of one part of a host: where each stands, on which page and in which block of it."""
+
+    def __init__(self, rows: pd.DataFrame, run: int):
+        self.texts, self.run = list(rows["texts"]), run
+        self.places = [np.asarray(p, dtype=np.int64) for p in rows["places"]]
+        kept = [np.flatnonzero(p > 0) for p in self.places]
+        blocks = [page[k].encode() for page, of_page in zip(self.texts, kept, strict=True) for k in of_page]
+        self.words, self.bounds = split_words(blocks, byte_table()) if blocks else (np.zeros(0, np.uint64), np.zeros(1, np.int64))
+        self.counts = np.array([len(k) for k in kept], dtype=np.int64)
+        self.firsts = np.cumsum(self.counts) - self.counts
+        self.edges = np.concatenate([self.bounds[self.firsts], self.bounds[-1:]])
+        owner = np.repeat(np.arange(len(kept)), np.diff(self.edges))
+        self.at = np.flatnonzero(np.arange(len(self.words)) + run <= self.edges[owner + 1])
+        self.page = owner[self.at]
+        block = np.searchsorted(self.bounds, self.at, "right") - 1 - self.firsts[self.page]
+        self.slots = (2 * block, 2 * (self.counts[self.page] - 1 - block) + 1)
+
+    def hashes(self) -> np.ndarray:
+        """A hash of each run that is the same in all parts."""
+        return shingles(self.words, self.run)[self.at].view(np.int64) if len(self.at) else np.zeros(0, np.int64)
+
+    def covered(self, flags: np.ndarray) -> np.ndarray:
+        """The blocks, in order, all words of which stand in runs with a flag."""
+        word = np.zeros(len(self.words), dtype=bool)
+        for k in range(self.run):
+            word[self.at[flags] + k] = True
+        return np.logical_and.reduceat(word, self.bounds[:-1]) if len(word) else np.zeros(len(self.bounds) - 1, dtype=bool)
+
+    def copies(self, flags: np.ndarray) -> np.ndarray:
+        """The pages most of whose words such blocks hold."""
+        held = np.concatenate([[0], np.cumsum(np.diff(self.bounds) * self.covered(flags))])
+        ends = self.firsts + self.counts
+        return 2 * (held[ends] - held[self.firsts]) > self.edges[1:] - self.edges[:-1]
+
+    def support(self, keys: np.ndarray, named: np.ndarray) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray, np.ndarray]]]:
+        """The keys of the runs named, and for all slots (-1) and each slot (number of key, slot, distinct pages); copies do not count."""
+        use = np.flatnonzero(named & ~self.copies(named)[self.page])
+        known, number = np.unique(keys[use], return_inverse=True)
+        pages, out = len(self.texts), []
+        for slots in (np.full(len(self.at), -1), *self.slots):
+            slot, width = slots[use] + 1, 2 * int(self.counts.max(initial=0)) + 2
+            pairs, which = np.unique(number * width + slot, return_inverse=True)
+            seen = np.unique(which * pages + self.page[use]) // max(1, pages)
+            out.append((pairs // width, pairs % width - 1, np.bincount(seen, minlength=len(pairs))))
+        return known, out
+
+    def shared(self) -> tuple[np.ndarray, np.ndarray]:
+        """The group of each run in the suffix array, and on how many pages of the part it stands."""
+        group, value = run_groups(self.words, self.edges, self.run)
+        return group[self.at], value[self.at]
+
+
+def _frequent(rows: pd.DataFrame, run: int) -> pd.DataFrame:
+    """Runs on a tenth of the pages of one part of a host, if the host has several parts."""
+    if rows["parts"].iloc[0] < 2:
+        return pd.DataFrame()
+    part = Part(rows, run)
+    found = np.unique(part.hashes()[10 * part.shared()[1] >= len(rows)])
+    return pd.DataFrame({"host": rows["host"].iloc[0], "run": found})
+
+
+def _counted(rows: pd.DataFrame, named: pd.DataFrame, run: int) -> pd.DataFrame:
+    """Pages of one part, by slot, for the runs that any part of its host named."""
+    if not len(rows) or not len(named):
+        return pd.DataFrame()
+    part = Part(rows, run)
+    keys = part.hashes()
+    known, counts = part.support(keys, np.isin(keys, np.asarray(named["runs"].iloc[0], dtype=np.int64)))
+    number, slot, n = (np.concatenate(c) for c in zip(*counts, strict=True))
+    return pd.DataFrame({"host": rows["host"].iloc[0], "run": known[number], "slot": slot, "n": n, "pages": rows["pages"].iloc[0]})
+
+
+def _chosen(rows: pd.DataFrame, named: pd.DataFrame, run: int) -> pd.DataFrame:
+    """Main text of the pages of one part, by the host's counts of its runs."""
+    if not len(rows):
+        return pd.DataFrame()
+    part, pages = Part(rows, run), int(rows["pages"].iloc[0])
+    if rows["parts"].iloc[0] < 2:
+        keys, value = part.shared()
+        known, counts = part.support(keys, (10 * value >= pages) & (value > 1))
+        total, fixed = counts[0][2], np.zeros(len(known), dtype=np.int64)
+        for number, _, n in counts[1:]:
+            np.maximum.at(fixed, number, n)
+    elif len(named):
+        keys = part.hashes()
+        known, total, fixed = (np.asarray(named[c].iloc[0], dtype=np.int64) for c in ("runs", "totals", "fixed"))
+        order = np.argsort(known)
+        known, total, fixed = known[order], total[order], fixed[order]
+    else:
+        keys, known = part.hashes(), np.zeros(0, np.int64)
+    anywhere = article = np.zeros(len(keys), dtype=bool)
+    if len(known):
+        tenth = 10 * total >= pages
+        inside = (total >= 3) & ((tenth & (2 * fixed >= total)) | (2 * total >= pages))
+        at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+        hit = known[at] == keys
+        anywhere, article = hit & (tenth & (total >= 2))[at], hit & inside[at]
+    low, high = part.covered(anywhere), part.covered(article)
+    sizes, out, repeated = np.diff(part.bounds), [], []
+    for i, (texts, place) in enumerate(zip(part.texts, part.places, strict=True)):
+        a, b = part.firsts[i], part.firsts[i] + part.counts[i]
+        place = place[place > 0]
+        covered = np.where(place == 2, high[a:b], low[a:b])
+        if 2 * sizes[a:b][covered].sum() > sizes[a:b].sum():
             covered[:] = False
-        out.append("\n\n".join(t for t, keep in zip(texts[i], main & ~covered, strict=True) if keep))
+        kept = [t for t, p in zip(texts, part.places[i], strict=True) if p > 0]
+        out.append("\n\n".join(t for t, gone in zip(kept, covered, strict=True) if not gone))
         repeated.append(int(covered.sum()))
     return pd.DataFrame({
         "page_id": rows["page_id"], "url": rows["url"], "text": out,
@@ -231,9 +328,20 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html"))
     host = F.lower(F.coalesce(F.regexp_extract("url", r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit("")))
     rows = rows.withColumn("host", host)
-    parts = rows.groupBy("host").agg(F.ceil(F.count("*") / part).cast("long").alias("parts"))
+    sizes = stored(rows.groupBy("host").agg(F.count("*").alias("pages")).withColumn("parts", F.ceil(F.col("pages") / part).cast("long")), "hosts")
     parsed = rows.mapInArrow(_parsed, "page_id long, url string, host string, texts array<string>, places array<tinyint>")
-    dealt = parsed.join(parts, "host").withColumn("part", F.pmod(F.xxhash64("page_id", "url"), F.col("parts"))).drop("parts")
-    return dealt.groupBy("host", "part").applyInPandas(
-        lambda group: _chosen(group, run), "page_id long, url string, text string, n_chars long, n_repeated int"
+    dealt = parsed.join(sizes, "host").withColumn("part", F.pmod(F.xxhash64("page_id", "url"), F.col("parts")))
+    # the three passes read one exchange: same columns, same keys
+    several = sizes.filter("parts > 1").select("host", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
+    named = dealt.groupBy("host", "part").applyInPandas(lambda group: _frequent(group, run), "host string, run long")
+    named = several.join(named.groupBy("host").agg(F.collect_set("run").alias("runs")), "host")
+    counts = dealt.groupBy("host", "part").cogroup(named.groupBy("host", "part")).applyInPandas(
+        lambda group, runs: _counted(group, runs, run), "host string, run long, slot long, n long, pages long")
+    counts = counts.groupBy("host", "run", "slot").agg(F.sum("n").alias("n"), F.max("pages").alias("pages"))
+    counts = counts.groupBy("host", "run").agg(F.max(F.when(F.col("slot") < 0, F.col("n"))).alias("total"), F.max(F.when(F.col("slot") >= 0, F.col("n"))).alias("most"), F.max("pages").alias("pages"))
+    counts = counts.filter(F.col("total") * 10 >= F.col("pages")).groupBy("host").agg(F.collect_list(F.struct("run", "total", "most")).alias("all"))
+    counts = counts.select("host", F.col("all.run").alias("runs"), F.col("all.total").alias("totals"), F.col("all.most").alias("fixed"))
+    counts = several.join(counts, "host")
+    return dealt.groupBy("host", "part").cogroup(counts.groupBy("host", "part")).applyInPandas(
+        lambda group, runs: _chosen(group, runs, run), "page_id long, url string, text string, n_chars long, n_repeated int"
     )

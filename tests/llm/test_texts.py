@@ -185,3 +185,24 @@ def test_main_text(spark):
     assert all(text[200 + i] == words(77, 50) for i in range(5))
     assert (text[300], text[301], text[302]) == ("", "", "x")
     assert html_text.main_text(pages.limit(0)).count() == 0
+
+
+def test_boilerplate_inside_articles(spark):
+    line, quote = "Support our paper with a small gift today and read without any advertising at all.", words(900, 30)
+    outside = "Text beside the article that only page {} has and that nobody would want to lose here."
+    rows = []
+    for i in range(120):  # a line on every fifth page, last in the article; a passage quoted on 15 pages, each time elsewhere
+        body = [words(1000 + 10 * i + k, 25, 5000) for k in range(16)]
+        if i < 15:
+            body.insert(1 + i, quote)
+        rows.append((i, f"http://big.example/{i}", "<article>" + "".join(f"<p>{x}</p>" for x in body) + (f"<p>{line}</p>" if i % 5 == 0 else "") + f"</article><div>{outside.format(i)}</div>"))
+    rows += [(500 + i, f"http://small.example/{i}", f"<main><p>{words(5000 + i, 40, 5000)}</p><p>{line}</p></main>") for i in range(4)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for part in (200, 12):  # whole hosts, and hosts in ten parts
+        got = {r.page_id: r for r in html_text.main_text(pages, part=part).collect()}
+        assert len(got) == len(rows)
+        assert [got[i].n_repeated for i in range(120)] == [int(i % 5 == 0) for i in range(120)]
+        assert all(quote in got[i].text for i in range(15))
+        assert all(line not in r.text for r in got.values())
+        assert all(outside.format(i) in got[i].text for i in range(120))
+        assert [got[500 + i].text for i in range(4)] == [words(5000 + i, 40, 5000) for i in range(4)]
