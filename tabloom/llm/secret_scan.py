@@ -1,6 +1,7 @@
 """Secret scans by dictionary-primed zstandard novelty, beside three fixed patterns.
 
-A candidate is a long string after a sensitive word. Its novelty is the number of bytes it adds to its compressed
+A candidate is a long string within ``REACH`` characters of a sensitive word or of a string already reported, before or after it
+and across lines; a string with such a word inside also counts from the word on. Its novelty is the number of bytes it adds to its compressed
 surroundings, per byte, under a compressor primed with a dictionary of identifiers: words, paths and names
 that code repeats cost little, random strings cost what their alphabet costs. Strings above the limit are reported as ``novel``.
 
@@ -24,9 +25,10 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
 KINDS = ("assign", "access", "hex", "novel")
 
-SENSITIVE = re.compile(r"pass(?:word|wd|phrase)|pwd|secret|token|api[_-]?key|credential|(?:private|access|signing|encryption)[_-]?key|bearer|authorization", re.I | re.A)
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=.~-]{16,}")
-REACH, AROUND, LIMIT = 64, 512, 0.5
+SENSITIVE = re.compile(r"pass(?:word|wd|phrase)|pwd|secret|token|api[_-]?key|credential|(?:private|access|signing|encryption)[ _-]?key|bearer|authorization", re.I | re.A)
+LEAST = 16
+CANDIDATE = re.compile(rf"[A-Za-z0-9+/_=.~-]{{{LEAST},}}")
+REACH, AROUND, LIMIT = 512, 512, 0.5
 IDENTIFIERS = (
     "public static final String private const return import from class def self this new function var let async await export default module require "
     "config configuration settings environment variable value example placeholder changeme your_password_here your-api-key-here xxxxxxxxxxxxxxxx "
@@ -56,24 +58,27 @@ class Novelty:
 
 
 def novel_spans(text: str, taken: list[tuple[int, int, int]], novelty: Novelty) -> list[tuple[int, int, int]]:
-    """Incompressible strings shortly after a sensitive word that no fixed pattern has."""
-    found, last = [], -1
-    for word in SENSITIVE.finditer(text):
-        stop = text.find("\n", word.end(), word.end() + REACH)
-        for m in CANDIDATE.finditer(text, word.end(), min(len(text), word.end() + REACH)):
-            start = m.start()
-            if start < last or (stop >= 0 and start > stop):
+    """Incompressible strings near a sensitive word that no fixed pattern has."""
+    words = [m.span() for m in SENSITIVE.finditer(text)]
+    if not words:
+        return []
+    found, following, until = [], 0, -1
+    for m in CANDIDATE.finditer(text):
+        start, end = m.span()
+        while following < len(words) and words[following][0] < end:
+            until = max(until, words[following][1] + REACH)
+            following += 1
+        if start > until and (following == len(words) or words[following][0] - end > REACH):
+            continue
+        inner = [b for _, b in words[:following] if start < b < end]
+        for first in [start, *inner[-1:]]:
+            if end - first < LEAST or any(a < end and first < b for a, _, b in taken):
                 continue
-            end = CANDIDATE.match(text, start).end()  # the whole string, also beyond the reach
-            last = end
-            string = text[start:end]
-            if not (any(c.isdigit() for c in string) and any(c.isalpha() for c in string)):
-                continue
-            if any(a < end and start < b for a, _, b in taken):
-                continue
-            around = text[max(0, start - AROUND) : start] + text[end : end + AROUND]
-            if novelty(around.encode(), string.encode()) >= LIMIT:
-                found.append((start, 3, end))
+            around = text[max(0, first - AROUND) : first] + text[end : end + AROUND]
+            if novelty(around.encode(), text[first:end].encode()) >= LIMIT:
+                found.append((first, 3, end))
+                until = max(until, end + REACH)
+                break
     return found
 
 

@@ -4,6 +4,7 @@ import hashlib
 import json
 import random
 import re
+import string
 from collections import Counter
 
 import numpy as np
@@ -115,6 +116,20 @@ def test_secret_spans(spark):
     assert secret_scan.scan_secrets(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def test_secrets_on_other_lines_before_words_and_of_letters_only():
+    value, letters, novelty = "q8Zr+T1vX/0pLw7Kd3Ys9uHb5NcJ2mGe", "qZrTvXpLwKdYsuHbNcJmGeWxRfVaBtQy", secret_scan.Novelty()
+    rng, signs = random.Random(8), string.ascii_letters + string.digits + "+/"
+    body = "\n".join("".join(rng.choice(signs) for _ in range(64)) for _ in range(30))
+    forms = ["secret: |\n  {}", "{} is our credential", "password = decode(load('x'), mode='strict', fallback=None, encoding='utf-8', flags=0, value='{}')"]
+    for text in (f.format(v) for f in forms for v in (value, letters)):
+        at = text.index("q")
+        assert (at, 3, at + 32) in secret_scan.novel_spans(text, [], novelty)
+    key = f"-----BEGIN PRIVATE KEY-----\n{body}\n-----END PRIVATE KEY-----"
+    assert sum(b - a == 64 for a, _, b in secret_scan.novel_spans(key, [], novelty)) == 30
+    assert secret_scan.novel_spans(f"no such name near {value}", [], novelty) == []
+    assert secret_scan.novel_spans(f"my_secret_{value}", [], novelty) != []
+
+
 def plain_lines(rows, ratio, least):
     pages, out = {}, []
     for r in rows:
