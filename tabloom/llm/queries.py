@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabloom.llm import classifier, decontaminate, html_text, line_dedup, mixing, near_dup, quality_rules, resharding, secret_scan, token_counts
+from tabloom.llm import (
+    classifier, decontaminate, hard_negatives, html_text, line_dedup, mixing, near_dup, packing, quality_rules, ranked_search, resharding, secret_scan,
+    token_counts,
+)
 from tabloom.session import load, scratch_dir
 
 OLD_SHARDS, NEW_SHARDS = 32, 40
@@ -73,6 +76,23 @@ def secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan.scan_secrets(load(spark, folder, "documents"))
 
 
+def negatives(spark: SparkSession, folder: str) -> DataFrame:
+    rows = hard_negatives.whole_vectors(load(spark, folder, "embeddings"))
+    rows = rows.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return hard_negatives.hard_negatives(rows, F.col("vec_id") % 50 == 0)
+
+
+def ranked(spark: SparkSession, folder: str) -> DataFrame:
+    return ranked_search.rank_documents(load(spark, folder, "benchmark"), load(spark, folder, "documents"))
+
+
+def packed(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    pieces = packing.pack(load(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 QUERIES = {
     "op1_cgk_decontamination": leaks,
     "op2_min_cost_flow_reshard": resharded,
@@ -84,5 +104,8 @@ QUERIES = {
     "op8_zstd_novelty_secrets": secrets,
     "op9_nb_svm_quality": scored,
     "op10_superminhash_dedup": grouped,
+    "op11_str_hard_negatives": negatives,
+    "op12_term_pipeline_search": ranked,
+    "op13_nnls_packing": packed,
 }
-SQL = {"op5_site_line_dedup": line_dedup.SQL}
+SQL = {"op5_site_line_dedup": line_dedup.SQL, "op11_str_hard_negatives": hard_negatives.SQL, "op12_term_pipeline_search": ranked_search.SQL}
