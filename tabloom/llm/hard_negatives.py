@@ -282,9 +282,9 @@ def whole_vectors(rows: DataFrame, scale: int = 256, id_col: str = "vec_id", vec
     )
 
 
-def _hundredth(x: Column) -> Column:
-    """A whole number divided by 100, rounded down."""
-    return F.call_function("div", x - F.pmod(x, F.lit(100)), F.lit(100))
+def _percent(score: Column, share: int, rounded) -> Column:
+    """A share of a score, in decimals as longs might not hold the product."""
+    return rounded(score.cast("decimal(20,0)") * F.lit(share).cast("decimal(5,0)") / F.lit(100).cast("decimal(3,0)")).cast("long")
 
 
 def hard_negatives(rows: DataFrame, is_anchor: Column, positives: int = 5, negatives: int = 3, least: int = 50, most: int = 95,
@@ -302,8 +302,8 @@ def hard_negatives(rows: DataFrame, is_anchor: Column, positives: int = 5, negat
     ends = [F.array(F.lit(x).cast("long")).alias(name) for x, name in ((-OPEN, "low"), (OPEN, "high"))]
     same = stored(forest.best(anchors.select("*", *ends), positives, same=True), "positives")
     # 100 * negative >= least * positive and 100 * negative <= most * positive
-    low, high = _hundredth(F.lit(least) * F.col("score") + 99), _hundredth(F.lit(most) * F.col("score"))
-    windows = same.groupBy("anchor").agg(F.sort_array(F.collect_list(F.struct("rank", low.cast("long").alias("low"), high.cast("long").alias("high")))).alias("s"))
+    low, high = _percent(F.col("score"), least, F.ceil), _percent(F.col("score"), most, F.floor)
+    windows = same.groupBy("anchor").agg(F.sort_array(F.collect_list(F.struct("rank", low.alias("low"), high.alias("high")))).alias("s"))
     windows = windows.select("anchor", *[
         F.transform(F.sequence(F.lit(1), F.lit(positives)), lambda i: F.coalesce(F.get("s", i - 1)[c], F.lit(end).cast("long"))).alias(c)
         for c, end in (("low", OPEN), ("high", -OPEN))  # an empty window where there are fewer positives
