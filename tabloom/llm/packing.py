@@ -33,7 +33,7 @@ from tabloom.llm.grams import as_bytes, byte_table, kept_in_worker, size_runs, s
 
 WINDOW, GRAIN = 4096, 16
 BLOCK_ROWS = 100_000
-KEPT_WORDS, LONG_WORD = 300_000, 100
+KEPT_WORDS, LONG_WORD, RUN = 300_000, 100, 8 << 20
 OUT_BYTES = 4 << 20
 
 
@@ -127,51 +127,73 @@ def plan_windows(histogram: np.ndarray) -> list[tuple[list[tuple[int, int]], int
     return plan
 
 
-# Between an ASCII letter and a mark that ends a word no token goes on.
-MARK = re.compile(rb"(?<=[a-z])(?=[.,;:!?] )")
-
-
-def _parts(text: bytes, blanks: bytes, lower: bytes) -> list[bytes]:
-    """The parts a text is encoded by: ASCII white space and marks end them, as case does not matter it is levelled.
-
-    Other white space and letters above ASCII stay with the library, and so does the case of texts that may hold a special string.
-    """
-    if b"<|" in text:
-        return text.translate(blanks).split()
-    return MARK.sub(b" ", text.translate(lower)).split()
-
-
-def _word_ids(machine, words: list[bytes], kept: dict[bytes, bytes], code: str) -> None:
-    """Encode words not seen before; a text's ids are those of its parts between white space, laid end to end."""
-    for i in range(0, len(words), 20_000):
-        part = words[i : i + 20_000]
-        for w, e in zip(part, machine.encode_batch_fast([w.decode() for w in part], add_special_tokens=False), strict=True):
-            kept[w] = array(code, e.ids).tobytes()
+# Letters, then ASCII marks to the end of a part: the two are encoded on their own. Of the letters above ASCII only Latin-1 ones count here.
+STEM = re.compile(rb"((?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([!-/:-@\[-`{-~]+)")
+
+
+class _PartIds:
+    """Ids of the parts between blanks, kept between texts in two generations, so that frequent parts stay and the number is bounded."""
+
+    def __init__(self, spec: str, end: int):
+        from tokenizers import Tokenizer
+
+        self.machine = Tokenizer.from_str(spec)
+        self.code, self.width = ("H", 2) if self.machine.get_vocab_size() <= 1 << 16 and end < 1 << 16 else ("I", 4)
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+
+    def _encode(self, parts: list[bytes]) -> None:
+        for i in range(0, len(parts), 20_000):
+            some = parts[i : i + 20_000]
+            for w, e in zip(some, self.machine.encode_batch_fast([w.decode() for w in some], add_special_tokens=False), strict=True):
+                self.young[w] = array(self.code, e.ids).tobytes()
+
+    def _missing(self, parts) -> list[bytes]:
+        """Parts without ids; those of the old generation become young again."""
+        young, old, out = self.young, self.old, []
+        for w in parts:
+            if w not in young:
+                if w in old:
+                    young[w] = old[w]
+                else:
+                    out.append(w)
+        return out
+
+    def encode(self, texts: pa.Array, last: bytes) -> pa.Array:
+        """The ids of texts whose white space is blanks, each with the end id."""
+        lists = pc.ascii_split_whitespace(texts)
+        coded = lists.flatten().cast(pa.binary()).dictionary_encode()
+        parts = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        missing = self._missing(parts)
+        split = {w: m.groups() for w in missing if (m := STEM.fullmatch(w))}
+        self._encode(self._missing({x for pair in split.values() for x in pair} | {w for w in missing if w not in split}))
+        young = self.young
+        for w, (stem, marks) in split.items():
+            young[w] = young[stem] + young[marks]
+        ids = pa.array([young[w] for w in parts], pa.binary()).take(coded.indices)
+        out = pc.binary_join_element_wise(pc.binary_join(pa.ListArray.from_arrays(lists.offsets, ids), b""), last, b"")
+        for w in missing:
+            if len(w) > LONG_WORD:
+                young.pop(w, None)
+        if len(young) > KEPT_WORDS:
+            self.young, self.old = {}, young
+        return out
 
 
 def _encoded(batches: Iterator[pa.RecordBatch], spec: str, end: int) -> Iterator[pa.RecordBatch]:
-    from tokenizers import Tokenizer
-
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark deals the cores
-    machine = kept_in_worker(("packing", hash(spec)), lambda: Tokenizer.from_str(spec))
-    kept = kept_in_worker(("packing-words", hash(spec)), dict)
-    code, width = ("H", 2) if machine.get_vocab_size() <= 1 << 16 and end < 1 << 16 else ("I", 4)
-    last, blanks, lower = array(code, [end]).tobytes(), byte_table(), byte_table(lower=True)
+    known = kept_in_worker(("packing", hash(spec), end), lambda: _PartIds(spec, end))
+    last, blanks, lower = array(known.code, [end]).tobytes(), byte_table(), byte_table(lower=True)
     for batch in batches:
         column = batch.column("text").cast(pa.binary())
-        for first, stop in size_runs(pc.binary_length(column).fill_null(0).to_pylist(), 1 << 20):
-            texts = [_parts(t, blanks, lower) for t in as_bytes(column.slice(first, stop - first))]
-            if len(kept) > KEPT_WORDS:  # what is kept between texts is bounded
-                kept.clear()
-            new = list(set().union(*texts) - kept.keys())
-            _word_ids(machine, new, kept, code)
-            ids = [b"".join([*map(kept.__getitem__, words), last]) for words in texts]
-            for w in new:
-                if len(w) > LONG_WORD:
-                    del kept[w]
+        for first, stop in size_runs(pc.binary_length(column).fill_null(0).to_pylist(), RUN):
+            # ASCII white space ends parts and case does not matter; other white space and letters stay with the
+            # library, and so does the case of texts that may hold a special string
+            texts = [t.translate(blanks if b"<|" in t else lower) for t in as_bytes(column.slice(first, stop - first))]
+            ids = known.encode(pa.array(texts, pa.binary()).cast(pa.string()), last)
             rows = batch.slice(first, stop - first)
-            counts = pa.array([len(x) // width for x in ids], pa.int64())
-            yield pa.RecordBatch.from_arrays([rows.column("key"), rows.column("doc_id"), counts, pa.array(ids, pa.binary())], names=["key", "doc_id", "n", "ids"])
+            counts = pc.divide(pc.binary_length(ids), known.width).cast(pa.int64())
+            yield pa.RecordBatch.from_arrays([rows.column("key"), rows.column("doc_id"), counts, ids], names=["key", "doc_id", "n", "ids"])
 
 
 def levels_words(spec: str) -> bool:
