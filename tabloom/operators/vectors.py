@@ -15,16 +15,15 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA, CountVectorizerModel, ElementwiseProduct, Normalizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
 from tabloom.functions.text import let, term_counts
+from tabloom.operators import clustering
 from tabloom.operators.ranking import top_per_group
 
 _NEAREST = "cluster_id int, distance double"
@@ -141,27 +140,8 @@ def mean_vector(vectors: DataFrame, vector: str) -> np.ndarray:
 def fit_centroids(
     vectors: DataFrame, vector: str = "vector", k: int = 6, restarts: int = 10, seed: int = 42
 ) -> np.ndarray:
-    """Centroids of the best of several K-means runs, one row each.
-
-    Vectors are kept on the executors (memory, then disk) for the passes; a
-    lost executor's share is recomputed.
-    """
-    rows = vectors.select(vector).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        n = rows.count()
-        if n == 0:
-            raise ValueError("no rows to cluster")
-        k = effective_k(n, k)
-        if k == 1:
-            return mean_vector(rows, vector)[None, :]
-        runs = (
-            KMeans(featuresCol=vector, k=k, seed=seed + i, maxIter=300, tol=1e-4, solver="row").fit(rows)
-            for i in range(restarts)
-        )
-        best = min(runs, key=lambda m: m.summary.trainingCost)
-        return np.array(best.clusterCenters())
-    finally:
-        rows.unpersist()
+    """Centroids of the best of several K-means runs, one row each (see :mod:`tabloom.operators.clustering`)."""
+    return clustering.fit(vectors, vector, lambda n: effective_k(n, k), restarts, seed)
 
 
 def group_centroids(rows: DataFrame, group: str, array: str, groups: int) -> np.ndarray:

@@ -15,7 +15,7 @@ from tabloom.functions import values
 from tabloom.operators import merge, ranking, vectors
 from tabloom.operators.posts import cluster_stored_posts, preprocess_posts, stored_defaults
 from tabloom.plans import Query
-from tabloom.session import load, scratch_dir
+from tabloom.session import dealt, load, scratch_dir
 
 GROUPS = 16
 _TEXT_FEATURES = 5000
@@ -175,7 +175,7 @@ def _stored(spark, rows, purpose: str):
 
 
 def _clustered_texts(spark, folder):
-    docs = load(spark, folder, "documents").select("doc_id", tx.clean_text(F.col("text")).alias("clean_text"))
+    docs = dealt(load(spark, folder, "documents")).select("doc_id", tx.clean_text(F.col("text")).alias("clean_text"))
     posts = _stored(spark, docs, "posts")
     return vectors.cluster_texts(posts, "clean_text", k=6, max_features=_TEXT_FEATURES, restarts=10)
 

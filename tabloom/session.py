@@ -41,6 +41,12 @@ def load(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
+def dealt(rows: DataFrame) -> DataFrame:
+    """Rows of a few large files dealt to all cores; a table with as many partitions as cores stays as it is."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder for written tables and stream checkpoints.
 
