@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabloom.functions.text import let, term_counts
-from tabloom.operators import clustering
+from tabloom.operators import clustering, impact
 from tabloom.operators.ranking import top_per_group
 
 _NEAREST = "cluster_id int, distance double"
@@ -250,16 +250,9 @@ def near_centroid(rows: DataFrame, order: list[Column], n: int = 5) -> DataFrame
     return top_per_group(rows, ["cluster_id"], [F.asc("centroid_distance"), *order], n)
 
 
-def _unit(vectors: pd.Series, size: int | None) -> np.ndarray:
-    """Rows of unit length; ``size`` is given for sparse vectors. Zero rows stay zero."""
-    if size is None:
-        x = np.stack(vectors.to_numpy()).astype(np.float64)
-    else:
-        parts = list(vectors)
-        row = np.repeat(np.arange(len(parts)), [len(p["indices"]) for p in parts])
-        x = np.zeros((len(parts), size))
-        if len(row):
-            x[row, np.concatenate([p["indices"] for p in parts])] = np.concatenate([p["values"] for p in parts])
+def _unit(vectors: pd.Series) -> np.ndarray:
+    """Rows of unit length; zero rows stay zero."""
+    x = np.stack(vectors.to_numpy()).astype(np.float64)
     length = np.linalg.norm(x, axis=1, keepdims=True)
     return np.divide(x, length, out=np.zeros_like(x), where=length > 0)
 
@@ -299,8 +292,8 @@ def most_similar(
 
     Both sides have ``id, cluster_id, vector``: an array of double, or
     ``struct<indices, values>`` when ``size`` is given. Both sides of a cluster are dealt into
-    blocks of about ``block_rows``, and each pair of blocks is one matrix product that hands on ``n`` rows
-    per query: no list of all pairs exists, and the result is exact. Members are
+    blocks of about ``block_rows``, and each pair of blocks is one matrix product (dense) or one impact-ordered
+    index (sparse, see :mod:`tabloom.operators.impact`) that hands on ``n`` rows per query: no list of all pairs exists, and the result is exact. Members are
     read twice, so a caller stores what is dear to compute.
     """
     partial = _blocked(queries, members, n, size, block_rows, block_rows)
@@ -327,18 +320,21 @@ def _blocked(
         F.pmod(spot, "m_blocks").alias("m_block"),
     )
 
+    keys = ["cluster_id", "q_block", "m_block"]
+    if size is not None:
+        return impact.block_matches(q, m, keys, n, size)
+
     def meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if left.empty or right.empty:
             return pd.DataFrame({"query_id": [], "member_id": [], "similarity": []})
-        q_ids, q_unit = left["id"].to_numpy(), _unit(left["vector"], size)
+        q_ids, q_unit = left["id"].to_numpy(), _unit(left["vector"])
         best: list[pd.DataFrame] = []
         for start in range(0, len(right), _CHUNK):
             part = right.iloc[start : start + _CHUNK]
-            found = _best_matches(q_ids, q_unit @ _unit(part["vector"], size).T, part["id"].to_numpy(), n)
+            found = _best_matches(q_ids, q_unit @ _unit(part["vector"]).T, part["id"].to_numpy(), n)
             best = [_best_of([*best, found], n)]
         return best[0]
 
-    keys = ["cluster_id", "q_block", "m_block"]
     return q.groupBy(*keys).cogroup(m.groupBy(*keys)).applyInPandas(meet, _MATCH)
 
 

@@ -19,6 +19,7 @@ from tabloom.session import dealt, load, scratch_dir
 
 GROUPS = 16
 _TEXT_FEATURES = 5000
+_LANGUAGES = ("de", "en", "es", "fr")
 
 
 def _embeddings(spark, folder):
@@ -200,6 +201,31 @@ def text_queries(spark, folder):
     return vectors.most_similar_texts(asked, _stored(spark, rows, "assigned"), "item_id", "doc_id", "clean_text", model, n=5)
 
 
+def _language(lang):
+    """Documents grouped by language: 1 to 4, 0 for any other."""
+    return F.coalesce(F.array_position(F.array(*map(F.lit, _LANGUAGES)), lang), F.lit(0)).cast("int")
+
+
+def text_matches(spark, folder):
+    """Benchmark texts as queries with given groups: the language whose mean vector is nearest, then the closest documents in it."""
+    docs = _stored(spark, dealt(load(spark, folder, "documents")).select("doc_id", "text", _language(F.col("lang")).alias("cluster_id")), "grouped")
+    model = vectors.fit_terms(docs, "text", _TEXT_FEATURES)
+    unit = model.vectorise(docs, "text").select("cluster_id", F.inline(vectors.sparse_entries(F.col("vector"))))
+    sums = unit.groupBy("cluster_id", "i").agg(F.sum("weight").alias("s")).collect()  # groups x features
+    sizes = dict(docs.groupBy("cluster_id").count().collect())
+    centroids = np.full((len(_LANGUAGES) + 1, len(model.terms)), np.nan)
+    for group in sizes:
+        centroids[group] = 0
+    for group, i, s in sums:
+        centroids[group, i] = s / sizes[group]
+    held = sorted(sizes)
+    items = load(spark, folder, "benchmark").select("item_id", "text")
+    asked = vectors.assign_texts(items, "text", model, centroids[held])
+    asked = asked.withColumn("cluster_id", F.element_at(F.array(*map(F.lit, held)), F.col("cluster_id") + 1))
+    found = vectors.most_similar_texts(_stored(spark, asked, "asked"), docs, "item_id", "doc_id", "text", model, n=5)
+    return found.select("query_id", "member_id", F.round("similarity", 8).alias("similarity"), F.col("rank").cast("bigint").alias("rank"))
+
+
 def _stored_posts(spark, folder):
     """Order lines as posts: the part is the title, the month of shipping the body."""
     lines = load(spark, folder, "lineitem").join(
@@ -256,7 +282,32 @@ terms AS (SELECT doc_id, w AS token FROM kept
 tf AS (SELECT doc_id, token, count(*) AS n FROM terms GROUP BY 1, 2),
 stats AS (SELECT token, CAST(sum(n) AS BIGINT) AS total, count(*) AS docs FROM tf GROUP BY 1)"""
 
+_MATCHES = f"""WITH {_TERMS},
+vocabulary AS (SELECT token, ln((1 + (SELECT count(*) FROM documents)) / (1 + docs)::DOUBLE) + 1 AS idf FROM stats
+  WHERE docs >= 2 ORDER BY total DESC, token LIMIT {_TEXT_FEATURES}),
+grp AS (SELECT doc_id, coalesce(list_position({list(_LANGUAGES)}, lang), 0)::INTEGER AS c FROM documents),
+raw AS (SELECT doc_id, token, n * idf AS x FROM tf JOIN vocabulary USING (token)),
+d AS (SELECT doc_id, token, x / sqrt(sum(x * x) OVER (PARTITION BY doc_id)) AS x FROM raw),
+qwords AS (SELECT item_id, unnest(regexp_extract_all(lower(text), '[\\pL\\pN_]+')) AS w,
+           generate_subscripts(regexp_extract_all(lower(text), '[\\pL\\pN_]+'), 1) AS p FROM benchmark),
+qkept AS (SELECT item_id, w, row_number() OVER (PARTITION BY item_id ORDER BY p) AS p FROM qwords WHERE length(w) > 1),
+qterms AS (SELECT item_id, w AS token FROM qkept
+           UNION ALL SELECT a.item_id, a.w || ' ' || b.w FROM qkept a JOIN qkept b ON a.item_id = b.item_id AND b.p = a.p + 1),
+qraw AS (SELECT item_id, token, count(*) * any_value(idf) AS x FROM qterms JOIN vocabulary USING (token) GROUP BY 1, 2),
+q AS (SELECT item_id, token, x / sqrt(sum(x * x) OVER (PARTITION BY item_id)) AS x FROM qraw),
+size AS (SELECT c, count(*) AS k FROM grp GROUP BY 1),
+mean AS (SELECT c, token, sum(x) / any_value(k) AS m FROM d JOIN grp USING (doc_id) JOIN size USING (c) GROUP BY 1, 2),
+norm AS (SELECT size.c, coalesce(sum(m * m), 0) AS s FROM size LEFT JOIN mean USING (c) GROUP BY 1),
+gap AS (SELECT item_id, norm.c, any_value(norm.s) - 2 * coalesce(sum(q.x * m), 0) AS g FROM (SELECT item_id FROM benchmark) CROSS JOIN norm
+  LEFT JOIN q USING (item_id) LEFT JOIN mean ON mean.c = norm.c AND mean.token = q.token GROUP BY 1, 2),
+hit AS (SELECT item_id, arg_min(c, g) AS c FROM gap GROUP BY 1),
+dot AS (SELECT q.item_id, d.doc_id, sum(q.x * d.x) AS s FROM q JOIN hit USING (item_id) JOIN d USING (token) JOIN grp ON grp.doc_id = d.doc_id AND grp.c = hit.c GROUP BY 1, 2),
+scores AS (SELECT item_id, grp.doc_id, coalesce(s, 0) AS s FROM hit JOIN grp USING (c) LEFT JOIN dot USING (item_id, doc_id))
+SELECT item_id AS query_id, doc_id AS member_id, round(s, 8) AS similarity, rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY round(s, 12) DESC, doc_id) AS rank FROM scores) WHERE rank <= 5"""
+
 QUERIES = {
+    "text_matches": Query(text_matches, _MATCHES),
     "group_means": Query(
         group_means, f"WITH {_EMBEDDED} SELECT cluster_id AS label, i::INTEGER AS i, round(m, 6) AS mean FROM c"
     ),

@@ -136,3 +136,25 @@ def test_projection_equals_numpy(spark):
     assert np.allclose([(r["pc1"], r["pc2"]) for r in got], centred @ loadings)
     with pytest.raises(ValueError):
         vectors.project_2d(rows.limit(1).withColumn("v", array_to_vector("a")), "v")
+
+
+def test_impact_index_agrees_with_the_dense_product():
+    from tabloom.operators.impact import ImpactIndex
+
+    rng = np.random.default_rng(7)
+    size, n = 60, 300
+    x = rng.random((n, size)) * (rng.random((n, size)) < 0.08) * rng.random(size) ** 3
+    x[5], x[6], x[7] = 0, x[8], x[8]  # an empty row and copies
+    length = np.linalg.norm(x, axis=1, keepdims=True)
+    x = np.divide(x, length, out=np.zeros_like(x), where=length > 0)
+    ids = rng.permutation(n)
+    row, term = np.nonzero(x)
+    index = ImpactIndex(ids, np.searchsorted(row, np.arange(n + 1)), term, x[row, term], size)
+    for q in [x[i] for i in range(0, 60)] + [np.zeros(size), np.eye(size)[3], np.eye(size)[59]]:
+        terms = np.flatnonzero(q)
+        at, scores = index.best(terms, q[terms], 7)
+        wanted = sorted(zip(-(x @ q).round(12), ids, strict=True))[:7]
+        assert [int(i) for i in ids[at]] == [int(i) for _, i in wanted]
+        assert np.allclose(scores, [-s for s, _ in wanted])
+    at, _ = index.best(np.array([0]), np.array([1.0]), 1000)
+    assert len(at) == n
