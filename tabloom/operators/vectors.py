@@ -15,15 +15,15 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.ml.feature import PCA, CountVectorizerModel, ElementwiseProduct, Normalizer
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabloom.functions.text import let, term_counts
-from tabloom.operators import clustering, impact
+from tabloom.operators import clustering, impact, projection
 from tabloom.operators.ranking import top_per_group
 
 _NEAREST = "cluster_id int, distance double"
@@ -354,21 +354,7 @@ def most_similar_texts(
 
 
 def project_2d(rows: DataFrame, vector: str = "vector") -> DataFrame:
-    """Adds ``pc1, pc2``: centred principal components, largest loading positive."""
-    if len(rows.take(2)) < 2:
-        raise ValueError("a projection needs at least two rows")
-    model = PCA(k=2, inputCol=vector, outputCol="_pc").fit(rows)
-    loadings = model.pc.toArray()
-    signs = np.sign(loadings[np.abs(loadings).argmax(axis=0), range(2)])
-    offsets = mean_vector(rows, vector) @ loadings
-    point = vector_to_array(F.col("_pc"))
-    return (
-        model.transform(rows)
-        .withColumns(
-            {
-                f"pc{i + 1}": (point[i] - float(offsets[i])) * float(signs[i])
-                for i in range(2)
-            }
-        )
-        .drop("_pc")
-    )
+    """Adds ``pc1, pc2``: centred principal components, largest loading positive (see :mod:`tabloom.operators.projection`)."""
+    mean, loadings = projection.components(rows, vector)
+    point = rows.withColumn("_pc", projection.projected(mean, loadings, F.col(vector)))
+    return point.withColumns({"pc1": F.col("_pc")[0], "pc2": F.col("_pc")[1]}).drop("_pc")

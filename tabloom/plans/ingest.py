@@ -190,6 +190,18 @@ def html_links(spark, folder):
     return links.select("page_id", F.col("position").cast("bigint").alias("position"), "href", "text")
 
 
+def html_link_forms(spark, folder):
+    """Links in every form the standard has, one page per customer: quotes in other values, both quotes, none, markup inside."""
+    html = """concat('<title class="a>b">', c_name, ' &amp; Co</title><!-- <a href="/no">no</a> -->',
+  '<a title="x>y" href="/a/', c_custkey, '">A <b title="p>q">', c_mktsegment, '</b></a><script>"<a href=/js>js</a>"</script>',
+  '<A HREF=\\'/b?x=', c_nationkey, '&amp;y=1\\' >B</A ><a href=/c/', c_custkey, '>C<a\n data-href="/no" href = "/d" title="p>q" href="/e">D</a>',
+  '<a name="', c_custkey, '">no address</a><abbr href="/no">no</abbr><a href="/open">open')"""
+    pages = load(spark, folder, "customer").select("c_custkey", F.expr(html).alias("html"))
+    links = markup.page_links(pages, "c_custkey").select("c_custkey", F.col("position").cast("bigint").alias("position"), "href", "text")
+    titles = pages.select("c_custkey", F.lit(-1).cast("bigint").alias("position"), F.lit("").alias("href"), markup.page_title(F.col("html")).alias("text"))
+    return links.unionByName(titles)
+
+
 def html_titles(spark, folder):
     return load(spark, folder, "pages").select("page_id", markup.page_title(F.col("html")).alias("title"))
 
@@ -393,6 +405,12 @@ UNION ALL SELECT c_custkey, 3, 'Out', '', '0', 'comment', 'http://e.example/', '
 flat AS (SELECT page_id, unnest(links) AS link, generate_subscripts(links, 1) - 1 AS position FROM found)
 SELECT page_id, position, regexp_extract(link, 'href="([^"]*)"', 1) AS href, trim(regexp_extract(link, '>([^<]*)<', 1)) AS text
 FROM flat""",
+    ),
+    "html_link_forms": Query(
+        html_link_forms,
+        """SELECT c_custkey, unnest([-1, 0, 1, 2, 3])::BIGINT AS position,
+  unnest(['', '/a/' || c_custkey, '/b?x=' || c_nationkey || '&y=1', '/c/' || c_custkey, '/d']) AS href,
+  unnest([c_name || ' & Co', 'A ' || c_mktsegment, 'B', 'C', 'D']) AS text FROM customer""",
     ),
     "html_titles": Query(
         html_titles,

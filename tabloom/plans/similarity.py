@@ -306,6 +306,28 @@ scores AS (SELECT item_id, grp.doc_id, coalesce(s, 0) AS s FROM hit JOIN grp USI
 SELECT item_id AS query_id, doc_id AS member_id, round(s, 8) AS similarity, rank FROM (
   SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY round(s, 12) DESC, doc_id) AS rank FROM scores) WHERE rank <= 5"""
 
+
+def _leading(name: str, start: str, squarings: int = 14) -> str:
+    """CTEs that end in ``{name}`` (i, x): the leading eigenvector of the matrix ``start`` (i, j, v), by repeated squaring."""
+    steps = [f"{name}_0 AS MATERIALIZED (SELECT i, j, v / (SELECT sum(v) FROM {start} WHERE i = j) AS v FROM {start})"]
+    for k in range(squarings):
+        steps.append(f"""{name}_s{k + 1} AS MATERIALIZED (SELECT a.i, b.j, sum(a.v * b.v) AS v FROM {name}_{k} a JOIN {name}_{k} b ON a.j = b.i GROUP BY 1, 2),
+{name}_{k + 1} AS MATERIALIZED (SELECT i, j, v / (SELECT sum(v) FROM {name}_s{k + 1} WHERE i = j) AS v FROM {name}_s{k + 1})""")
+    last = f"{name}_{squarings}"
+    steps.append(f"""{name}_c AS MATERIALIZED (SELECT i, v FROM {last} WHERE j = (SELECT arg_max(i, v) FROM {last} WHERE i = j)),
+{name} AS MATERIALIZED (SELECT i, v / (SELECT sqrt(sum(v * v)) FROM {name}_c) * (SELECT sign(arg_max(v, abs(v))) FROM {name}_c) AS x FROM {name}_c)""")
+    return ",\n".join(steps)
+
+
+_PROJECTION = f"""WITH e AS MATERIALIZED (SELECT vec_id, unnest(embedding)::DOUBLE AS v, generate_subscripts(embedding, 1) AS i FROM embeddings),
+m AS (SELECT i, avg(v) AS m FROM e GROUP BY 1), z AS MATERIALIZED (SELECT vec_id, i, v - m AS v FROM e JOIN m USING (i)),
+c AS MATERIALIZED (SELECT a.i, b.i AS j, avg(a.v * b.v) AS v FROM z a JOIN z b USING (vec_id) GROUP BY 1, 2),
+{_leading("p", "c")},
+l AS (SELECT sum(a.x * c.v * b.x) AS l FROM p a JOIN c ON a.i = c.i JOIN p b ON b.i = c.j),
+r AS MATERIALIZED (SELECT c.i, c.j, c.v - l * a.x * b.x AS v FROM c JOIN p a ON a.i = c.i JOIN p b ON b.i = c.j, l),
+{_leading("q", "r")}
+SELECT vec_id, round(sum(z.v * p.x), 6) AS pc1, round(sum(z.v * q.x), 6) AS pc2 FROM z JOIN p USING (i) JOIN q USING (i) GROUP BY 1"""
+
 QUERIES = {
     "text_matches": Query(text_matches, _MATCHES),
     "group_means": Query(
@@ -354,5 +376,5 @@ SELECT doc_id, token AS term, round(x / sqrt(sum(x * x) OVER (PARTITION BY doc_i
     "text_cluster_keywords": Query(text_cluster_keywords),
     "text_queries": Query(text_queries),
     "post_clusters": Query(post_clusters),
-    "pca_projection": Query(pca_projection),
+    "pca_projection": Query(pca_projection, _PROJECTION),
 }

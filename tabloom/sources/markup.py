@@ -1,18 +1,20 @@
 """HTML pages as tables.
 
-Key/value pages and links are read with JVM regular expressions. Listing
-pages need nesting ("the score inside this post"), for which a small
-event handler on Python's tolerant HTML parser emits one row per post.
+Key/value pages are read with JVM regular expressions, links and titles by a
+streaming tokenizer. Listing pages need nesting ("the score inside this post"), for which a
+small event handler on Python's tolerant HTML parser emits one row per post.
 Either way a page is parsed where it lies; nothing is shuffled.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from functools import reduce
 from html.parser import HTMLParser
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,6 +35,7 @@ from tabloom.functions.values import (
     score_number,
     well_url,
 )
+from tabloom.sources import tokens
 
 _VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 _PARTS = ("title", "author", "score", "votes", "comments", "body")
@@ -48,7 +51,12 @@ class _PostReader(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.posts: list[dict] = []
-        self.open: list[tuple[str, frozenset, dict | None, list]] = []
+        # Open elements, and apart from them what text and parts look for: no step walks the whole stack.
+        self.open: list[tuple[str, bool, dict | None, list]] = []
+        self.depth: Counter[str] = Counter()
+        self.open_posts: list[dict] = []
+        self.wanted: list[list] = []
+        self.expandos = 0
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         given = {k: v or "" for k, v in attrs}
@@ -64,14 +72,20 @@ class _PostReader(HTMLParser):
             self.posts.append(started)
         wanted = []
         for name in self._parts(tag, classes):
-            for _, _, post, _ in self.open:
-                if post is not None and name not in post:
+            for post in self.open_posts:
+                if name not in post:
                     post[name] = []
                     wanted.append(post[name])
                     if name in ("title", "comments"):
                         post[f"{name}_href"] = given.get("href", "")
         if tag not in _VOID:
-            self.open.append((tag, classes, started, wanted))
+            expando = tag == "div" and "expando" in classes
+            self.open.append((tag, expando, started, wanted))
+            self.depth[tag] += 1
+            self.expandos += expando
+            self.wanted += wanted
+            if started is not None:
+                self.open_posts.append(started)
 
     def _parts(self, tag: str, classes: frozenset) -> Iterator[str]:
         if tag == "a":
@@ -80,19 +94,23 @@ class _PostReader(HTMLParser):
             yield "score"
             if "unvoted" in classes:
                 yield "votes"
-        if "usertext-body" in classes and any(t == "div" and "expando" in c for t, c, _, _ in self.open):
+        if "usertext-body" in classes and self.expandos:
             yield "body"
 
     def handle_endtag(self, tag: str) -> None:
-        for depth in range(len(self.open) - 1, -1, -1):
-            if self.open[depth][0] == tag:
-                del self.open[depth:]
+        while self.depth[tag]:
+            name, expando, started, wanted = self.open.pop()
+            self.depth[name] -= 1
+            self.expandos -= expando
+            del self.wanted[len(self.wanted) - len(wanted) :]
+            if started is not None:
+                self.open_posts.pop()
+            if name == tag:
                 return
 
     def handle_data(self, data: str) -> None:
-        for _, _, _, wanted in self.open:
-            for pieces in wanted:
-                pieces.append(data)
+        for pieces in self.wanted:
+            pieces.append(data)
 
 
 def listing_elements(pages: DataFrame, key: str, html: str = "html") -> DataFrame:
@@ -175,18 +193,23 @@ def listing_rows(
     )
 
 
+def _element(name: str) -> str:
+    """Pattern of a start tag; a ``>`` in a quoted value does not end it."""
+    return rf"""(?i)<{name}(?=[\s/>])(?:=\s*+"[^"]*+"|=\s*+'[^']*+'|[^>])*+>"""
+
+
 def key_value_fields(html: Column) -> dict[str, Column]:
     """Known labels of a page: table rows first, running text for the rest.
 
     Markup goes first and entities are resolved in the few values found, so escaped markup stays text
     and no page leaves the JVM.
     """
-    parts = F.split(html, r"(?i)<tr\b[^>]*>")
+    parts = F.split(html, _element("tr"))
     rows = F.filter(parts, lambda _, i: i > 0)
 
     def pair(row: Column) -> Column:
         cells = F.transform(
-            F.split(F.split(row, r"(?i)</tr\s*>")[0], r"(?i)<t[dh]\b[^>]*>"),
+            F.split(F.split(row, r"(?i)</tr\s*>")[0], _element("t[dh]")),
             visible_text,
         )
         return F.struct(F.lower(F.get(cells, F.lit(1))).alias("label"), F.get(cells, F.lit(2)).alias("value"))
@@ -248,18 +271,22 @@ def page_lookup(wells: DataFrame, pages: DataFrame, first_county: Column, second
 
 
 def page_links(pages: DataFrame, key: str, html: str = "html") -> DataFrame:
-    """One row per link: position, address and text."""
-    pattern = r"(?is)<a\b[^>]*?href=\"([^\"]*)\"[^>]*>(.*?)</a>"
-    found = F.regexp_extract_all(F.col(html), F.lit(pattern), F.lit(0))
-    links = pages.select(key, F.posexplode_outer(found).alias("position", "_link")).where(F.col("_link").isNotNull())
-    return links.select(
-        key,
-        "position",
-        F.regexp_extract("_link", pattern, 1).alias("href"),
-        F.btrim(F.regexp_replace(F.regexp_extract("_link", pattern, 2), "<[^>]*>", "")).alias("text"),
-    )
+    """One row per link: position, address and text. A page without links (or without html) has no row."""
+
+    @F.arrow_udf("array<struct<href: string, text: string>>")
+    def found(texts: pa.Array) -> pa.Array:
+        rows = [[{"href": h, "text": t} for h, t in tokens.links(x or "")] for x in texts.to_pylist()]
+        return pa.array(rows, pa.list_(pa.struct([("href", pa.string()), ("text", pa.string())])))
+
+    links = pages.select(key, F.posexplode(found(F.col(html))).alias("position", "_link"))
+    return links.select(key, "position", "_link.href", "_link.text")
 
 
 def page_title(html: Column) -> Column:
-    """Text of the title element."""
-    return decode_entities(F.btrim(F.regexp_extract(html, r"(?is)<title[^>]*>(.*?)</title>", 1)))
+    """Text of the title element, NULL for a NULL page."""
+
+    @F.arrow_udf("string")
+    def title(texts: pa.Array) -> pa.Array:
+        return pa.array([None if x is None else tokens.title(x) for x in texts.to_pylist()], pa.string())
+
+    return title(html)

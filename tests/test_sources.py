@@ -98,6 +98,16 @@ def test_summary_statuses(spark):
     assert rows["c.csv"]["status"] == "Not collected" and rows["d.csv"]["status"] == "Error"
 
 
+def test_summary_has_widths_and_file_sizes(spark, tmp_path):
+    rows = spark.createDataFrame([(i, f'say "{i}"\nand more', None) for i in range(50)], "a int, b string, c double").repartition(3)
+    path = str(tmp_path / "rows")
+    rows.write.option("header", True).option("escape", '"').csv(path)
+    table = files.read_csv(spark, path, rows.schema)
+    row = profile.collection_summary({"rows.csv": table}, {"rows.csv": path}).head()
+    size = sum(f.stat().st_size for f in (tmp_path / "rows").glob("part-*"))
+    assert (row["records"], row["columns"], row["size_kb"]) == (50, 3, round(size / 1024, 2))
+
+
 def test_benchmark_log_and_speedups(spark):
     # Published times, seconds for the CPU and milliseconds for the others.
     lines = ["CPU execution time: 1", "CSV,CPU,512,1,0.317362", "CSV,GPU_NAIVE,512,10,0.714336", "CSV,BAD,x,1,2"]

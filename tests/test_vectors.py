@@ -158,3 +158,24 @@ def test_impact_index_agrees_with_the_dense_product():
         assert np.allclose(scores, [-s for s, _ in wanted])
     at, _ = index.best(np.array([0]), np.array([1.0]), 1000)
     assert len(at) == n
+
+
+def test_projection_of_sparse_rows_with_many_features(spark):
+    from pyspark.ml.linalg import Vectors
+
+    from tabloom.operators import projection
+
+    rng = np.random.default_rng(3)
+    size, n = 600, 200
+    x = (rng.random((n, size)) < 0.02) * rng.random((n, size))
+    x[:, :5] += np.outer(rng.normal(size=n), [3, 2, 1, 0, 0])
+    x[:, 5:8] += np.outer(rng.normal(size=n), [1, -2, 1])
+    rows = [(i, Vectors.sparse(size, [(j, float(v)) for j, v in enumerate(r) if v])) for i, r in enumerate(x)]
+    table = spark.createDataFrame(rows, ["id", "v"])
+    mean, loadings = projection.components(table, "v", width=12)  # narrower than the features: several passes
+    centred = x - x.mean(axis=0)
+    _, _, right = np.linalg.svd(centred, full_matrices=False)
+    assert np.allclose(mean, x.mean(axis=0))
+    assert np.allclose(np.abs((loadings * right[:2].T).sum(axis=0)), 1, atol=1e-7)
+    got = {r["id"]: r["pc"] for r in table.select("id", projection.projected(mean, loadings, F.col("v")).alias("pc")).collect()}
+    assert np.allclose([got[i] for i in range(n)], centred @ loadings)
