@@ -93,7 +93,7 @@ counts AS (SELECT doc_id, token, count(*) AS n, min(pos) AS first_pos FROM {name
 ranked AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, first_pos) AS rank FROM counts),
 keys AS (SELECT doc_id, string_agg(token, ',' ORDER BY rank) AS keywords, min_by(token, rank) AS hint
          FROM ranked WHERE rank <= 8 GROUP BY doc_id)"""
-_DOC_KEYS = _TOKENS.format(name="words", clean=_CLEAN.format("text"), rows="documents")
+DOC_KEYS = _TOKENS.format(name="words", clean=_CLEAN.format("text"), rows="documents")
 
 _UNESCAPED = """regexp_replace(replace(replace(replace(replace(regexp_replace(
   replace(replace(replace({}, '&lt;', '<'), '&gt;', '>'), '&amp;', '&'),
@@ -127,13 +127,13 @@ QUERIES = {
     ),
     "doc_keywords": Query(
         doc_keywords,
-        f"""WITH {_DOC_KEYS} SELECT doc_id, coalesce(keywords, '') AS keywords
+        f"""WITH {DOC_KEYS} SELECT doc_id, coalesce(keywords, '') AS keywords
             FROM documents LEFT JOIN keys USING (doc_id)""",
     ),
-    "doc_token_counts": Query(doc_token_counts, f"WITH {_DOC_KEYS} SELECT doc_id, token, n, first_pos FROM counts"),
+    "doc_token_counts": Query(doc_token_counts, f"WITH {DOC_KEYS} SELECT doc_id, token, n, first_pos FROM counts"),
     "topic_hints": Query(
         topic_hints,
-        f"""WITH {_DOC_KEYS} SELECT coalesce(hint, 'general') AS topic_hint, count(*) AS docs
+        f"""WITH {DOC_KEYS} SELECT coalesce(hint, 'general') AS topic_hint, count(*) AS docs
             FROM documents LEFT JOIN keys USING (doc_id) GROUP BY 1""",
     ),
     "preprocess_docs": Query(
@@ -148,7 +148,7 @@ FROM cleaned JOIN keys USING (doc_id)""",
     ),
     "source_keywords": Query(
         source_keywords,
-        f"""WITH {_DOC_KEYS},
+        f"""WITH {DOC_KEYS},
 per AS (SELECT source, token AS keyword, count(*) AS n, min(doc_id * 100 + rank) AS seen
         FROM ranked JOIN documents USING (doc_id) WHERE rank <= 8 GROUP BY 1, 2)
 SELECT source, keyword, n, rank FROM (
