@@ -12,13 +12,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabloom.session import scratch_dir
 
 WHITE = b" \t\n\r\x0b\x0c"
 PIECE = 1 << 15
+BLOCK_ROWS = 100_000
 U = np.uint64
 GOLD = 0x9E3779B97F4A7C15
 
@@ -160,3 +161,21 @@ def row_key(*columns: str):
     for c in columns:
         parts += [F.col(c), F.col(c).isNull()]
     return F.xxhash64(*parts)
+
+
+def text_key(text):
+    """A 128-bit key of a text; null stays null."""
+    return F.md5(F.encode(text, "UTF-8"))
+
+
+def running(rows: DataFrame, group: list[str], value, name: str) -> DataFrame:
+    """Adds the sum of ``value`` over the earlier rows of the group, by ``block`` and the unique ``key``; no task holds a group, nulls are values."""
+    sums = rows.groupBy(*group, "block").agg(F.sum(value).alias("_sum"))
+    before = Window.partitionBy(*group, *([] if group else [F.lit(0)])).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select(*group, "block", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_base"))
+    inside = Window.partitionBy(*group, "block").orderBy("key").rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("_in", F.coalesce(F.sum(value).over(inside), F.lit(0)))
+    sums = sums.select(*[F.col(c).alias(f"_{i}") for i, c in enumerate([*group, "block"])], "_base")
+    same = [F.col(c).eqNullSafe(F.col(f"_{i}")) for i, c in enumerate([*group, "block"])]
+    out = rows.join(sums, same).withColumn(name, (F.col("_base") + F.col("_in")).cast("long"))
+    return out.drop("_base", "_in", *[f"_{i}" for i in range(len(same))])

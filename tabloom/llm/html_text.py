@@ -1,7 +1,9 @@
 """Main text of HTML pages by structure and a suffix array per host.
 
 A page is cut into text blocks by its markup; blocks in menus, headers, footers, sidebars, notices, adverts, forms and
-reader comments are page furniture and go. The words of all other blocks of a host's pages, laid end to end, are sorted
+reader comments are page furniture and go. Names that only mention furniture (``layout-sidebar-right``) and forms count as furniture
+only where they cover at most half of the page's words, and nothing around an article or main element with more than half
+makes that furniture. The words of all other blocks of a host's pages, laid end to end, are sorted
 as a suffix array to the depth of the shortest run that counts; runs that distinct pages share stand side by side there.
 Blocks that runs on a tenth of the host's pages cover are boilerplate and the unique runs stay. As articles quote and
 copy each other, a run in a named article must also stand on three pages and on half of them in the same block from the
@@ -19,6 +21,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -46,6 +49,9 @@ WORDS = frozenset(
     "recommended recommendations share sharing social comment comments disqus replies respond subscribe newsletter signup "
     "login pagination pager toolbar skip hidden".split()
 )
+# What a name that begins with furniture may go on with and still be sure: many of it in one place.
+GATHERED = frozenset("area section list thread box block".split())
+MAYBE = frozenset("form".split())
 STATES = frozenset("has with no without is js not".split())
 HEADS = frozenset("header masthead banner".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
@@ -54,94 +60,170 @@ ATTRIBUTE = re.compile(r"""(class|id|role|style|hidden|aria-hidden)\s*(?:=\s*(?:
 UNFINISHED = re.compile(r"<[a-zA-Z/!?][^<>]*\Z")
 
 
-def _named_words(value: str) -> set[str]:
-    """The words of class and id names; a name like ``has-sidebar`` says what its element has, not what it is."""
-    names = (re.split(r"[_-]+", name) for name in value.split())
-    return {word for parts in names if parts[0] not in STATES for word in parts}
+def _named(value: str) -> tuple[set[str], set[str]]:
+    """Furniture words that class and id names say surely (as their last or only part) and maybe (as another part).
+
+    A name with a word like ``has`` or ``with`` says what its element has, not what it is.
+    """
+    sure, maybe = set(), set()
+    for name in value.split():
+        parts = [p for p in re.split(r"[_-]+", name) if p]
+        found = WORDS.intersection(parts)
+        if not found or STATES.intersection(parts):
+            continue
+        if parts[-1] in WORDS or (parts[0] in WORDS and GATHERED.issuperset(parts[1:])):
+            sure |= found
+        else:
+            maybe |= found
+    return sure, maybe
 
 
-def _furniture(name: str, attributes: str, inside: bool) -> int:
-    """2 for page furniture, 1 for the head of an article, whose headings stay, 0 for anything else."""
+def _furniture(name: str, attributes: str, inside: bool) -> tuple[int, bool]:
+    """2 for page furniture, 1 for the head of an article, whose headings stay, 0 for anything else; and whether only the element's size can tell."""
     if name in FURNITURE:
-        return 1 if name == "header" and inside else 2
+        return (1 if name == "header" and inside else 2), name in MAYBE
     if not attributes or attributes.isspace() or name in ("html", "body"):
-        return 0
-    found = 0
+        return 0, False
+    found, guess = 0, 0
     for m in ATTRIBUTE.finditer(attributes):
         key, value = m.group(1).lower(), (m.group(2) or m.group(3) or m.group(4) or "").lower()
         if key in ("class", "id"):
-            words = _named_words(value) & WORDS
-            if words:
-                found = max(found, 1 if inside and words <= HEADS else 2)
+            sure, maybe = _named(value)
+            if sure:
+                found = max(found, 1 if inside and sure <= HEADS else 2)
+            if maybe:
+                guess = max(guess, 1 if inside and maybe <= HEADS else 2)
         elif key == "role":
             found = max(found, 2 * (value in ROLES))
         elif key == "hidden" or (key == "aria-hidden" and value == "true") or (key == "style" and re.search(r"display\s*:\s*none", value)):
             found = 2
-    return found
+    return (found, False) if found >= guess else (guess, True)
+
+
+class _Blocks:
+    """The text blocks of a page as its tags come, with the elements that cover them; every step is constant but for what it closes."""
+
+    def __init__(self) -> None:
+        self.texts: list[str] = []
+        self.words: list[int] = []  # words up to each block
+        self.inside: list[bool] = []  # in an article
+        self.heading: list[bool] = []
+        self.parts: list[str] = []
+        self.stack: list[tuple[str, bool, int]] = []  # element, in an article, its number among those that count
+        self.depth: Counter[str] = Counter()
+        self.headings = 0
+        self.spans: list[list[int]] = []  # first block, end block, furniture value, unsure
+
+    def flush(self) -> None:
+        if self.parts:
+            text = " ".join(html.unescape("".join(self.parts)).split())
+            if text:
+                self.texts.append(text)
+                self.words.append((self.words[-1] if self.words else 0) + text.count(" ") + 1)
+                self.inside.append(bool(self.stack) and self.stack[-1][1])
+                self.heading.append(self.headings > 0)
+            self.parts.clear()
+
+    def pop(self) -> str:
+        name, _, span = self.stack.pop()
+        self.depth[name] -= 1
+        self.headings -= name in HEADINGS
+        if span >= 0:
+            self.spans[span][1] = len(self.texts)  # an inline element does not decide over the block it lies in
+        return name
+
+    def close(self, name: str) -> None:
+        while self.depth[name]:
+            if self.pop() == name:
+                return
+
+    def end_before(self, name: str) -> None:
+        """A block ends an open paragraph, an item the item before."""
+        for i in range(len(self.stack) - 1, -1, -1):
+            held = self.stack[i][0]
+            if held == "p" or (held == name and name in ("li", "dt", "dd", "tr", "td", "th")):
+                while len(self.stack) > i:
+                    self.pop()
+                return
+            if held in BLOCKS:
+                return
+
+    def open(self, name: str, attributes: str) -> None:
+        inside = bool(self.stack) and self.stack[-1][1]
+        value, unsure = _furniture(name, attributes, inside)
+        article = name in ("article", "main") or 'role="main"' in attributes
+        span = -1
+        if value or article:
+            span = len(self.spans)
+            self.spans.append([len(self.texts), -1, value, unsure, article and not value])
+        self.stack.append((name, inside or article, span))
+        self.depth[name] += 1
+        self.headings += name in HEADINGS
+
+    def done(self) -> tuple[list[str], list[int]]:
+        """Blocks and places; furniture is what covers the smaller part of the page, where a name alone cannot tell."""
+        self.flush()
+        while self.stack:
+            self.pop()
+        n = len(self.texts)
+        before = [0, *self.words]
+        size = lambda s: before[min(s[1], n)] - before[min(s[0], n)]
+        chief = [s for s in self.spans if s[4] and 2 * size(s) > before[-1]]
+        chief = min(chief, key=size, default=None)  # the article with most of the page's words: nothing around it makes it furniture
+        change = [0] * (n + 1)
+        for s in self.spans:
+            if not s[2] or (s[3] and 2 * size(s) > before[-1]):
+                continue
+            first, end = min(s[0], n), min(s[1], n)
+            pieces = [(first, end)]
+            if chief is not None and s[0] <= chief[0] and chief[1] <= s[1]:
+                pieces = [(first, min(chief[0], n)), (min(chief[1], n), end)]
+            for a, b in pieces:
+                change[a] += s[2]
+                change[b] -= s[2]
+        places, depth = [], 0
+        for i in range(n):
+            depth += change[i]
+            gone = depth and not (self.heading[i] and self.inside[i] and depth == 1)
+            places.append(0 if gone else 2 if self.inside[i] else 1)
+        return self.texts, places
 
 
 def text_blocks(page: str) -> tuple[list[str], list[int]]:
     """The text blocks of a page in order and the place of each: 0 page furniture, 1 elsewhere, 2 in the article."""
     page = UNFINISHED.sub("", page)
-    texts, places = [], []
-    stack: list[tuple[str, int, bool]] = []  # element, furniture depth, in an article
-    parts: list[str] = []
-    furniture, article, heading = 0, False, False
-
-    def flush() -> None:
-        if parts:
-            text = " ".join(html.unescape("".join(parts)).split())
-            if text:
-                texts.append(text)
-                places.append(0 if furniture and not (heading and article and furniture == 1) else 2 if article else 1)
-            parts.clear()
-
+    out = _Blocks()
     at = 0
     while True:
         m = TAG.search(page, at)
         if m is None:
-            parts.append(page[at:])
+            out.parts.append(page[at:])
             break
         if m.start() > at:
-            parts.append(page[at : m.start()])
+            out.parts.append(page[at : m.start()])
         at = m.end()
         name = m.group(2) or m.group(5)
         if name is None:
             continue
         name, closing = name.lower(), m.group(1) or m.group(4)
+        attributes = m.group(3) or m.group(6) or ""
         if not closing and name in RAW:
-            if not (m.group(3) or m.group(6) or "").endswith("/"):
+            if not attributes.endswith("/"):
                 end = re.compile(rf"</{re.escape(name)}\b[^>]*(?:>|\Z)", re.I).search(page, at)
                 at = end.end() if end else len(page)
             continue
         if name == "br":
-            parts.append(" ")
+            out.parts.append(" ")
             continue
-        if name in BLOCKS:
-            flush()
+        if name in BLOCKS or (name in FURNITURE and out.depth["form"]):  # a form's controls stand apart from its text
+            out.flush()
         if closing:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == name:
-                    del stack[i:]
-                    break
+            out.close(name)
         elif name not in VOID:
-            if name in BLOCKS:  # a block ends an open paragraph, an item the item before
-                for i in range(len(stack) - 1, -1, -1):
-                    if stack[i][0] == "p" or (stack[i][0] == name and name in ("li", "dt", "dd", "tr", "td", "th")):
-                        del stack[i:]
-                        break
-                    if stack[i][0] in BLOCKS:
-                        break
-            _, depth, inside = stack[-1] if stack else ("", 0, False)
-            depth += _furniture(name, m.group(3) or m.group(6) or "", inside)
-            stack.append((name, depth, inside or name in ("article", "main") or 'role="main"' in (m.group(3) or "")))
-        if stack:
-            _, furniture, article = stack[-1]
-            heading = any(s[0] in HEADINGS for s in stack)
-        else:
-            furniture, article, heading = 0, False, False
-    flush()
-    return texts, places
+            if name in BLOCKS:
+                out.end_before(name)
+            out.open(name, attributes)
+    return out.done()
 
 
 def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -8,8 +8,8 @@ until one is left per source, which a coin decides. A source's taken words there
 than one document, however the documents are spread. Coins are hashes of row keys: reruns agree.
 
 Cases: a null text has size 0, and a document without words is never taken more than ``floor(f)`` times;
-null is a source of its own, after all others; rows that are equal in id, source and text are one item that weighs as much
-as all of them, and each of them gets its copies; a source without words has target 0; an empty table gives no rows.
+null is a source of its own, after all others; rows that are equal in id, source and text share whole copies and one
+fraction; a source without words has target 0; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabloom.llm.grams import GOLD, U, mix, row_key, stored
+from tabloom.llm.grams import BLOCK_ROWS, GOLD, U, mix, row_key, running, stored, text_key
 
 MOST = 3.0
 LEAF, FAN = 1_000, 256
@@ -121,35 +121,56 @@ def rounded(items: DataFrame) -> DataFrame:
 
 def plan_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
              weights: tuple[float, ...] = (1.0, 2.0, 3.0), most: float = MOST) -> DataFrame:
-    """Copies of each item: rkey, doc_id, source, size, times (rows that are this item), source_size, target, copies."""
+    """Copies of each row: rkey, doc_id, source, text_key, size, times (rows that get these copies), first, rows, source_size, target, copies.
+
+    An item is what rows equal in id, source and text (by a 128-bit key) have in common. Equal rows together get whole copies and the
+    fraction left over is rounded once, so a row repeated often misses its share by less than one row; an item of ``rows`` rows has up to two
+    lines here, for its rows from number ``first`` on.
+    """
     rows = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"),
         F.col(text_col).cast("string").alias("text"),
     )
-    rows = rows.select("doc_id", "source", word_count(F.col("text")).alias("size"), row_key("doc_id", "source", "text").alias("rkey"))
-    items = stored(rows.groupBy("rkey").agg(F.first("doc_id").alias("doc_id"), F.first("source").alias("source"),
-                                            F.first("size").alias("size"), F.count("*").alias("times")), "items")
+    rows = rows.select("doc_id", "source", text_key(F.col("text")).alias("text_key"), word_count(F.col("text")).alias("size"))
+    items = rows.groupBy("doc_id", "source", "text_key").agg(F.first("size").alias("size"), F.count("*").alias("times"))
+    items = stored(items.withColumn("rkey", row_key("doc_id", "source", "text_key")), "items")
     sums = items.groupBy("source").agg(F.sum(F.col("size") * F.col("times")).alias("source_size"))
     goal = stored(targets(sums, weights, most), "targets")
     # one row per source: Spark broadcasts it by its measured size or else joins by source, where it splits hot sources
     named = items.withColumnRenamed("source", "_source").join(goal, F.col("_source").eqNullSafe(F.col("source"))).drop("_source")
     factor = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    whole = F.floor(factor + NEAR)
-    named = named.withColumn("whole", whole.cast("long")).withColumn("share", F.greatest(factor - whole, F.lit(0.0)))
-    named = named.withColumn("weight", (F.col("size") * F.col("times")).cast("double"))
+    whole = F.floor(F.col("times") * factor + NEAR)
+    named = named.withColumn("whole", whole.cast("long")).withColumn("share", F.greatest(F.col("times") * factor - whole, F.lit(0.0)))
+    named = named.withColumn("weight", F.col("size").cast("double"))
     named = named.withColumn("group", F.xxhash64(F.col("source"), F.col("source").isNull()))
     open_ = (F.col("size") > 0) & (F.col("share") > NEAR)
     out = rounded(named.filter(open_)).unionByName(named.filter(~open_).withColumn("share", F.lit(0.0)))
-    out = out.withColumn("copies", F.col("whole") + F.round("share").cast("long"))
-    return out.select("rkey", "doc_id", "source", "size", "times", "source_size", "target", "copies")
+    total, rows = F.col("whole") + F.round("share").cast("long"), F.col("times")
+    more, each = total % rows, F.call_function("div", total, rows)
+    lines = F.array(*[F.struct(first.alias("first"), n.alias("times"), c.alias("copies"))
+                      for first, n, c in ((F.lit(0).cast("long"), more, each + 1), (more, rows - more, each))])
+    lines = F.filter(lines, lambda x: x["times"] > 0)
+    out = out.select("rkey", "doc_id", "source", "text_key", "size", F.col("times").alias("rows"), "source_size", "target", F.explode(lines).alias("line"))
+    return out.select("rkey", "doc_id", "source", "text_key", "size", "line.times", "line.first", "rows", "source_size", "target", "line.copies")
 
 
 def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **how) -> DataFrame:
     """The mixed documents: each row as often as the mix takes it, with the columns of ``docs``."""
-    plan = plan_mix(docs, id_col, text_col, source_col, **how).filter("copies > 0").select(F.col("rkey").alias("__rkey"), F.col("copies").alias("__copies"))
-    keyed = docs.withColumn("__mine", F.xxhash64(
-        F.col(id_col).cast("long"), F.col(id_col).cast("long").isNull(), F.col(source_col).cast("string"),
-        F.col(source_col).cast("string").isNull(), F.col(text_col).cast("string"), F.col(text_col).cast("string").isNull()))
-    joined = keyed.join(plan, F.col("__mine") == F.col("__rkey"))
-    copies = joined.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies"))))
+    plan = plan_mix(docs, id_col, text_col, source_col, **how).filter("copies > 0")
+    names = {"__id": F.col(id_col).cast("long"), "__source": F.col(source_col).cast("string"), "__key": text_key(F.col(text_col).cast("string"))}
+    keyed = docs.select(*[F.col(f"`{c}`") for c in docs.columns], *[x.alias(n) for n, x in names.items()])
+    lines = plan.select(F.col("doc_id").alias("__i"), F.col("source").alias("__s"), F.col("text_key").alias("__t"), F.col("copies").alias("__copies"),
+                        F.col("first").alias("__first"), F.col("times").alias("__times"), F.col("rows").alias("__rows"))
+    same = F.col("__id").eqNullSafe(F.col("__i")) & F.col("__source").eqNullSafe(F.col("__s")) & F.col("__key").eqNullSafe(F.col("__t"))
+    chosen = keyed.join(lines.filter("__rows = 1"), same)
+    largest = plan.agg(F.max("rows")).first()[0] or 1
+    if largest > 1:  # equal rows are numbered, by block, so that no task holds all of them
+        repeated = stored(keyed.join(lines.filter("__rows > 1").select("__i", "__s", "__t").distinct(), same, "left_semi")
+                          .withColumn("__uid", F.monotonically_increasing_id()), "repeated-rows")
+        numbers = repeated.select("__id", "__source", "__key", F.col("__uid").alias("key"), F.pmod(F.xxhash64("__uid"), F.lit(-(-largest // BLOCK_ROWS))).alias("block"))
+        numbers = running(numbers, ["__id", "__source", "__key"], F.lit(1), "__nth").select(F.col("key").alias("__uid"), "__nth")
+        here = (F.col("__nth") >= F.col("__first")) & (F.col("__nth") < F.col("__first") + F.col("__times"))
+        repeated = repeated.join(numbers, "__uid").join(lines.filter("__rows > 1"), same & here)
+        chosen = chosen.unionByName(repeated.select(chosen.columns))
+    copies = chosen.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies"))))
     return copies.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -29,10 +29,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabloom.llm.grams import as_bytes, byte_table, kept_in_worker, size_runs, stored
+from tabloom.llm.grams import BLOCK_ROWS, as_bytes, byte_table, kept_in_worker, running, size_runs, stored
 
 WINDOW, GRAIN = 4096, 16
-BLOCK_ROWS = 100_000
 KEPT_WORDS, LONG_WORD, RUN = 300_000, 100, 8 << 20
 OUT_BYTES = 4 << 20
 
@@ -206,16 +205,6 @@ def levels_words(spec: str) -> bool:
     return special and "Lowercase" in before and bool(split) and split[0]["behavior"] == "Removed" and split[0]["invert"] and pattern.endswith(r"[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 
 
-def _numbered(rows: DataFrame, group: list[str], value, name: str) -> DataFrame:
-    """Adds the sum of ``value`` over the earlier rows of the group; sums go by block, so no task holds a group."""
-    sums = rows.groupBy(*group, "block").agg(F.sum(value).alias("_sum"))
-    before = Window.partitionBy(*group, *([] if group else [F.lit(0)])).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.select(*group, "block", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_base"))
-    inside = Window.partitionBy(*group, "block").orderBy("key").rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.withColumn("_in", F.coalesce(F.sum(value).over(inside), F.lit(0)))
-    return rows.join(sums, [*group, "block"]).withColumn(name, (F.col("_base") + F.col("_in")).cast("long")).drop("_base", "_in")
-
-
 def _places(spark, plan, window: int) -> DataFrame:
     """(bin, first, end, each, sequence, slot): the rests first .. end of a bin lie in ``each`` windows from ``sequence`` on, a copy after the other."""
     rows, taken, sequence = [], {}, 0
@@ -292,8 +281,8 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 2, window: int = WINDOW,
     plan = plan_windows(histogram)
     blocks = max(64, -(-total // BLOCK_ROWS))
     sizes = sizes.withColumn("block", F.pmod(F.xxhash64("key"), F.lit(blocks)))
-    sizes = _numbered(sizes, [], F.col("full"), "whole")
-    sizes = _numbered(sizes, ["bin"], F.lit(1), "nth")
+    sizes = running(sizes, [], F.col("full"), "whole")
+    sizes = running(sizes, ["bin"], F.lit(1), "nth")
     # at most three rows per combination in use, and no more combinations than bins and greedy patterns
     places = F.broadcast(_places(spark, plan, window).withColumnRenamed("bin", "of"))
     hit = (F.col("bin") == F.col("of")) & (F.col("nth") >= F.col("first")) & (F.col("nth") < F.col("end"))
@@ -306,7 +295,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 2, window: int = WINDOW,
     )
     inside = Window.partitionBy("sequence").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
     fitted = fitted.select("key", "whole", "sequence", F.coalesce(F.sum("rest").over(inside), F.lit(0)).alias("offset"), F.lit(None).cast("long").alias("at"))
-    loose = _numbered(placed.where("first is null"), [], F.col("rest"), "at")
+    loose = running(placed.where("first is null"), [], F.col("rest"), "at")
     loose = loose.select("key", "whole", F.lit(full + made).cast("long").alias("sequence"), F.lit(0).cast("long").alias("offset"), "at")
     planned = texts.join(fitted.unionByName(loose), "key").select("doc_id", "n", "ids", "whole", "sequence", "offset", "at")
     schema = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"

@@ -168,6 +168,21 @@ def test_mixed_rows_repeat(spark):
     assert mixing.mix_sources(docs.limit(0)).count() == 0
 
 
+def test_repeated_rows_meet_the_target_within_one_row(spark):
+    equal = [(1, words(1, 10), "en", "a", i, 0, 0.0, "", 0) for i in range(50)]  # equal in id, source and text, not in other columns
+    rows = equal + [(100 + i, words(i, 10), "en", "a", 0, 0, 0.0, "", 0) for i in range(50)] + [(300 + i, words(i, 10), "en", "b", 0, 0, 0.0, "", 0) for i in range(100)]
+    plan = mixing.plan_mix(documents(spark, rows)).collect()
+    for s in "ab":
+        mine = [r for r in plan if r.source == s]
+        assert abs(sum(r["size"] * r.times * r.copies for r in mine) - mine[0].target) <= 10
+    out = mixing.mix_sources(documents(spark, rows)).collect()
+    per_row = Counter(r.n_chars for r in out if r.doc_id == 1)
+    share = 50 * next(r.target / r.source_size for r in plan if r.source == "a")
+    assert abs(sum(per_row.values()) - share) <= 1 and max(per_row.values()) <= 3
+    even = {sum(per_row.values()) // 50, -(-sum(per_row.values()) // 50)}
+    assert {per_row.get(i, 0) for i in range(50)} <= even
+
+
 def test_pivot_keeps_mass_and_chances():
     rng = np.random.default_rng(0)
     sizes, shares = rng.integers(1, 50, 200).astype(float), rng.random(200)

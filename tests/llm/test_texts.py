@@ -5,6 +5,7 @@ import json
 import random
 import re
 import string
+import time
 from collections import Counter
 
 import numpy as np
@@ -221,3 +222,32 @@ def test_boilerplate_inside_articles(spark):
         assert all(line not in r.text for r in got.values())
         assert all(outside.format(i) in got[i].text for i in range(120))
         assert [got[500 + i].text for i in range(4)] == [words(5000 + i, 40, 5000) for i in range(4)]
+
+
+ARTICLE = "<p>" + " ".join(f"word{i} of the long article text" for i in range(60)) + "</p>"
+
+
+@pytest.mark.parametrize("name", ["layout-sidebar-right", "content-with-sidebar", "two-column sidebar-left", "post related-wrapper", "ad-free",
+                                  "page-header-fixed", "nav-open", "comment-enabled", "header-and-content", "modal-open", "main-menu-page"])
+def test_names_that_mention_furniture_lose_no_article(name):
+    for inner in (ARTICLE, f"<article>{ARTICLE}</article>"):
+        for kind in ("class", "id"):
+            texts, places = html_text.text_blocks(f'<body><div class="sidebar">short side</div><div {kind}="{name}">{inner}</div></body>')
+            assert [bool(p) for p in places] == [False, True] and texts[1].startswith("word0")
+
+
+def test_articles_in_forms_and_behind_open_menus_stay():
+    for page in (f'<article class="post comment-open">{ARTICLE}</article>', f"<form><article>{ARTICLE}</article><button>go</button></form>",
+                 f"<form>{ARTICLE}</form>", f"<nav><a>x</a><article>{ARTICLE}</article>"):
+        texts, places = html_text.text_blocks(page)
+        assert [t[:5] for t, p in zip(texts, places, strict=True) if p] == ["word0"]
+    comments = "<p>nice one two three four</p>" * 100
+    texts, places = html_text.text_blocks(f'<article><header><h1>Head</h1><p>by me</p></header>{ARTICLE}</article><div class="comments-section">{comments}</div>')
+    assert [t[:5] for t, p in zip(texts, places, strict=True) if p] == ["Head", "word0"]
+
+
+def test_unclosed_elements_take_linear_time():
+    started = time.perf_counter()
+    for piece in ("<div class=x>a", "<b>a<p>", "<div></p>", "<h1>a", "<li><span>"):
+        html_text.text_blocks(piece * 100_000)
+    assert time.perf_counter() - started < 60
