@@ -1,8 +1,8 @@
 """Resharding by minimum-cost flow.
 
 Old shard sizes and new capacities make a transportation problem: a byte that stays in its shard costs nothing, a byte
-that moves costs one (or what the caller's costs say). Successive shortest paths solve it on the driver, on as
-many nodes as there are shards. A shard's documents stand in a fixed order of blocks; the flow cuts that order into
+that moves costs one (or what the caller's costs say). Moves at one price go through a hub, so the network has as many nodes and arcs as there
+are shards; it is solved on the driver by successive shortest distances with a blocking flow at each. A shard's documents stand in a fixed order of blocks; the flow cuts that order into
 runs of bytes, and a document goes where the run goes that holds its middle byte. A second solution, from the
 layout reached to the same capacities, moves the smallest documents of the shards that got too much, so that whole
 documents cost no balance; a document larger than an equal share has a shard to itself. Running sums are taken per block and per shard, never over a whole shard at once.
@@ -15,66 +15,133 @@ from __future__ import annotations
 
 import heapq
 import os
+from collections import deque
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tabloom.llm.grams import row_key, stored
+from tabloom.llm.grams import running, stored, text_key
 
 BLOCK_ROWS = 100_000
+LISTED = 1_000  # a key with more equal rows has its places joined one by one instead of as a list
+
+
+class Network:
+    """Arcs with room and price between numbered nodes; an arc's partner runs back."""
+
+    def __init__(self, nodes: int):
+        self.to, self.room, self.price, self.out = [], [], [], [[] for _ in range(nodes)]
+
+    def arc(self, u: int, v: int, room: int, price: int = 0) -> int:
+        for a, b, r, p in ((u, v, room, price), (v, u, 0, -price)):
+            self.out[a].append(len(self.to))
+            self.to.append(b)
+            self.room.append(r)
+            self.price.append(p)
+        return len(self.to) - 2
+
+    def flow(self, arc: int) -> int:
+        return self.room[arc ^ 1]
+
+    def send(self, source: int, sink: int, amount: int) -> int:
+        """Cheapest flow of ``amount``; returns what found no way."""
+        to, room, price, out = self.to, self.room, self.price, self.out
+        height = [0] * len(out)
+        while amount:
+            far = [float("inf")] * len(out)
+            far[source], queue = 0, [(0, source)]
+            while queue:
+                d, u = heapq.heappop(queue)
+                if d > far[u]:
+                    continue
+                for e in out[u]:
+                    if room[e] and (step := d + price[e] + height[u] - height[to[e]]) < far[to[e]]:
+                        far[to[e]] = step
+                        heapq.heappush(queue, (step, to[e]))
+            if far[sink] == float("inf"):
+                break
+            height = [h + min(d, far[sink]) for h, d in zip(height, far)]
+            while amount and (sent := self._blocking(source, sink, amount, height)):
+                amount -= sent
+        return amount
+
+    def _blocking(self, source: int, sink: int, amount: int, height: list[int]) -> int:
+        """A blocking flow over the arcs that cost nothing at these heights, by levels."""
+        to, room, price, out = self.to, self.room, self.price, self.out
+        level, queue = {source: 0}, deque([source])
+        while queue:
+            u = queue.popleft()
+            for e in out[u]:
+                if room[e] and to[e] not in level and price[e] + height[u] == height[to[e]]:
+                    level[to[e]] = level[u] + 1
+                    queue.append(to[e])
+        if sink not in level:
+            return 0
+        at, path, sent, u = [0] * len(out), [], 0, source
+        while sent < amount:
+            if u == sink:
+                step = min(amount - sent, *(room[e] for e in path))
+                for e in path:
+                    room[e] -= step
+                    room[e ^ 1] += step
+                sent += step
+                full = next((k for k, e in enumerate(path) if not room[e]), 0)
+                u = to[path[full] ^ 1]
+                del path[full:]
+                continue
+            while at[u] < len(out[u]):
+                e = out[u][at[u]]
+                if room[e] and level.get(to[e]) == level[u] + 1 and price[e] + height[u] == height[to[e]]:
+                    break
+                at[u] += 1
+            else:
+                if u == source:
+                    break
+                u = to[path.pop() ^ 1]
+                at[u] += 1
+                continue
+            path.append(e)
+            u = to[e]
+        return sent
 
 
 def min_cost_flow(supply: list[int], capacity: list[int], cost=None) -> dict[tuple[int, int], int]:
     """Cheapest transfers {(old, new): bytes} that place all supply within the capacities.
 
-    ``cost(old, new)`` is per byte; by default 0 for the same number and 1 otherwise. Successive shortest
-    paths with potentials over source, old shards, new shards and sink.
+    By default a byte costs 0 in the shard of the same number and 1 in any other: then there is an arc per shard to itself and one
+    each to and from a hub. ``cost(old, new)`` sets a price per byte and pair, with an arc for each.
     """
     if sum(capacity) < sum(supply):
         raise ValueError("the new shards cannot hold the old ones")
-    cost = cost or (lambda i, j: int(i != j))
     m, n = len(supply), len(capacity)
-    source, sink = m + n, m + n + 1
-    graph: list[list[list]] = [[] for _ in range(m + n + 2)]
-
-    def arc(u: int, v: int, room: int, price: int) -> None:
-        graph[u].append([v, room, price, len(graph[v])])
-        graph[v].append([u, 0, -price, len(graph[u]) - 1])
-
+    hub, source, sink = m + n, m + n + 1, m + n + 2
+    net = Network(m + n + 3)
     for i, s in enumerate(supply):
-        arc(source, i, s, 0)
-        for j in range(n):
-            arc(i, m + j, s, cost(i, j))
+        net.arc(source, i, s)
     for j, c in enumerate(capacity):
-        arc(m + j, sink, c, 0)
-    height, left = [0] * len(graph), sum(supply)
-    while left:
-        far, via = [float("inf")] * len(graph), [None] * len(graph)
-        far[source], queue = 0, [(0, source)]
-        while queue:
-            d, u = heapq.heappop(queue)
-            if d > far[u]:
-                continue
-            for k, (v, room, price, _) in enumerate(graph[u]):
-                step = d + price + height[u] - height[v]
-                if room and step < far[v]:
-                    far[v], via[v] = step, (u, k)
-                    heapq.heappush(queue, (step, v))
-        for v, d in enumerate(far):
-            if d < float("inf"):
-                height[v] += d
-        flow, v = left, sink
-        while v != source:
-            u, k = via[v]
-            flow, v = min(flow, graph[u][k][1]), u
-        v = sink
-        while v != source:
-            u, k = via[v]
-            graph[u][k][1] -= flow
-            graph[v][graph[u][k][3]][1] += flow
-            v = u
-        left -= flow
-    return {(i, e[0] - m): graph[e[0]][e[3]][1] for i in range(m) for e in graph[i] if m <= e[0] < m + n and graph[e[0]][e[3]][1]}
+        net.arc(m + j, sink, c)
+    total = sum(supply)
+    if cost:
+        pairs = {(i, j): net.arc(i, m + j, s, cost(i, j)) for i, s in enumerate(supply) for j in range(n)}
+        net.send(source, sink, total)
+        return {k: net.flow(e) for k, e in pairs.items() if net.flow(e)}
+    stay = {i: net.arc(i, m + i, supply[i]) for i in range(min(m, n))}
+    leave = [net.arc(i, hub, s, 1) for i, s in enumerate(supply)]
+    enter = [net.arc(hub, m + j, c) for j, c in enumerate(capacity)]
+    net.send(source, sink, total)
+    moved = {(i, i): net.flow(e) for i, e in stay.items() if net.flow(e)}
+    wanted = deque([j, net.flow(e)] for j, e in enumerate(enter) if net.flow(e))
+    for i, e in enumerate(leave):
+        left = net.flow(e)
+        while left:
+            j, room = wanted[0]
+            step = min(left, room)
+            moved[i, j] = moved.get((i, j), 0) + step
+            left -= step
+            wanted[0][1] -= step
+            if not wanted[0][1]:
+                wanted.popleft()
+    return moved
 
 
 def runs_of(flow: dict[tuple[int, int], int]) -> list[tuple[int, int, int, int]]:
@@ -100,17 +167,17 @@ def _moved(rows: DataFrame, old: int, capacity: list[int], order: list[Column],
     """Rows (from, block, size, ...) with ``to``: the shard of the run that ``mark``, a byte of the document, is before the end of."""
     sizes = {r["from"]: r["n"] for r in rows.groupBy("from").agg(F.sum("size").alias("n")).collect()}  # a row per shard
     flow = min_cost_flow([int(sizes.get(i, 0)) for i in range(old)], capacity, cost)
-    cuts: dict[int, list] = {}
-    for i, j, first, end in runs_of(flow):
-        cuts.setdefault(i, []).append((first, end, j))
-    rows = _offsets(rows, "from", order, F.col("size"), "at")
-    to = F.lit(None).cast("int")
-    for i, runs in cuts.items():
-        inner = F.lit(runs[-1][2])
-        for _, end, j in reversed(runs[:-1]):
-            inner = F.when(mark <= end, F.lit(j)).otherwise(inner)
-        to = F.when(F.col("from") == i, inner).otherwise(to)
-    return rows.withColumn("to", to.cast("int")).drop("at")
+    cuts: dict[int, tuple[list, list]] = {}
+    for i, j, _, end in runs_of(flow):
+        ends, shards = cuts.setdefault(i, ([], []))
+        ends.append(end)
+        shards.append(j)
+    # one run per shard and one more per new shard at most: as small as the list of shards
+    runs = rows.sparkSession.createDataFrame([(i, *c) for i, c in cuts.items()], "`_old` int, `_ends` array<long>, `_shards` array<int>")
+    rows = _offsets(rows, "from", order, F.col("size"), "at").join(F.broadcast(runs), F.col("from") == F.col("_old"), "left")
+    run = F.least(F.size(F.filter("_ends", lambda end: end < mark)) + 1, F.size("_ends"))
+    spare = next((j for j, c in enumerate(capacity) if c), 0)  # for documents without a byte
+    return rows.withColumn("to", F.coalesce(F.element_at("_shards", run), F.lit(spare))).drop("at", "_old", "_ends", "_shards")
 
 
 def _alone(rows: DataFrame, total: int, shards: int) -> list:
@@ -130,15 +197,25 @@ def even_capacities(total: int, shards: int) -> list[int]:
     return [total // shards + (j < total % shards) for j in range(shards)]
 
 
+def _copies(rows: DataFrame) -> DataFrame:
+    """The rows with ``copy``, from 1 over the rows of a key: equal rows are counted first, so a key costs a row per task and old shard."""
+    counts = rows.groupBy(*rows.columns).agg(F.count("*").alias("_n"))
+    earlier = Window.partitionBy("rkey").orderBy("from").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumn("_first", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+    counts = counts.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1, F.lit(BLOCK_ROWS).cast("long"))))
+    if rows.groupBy("rkey").count().filter(F.col("count") > BLOCK_ROWS).head(1):
+        counts = counts.repartition("rkey", "_block")
+    last = F.least(F.col("_block") + BLOCK_ROWS, F.col("_n"))
+    return counts.select(*rows.columns, F.explode(F.sequence(F.col("_first") + F.col("_block") + 1, F.col("_first") + last)).alias("copy"))
+
+
 def reshard(rows: DataFrame, old_shards: int, shards: int, capacity: list[int] | None = None, cost=None, passes: int = 3) -> DataFrame:
     """New shard and slot of documents (rkey, size, from, ...): adds ``shard`` and ``slot``; ``from`` is 0 to old_shards - 1.
 
     ``capacity`` defaults to equal shares. Further passes go from the layout reached to the
     same capacities with the smallest documents first: they only even out what whole documents left uneven.
     """
-    # equal rows share a key: their number tells them apart
-    again = Window.partitionBy("rkey").orderBy(F.lit(0))
-    rows = stored(rows.withColumn("copy", F.row_number().over(again)), "old-layout")
+    rows = stored(_copies(rows), "old-layout")
     count, total = rows.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
     alone = [] if capacity else _alone(rows, int(total), shards)
     if not capacity:
@@ -150,7 +227,7 @@ def reshard(rows: DataFrame, old_shards: int, shards: int, capacity: list[int] |
     own = None
     if alone:
         places = [(r["rkey"], r["copy"], j) for j, r in enumerate(alone)]
-        places = F.broadcast(rows.sparkSession.createDataFrame(places, "rkey long, copy int, to int"))
+        places = F.broadcast(rows.sparkSession.createDataFrame(places, "rkey string, copy long, to int"))
         own = rows.join(places, ["rkey", "copy"]).select(*rows.columns, "to")
         rows = rows.join(places, ["rkey", "copy"], "left_anti").select(*rows.columns)
     middle, end = F.col("at") + F.col("size") / 2, F.col("at") + F.col("size")
@@ -168,6 +245,12 @@ def reshard(rows: DataFrame, old_shards: int, shards: int, capacity: list[int] |
     return out.withColumn("slot", F.col("slot").cast("long")).drop("block")
 
 
+def item_key(doc_id: Column, text: Column, source: Column) -> Column:
+    """A 128-bit key of id, text and old shard's value; equal rows share it, nulls count as values."""
+    none = F.lit("-")
+    return F.md5(F.concat_ws("|", F.coalesce(doc_id.cast("string"), F.lit("n")), F.coalesce(text_key(text), none), F.coalesce(F.concat(F.lit("+"), source), none)))
+
+
 def sized(docs: DataFrame, old_shards: int, id_col: str = "doc_id", text_col: str = "text", shard_col: str = "source", overhead: int = 16,
           keep: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, rkey, size, text_crc32, from) and the columns of ``keep``: the old layout keeps each value of ``shard_col`` in one of ``old_shards`` shards."""
@@ -175,21 +258,12 @@ def sized(docs: DataFrame, old_shards: int, id_col: str = "doc_id", text_col: st
                        F.col(shard_col).cast("string").alias("source"), *keep)
     text = F.coalesce(F.col("text"), F.lit(""))
     return rows.select(
-        "doc_id", row_key("doc_id", "source", "text").alias("rkey"), (F.octet_length(text) + overhead).cast("long").alias("size"),
+        "doc_id", item_key(F.col("doc_id"), F.col("text"), F.col("source")).alias("rkey"), (F.octet_length(text) + overhead).cast("long").alias("size"),
         F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"),
         F.pmod(F.xxhash64("source", F.col("source").isNull()), F.lit(old_shards)).cast("int").alias("from"), *keep,
     )
 
 
-def numbered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shard_col: str = "source") -> DataFrame:
-    """The documents with ``__rkey`` and ``__copy``, which number equal rows: the keys of ``reshard``'s rows."""
-    kept = [F.col(f"`{c}`") for c in docs.columns]
-    parts = [F.col(id_col).cast("long"), F.col(text_col).cast("string"), F.col(shard_col).cast("string")]
-    key = F.xxhash64(*[x for c in (parts[0], parts[2], parts[1]) for x in (c, c.isNull())])
-    rows = docs.select(*kept, key.alias("__rkey"))
-    return rows.withColumn("__copy", F.row_number().over(Window.partitionBy("__rkey").orderBy(F.lit(0))))
-
-
 def _names(docs: DataFrame) -> dict[str, str]:
     """The columns ``placed`` adds; a name the documents have is taken with an underscore before it."""
     names = {}
@@ -200,11 +274,45 @@ def _names(docs: DataFrame) -> dict[str, str]:
     return names
 
 
-def placed(docs: DataFrame, plan: DataFrame, id_col: str = "doc_id", text_col: str = "text", shard_col: str = "source") -> DataFrame:
-    """The documents with size, shard and slot of their plan."""
-    names = _names(docs)
-    keys = plan.select(F.col("rkey").alias("__rkey"), F.col("copy").alias("__copy"), *[F.col(a).alias(b) for a, b in names.items()])
-    return numbered(docs, id_col, text_col, shard_col).join(keys, ["__rkey", "__copy"]).drop("__rkey", "__copy")
+def placed(docs: DataFrame, plan: DataFrame, only: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text",
+           shard_col: str = "source") -> DataFrame:
+    """The documents with size, shard and slot of their plan; ``only`` keeps the shards it lists.
+
+    Texts meet their places by key in one join. Equal rows take the places of their key in the order of the other
+    columns; a key with more than ``LISTED`` rows has them numbered by block.
+    """
+    names, kept = _names(docs), [F.col(f"`{c}`") for c in docs.columns]
+    key = item_key(F.col(id_col).cast("long"), F.col(text_col).cast("string"), F.col(shard_col).cast("string"))
+    rows = docs.select(*kept, key.alias("__rkey"))
+    wanted = F.lit(True)
+    if only is not None:  # a row per shard at most
+        plan = plan.join(F.broadcast(only.select("shard", F.lit(True).alias("__only"))), "shard", "left")
+        wanted = F.coalesce("__only", F.lit(False))
+    places = plan.select(F.col("rkey").alias("__key"), F.col("copy").alias("__copy"), wanted.alias("__wanted"), *[F.col(a) for a in names])
+    counts = places.groupBy("__key").agg(F.count("*").alias("__n"), F.max("__wanted").alias("__any")).filter("__any")
+    most = counts.agg(F.max("__n")).first()[0] or 1
+    chosen = [F.col(f"__place.{a}").alias(b) for a, b in names.items()]
+    if most == 1:
+        lone = places.filter("__wanted").select("__key", F.struct(*names).alias("__place"))
+        return rows.join(lone, F.col("__rkey") == F.col("__key")).select(*kept, *chosen)
+    place = F.struct("__copy", "__wanted", *names)
+    # keys with many rows keep no list, those without a wanted place do not come
+    lists = places.join(counts.filter(F.col("__n") > LISTED).select("__key"), "__key", "left_anti") if most > LISTED else places
+    lists = lists.groupBy("__key").agg(F.sort_array(F.collect_list(place)).alias("__places"), F.max("__wanted").alias("__any")).filter("__any")
+    simple = [f"`{f.name}`" for f in docs.schema.fields if "map<" not in f.dataType.simpleString() and "variant" not in f.dataType.simpleString()]
+    nth = F.row_number().over(Window.partitionBy("__rkey").orderBy("__order"))
+    out = rows.withColumn("__order", F.xxhash64(*simple)).join(lists, F.col("__rkey") == F.col("__key"))
+    out = out.withColumn("__place", F.element_at("__places", nth)).filter("__place.__wanted").select(*kept, *chosen)
+    if most <= LISTED:
+        return out
+    many = counts.filter(F.col("__n") > LISTED).select("__key")
+    heavy = stored(rows.join(many, F.col("__rkey") == F.col("__key"), "left_semi").withColumn("__uid", F.monotonically_increasing_id()), "equal-rows")
+    numbers = heavy.select("__rkey", F.col("__uid").alias("key"), F.pmod(F.xxhash64("__uid"), F.lit(-(-most // BLOCK_ROWS))).alias("block"))
+    numbers = running(numbers, ["__rkey"], F.lit(1), "__nth").select(F.col("key").alias("__id"), F.col("__nth"))
+    heavy = heavy.join(numbers, F.col("__uid") == F.col("__id"))
+    lines = places.filter("__wanted").select("__key", "__copy", F.struct(*names).alias("__place"))
+    heavy = heavy.join(lines, (F.col("__rkey") == F.col("__key")) & (F.col("__nth") + 1 == F.col("__copy")))
+    return out.unionByName(heavy.select(*kept, *chosen))
 
 
 def rewrite(spark: SparkSession, docs: DataFrame, plan: DataFrame, folder: str) -> DataFrame:
@@ -215,7 +323,7 @@ def rewrite(spark: SparkSession, docs: DataFrame, plan: DataFrame, folder: str)
     lost = plan.filter("`from` <> shard").select(F.explode(F.array("from", "shard")).alias("shard")).distinct()
     state = plan.groupBy("shard").agg(F.count("*").alias("rows")).join(lost.withColumn("affected", F.lit(True)), "shard", "full")
     state = stored(state.select("shard", F.coalesce("affected", F.lit(False)).alias("affected"), F.coalesce("rows", F.lit(0)).alias("rows")), "shards")
-    rows = placed(docs, plan.join(state.filter("affected").select("shard"), "shard", "left_semi"))
+    rows = placed(docs, plan, state.filter("affected"))
     path, name = os.path.join(folder, "shards"), _names(docs)["shard"]
     # only the folders of shards that get rows are replaced
     rows.write.partitionBy(name).option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path)
@@ -229,7 +337,7 @@ def resharded(spark: SparkSession, docs: DataFrame, plan: DataFrame, folder: str
     """The documents with size, shard and slot: those of affected shards as rewritten under ``folder``, the others as they are."""
     plan = stored(plan, "plan")
     state = rewrite(spark, docs, plan, folder)
-    same = placed(docs, plan.join(state.filter("not affected").select("shard"), "shard", "left_semi"))
+    same = placed(docs, plan, state.filter("not affected"))
     if not state.filter("affected and rows > 0").head(1):
         return same
     files = spark.read.schema(same.schema).parquet(os.path.join(folder, "shards"))

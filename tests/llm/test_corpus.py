@@ -2,6 +2,7 @@
 
 import itertools
 import random
+import tempfile
 import zlib
 from collections import Counter
 
@@ -215,6 +216,35 @@ def test_flow_is_cheapest():
         resharding.min_cost_flow([5], [4])
 
 
+def test_flow_through_the_hub_moves_the_fewest_bytes():
+    rng = random.Random(4)
+    for m, n in [(3, 3), (4, 2), (2, 5), (1, 1), (2000, 2500), (2500, 2000)]:
+        supply = [rng.randrange(10_000) for _ in range(m)]
+        capacity = resharding.even_capacities(sum(supply), n)
+        flow = resharding.min_cost_flow(supply, capacity)
+        old, new = Counter(), Counter()
+        for (i, j), f in flow.items():
+            old[i] += f
+            new[j] += f
+        assert [old[i] for i in range(m)] == supply and [new[j] for j in range(n)] == capacity
+        assert sum(f for (i, j), f in flow.items() if i == j) == sum(map(min, supply, capacity))
+        assert len(flow) < 2 * (m + n)
+
+
+def test_equal_rows_have_places_of_their_own(spark, monkeypatch):
+    monkeypatch.setattr(resharding, "LISTED", 20)
+    monkeypatch.setattr(resharding, "BLOCK_ROWS", 7)
+    rows = [(i // times, f"text {i // times}", "en", "s", 0, 0, 0.0, str(i), 0) for times in (1, 3, 50) for i in range(1000 * times, 1000 * times + 150)]
+    docs = documents(spark, rows)
+    plan = resharding.reshard(resharding.sized(docs, 4), 4, 5)
+    got = resharding.resharded(spark, docs, plan, tempfile.mkdtemp()).collect()
+    assert Counter(tuple(r)[: len(rows[0])] for r in got) == Counter(rows)
+    shards = {}
+    for r in got:
+        shards.setdefault(r[-2], []).append(r[-1])
+    assert sorted(shards) == list(range(5)) and all(sorted(v) == list(range(len(v))) for v in shards.values())
+
+
 def test_shards_are_even(spark):
     rng = random.Random(5)
     rows = [(i, words(i, 5 + int(rng.paretovariate(1.2)) % 300), "en", f"s{min(i % 9, 4)}", 0, 0, 0.0, "", 0) for i in range(1500)] + list(odd_rows())
