@@ -73,7 +73,9 @@ def page_text(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def secrets(spark: SparkSession, folder: str) -> DataFrame:
-    return secret_scan.scan_secrets(load(spark, folder, "documents"))
+    import public_tokenizers
+
+    return secret_scan.scan_secrets(load(spark, folder, "documents"), vocabulary=public_tokenizers.path("word_bpe_49k.json"))
 
 
 def negatives(spark: SparkSession, folder: str) -> DataFrame:

@@ -9,6 +9,7 @@ import time
 from collections import Counter
 
 import numpy as np
+import public_tokenizers
 import pytest
 
 from tabloom.llm import html_text, line_dedup, quality_rules, secret_scan, token_counts
@@ -131,6 +132,39 @@ def test_secrets_on_other_lines_before_words_and_of_letters_only():
     assert secret_scan.novel_spans(f"my_secret_{value}", [], novelty) != []
 
 
+def test_novelty_tells_random_strings_from_names():
+    words_ = secret_scan.vocabulary_words(public_tokenizers.path("word_bpe_49k.json"))
+    assert len(words_) <= secret_scan.WORDS_BYTES
+    novelty, rng = secret_scan.Novelty(secret_scan.dictionary(words_)), random.Random(3)
+    plain = ["reinforcement-learning-pipeline", "Donaudampfschifffahrt", "counterrevolutionary", "well-known-author-name", "www.example.com/articles/2020/summer"]
+    prose = " ".join(x.__doc__ for x in (html_text, token_counts, line_dedup, quality_rules))
+    assert len(prose) > 1200
+
+    def share(strings, width):
+        hits = 0
+        for value in strings:
+            at = rng.randrange(width, len(prose) - width)
+            text = f"{prose[at - width : at]} the password of {value} {prose[at : at + width]}"
+            start = text.index(value, width)
+            hits += (start, 3, start + len(value)) in secret_scan.novel_spans(text, [], novelty)
+        return hits / len(strings)
+
+    signs = string.ascii_letters + string.digits + "+/"
+    for width in (512, 60):
+        assert share(plain * 8, width) <= 0.05
+        for alphabet in (signs, string.ascii_letters, string.ascii_lowercase, string.digits, "0123456789abcdef"[::-1]):
+            assert share(["".join(rng.choice(alphabet) for _ in range(32)) for _ in range(60)], width) >= 0.95
+
+
+def test_many_secrets_in_one_text_take_linear_time():
+    novelty = lambda before, candidate, after: 0.0
+    rng = random.Random(5)
+    text = " ".join("token " + "".join(rng.choice(string.ascii_letters) for _ in range(20)) for _ in range(40_000))
+    begun = time.perf_counter()
+    assert secret_scan.novel_spans(text, [(i * 27, 0, i * 27 + 5) for i in range(40_000)], novelty) == []
+    assert time.perf_counter() - begun < 20
+
+
 def plain_lines(rows, ratio, least):
     pages, out = {}, []
     for r in rows:
