@@ -120,3 +120,17 @@ def test_one_exchange_serves_all_window_columns(spark):
     plan = series.signals(series.daily_prices(raw, "symbol"), 3, 8)._jdf.queryExecution().executedPlan().toString()
     # One for the daily prices, one by symbol for every window.
     assert plan.count("Exchange hashpartitioning") == 2
+
+
+def test_ledger_does_not_depend_on_the_length_of_runs(spark, monkeypatch):
+    rng = random.Random(11)
+    closes = [rng.choice([None, 20.0, 35.0, 50.0, 400.0]) if i % 9 == 0 else rng.uniform(20, 120) for i in range(600)]
+    start = datetime.date(2000, 1, 1)
+    days = [("ab"[i % 2], start + datetime.timedelta(days=i), c, rng.choice([0, 1, 1, None])) for i, c in enumerate(closes)]
+    signals = spark.createDataFrame(days, "symbol string, date date, close double, signal int")
+    got = {}
+    for length in (1, 7, 256, 10_000):
+        monkeypatch.setattr(ledger, "RUN", length)
+        got[length] = ledger.position_ledger(signals, 200.0).orderBy("date").collect()
+    assert len(got[1]) == 600 and {r.action for r in got[1]} == {"BUY", "SELL", "HOLD"}
+    assert all(repr(rows) == repr(got[1]) for rows in got.values())
