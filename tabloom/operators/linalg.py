@@ -16,6 +16,10 @@ from pyspark.sql import functions as F
 
 _BLOCK = "bi bigint, bj bigint, places binary, data binary"
 _CELL = "row bigint, col bigint, v double"
+# Products of single cells formed at a time, and cells of sparse sums a task holds.
+_FORMED, _SUMMED = 1 << 20, 1 << 21
+# A dense product is taken where the single products exceed this share of its multiplications.
+_DENSE_SHARE = 1 / 16
 
 
 def multiply(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -34,16 +38,25 @@ def multiply(a: DataFrame, b: DataFrame) -> DataFrame:
     )
 
 
-def _coded(block: np.ndarray) -> tuple[bytes | None, bytes]:
-    """Places and values of a block's cells, or the whole block where that is shorter."""
-    flat = block.ravel()
-    places = np.flatnonzero(flat).astype(np.int32)
-    if places.nbytes + 8 * len(places) < flat.nbytes:
-        return places.tobytes(), flat[places].tobytes()
-    return None, flat.tobytes()
+def _coded(places: np.ndarray, values: np.ndarray, size: int) -> tuple[bytes | None, bytes]:
+    """A block's cells (places in order), or the whole block where that is shorter."""
+    if 12 * len(places) < 8 * size * size:
+        return places.astype(np.int32).tobytes(), values.tobytes()
+    block = np.zeros(size * size)
+    block[places] = values
+    return None, block.tobytes()
 
 
-def _decoded(places: pa.Scalar, data: pa.Scalar, size: int) -> np.ndarray:
+def _cells(places: pa.Scalar, data: pa.Scalar) -> tuple[np.ndarray, np.ndarray]:
+    """Places and values of a stored block."""
+    values = np.frombuffer(data.as_buffer())
+    if places.is_valid:
+        return np.frombuffer(places.as_buffer(), dtype=np.int32), values
+    at = np.flatnonzero(values)
+    return at, values[at]
+
+
+def _block(places: pa.Scalar, data: pa.Scalar, size: int) -> np.ndarray:
     values = np.frombuffer(data.as_buffer())
     if not places.is_valid:
         return values.reshape(size, size)
@@ -52,31 +65,114 @@ def _decoded(places: pa.Scalar, data: pa.Scalar, size: int) -> np.ndarray:
     return block.reshape(size, size)
 
 
+def _summed(places: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One value per place, in order."""
+    if not len(places):
+        return places, values
+    order = np.argsort(places, kind="stable")
+    places, values = places[order], values[order]
+    first = np.flatnonzero(np.append(True, places[1:] != places[:-1]))
+    return places[first], np.add.reduceat(values, first)
+
+
+def _by_block(rows: DataFrame) -> DataFrame:
+    """Rows of a block side by side, so that a task streams over many blocks."""
+    return rows.repartition("bi", "bj").sortWithinPartitions("bi", "bj")
+
+
+def _runs(batch: pa.RecordBatch) -> Iterator[tuple[tuple[int, int], int, int]]:
+    """Block and its first and end row, for rows in the order of their blocks."""
+    bi, bj = batch.column("bi").to_numpy(), batch.column("bj").to_numpy()
+    if len(bi):
+        cuts = np.flatnonzero((bi[1:] != bi[:-1]) | (bj[1:] != bj[:-1])) + 1
+        edges = [0, *cuts.tolist(), len(bi)]
+        for first, end in zip(edges, edges[1:]):
+            yield (int(bi[first]), int(bj[first])), first, end
+
+
+def _block_rows(blocks: list[tuple[tuple[int, int], bytes | None, bytes]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array([b[0][0] for b in blocks], pa.int64()), pa.array([b[0][1] for b in blocks], pa.int64()),
+            pa.array([b[1] for b in blocks], pa.binary()), pa.array([b[2] for b in blocks], pa.binary()),
+        ],
+        ["bi", "bj", "places", "data"],
+    )
+
+
 def _pack(cells: DataFrame, size: int) -> DataFrame:
-    """``size`` x ``size`` blocks, as long as their cells need; cells that come more than once are summed."""
+    """``size`` x ``size`` blocks, as long as their cells need; cells that come more than once are summed.
 
-    def pack(key: tuple, part: pa.Table) -> pa.Table:
-        block = np.zeros((size, size))
-        np.add.at(block, (part.column("r").to_numpy(), part.column("c").to_numpy()), part.column("v").to_numpy())
-        places, data = _coded(block)
-        return pa.table(
-            {
-                "bi": [key[0].as_py()], "bj": [key[1].as_py()],
-                "places": pa.array([places], pa.binary()), "data": pa.array([data], pa.binary()),
-            }
-        )
+    A block's cells are summed whenever they exceed its area, so memory is bounded by that however often cells repeat.
+    """
 
-    return (
-        cells.select(
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held, count, done = None, [], 0, []
+
+        def summed() -> tuple[np.ndarray, np.ndarray]:
+            return _summed(np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held]))
+
+        for batch in batches:
+            places, values = batch.column("place").to_numpy(), batch.column("v").to_numpy()
+            for spot, first, end in _runs(batch):
+                if spot != now:
+                    if now is not None:
+                        done.append((now, *_coded(*summed(), size)))
+                    now, held, count = spot, [], 0
+                held.append((places[first:end], values[first:end]))
+                count += end - first
+                if count > 2 * size * size:
+                    held = [summed()]
+                    count = len(held[0][0])
+            if sum(len(d[2]) for d in done) > 1 << 24 or len(done) > 1024:
+                yield _block_rows(done)
+                done = []
+        if now is not None:
+            done.append((now, *_coded(*summed(), size)))
+        if done:
+            yield _block_rows(done)
+
+    return _by_block(
+        cells.where("row is not null and col is not null and v is not null").select(
             F.floor(F.col("row") / size).alias("bi"),
             F.floor(F.col("col") / size).alias("bj"),
-            F.pmod("row", F.lit(size)).alias("r"),
-            F.pmod("col", F.lit(size)).alias("c"),
+            (F.pmod("row", F.lit(size)) * size + F.pmod("col", F.lit(size))).cast("long").alias("place"),
             F.col("v").cast("double").alias("v"),
         )
-        .groupBy("bi", "bj")
-        .applyInArrow(pack, _BLOCK)
-    )
+    ).mapInArrow(pack, _BLOCK)
+
+
+def _joined(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places and values of all blocks end to end, and each cell's block."""
+    many = np.array([len(p[0]) for p in parts])
+    places = np.concatenate([p[0] for p in parts]).astype(np.int64)
+    return places, np.concatenate([p[1] for p in parts]), np.repeat(np.arange(len(parts)), many)
+
+
+def _row_by_row(
+    lefts: list[tuple[np.ndarray, np.ndarray]], rights: list[tuple[np.ndarray, np.ndarray]], target: np.ndarray, size: int
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Products of many pairs of sparse blocks at once: each left cell meets its row of the right block.
+
+    Yields sums per place, where a place is ``target * size^2`` plus the place in the block; the work is that of the
+    single products and at most ``_FORMED`` of them (or one left cell's row) are formed at a time.
+    """
+    lp, lv, pair = _joined(lefts)
+    rp, rv, right_pair = _joined(rights)
+    row = right_pair * size + rp // size
+    inner = pair * size + lp % size
+    low, high = np.searchsorted(row, inner, "left"), np.searchsorted(row, inner, "right")
+    met = np.flatnonzero(high > low)
+    low, many = low[met], (high - low)[met]
+    base = target[pair[met]] * (size * size) + lp[met] // size * size
+    column, weight, ends = rp % size, lv[met], np.cumsum(many)
+    first = 0
+    while first < len(met):
+        end = max(first + 1, int(np.searchsorted(ends, (ends[first - 1] if first else 0) + _FORMED, "right")))
+        n = many[first:end]
+        which = np.repeat(low[first:end] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        yield _summed(np.repeat(base[first:end], n) + column[which], np.repeat(weight[first:end], n) * rv[which])
+        first = end
 
 
 def block_multiply(a: DataFrame, b: DataFrame, size: int = 256, group: int = 4, held: int = 64) -> DataFrame:
@@ -85,9 +181,12 @@ def block_multiply(a: DataFrame, b: DataFrame, size: int = 256, group: int = 4,
     Blocks meet per (row group, column group, inner block), where a group is
     ``group`` blocks: no meeting holds more than ``group``^2 pairs, however long
     the matrices are, and a block is copied only to groups the other side has blocks for. What is
-    shuffled follows the number of cells. A task sums up to ``held`` result blocks before it
-    passes them on, and the final sum streams over partial blocks.
+    shuffled follows the number of cells. Nearly empty blocks are multiplied row by row, many pairs in one
+    call, with work in proportion to the products of cells; a pair whose fill makes these the larger work is
+    multiplied as dense blocks. A task holds up to ``held`` dense result blocks and a bounded number of sparse
+    cells before it passes them on, and the final sum streams over partial blocks. Rows with a null are left out.
     """
+    area = size * size
     left, right = _pack(a, size), _pack(b, size)
     row_groups = a.select(
         F.floor(F.col("col") / size).alias("bk"), F.floor(F.floor(F.col("row") / size) / group).alias("gi")
@@ -106,55 +205,107 @@ def block_multiply(a: DataFrame, b: DataFrame, size: int = 256, group: int = 4,
         ["gi", "gj", "bk"],
     )
 
-    def rows_out(sums: dict) -> pa.RecordBatch:
-        coded = [_coded(s) for s in sums.values()]
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array([k[0] for k in sums], pa.int64()),
-                pa.array([k[1] for k in sums], pa.int64()),
-                pa.array([c[0] for c in coded], pa.binary()),
-                pa.array([c[1] for c in coded], pa.binary()),
-            ],
-            ["bi", "bj", "places", "data"],
-        )
+    def dense_rows(sums: dict[tuple[int, int], np.ndarray]) -> pa.RecordBatch:
+        return _block_rows([(spot, *_coded(np.flatnonzero(s), s.ravel()[np.flatnonzero(s)], size)) for spot, s in sums.items()])
+
+    def sparse_rows(spots: list[tuple[int, int]], places: np.ndarray, values: np.ndarray) -> Iterator[pa.RecordBatch]:
+        if not len(places):
+            return
+        cuts = np.flatnonzero(np.diff(places // area)) + 1
+        edges = [0, *cuts.tolist(), len(places)]
+        out = [
+            (spots[places[f] // area], *_coded(places[f:e] % area, values[f:e], size)) for f, e in zip(edges, edges[1:]) if e > f
+        ]
+        for i in range(0, len(out), 1024):
+            yield _block_rows(out[i : i + 1024])
 
     def product(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[tuple[int, int], np.ndarray] = {}
+        number: dict[tuple[int, int], int] = {}
+        places, values = np.zeros(0, np.int64), np.zeros(0)
         for batch in batches:
-            spots = zip(batch.column("bi").to_pylist(), batch.column("bj").to_pylist())
-            sides = [batch.column(c) for c in ("left_places", "left_data", "right_places", "right_data")]
-            for spot, lp, ld, rp, rd in zip(spots, *sides):
-                part = _decoded(lp, ld, size) @ _decoded(rp, rd, size)
+            spots = list(zip(batch.column("bi").to_pylist(), batch.column("bj").to_pylist()))
+            lp, ld, rp, rd = (batch.column(c) for c in ("left_places", "left_data", "right_places", "right_data"))
+            sparse: list[int] = []
+            cells: list[tuple] = []
+            for i, spot in enumerate(spots):
+                filled = [len(p.as_buffer()) // 4 if p.is_valid else area for p in (lp[i], rp[i])]
+                if filled[0] * filled[1] / size < _DENSE_SHARE * size * area:
+                    sparse.append(i)
+                    cells.append((_cells(lp[i], ld[i]), _cells(rp[i], rd[i])))
+                    continue
+                part = _block(lp[i], ld[i], size) @ _block(rp[i], rd[i], size)
                 if spot in sums:
                     sums[spot] += part
                 else:
                     if len(sums) >= held:
-                        yield rows_out(sums)
+                        yield dense_rows(sums)
                         sums = {}
                     sums[spot] = part
+            if not sparse:
+                continue
+            target = np.array([number.setdefault(spots[i], len(number)) for i in sparse], dtype=np.int64)
+            for p, v in _row_by_row([c[0] for c in cells], [c[1] for c in cells], target, size):
+                places, values = _summed(np.concatenate([places, p]), np.concatenate([values, v]))
+                if len(places) > _SUMMED:
+                    yield from sparse_rows(list(number), places, values)
+                    places, values = places[:0], values[:0]
+            if len(number) > _FORMED >> 4:
+                yield from sparse_rows(list(number), places, values)
+                number, places, values = {}, places[:0], values[:0]
         if sums:
-            yield rows_out(sums)
+            yield dense_rows(sums)
+        if len(places):
+            yield from sparse_rows(list(number), places, values)
+
+    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, parts, block, waiting = None, [], None, 0
 
-    def total(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block = np.zeros((size, size))
+        def cells() -> pa.RecordBatch:
+            if block is not None:
+                places, values = np.flatnonzero(block), block.ravel()[np.flatnonzero(block)]
+            else:
+                places, values = _summed(np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]))
+                places, values = places[values != 0], values[values != 0]
+            return pa.RecordBatch.from_arrays(
+                [pa.array(places // size + now[0] * size, pa.int64()), pa.array(places % size + now[1] * size, pa.int64()), pa.array(values)],
+                ["row", "col", "v"],
+            )
+
+        out: list[pa.RecordBatch] = []
         for batch in batches:
-            for places, data in zip(batch.column("places"), batch.column("data")):
-                block += _decoded(places, data, size)
-        r, c = np.nonzero(block)
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(r + key[0].as_py() * size),
-                pa.array(c + key[1].as_py() * size),
-                pa.array(block[r, c]),
-            ],
-            ["row", "col", "v"],
-        )
+            places, data = batch.column("places"), batch.column("data")
+            for spot, first, end in _runs(batch):
+                if spot != now:
+                    if now is not None:
+                        out.append(cells())
+                    now, parts, block, waiting = spot, [], None, 0
+                for i in range(first, end):
+                    if block is None and (not places[i].is_valid or waiting > area):
+                        block = np.zeros((size, size))
+                        for p, v in parts:
+                            block.ravel()[p] += v
+                    if block is None:
+                        parts.append(_cells(places[i], data[i]))
+                        waiting += len(parts[-1][0])
+                    elif places[i].is_valid:
+                        p, v = _cells(places[i], data[i])
+                        block.ravel()[p] += v
+                    else:
+                        block += _block(places[i], data[i], size)
+            if sum(len(o) for o in out) > 1 << 16:
+                yield from pa.Table.from_batches(out).combine_chunks().to_batches()
+                out = []
+        if now is not None:
+            out.append(cells())
+        if out:
+            yield from pa.Table.from_batches(out).combine_chunks().to_batches()
 
     flat = pairs.select(
         "bi", "bj", F.col("l.places").alias("left_places"), F.col("l.data").alias("left_data"),
         F.col("r.places").alias("right_places"), F.col("r.data").alias("right_data"),
     )
-    return flat.mapInArrow(product, _BLOCK).groupBy("bi", "bj").applyInArrow(total, _CELL)
+    return _by_block(flat.mapInArrow(product, _BLOCK)).mapInArrow(total, _CELL)
 
 
 def filter_grid(grid: DataFrame, kernel: list[list[float]], side: int, tile: int = 256) -> DataFrame:

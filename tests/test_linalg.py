@@ -71,3 +71,31 @@ def test_repeated_cells_add_up(spark):
     got = {(r["row"], r["col"]): r["v"] for r in linalg.block_multiply(left, right, size=8, group=2).collect()}
     assert got == {(0, 70): 3.0, (90, 0): 4.0}
     assert got == {(r["row"], r["col"]): r["v"] for r in linalg.multiply(left, right).collect()}
+
+
+@pytest.mark.parametrize("fill", [(0.002, 0.002), (0.002, 0.5), (0.7, 0.9)])
+def test_blocks_of_any_fill_equal_numpy(spark, fill, monkeypatch):
+    monkeypatch.setattr(linalg, "_FORMED", 50)
+    monkeypatch.setattr(linalg, "_SUMMED", 100)
+    rng = np.random.default_rng(7)
+    a = rng.integers(1, 9, (150, 130)) * (rng.random((150, 130)) < fill[0])
+    b = rng.integers(1, 9, (130, 170)) * (rng.random((130, 170)) < fill[1])
+    b[:, :20] = rng.integers(-4, 5, (130, 20))
+    got = linalg.block_multiply(cells(spark, a), cells(spark, b), size=32, group=2, held=2)
+    assert np.array_equal(dense(got, (150, 170)), a @ b)
+    assert got.count() == np.count_nonzero(a @ b)
+
+
+def test_work_follows_the_products_of_cells():
+    """A row of the right block is met only by left cells of its inner index, whatever the size of the blocks."""
+    size, many = 4096, 5000
+    left = [(np.array([3 * size + i % size]), np.array([2.0])) for i in range(many)]
+    right = [(np.array([i % size * size + 7]), np.array([3.0])) for i in range(many)]
+    sums = list(linalg._row_by_row(left, right, np.zeros(many, dtype=np.int64), size))
+    assert [(p.tolist(), v.tolist()) for p, v in sums] == [([3 * size + 7], [6.0 * many])]
+
+
+def test_cells_with_nulls_are_left_out(spark):
+    left = spark.createDataFrame([(0, 0, 1.0), (0, None, 2.0), (None, 0, 2.0), (1, 0, None)], "row long, col long, v double")
+    right = spark.createDataFrame([(0, 5, 2.0), (None, 5, 1.0)], "row long, col long, v double")
+    assert [tuple(r) for r in linalg.block_multiply(left, right, size=8).collect()] == [(0, 5, 2.0)]
