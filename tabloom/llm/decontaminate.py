@@ -3,7 +3,8 @@
 The CGK embedding walks over a word sequence with one fair coin per word and step: the pointer stays or
 advances, and the symbol under it is the output. Two sequences at a small edit distance fall back into step, so
 their outputs are at a small Hamming distance. A repetition samples a few steps of the walk; equal samples make a
-candidate, and repetitions with independent coins bring the recall to its target. Windows of an item's size class
+candidate, and repetitions with independent coins bring the recall to its target: 8 of 9 steps, and for windows of 64 words and
+more 16 of 4 steps, spread from the window's first words to its last. Windows of an item's size class
 are embedded at every word of every document; all of an item's own windows of that size are in the table of
 keys. A walk stays inside its window on both sides, so equal windows have equal keys. Items of fewer than ``WHOLE`` words are
 found by exact pieces instead: of one piece more than the edits allowed, one is unedited. The walk of a window is stopped after the first sampled step at which no item has the word under the pointer.
@@ -34,6 +35,10 @@ WHOLE = 16
 EDIT_RATIO, LEAST = 0.2, 5
 BLOCK_BYTES = 4 << 20
 STEP = 1 << 14
+# Windows from SPREAD words on (items from 128) take an early sampled step below EARLY, and the others spread to the window's end; as
+# more edits fall between them, samples are fewer and repetitions more.
+SPREAD, EARLY, WIDE_SAMPLES, WIDE_REPEATS = 64, 8, 4, 2
+LOT = 0xD1B54A32D192ED03
 
 
 IGNORED = bytes(i for i in range(33, 127) if not chr(i).isalnum())
@@ -76,15 +81,20 @@ def window_size(n: int) -> int:
 
 
 def _steps(size: int, repeat: int) -> list[int]:
-    """The sampled steps of the walk over windows of ``size`` words; it covers three steps for two words."""
-    last = min(63, max(1, size * 3 // 2))
+    """The sampled steps of the walk over windows of ``size`` words."""
+    if size >= SPREAD:
+        # an early step, so that most places go at once, and one in each equal share of the steps to the window's end
+        rng = np.random.default_rng(1000 * repeat + 17)
+        shares = np.linspace(EARLY, 2 * size, WIDE_SAMPLES).astype(np.int64)
+        return [int(rng.integers(EARLY)), *(int(rng.integers(a, b)) for a, b in zip(shares, shares[1:]))]
+    last = max(1, size * 3 // 2)
     draw = np.random.default_rng(1000 * repeat + 17).choice(last + 1, size=min(SAMPLES, last + 1), replace=False)
     return sorted(int(x) for x in draw)
 
 
-def _coins(words: np.ndarray, repeat: int) -> np.ndarray:
-    """64 fair coins for each word, one per step."""
-    return mix(words + U(GOLD * (repeat + 1) % (1 << 64)))
+def _coins(words: np.ndarray, repeat: int, lot: int = 0) -> np.ndarray:
+    """64 fair coins for each word, for the steps from ``64 * lot`` on."""
+    return mix(words + U((GOLD * (repeat + 1) + LOT * lot) % (1 << 64)))
 
 
 def _place(key: np.ndarray) -> np.ndarray:
@@ -113,9 +123,9 @@ class Table:
         begins = np.cumsum(lengths) - lengths
         classes = np.array([window_size(int(n)) for n in lengths], dtype=np.int64)
         self.plan = []
-        for repeat in range(repeats):
-            coins = _coins(every, repeat)
-            for size in np.unique(classes[classes > 0]):
+        for repeat in range(repeats * WIDE_REPEATS):
+            coins = functools.cache(lambda lot, repeat=repeat: _coins(every, repeat, lot))
+            for size in np.unique(classes[classes >= (1 if repeat < repeats else SPREAD)]):
                 steps, chosen = _steps(int(size), repeat), np.flatnonzero(classes == size)
                 many = lengths[chosen] - size + 1
                 owner = np.repeat(chosen, many)
@@ -125,7 +135,7 @@ class Table:
                 key, masks, j = np.zeros(len(p), dtype=np.uint64), [], 0
                 for step in steps:
                     while j < step:
-                        p = np.minimum(p + ((coins[p] >> U(j)) & U(1)).astype(np.int64), last)
+                        p = np.minimum(p + ((coins(j >> 6)[p] >> U(j & 63)) & U(1)).astype(np.int64), last)
                         j += 1
                     if not masks:
                         first = np.zeros(len(self.known) + 1, dtype=bool)
@@ -184,25 +194,26 @@ class Table:
         total = len(words)
         numbers = np.zeros(total, dtype=np.int64)
         last = total - 1
+        # a walk stays inside its window
+        wide = max([64, *(size for _, size, *_ in self.plan)])
         for lo in range(0, total, STEP):
-            # a walk advances at most one word a step
-            part = words[lo : lo + STEP + 64]
+            part = words[lo : lo + STEP + wide]
             number = self.numbers(part)
             numbers[lo : lo + len(part)] = number
             repeat, coins, end = -1, None, len(part) - 1
             count = min(STEP, total - lo)
             for r, size, steps, keys, owner, offset, first, masks in self.plan:
                 if r != repeat:
-                    repeat, coins = r, _coins(part, r)
+                    repeat, coins = r, functools.cache(lambda lot, part=part, r=r: _coins(part, r, lot))
                 at = p = np.arange(count)
                 key, j = np.zeros(count, dtype=np.uint64), 0
                 for i, step in enumerate(steps):
                     while j < step:
-                        move = coins.take(p)
-                        move >>= U(j)
+                        move = coins(j >> 6).take(p)
+                        move >>= U(j & 63)
                         move &= U(1)
                         p = p + move.view(np.int64)
-                        if j + 2 > size or lo + count > last - 64:
+                        if j + 2 > size or lo + count > last - wide:
                             np.minimum(p, np.minimum(at + (size - 1), end), out=p)
                         j += 1
                     seen = number.take(p)

@@ -116,6 +116,48 @@ def test_leaks_of_short_items_and_of_scripts_without_blanks():
     assert got == [(0, 1, 0, "x = 3  + 4."), (2, 2, 0, "(paris),"), (4, 3, 0, han), (5, 3, 1, other), (6, 4, 0, "東京は"), (8, 1, 0, "x = 3 + 4")]
 
 
+def least_edits(item, text):
+    """Fewest word edits between the whole item and any run of the text, row by row over all runs."""
+    ramp, row = np.arange(len(text) + 1), np.zeros(len(text) + 1, dtype=np.int64)
+    for i, word in enumerate(item):
+        new = np.append(i + 1, np.minimum(row[:-1] + (text != word), row[1:] + 1))
+        row = np.minimum.accumulate(new - ramp) + ramp
+    return int(row.min())
+
+
+def test_leaks_as_all_items_against_all_windows(spark):
+    """Items from 5 to 512 words, each planted as it is and with edits to the limit; every other pair is compared as well."""
+    rng = random.Random(21)
+    lengths = [5, 9, 16, 24, 40, 64, 100, 127, 128, 160, 200, 255, 256, 300, 400, 511, 512]
+    items = [(0, i, words(900 + i, n, 3000), 0) for i, n in enumerate(lengths)]
+    rows = []
+    for i, n in enumerate(lengths):
+        for k, count in enumerate((0, int(0.1 * n), int(0.2 * n), int(0.2 * n), int(0.3 * n) + 1)):
+            doc = f"{words(i, 150, 3000)} {edited(items[i][2], count, rng)} {words(i + 1, 50 + 200 * k, 3000)}"
+            rows.append((10 * i + k, doc, "en", "s", 0, 0, 0.0, "", 0))
+    got = {(r.doc_id, r.item_id): r.distance for r in decontaminate.find_leaks(documents(spark, rows), spark.createDataFrame(items, ITEM)).collect()}
+    wanted = {}
+    for row in rows:
+        text = np.array(row[1].split())
+        for _, i, item, _ in items:
+            least = least_edits(item.split(), text)
+            if least <= int(0.2 * lengths[i]):
+                wanted[(row[0], i)] = least
+    assert len(wanted) >= 4 * len(lengths)
+    assert got.items() <= wanted.items() and len(got) >= 0.97 * len(wanted)
+    assert all((10 * i + k, i) in got for i in range(len(lengths)) for k in (0, 1))
+
+
+def test_walks_reach_the_ends_of_long_windows():
+    for size in (64, 128, 1024):
+        for repeat in range(16):
+            steps = decontaminate._steps(size, repeat)
+            assert steps == sorted(steps) and steps[0] < decontaminate.EARLY and 4 * size < 3 * steps[-1] < 6 * size
+    # a window's last words take part: other coins beyond 64 steps
+    hashes = np.arange(1000, dtype=np.uint64)
+    assert len({decontaminate._coins(hashes, 0, lot).tobytes() for lot in range(8)}) == 8
+
+
 def plain_targets(sizes):
     """Share, stop, reshare until none is above."""
     names = sorted(sizes, key=lambda s: (s is None, s or ""))
