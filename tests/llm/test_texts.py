@@ -182,8 +182,9 @@ def test_site_lines(spark):
     for i in range(60):
         lines = [words(i * 10 + k, 5) for k in range(4)] + ["menu home"] * 2 + (["rare footer"] if i < 4 else []) + (["some footer"] if i % 2 else [""])
         rows.append((100 + i, "\n".join(lines), "en", f"host{i % 2}", 0, 0, 0.0, "", 0))
-    got = line_dedup.drop_site_lines(documents(spark, rows), ratio=0.2).collect()
-    assert sorted(((r.doc_id, r.source, r.n_lines, r.n_dropped, r.text) for r in got), key=repr) == plain_lines(rows, 0.2, 3)
+    for shipped in (line_dedup.SHIPPED, 0):
+        got = line_dedup.drop_site_lines(documents(spark, rows), ratio=0.2, shipped=shipped).collect()
+        assert sorted(((r.doc_id, r.source, r.n_lines, r.n_dropped, r.text) for r in got), key=repr) == plain_lines(rows, 0.2, 3)
     assert line_dedup.drop_site_lines(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
