@@ -10,7 +10,7 @@ from tabloom.functions.fixed_values import FORUM_BASE, FORUM_JSON_BASE
 from tabloom.operators import export, ranking
 from tabloom.plans import Query
 from tabloom.session import load, scratch_dir
-from tabloom.sources import files, markup, payloads
+from tabloom.sources import files, markup, payloads, quoted
 
 NOW = "2025-01-01 00:00:00"
 
@@ -279,7 +279,7 @@ def csv_round_trip(spark, folder):
     )
     path = scratch_dir(spark, "csv")
     export.write_csv(rows, path)
-    return files.read_csv(spark, path, "p_partkey bigint, title string, p_size int, p_retailprice double")
+    return quoted.read_quoted_csv(spark, path, "p_partkey bigint, title string, p_size int, p_retailprice double")
 
 
 def json_round_trip(spark, folder):

@@ -1,11 +1,12 @@
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from tabloom.operators import export, profile
 from tabloom.session import scratch_dir
-from tabloom.sources import files, markup, payloads
+from tabloom.sources import files, markup, payloads, quoted
 
 
 def pages(spark, *html):
@@ -135,3 +136,45 @@ def test_scratch_folder_comes_from_the_session():
 def test_map_summary(spark, given, total):
     row = profile.map_summary(spark.createDataFrame(given, "latitude double, longitude double")).head()
     assert (row["total"], row["plotted"]) == total
+
+
+QUOTED = "id long, text string, n int"
+
+
+def quoted_file(path, rows, end):
+    def cell(x):
+        return "" if x is None else '"' + x.replace('"', '""') + '"' if x == "" or set(x) & set('",\n') else x
+
+    lines = ["id,text,n", *(f"{i},{cell(x)},{n}" for i, x, n in rows)]
+    path.write_bytes(end.join(lines).encode() + (end.encode() if end != "\n" else b""))
+
+
+@pytest.mark.parametrize("end, most", [("\n", 1 << 18), ("\r\n", 1 << 18), ("\n", 0)])
+def test_quoted_csv_is_read_in_splits(spark, tmp_path, end, most):
+    rng = random.Random(5)
+    texts = ["plain", 'with, "quotes"', "two\nlines", "\n\n", 'a "\n" b', "", None, ("long " * 40 + "\n") * 30 + "end", 'é,"ü"\n,1,2\n3,x,4']
+    for name in "ab":
+        quoted_file(tmp_path / f"{name}.csv", [(i, rng.choice(texts), i % 9) for i in range(500)], end)
+    was = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        got = quoted.read_quoted_csv(spark, str(tmp_path), QUOTED, most_splits=most)
+        whole = files.read_csv(spark, str(tmp_path), QUOTED)
+        assert whole.rdd.getNumPartitions() <= 2
+        assert spark.read.text(str(tmp_path / "a.csv")).rdd.getNumPartitions() > 30
+
+        def rows(frame):
+            return sorted(map(tuple, frame.collect()), key=repr)
+
+        assert rows(got) == rows(whole) and len(rows(got)) == 1000
+    finally:
+        for k, v in was.items():
+            spark.conf.set(k, v)
+
+
+def test_quoted_csv_without_rows(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id,text,n\n")
+    (tmp_path / "b.csv").write_text("")
+    (tmp_path / "c.csv").write_text('id,text,n\n1,"never\nclosed,3\n')
+    assert [r["id"] for r in quoted.read_quoted_csv(spark, str(tmp_path), QUOTED).collect()] == [1]
