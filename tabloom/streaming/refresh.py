@@ -17,6 +17,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tabloom.operators.merge import last_per_key
 
+# Folders that stored keys are dealt to, and keys of a batch up to which their hashes are named to the scan.
+BUCKETS, LISTED = 64, 400
+
 
 def stream_files(
     spark: SparkSession, folder: str, schema, pattern: str = "*", files_per_batch: int | None = None,
@@ -132,18 +135,54 @@ def start_first_seen(stream: DataFrame, table: str, checkpoint: str, keys: list[
     )
 
 
-def start_first_stored(stream: DataFrame, table: str, checkpoint: str, keys: list[str]) -> StreamingQuery:
+def stored_keys(fresh: DataFrame, table: str, keys: list[str], batch_id: int, listed: int = LISTED) -> DataFrame | None:
+    """The keys of earlier batches in the buckets of ``fresh``; None where these are empty.
+
+    Only the folders of these buckets are listed and read. A batch of up to ``listed`` keys names their hashes, so that
+    row groups without them are passed over by their range or their Bloom filter.
+    """
+    spark = fresh.sparkSession
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    files = hadoop.Path(table).getFileSystem(spark._jsc.hadoopConfiguration())
+    # at most as many as there are buckets
+    folders = [f"{table}/bucket={r[0]}" for r in fresh.select("bucket").distinct().collect()]
+    folders = [f for f in folders if files.exists(hadoop.Path(f))]
+    if not folders:
+        return None
+    known = spark.read.option("basePath", table).parquet(*folders).where(F.col("batch_id") < batch_id)
+    hashes = [r[0] for r in fresh.select("key_hash").limit(listed + 1).collect()]
+    if len(hashes) <= listed:
+        # the session of a running stream is its own
+        spark.conf.set("spark.sql.parquet.pushdown.inFilterThreshold", str(listed))
+        known = known.where(F.col("key_hash").isin(hashes))
+    return known.select(*keys)
+
+
+def start_first_stored(stream: DataFrame, table: str, checkpoint: str, keys: list[str], buckets: int = BUCKETS) -> StreamingQuery:
     """The same without stream state: each batch is compared with the keys the table has.
 
-    A batch writes its own folder, and a replayed one does not count as known, so it writes the same rows again.
+    Keys lie in ``buckets`` folders by their hash, sorted by it and with a Bloom filter, so that a batch reads what its own keys
+    may be in, however large the table is. A batch writes folders of its own inside the buckets, and a replayed one does not count as known,
+    so it writes the same rows again. Null is a key like any other. The table has ``key_hash``, ``bucket`` and ``batch_id`` besides.
     """
 
     def keep_new(batch: DataFrame, batch_id: int) -> None:
-        fresh = batch.dropDuplicates(keys)
-        if batch_id:
-            known = batch.sparkSession.read.parquet(table).where(F.col("batch_id") < batch_id)
-            fresh = fresh.join(known.select(*keys), keys, "left_anti")
-        fresh.write.mode("overwrite").parquet(f"{table}/batch_id={batch_id}")
+        fresh = batch.dropDuplicates(keys).withColumn("key_hash", F.xxhash64(*keys))
+        fresh = fresh.withColumn("bucket", F.pmod("key_hash", F.lit(buckets)).cast("int")).persist()
+        try:
+            known, new = stored_keys(fresh, table, keys, batch_id), fresh
+            if known is not None:
+                known = known.select(*[F.col(k).alias(f"_known{i}") for i, k in enumerate(keys)])
+                same = [F.col(k).eqNullSafe(F.col(f"_known{i}")) for i, k in enumerate(keys)]
+                new = fresh.join(known, same, "left_anti")
+            (
+                new.withColumn("batch_id", F.lit(batch_id)).repartition("bucket").sortWithinPartitions("bucket", "key_hash")
+                .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                .option("parquet.bloom.filter.enabled#key_hash", "true")
+                .partitionBy("bucket", "batch_id").parquet(table)
+            )
+        finally:
+            fresh.unpersist()
 
     writer = stream.writeStream.foreachBatch(keep_new).option("checkpointLocation", checkpoint)
     return writer.trigger(availableNow=True).start()

@@ -1,3 +1,6 @@
+import os
+from urllib.parse import urlparse
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -92,3 +95,39 @@ def test_first_stored_takes_late_keys_once(spark, tmp_path):
         refresh.run_refresh(lambda: refresh.start_first_stored(
             refresh.stream_files(spark, folder, SCHEMA).select("id"), table, mark, ["id"]))
     assert sorted(r["id"] for r in spark.read.parquet(table).collect()) == [1, 2, 3, 4]
+
+
+def sizes(frame):
+    return sum(os.path.getsize(urlparse(f).path) for f in frame.inputFiles())
+
+
+def test_bytes_of_stored_keys_follow_the_batch(spark, tmp_path):
+    folder, table, mark = (str(tmp_path / n) for n in ("in", "table", "mark"))
+
+    def run():
+        refresh.run_refresh(lambda: refresh.start_first_stored(
+            refresh.stream_files(spark, folder, SCHEMA).select("id"), table, mark, ["id"], buckets=32))
+
+    spark.range(20_000).selectExpr("id", "1L as seq", "'a' as v").coalesce(2).write.parquet(folder)
+    run()
+    whole = sizes(spark.read.parquet(table))
+
+    def keyed(ids):
+        fresh = spark.createDataFrame([(i,) for i in ids], "id long").withColumn("key_hash", F.xxhash64("id"))
+        return fresh.withColumn("bucket", F.pmod("key_hash", F.lit(32)).cast("int"))
+
+    few = refresh.stored_keys(keyed([5, 70_000]), table, ["id"], 9)
+    assert 0 < sizes(few) < whole / 10
+    assert sorted(r["id"] for r in few.collect()) == [5]
+    plan = few._jdf.queryExecution().toString()
+    assert "PushedFilters" in plan and "key_hash" in plan.split("PushedFilters")[1]
+    many = refresh.stored_keys(keyed(range(19_000, 21_000)), table, ["id"], 9)
+    assert sizes(many) == whole and many.count() == 20_000
+    assert refresh.stored_keys(keyed([5]), table, ["id"], 0).count() == 0
+
+    land(spark, folder, [(5, 1, "a"), (70_000, 1, "b"), (None, 1, "c")])
+    run()
+    land(spark, folder, [(None, 2, "c"), (70_000, 2, "d"), (70_001, 2, "e")])
+    run()
+    ids = [r["id"] for r in spark.read.parquet(table).collect()]
+    assert sorted(ids, key=lambda x: (x is None, x)) == [*range(20_000), 70_000, 70_001, None]
