@@ -15,6 +15,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.linalg import Vectors
@@ -52,13 +53,20 @@ class TermWeights:
 
     def vectorise(self, docs: DataFrame, text: str, output: str = "vector") -> DataFrame:
         """Adds unit-length sparse vectors; no shuffle, no second fit."""
+        return self._weighted(docs.withColumn("_terms", word_terms(F.col(text))), output)
+
+    def vectorise_bags(self, docs: DataFrame, bag: str = "bag", output: str = "vector") -> DataFrame:
+        """The same from term counts (:func:`term_bags`): no text is split into words again."""
+        known = F.transform(bag, lambda b: F.array_repeat(b["token"], b["n"]))
+        return self._weighted(docs.withColumn("_terms", F.flatten(known)), output)
+
+    def _weighted(self, docs: DataFrame, output: str) -> DataFrame:
         counter = CountVectorizerModel.from_vocabulary(self.terms, inputCol="_terms", outputCol="_counts")
         scaler = ElementwiseProduct(
             scalingVec=Vectors.dense(self.weights), inputCol="_counts", outputCol="_weighted"
         )
         unit = Normalizer(p=2.0, inputCol="_weighted", outputCol=output)
-        rows = docs.withColumn("_terms", word_terms(F.col(text)))
-        return unit.transform(scaler.transform(counter.transform(rows))).drop("_terms", "_counts", "_weighted")
+        return unit.transform(scaler.transform(counter.transform(docs))).drop("_terms", "_counts", "_weighted")
 
 
 def term_statistics(docs: DataFrame, text: str) -> DataFrame:
@@ -82,6 +90,10 @@ def fit_terms(docs: DataFrame, text: str, max_features: int = 5000, min_docs: in
     # One pass over the texts: terms that qualify come first, the others only matter if none does.
     order = [F.desc(common), F.desc("total"), F.asc("token")]
     rows = term_statistics(docs, text).orderBy(*order).limit(max_features).collect()
+    return _model(rows, n_docs, min_docs)
+
+
+def _model(rows: list, n_docs: int, min_docs: int) -> TermWeights:
     rows = [r for r in rows if r["docs"] >= min_docs] or rows
     if not rows:
         raise ValueError("no terms in the documents")
@@ -89,6 +101,78 @@ def fit_terms(docs: DataFrame, text: str, max_features: int = 5000, min_docs: in
     return TermWeights([r["token"] for r in rows], weights)
 
 
+def term_bags(docs: DataFrame, text: str, output: str = "bag") -> DataFrame:
+    """Adds ``array<struct<token, n>>`` of each text, to be stored and used for the fit and the vectors."""
+    return docs.withColumn(output, term_counts(word_terms(F.col(text))))
+
+
+def _part_counts(batches: Iterator[pa.RecordBatch], top: int, held: int) -> Iterator[pa.RecordBatch]:
+    """Terms of a part of the documents with their counts, the ``top`` most frequent ones marked.
+
+    A task whose terms exceed ``held`` goes on with another part, so its memory is bounded.
+    """
+    part, waiting, rows = TaskContext.get().partitionId() << 20, [], 0
+
+    def summed() -> pa.Table:
+        both = pa.concat_tables(waiting).group_by("token").aggregate([("total", "sum"), ("docs", "sum")])
+        return pa.table({"token": both["token"], "total": both["total_sum"], "docs": both["docs_sum"]})
+
+    def out(table: pa.Table) -> list[pa.RecordBatch]:
+        marked = np.zeros(len(table), dtype=bool)
+        marked[np.argsort(-table["total"].to_numpy(), kind="stable")[:top]] = True
+        table = table.append_column("top", pa.array(marked)).append_column("part", pa.array(np.full(len(table), part)))
+        return table.combine_chunks().to_batches(max_chunksize=1 << 16)
+
+    for batch in batches:
+        cells = batch.column(0).flatten()
+        fields = dict(zip((f.name for f in cells.type), cells.flatten()))
+        ones = pa.array(np.ones(len(cells), dtype=np.int64))
+        waiting.append(pa.table({"token": fields["token"], "total": fields["n"].cast(pa.int64()), "docs": ones}))
+        rows += len(cells)
+        if rows > 2 * held:
+            waiting = [summed()]
+            rows = len(waiting[0])
+            if rows > held:
+                yield from out(waiting[0])
+                part, waiting, rows = part + 1, [], 0
+    if rows:
+        yield from out(summed())
+
+
+def fit_bags(
+    docs: DataFrame, folder: str, bag: str = "bag", max_features: int = 5000, min_docs: int = 2, held: int = 1 << 20
+) -> TermWeights:
+    """As :func:`fit_terms`, from term counts and without shuffling the whole vocabulary.
+
+    Each part of the documents counts its terms, written to ``folder``. The most frequent terms of the parts give a bound that
+    the total of every chosen term reaches, so such a term has at least the bound divided by the number of parts in some part.
+    The sums of what reaches that raise the bound; only terms that can still reach it are counted in all parts.
+    """
+    docs.select(bag).mapInArrow(
+        lambda batches: _part_counts(batches, max_features, held), "token string, total long, docs long, top boolean, part long"
+    ).write.parquet(folder)
+    local = docs.sparkSession.read.schema("token string, total long, docs long, top boolean, part long").parquet(folder)
+    parts = local.select("part").distinct().count()
+
+    def bound(rows: DataFrame) -> int:
+        """Total that ``max_features`` common terms reach at least; 0 if there are fewer."""
+        best = rows.where(F.col("docs") >= min_docs).orderBy(F.desc("total")).limit(max_features)
+        n, low = best.agg(F.count("*"), F.min("total")).first()
+        return low if n == max_features else 0
+
+    sums = [F.sum("total").alias("total"), F.sum("docs").alias("docs")]
+    first = bound(local.where("top").groupBy("token").agg(*sums))
+    rows = local
+    if first:
+        seen = local.where(F.col("total") * parts >= first).groupBy("token").agg(*sums, F.count("*").alias("in_parts"))
+        # a part that is not among them has less than the first bound's share
+        most = F.col("total") * parts + (parts - F.col("in_parts")) * first
+        rows = local.join(seen.where(most >= bound(seen) * parts).select("token"), "token", "left_semi")
+    order = [F.desc(F.col("docs") >= min_docs), F.desc("total"), F.asc("token")]
+    chosen = rows.groupBy("token").agg(*sums).orderBy(*order).limit(max_features).collect()
+    return _model(chosen, docs.count(), min_docs)
+
+
 def _flat(vectors: pa.StructArray) -> tuple[pa.ListArray, pa.ListArray]:
     """Index and value lists of an Arrow column of sparse vectors."""
     fields = dict(zip((f.name for f in vectors.type), vectors.flatten()))

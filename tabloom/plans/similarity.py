@@ -119,8 +119,9 @@ def cosine_topk_blocks(spark, folder):
 
 def tfidf_terms(spark, folder):
     docs = load(spark, folder, "documents").select("doc_id", "text")
-    model = vectors.fit_terms(docs, "text", _TEXT_FEATURES)
-    long = vectors.weighted_terms(model.vectorise(docs, "text"), model, "doc_id")
+    bags = _stored(spark, vectors.term_bags(docs, "text").drop("text"), "bags")
+    model = vectors.fit_bags(bags, scratch_dir(spark, "terms"), max_features=_TEXT_FEATURES)
+    long = vectors.weighted_terms(model.vectorise_bags(bags), model, "doc_id")
     return long.withColumn("weight", F.round("weight", 6))
 
 

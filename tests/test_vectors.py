@@ -179,3 +179,24 @@ def test_projection_of_sparse_rows_with_many_features(spark):
     assert np.allclose(np.abs((loadings * right[:2].T).sum(axis=0)), 1, atol=1e-7)
     got = {r["id"]: r["pc"] for r in table.select("id", projection.projected(mean, loadings, F.col("v")).alias("pc")).collect()}
     assert np.allclose([got[i] for i in range(n)], centred @ loadings)
+
+
+@pytest.mark.parametrize("features, min_docs, held", [(5, 2, 1 << 20), (40, 2, 30), (40, 1, 30), (10_000, 2, 50), (5, 500, 50)])
+def test_terms_by_threshold_rounds_are_the_plain_ones(spark, tmp_path, features, min_docs, held):
+    rng = np.random.default_rng(3)
+    texts = [" ".join(f"w{x}" for x in rng.zipf(1.4, 40) % 300) for _ in range(120)]
+    # a term that is frequent in one part only, and one whose total is spread thin
+    texts = [*texts, "only here " * 60, *(t + " thin" for t in texts[:30]), "", None]
+    d = docs(spark, texts).repartition(7)
+    bags = vectors.term_bags(d, "text").drop("text")
+    got = vectors.fit_bags(bags, str(tmp_path / "terms"), max_features=features, min_docs=min_docs, held=held)
+    assert got == vectors.fit_terms(d, "text", features, min_docs)
+    one, two = (
+        {r["id"]: r["vector"] for r in x.select("id", "vector").collect()} for x in (got.vectorise_bags(bags), got.vectorise(d, "text"))
+    )
+    assert one == two
+
+
+def test_no_terms_in_bags(spark, tmp_path):
+    with pytest.raises(ValueError):
+        vectors.fit_bags(vectors.term_bags(docs(spark, ["", "a"]), "text"), str(tmp_path / "terms"))
