@@ -79,18 +79,21 @@ def _feature_rows(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.R
 def _descend(rows: list[np.ndarray], ratio: np.ndarray, label: np.ndarray, cost: np.ndarray, epochs: int) -> tuple[np.ndarray, float]:
     """Dual coordinate descent for the L1 hinge loss; ``cost`` bounds each row's multiplier. The bias is one more feature."""
     weight, bias = np.zeros(len(ratio)), 0.0
-    vectors = []
-    for r in rows:
+    # the vectors are formed when they are needed: only their lengths are held
+    norms, square = np.ones(len(rows)), np.ones(len(rows))
+    for i, r in enumerate(rows):
         v = ratio[r]
-        norm = float(np.sqrt((v * v).sum()))
-        vectors.append(v / norm if norm else v)
-    square = np.array([float((v * v).sum()) + 1.0 for v in vectors])
+        norms[i] = float(np.sqrt((v * v).sum())) or 1.0
+        v /= norms[i]
+        square[i] += float((v * v).sum())
     alpha = np.zeros(len(rows))
     order = np.random.default_rng(7)
     for _ in range(epochs):
         worst = 0.0
         for i in order.permutation(len(rows)):
-            r, v, y = rows[i], vectors[i], label[i]
+            r, y = rows[i], label[i]
+            v = ratio[r]
+            v /= norms[i]
             slope = y * (float(weight[r] @ v) + bias) - 1.0
             new = min(max(alpha[i] - slope / square[i], 0.0), cost[i])
             step = (new - alpha[i]) * y
@@ -145,7 +148,10 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col:
     got = sample.mapInArrow(lambda batches: _feature_rows(batches, bits), "label int, turn long, buckets array<int>").toArrow()
     label = np.where(got.column("label").to_numpy() > 0, 1.0, -1.0) if got.num_rows else np.zeros(0)
     turn = got.column("turn").to_numpy()
-    rows = [np.asarray(x.values, dtype=np.int64) for x in got.column("buckets")]
+    rows = []
+    for part in got.column("buckets").chunks:
+        values, at = part.values.to_numpy(), part.offsets.to_numpy()
+        rows += [values[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
     order = np.lexsort((np.array([len(r) for r in rows]), turn)) if rows else np.zeros(0, int)
     rows, label, turn = [rows[i] for i in order], label[order], turn[order]
     size = 1 << bits
@@ -160,7 +166,9 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col:
     counts = {}
     for side in (1.0, -1.0):
         chosen = [rows[i] for i in use if label[i] == side]
-        seen = np.bincount(np.concatenate(chosen), minlength=size) + 1.0
+        seen = np.ones(size)
+        for first in range(0, len(chosen), 512):
+            seen += np.bincount(np.concatenate(chosen[first : first + 512]), minlength=size)
         counts[side] = seen / (len(chosen) + 2.0)
     ratio = np.log(counts[1.0] / counts[-1.0])
     # each class weighs the same in the hinge loss
