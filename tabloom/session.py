@@ -47,6 +47,12 @@ def dealt(rows: DataFrame) -> DataFrame:
     return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Short rows that much work follows, dealt evenly: a compact file may be one split or one row group, so one task."""
+    spark = rows.sparkSession
+    return rows.repartition(max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+
+
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder for written tables and stream checkpoints.
 
