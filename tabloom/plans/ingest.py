@@ -9,7 +9,7 @@ from tabloom.functions import values
 from tabloom.functions.fixed_values import FORUM_BASE, FORUM_JSON_BASE
 from tabloom.operators import export, ranking
 from tabloom.plans import Query
-from tabloom.session import load, scratch_dir
+from tabloom.session import load, scratch_dir, spread
 from tabloom.sources import files, markup, payloads, quoted
 
 NOW = "2025-01-01 00:00:00"
@@ -169,7 +169,7 @@ def _forum_pages(spark, folder):
  '<a class="comments" href="http://e.example/c">comment</a></div>',
  '<div class="thing self" data-fullname="t3_s', c_custkey, '" data-timestamp="1000"><div class="score">3</div>',
  '<a class="comments" href="https://h/comments/s', c_custkey, '">comment</a></div></div></body></html>')"""
-    return load(spark, folder, "customer").select("c_custkey", F.expr(html).alias("html"))
+    return spread(load(spark, folder, "customer")).select("c_custkey", F.expr(html).alias("html"))
 
 
 def forum_posts(spark, folder):
@@ -196,7 +196,7 @@ def html_link_forms(spark, folder):
   '<a title="x>y" href="/a/', c_custkey, '">A <b title="p>q">', c_mktsegment, '</b></a><script>"<a href=/js>js</a>"</script>',
   '<A HREF=\\'/b?x=', c_nationkey, '&amp;y=1\\' >B</A ><a href=/c/', c_custkey, '>C<a\n data-href="/no" href = "/d" title="p>q" href="/e">D</a>',
   '<a name="', c_custkey, '">no address</a><abbr href="/no">no</abbr><a href="/open">open')"""
-    pages = load(spark, folder, "customer").select("c_custkey", F.expr(html).alias("html"))
+    pages = spread(load(spark, folder, "customer")).select("c_custkey", F.expr(html).alias("html"))
     links = markup.page_links(pages, "c_custkey").select("c_custkey", F.col("position").cast("bigint").alias("position"), "href", "text")
     titles = pages.select("c_custkey", F.lit(-1).cast("bigint").alias("position"), F.lit("").alias("href"), markup.page_title(F.col("html")).alias("text"))
     return links.unionByName(titles)
