@@ -26,7 +26,7 @@ from tabloom.functions.fixed_values import (
     PAGE_LABELS,
     PAGE_TEXT_PATTERNS,
 )
-from tabloom.functions.text import capture, decode_entities, visible_text
+from tabloom.functions.text import capture, decode_entities, let, visible_text
 from tabloom.functions.values import (
     absolute_url,
     bare_id,
@@ -198,45 +198,50 @@ def _element(name: str) -> str:
     return rf"""(?i)<{name}(?=[\s/>])(?:=\s*+"[^"]*+"|=\s*+'[^']*+'|[^>])*+>"""
 
 
-def key_value_fields(html: Column) -> dict[str, Column]:
-    """Known labels of a page: table rows first, running text for the rest.
-
-    Markup goes first and entities are resolved in the few values found, so escaped markup stays text
-    and no page leaves the JVM.
-    """
-    parts = F.split(html, _element("tr"))
-    rows = F.filter(parts, lambda _, i: i > 0)
+def _row_values(html: Column) -> Column:
+    """Struct of the values that table rows give the known labels; every row is taken apart once."""
+    rows = F.filter(F.split(html, _element("tr")), lambda _, i: i > 0)
 
     def pair(row: Column) -> Column:
-        cells = F.transform(
-            F.split(F.split(row, r"(?i)</tr\s*>")[0], _element("t[dh]")),
-            visible_text,
+        cells = F.slice(F.split(F.split(row, r"(?i)</tr\s*>")[0], _element("t[dh]")), 2, 2)
+        return let(
+            F.transform(cells, visible_text),
+            lambda c: F.struct(F.lower(F.get(c, F.lit(0))).alias("label"), F.get(c, F.lit(1)).alias("value")),
         )
-        return F.struct(F.lower(F.get(cells, F.lit(1))).alias("label"), F.get(cells, F.lit(2)).alias("value"))
 
     pairs = F.filter(
         F.transform(rows, pair),
         lambda p: p["label"].isNotNull() & (p["value"] != "") & (F.lower(p["value"]) != HIDDEN_VALUE),
     )
 
-    def from_rows(label: str) -> Column:
-        return F.get(F.filter(pairs, lambda p: p["label"].contains(label)), F.lit(0))["value"]
+    def value(held: Column, label: str) -> Column:
+        return F.get(F.filter(held, lambda p: p["label"].contains(label)), F.lit(0))["value"]
 
-    running = visible_text(html)
+    return let(pairs, lambda held: F.struct(*(value(held, label).alias(name) for label, name, _ in PAGE_LABELS)))
 
-    def from_text(name: str) -> Column:
-        value = F.btrim(capture(running, PAGE_TEXT_PATTERNS[name]))
-        return F.when((value != "") & (F.lower(value) != HIDDEN_VALUE), value)
 
-    return {
-        name: F.substring(F.btrim(decode_entities(F.coalesce(from_rows(label), from_text(name)))), 1, size)
-        for label, name, size in PAGE_LABELS
-    }
+def _text_value(running: Column, name: str) -> Column:
+    return let(
+        F.btrim(capture(running, PAGE_TEXT_PATTERNS[name])),
+        lambda v: F.when((v != "") & (F.lower(v) != HIDDEN_VALUE), v),
+    )
 
 
 def with_page_fields(pages: DataFrame, html: str = "html") -> DataFrame:
-    """Adds the five page columns."""
-    return pages.withColumns(key_value_fields(F.col(html)))
+    """Adds the five page columns: known labels, by table rows first, by running text for the rest.
+
+    Markup goes first and entities are resolved in the few values found, so escaped markup stays text
+    and no page leaves the JVM. What several columns need is a column of its own, so that it is worked out once.
+    """
+    names = [name for _, name, _ in PAGE_LABELS]
+    rows = pages.withColumn("_rows", _row_values(F.col(html)))
+    missing = reduce(lambda a, b: a | b, (F.col(f"_rows.{n}").isNull() for n in names))
+    texts = rows.withColumn("_running", F.when(missing, visible_text(F.col(html))))
+    found = texts.withColumns({f"_{n}": F.coalesce(F.col(f"_rows.{n}"), _text_value(F.col("_running"), n)) for n in names})
+    filled = found.withColumns(
+        {name: F.substring(F.btrim(decode_entities(F.col(f"_{name}"))), 1, size) for _, name, size in PAGE_LABELS}
+    )
+    return filled.drop("_rows", "_running", *(f"_{n}" for n in names))
 
 
 def page_lookup(wells: DataFrame, pages: DataFrame, first_county: Column, second_county: Column) -> DataFrame:
