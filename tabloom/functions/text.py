@@ -6,6 +6,7 @@ import html
 import re
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -57,15 +58,26 @@ def strip_markup(text: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(text, _HIDDEN_BLOCKS, " "), _TAGS, " ")
 
 
-@F.pandas_udf(StringType())
-def _escaped_markup_to_text(text: pd.Series) -> pd.Series:
-    """Entities may hide markup and markup may hold entities: resolve on both sides."""
+# Texts of a batch that are Python strings at a time.
+_AT_A_TIME = 64
+
+
+@F.arrow_udf(StringType())
+def _escaped_markup_to_text(text: pa.Array) -> pa.Array:
+    """Entities may hide markup and markup may hold entities: resolve on both sides.
+
+    A few texts at a time, as a batch holds thousands of whole documents.
+    """
 
     def plain(value: str) -> str:
         visible = re.sub(_HIDDEN_BLOCKS, " ", html.unescape(value))
         return html.unescape(re.sub(_TAGS, " ", visible))
 
-    return text.map(plain, na_action="ignore")
+    done = [pa.array([], pa.string())]
+    for first in range(0, len(text), _AT_A_TIME):
+        some = text.slice(first, _AT_A_TIME).to_pylist()
+        done.append(pa.array([None if value is None else plain(value) for value in some], pa.string()))
+    return pa.concat_arrays(done)
 
 
 def markup_to_text(text: Column) -> Column:

@@ -1,6 +1,8 @@
 import collections
 import random
+import tracemalloc
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -142,3 +144,13 @@ def test_small_formats(spark):
     assert value(spark, lambda c: values.shortened(c, 3), "abc") == "abc"
     assert value(spark, values.epoch_millis_to_seconds, "1999") == 1
     assert value(spark, lambda c: values.absolute_url(c, "http://h"), "/a") == "http://h/a"
+
+
+def test_long_texts_are_cleaned_a_few_at_a_time():
+    texts = [None if i % 7 == 0 else f"&lt;b&gt;x{i}&lt;/b&gt;" + " &amp;amp;" * 4000 for i in range(300)]
+    tracemalloc.start()
+    found = tx._escaped_markup_to_text.func(pa.array(texts))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [x is None for x in found.to_pylist()] == [x is None for x in texts] and found[1].as_py().startswith(" x1  & &")
+    assert most < 8 << 20
