@@ -58,3 +58,18 @@ def test_equal_rows_zero_rows_and_nothing(spark):
     assert np.allclose(clustering.fit(table(spark, zero, True), "vector", 2, restarts=2), 0)
     with pytest.raises(ValueError):
         clustering.fit(table(spark, same, False).limit(0), "vector", 3)
+
+
+def test_centres_are_laid_out_once_for_all_blocks():
+    rng = np.random.default_rng(3)
+    dense = rng.random((50, 20)) * (rng.random((50, 20)) < 0.3)
+    filled = [np.flatnonzero(row) for row in dense]
+    starts = np.r_[0, np.cumsum([len(f) for f in filled])]
+    block = clustering.Block(50, starts, np.concatenate(filled).astype(np.int32), dense[dense != 0], 20)
+    table = rng.random((4, 3, 20))
+    held = clustering.Centres(table)
+    gaps = clustering._gaps(block, held)
+    assert np.allclose(gaps, ((dense[:, None, None] - table[None]) ** 2).sum(axis=3))
+    laid = held.columns
+    clustering._gaps(block, held)
+    assert held.columns is laid
