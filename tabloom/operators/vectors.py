@@ -391,7 +391,8 @@ def _blocked(
     def sizes(rows: DataFrame, per_block: int, name: str) -> DataFrame:
         return rows.groupBy("cluster_id").agg(F.ceil(F.count("*") / per_block).alias(name))
 
-    grid = sizes(queries, q_rows, "q_blocks").join(sizes(members, m_rows, "m_blocks"), "cluster_id")
+    # A row per cluster: without the hint a join may deal the rows by cluster, a whole one to a task.
+    grid = F.broadcast(sizes(queries, q_rows, "q_blocks").join(sizes(members, m_rows, "m_blocks"), "cluster_id"))
     spot = F.xxhash64("id")
     q = queries.join(grid, "cluster_id").select(
         "id", "cluster_id", "vector",
