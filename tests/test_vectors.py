@@ -200,3 +200,23 @@ def test_terms_by_threshold_rounds_are_the_plain_ones(spark, tmp_path, features,
 def test_no_terms_in_bags(spark, tmp_path):
     with pytest.raises(ValueError):
         vectors.fit_bags(vectors.term_bags(docs(spark, ["", "a"]), "text"), str(tmp_path / "terms"))
+
+
+def test_blocks_are_dealt_without_shuffling_by_cluster(spark):
+    def rows(n):
+        return spark.range(n).select("id", (F.col("id") % 2).cast("int").alias("cluster_id"), F.array(F.lit(1.0), F.col("id").cast("double")).alias("vector"))
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = vectors.most_similar(rows(3), rows(200), n=2, block_rows=20)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("BroadcastHashJoin [cluster_id") >= 2
+
+
+def test_terms_are_counted_from_short_batches(spark):
+    rows = spark.range(0, 120, 1, 1).selectExpr("element_at(array('a', 'b', 'c'), int(id % 3) + 1) AS token", "int(id % 3) + 1 AS n")
+    counted = rows.mapInArrow(lambda b: vectors._part_counts(b, 2, 10), "token string, total long, docs long, top boolean, part long")
+    found = sorted((r["token"], r["total"], r["docs"], r["top"]) for r in counted.collect())
+    assert found == [("a", 40, 40, False), ("b", 80, 40, True), ("c", 120, 40, True)]
