@@ -11,7 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _BLOCK = "bi bigint, bj bigint, places binary, data binary"
@@ -175,33 +175,38 @@ def _row_by_row(
         first = end
 
 
+def _parts(cells: DataFrame, outer: str, inner: str, size: int, group: int, name: str) -> DataFrame:
+    """How many parts a side's blocks of each inner block make; a block counts with its cells, at most its area."""
+    area = size * size
+    whole = cells.where("row is not null and col is not null and v is not null")
+    blocks = whole.groupBy(F.floor(F.col(inner) / size).alias("bk"), F.floor(F.col(outer) / size).alias("_b")).count()
+    return blocks.groupBy("bk").agg(F.ceil(F.sum(F.least("count", F.lit(area))) / (group * area)).alias(name))
+
+
 def block_multiply(a: DataFrame, b: DataFrame, size: int = 256, group: int = 4, held: int = 64) -> DataFrame:
     """Matrix product by blocks; returns the non-zero cells.
 
-    Blocks meet per (row group, column group, inner block), where a group is
-    ``group`` blocks: no meeting holds more than ``group``^2 pairs, however long
-    the matrices are, and a block is copied only to groups the other side has blocks for. What is
-    shuffled follows the number of cells. Nearly empty blocks are multiplied row by row, many pairs in one
+    Blocks meet per (row part, column part, inner block), where a part holds blocks with the cells of about
+    ``group`` full ones: a block is copied once for each part of the other side, so what is shuffled follows the
+    number of cells, however many nearly empty blocks they lie in. Nearly empty blocks are multiplied row by row, many pairs in one
     call, with work in proportion to the products of cells; a pair whose fill makes these the larger work is
     multiplied as dense blocks. A task holds up to ``held`` dense result blocks and a bounded number of sparse
     cells before it passes them on, and the final sum streams over partial blocks. Rows with a null are left out.
     """
     area = size * size
     left, right = _pack(a, size), _pack(b, size)
-    row_groups = a.select(
-        F.floor(F.col("col") / size).alias("bk"), F.floor(F.floor(F.col("row") / size) / group).alias("gi")
-    ).distinct()
-    column_groups = b.select(
-        F.floor(F.col("row") / size).alias("bk"), F.floor(F.floor(F.col("col") / size) / group).alias("gj")
-    ).distinct()
-    pairs = left.select(
-        "bi", F.floor(F.col("bi") / group).alias("gi"), F.col("bj").alias("bk"),
-        F.struct("places", "data").alias("l"),
-    ).join(column_groups, "bk").join(
-        right.select(
-            "bj", F.floor(F.col("bj") / group).alias("gj"), F.col("bi").alias("bk"),
-            F.struct("places", "data").alias("r"),
-        ).join(row_groups, "bk"),
+
+    met = _parts(a, "row", "col", size, group, "_i").join(_parts(b, "col", "row", size, group, "_j"), "bk")
+
+    def places(count: str) -> Column:
+        return F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(count) - 1))
+
+    pairs = left.withColumnRenamed("bj", "bk").join(met, "bk").select(
+        "bi", "bk", F.pmod(F.xxhash64("bi"), "_i").alias("gi"), places("_j").alias("gj"), F.struct("places", "data").alias("l"),
+    ).join(
+        right.withColumnRenamed("bi", "bk").join(met, "bk").select(
+            "bj", "bk", places("_i").alias("gi"), F.pmod(F.xxhash64("bj"), "_j").alias("gj"), F.struct("places", "data").alias("r"),
+        ),
         ["gi", "gj", "bk"],
     )
 

@@ -99,3 +99,12 @@ def test_cells_with_nulls_are_left_out(spark):
     left = spark.createDataFrame([(0, 0, 1.0), (0, None, 2.0), (None, 0, 2.0), (1, 0, None)], "row long, col long, v double")
     right = spark.createDataFrame([(0, 5, 2.0), (None, 5, 1.0)], "row long, col long, v double")
     assert [tuple(r) for r in linalg.block_multiply(left, right, size=8).collect()] == [(0, 5, 2.0)]
+
+
+def test_nearly_empty_blocks_of_an_inner_block_make_one_part(spark):
+    sparse = spark.range(400).selectExpr("id * 8 AS row", "0L AS col", "1.0D AS v")
+    full = spark.range(8 * 8 * 8).selectExpr("id div 8 AS row", "8 + id % 8 AS col", "1.0D AS v")
+    repeated = spark.range(1000).selectExpr("0L AS row", "16L AS col", "1.0D AS v")
+    cells = sparse.unionByName(full).unionByName(repeated)
+    found = {r["bk"]: r["n"] for r in linalg._parts(cells, "row", "col", 8, 4, "n").collect()}
+    assert found == {0: 2, 1: 2, 2: 1}
