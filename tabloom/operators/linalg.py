@@ -23,21 +23,130 @@ _DENSE_SHARE = 1 / 16
 
 
 def multiply(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Matrix product of sparse cells: join on the inner index, sum per cell.
+    """Matrix product of sparse cells: sides meet by inner index, products are summed per cell.
 
-    Cells are unique, so one inner index meets at most as many pairs as the
-    result has cells, and the products are combined on the map side before they
-    are shuffled. For dense matrices use :func:`block_multiply`,
-    which forms no single products.
+    A task takes the right cells of its inner indices and then the left cells in the order of their rows, so the sums of
+    a row are done with the row: a task holds its right cells, a bounded number of products and the sums of one row,
+    however many cells the result has, and sends a cell once at most unless one row has more than ``_SUMMED``.
+    Indices are whole numbers, values doubles. Nulls count as in SQL: an outer one is a group, an inner one
+    meets nothing, a sum of nulls is null. For dense matrices use :func:`block_multiply`, which forms no single products.
     """
-    right = b.select(F.col("row").alias("col"), F.col("col").alias("_j"), F.col("v").alias("_w"))
-    return (
-        a.join(right, "col")
-        .groupBy("row", F.col("_j").alias("col"))
-        .agg(F.sum(F.col("v") * F.col("_w")).alias("v"))
+    cells = _tagged(b, False, "row", "col").unionByName(_tagged(a, True, "col", "row"))
+    inner = F.when(F.col("left"), F.col("other")).otherwise(F.col("place"))
+    sums = cells.repartition(inner).sortWithinPartitions("left", "place").mapInArrow(_row_sums, _CELL)
+    # Dealt before they are added up: combined on the map side, each task would hold all cells of the result. Columns of a
+    # row go together, which packs well, but not all columns of a long row.
+    strip = F.shiftright("col", 10).alias("strip")
+    total = sums.select("*", strip).repartition("row", "strip").groupBy("row", "strip", "col").agg(F.sum("v").alias("v"))
+    return total.select(F.col("row").cast(a.schema["row"].dataType), F.col("col").cast(b.schema["col"].dataType), "v")
+
+
+def _tagged(cells: DataFrame, left: bool, inner: str, outer: str) -> DataFrame:
+    """Cells of a side; ``place`` is the index they are sorted by, the outer one on the left and the inner one on the right."""
+    place, other = (outer, inner) if left else (inner, outer)
+    return cells.where(F.col(inner).isNotNull()).select(
+        F.lit(left).alias("left"), F.col(place).cast("bigint").alias("place"), F.col(other).cast("bigint").alias("other"),
+        F.col("v").cast("double").alias("v"),
     )
 
 
+def _filled(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Values, 0 for null, and which are not null."""
+    return column.fill_null(0).to_numpy(), column.is_valid().to_numpy(zero_copy_only=False)
+
+
+class _Right:
+    """Right cells in the order of their inner index; columns are numbered."""
+
+    def __init__(self, batches: list[pa.RecordBatch]):
+        def whole(name: str) -> pa.Array:
+            return pa.concat_arrays([b.column(name) for b in batches])
+
+        places = whole("place").to_numpy()
+        first = np.flatnonzero(np.append(True, places[1:] != places[:-1]))
+        self.inner, self.edges = places[first], np.append(first, len(places))
+        numbered = whole("other").dictionary_encode(null_encoding="encode")
+        self.columns, self.column = numbered.dictionary, numbered.indices.to_numpy()
+        self.weight, self.known = _filled(whole("v"))
+
+
+def _per_cell(places: np.ndarray, values: np.ndarray, known: np.ndarray, area: int) -> list[np.ndarray]:
+    """Cells below ``area`` that have products, the sums of these and how many are not null."""
+    if area > 4 * len(places):
+        at, sums = _summed(places, values)
+        return [at, sums, _summed(places, known)[1]]
+    at = np.flatnonzero(np.bincount(places, minlength=area))
+    return [at, np.bincount(places, values, area)[at], np.bincount(places, known, area)[at].astype(np.int64)]
+
+
+def _row_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums per row and column of right cells in the order of their inner index and, after these, left cells in that of their rows.
+
+    At most ``_FORMED`` products (or one left cell's) are formed at a time. The sums of the last row wait for its next cells.
+    """
+    rights: list[pa.RecordBatch] = []
+    right: _Right | None = None
+    row, waiting = None, None
+
+    def cells(rows: pa.Array, sums: list[np.ndarray]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [rows, right.columns.take(pa.array(sums[0])), pa.array(sums[1], mask=sums[2] == 0)], ["row", "col", "v"]
+        )
+
+    def open_row() -> pa.RecordBatch:
+        return cells(pa.array([row] * len(waiting[0]), pa.int64()), waiting)
+
+    for batch in batches:
+        first = len(batch) - batch.column("left").true_count
+        if first:
+            rights.append(batch.slice(0, first))
+        batch = batch.slice(first)
+        if not rights or not len(batch):
+            continue
+        if right is None:
+            right = _Right(rights)
+            del rights[1:]
+        inner = batch.column("other").to_numpy()
+        at = np.minimum(np.searchsorted(right.inner, inner), len(right.inner) - 1)
+        met = np.flatnonzero(right.inner[at] == inner)
+        low, many = right.edges[at[met]], np.diff(right.edges)[at[met]]
+        (values, known), rows = _filled(batch.column("v")), batch.column("place")
+        place, filled = _filled(rows)
+        ends, wide, first = np.cumsum(many), len(right.columns), 0
+        while first < len(met):
+            end = max(first + 1, int(np.searchsorted(ends, (ends[first - 1] if first else 0) + _FORMED, "right")))
+            some, n = met[first:end], many[first:end]
+            starts = np.flatnonzero(
+                np.append(True, (place[some[1:]] != place[some[:-1]]) | (filled[some[1:]] != filled[some[:-1]]))
+            )
+            run = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(some))))
+            which = np.repeat(low[first:end] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            both = np.repeat(known[some], n) & right.known[which]
+            parts = [
+                np.repeat(run * wide, n) + right.column[which],
+                np.where(both, np.repeat(values[some], n) * right.weight[which], 0.0), both.astype(np.int64),
+            ]
+            if waiting:
+                if row == rows[int(some[0])].as_py():
+                    parts = [np.concatenate(p) for p in zip(waiting, parts)]
+                else:
+                    yield open_row()
+            sums = _per_cell(*parts, len(starts) * wide)
+            last = int(np.searchsorted(sums[0], (len(starts) - 1) * wide))
+            if last:
+                done = [s[:last] for s in sums]
+                at_row = pa.array(some[starts[done[0] // wide]])
+                yield cells(rows.take(at_row), [done[0] % wide, *done[1:]])
+            row = rows[int(some[-1])].as_py()
+            waiting = [sums[0][last:] - (len(starts) - 1) * wide, sums[1][last:], sums[2][last:]]
+            if len(waiting[0]) > _SUMMED:
+                yield open_row()
+                waiting = None
+            first = end
+    if waiting:
+        yield open_row()
+
+
 def _coded(places: np.ndarray, values: np.ndarray, size: int) -> tuple[bytes | None, bytes]:
     """A block's cells (places in order), or the whole block where that is shorter."""
     if 12 * len(places) < 8 * size * size:

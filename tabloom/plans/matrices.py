@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tabloom.operators import linalg
 from tabloom.plans import Query
-from tabloom.session import load
+from tabloom.session import dealt_by, load
 
 KERNEL = [[-1.0, -2.0, -1.0], [0.0, 1.0, 0.0], [1.0, 2.0, 3.0]]
 WIDE_KERNEL = [[float(i * 5 + j - 12) for j in range(5)] for i in range(5)]
@@ -14,17 +14,15 @@ WIDE_KERNEL = [[float(i * 5 + j - 12) for j in range(5)] for i in range(5)]
 
 def _left(spark, folder):
     """Supplier x part: quantity supplied."""
-    return load(spark, folder, "lineitem").groupBy(F.col("l_suppkey").alias("row"), F.col("l_partkey").alias("col")).agg(
-        F.sum("l_quantity").alias("v")
-    )
+    lines = dealt_by(load(spark, folder, "lineitem"), "l_suppkey", "l_partkey")
+    return lines.groupBy(F.col("l_suppkey").alias("row"), F.col("l_partkey").alias("col")).agg(F.sum("l_quantity").alias("v"))
 
 
 def _right(spark, folder):
     """Part x month of shipping: number of lines."""
     month = F.expr("CAST((year(l_shipdate) - 1990) * 12 + month(l_shipdate) AS BIGINT)")
-    return load(spark, folder, "lineitem").groupBy(F.col("l_partkey").alias("row"), month.alias("col")).agg(
-        F.count("*").cast("double").alias("v")
-    )
+    lines = load(spark, folder, "lineitem").select(F.col("l_partkey").alias("row"), month.alias("col"))
+    return dealt_by(lines, "row", "col").groupBy("row", "col").agg(F.count("*").cast("double").alias("v"))
 
 
 def coo_matmul(spark, folder):

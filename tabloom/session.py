@@ -53,6 +53,15 @@ def spread(rows: DataFrame) -> DataFrame:
     return rows.repartition(max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))))
 
 
+def dealt_by(rows: DataFrame, *keys: str, part: int = 1 << 18) -> DataFrame:
+    """Rows that are about to be grouped by keys that seldom repeat, dealt by these into parts of about ``part`` rows.
+
+    Without it each task of the scan would first hold the groups of its whole split, and merge next to none.
+    """
+    parts = max(rows.sparkSession.sparkContext.defaultParallelism, -(-rows.count() // part))
+    return rows.repartition(parts, *keys)
+
+
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder for written tables and stream checkpoints.
 

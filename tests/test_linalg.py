@@ -1,4 +1,7 @@
+import tracemalloc
+
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -108,3 +111,89 @@ def test_nearly_empty_blocks_of_an_inner_block_make_one_part(spark):
     cells = sparse.unionByName(full).unionByName(repeated)
     found = {r["bk"]: r["n"] for r in linalg._parts(cells, "row", "col", 8, 4, "n").collect()}
     assert found == {0: 2, 1: 2, 2: 1}
+
+
+def test_sparse_products_have_no_map_side_combine(spark):
+    """Sums are dealt before Spark adds them up, so no task holds the cells of the whole result."""
+    cell = spark.range(10).selectExpr("id AS row", "id AS col", "1.0D AS v")
+    plan = linalg.multiply(cell, cell)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.index("partial_sum") < plan.index("Exchange") < plan.index("MapInArrow")
+
+
+def test_sums_of_a_row_are_passed_on_with_the_row():
+    """What a task holds does not grow with the cells of the result."""
+    wide, per_row = 100, 3
+
+    def batch(left, place, other):
+        return pa.RecordBatch.from_arrays(
+            [pa.array([left] * len(place)), pa.array(place), pa.array(other), pa.array(np.ones(len(place)))],
+            ["left", "place", "other", "v"],
+        )
+
+    def batches(rows):
+        yield batch(False, np.repeat(np.arange(per_row), wide), np.tile(np.arange(wide), per_row))
+        for first in range(0, rows, 100):
+            yield batch(True, np.repeat(np.arange(first, first + 100), per_row), np.tile(np.arange(per_row), 100))
+
+    most = []
+    for rows in (1000, 10000):
+        tracemalloc.start()
+        found = sum(int(b.num_rows) for b in linalg._row_sums(batches(rows)) if set(b.column("v").to_pylist()) == {3.0})
+        most.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+        assert found == rows * wide
+    assert most[1] < 1.2 * most[0]
+
+
+def _reference(left, right):
+    found = {}
+    for row, k, v in left:
+        for inner, col, w in right:
+            if k is not None and k == inner:
+                found.setdefault((row, col), []).append(None if v is None or w is None else v * w)
+    return {k: sum(x for x in v if x is not None) if any(x is not None for x in v) else None for k, v in found.items()}
+
+
+@pytest.mark.parametrize("formed, summed", [(1 << 20, 1 << 21), (3, 1 << 21), (50, 2), (1, 1)])
+def test_sparse_products_count_nulls_as_sql_does(spark, formed, summed, monkeypatch):
+    monkeypatch.setattr(linalg, "_FORMED", formed)
+    monkeypatch.setattr(linalg, "_SUMMED", summed)
+    rng = np.random.default_rng(3)
+
+    def some(n, outer, first):
+        def index(high):
+            x = int(rng.integers(-2, high))
+            return None if x == high - 1 else x
+
+        rows = [(index(outer), index(6), None if rng.random() < 0.3 else float(rng.integers(-3, 9))) for _ in range(n)]
+        return rows if first else [(k, o, v) for o, k, v in rows]
+
+    left, right = some(90, 6, True), some(40, 12, False)
+    left += [(50, 2, None), (0, 3, 0.0)]
+    schema = "row int, col bigint, v double"
+    made = [spark.createDataFrame(x, schema) for x in (left, right)]
+    got = linalg.multiply(*made)
+    assert [f.dataType.simpleString() for f in got.schema] == ["int", "bigint", "double"]
+    assert {(r["row"], r["col"]): r["v"] for r in got.collect()} == _reference(left, right)
+    # the tasks of a local session are other processes: the bounds are set here
+    flags = [(False, k, o, v) for k, o, v in right if k is not None] + [(True, o, k, v) for o, k, v in left if k is not None]
+    flags.sort(key=lambda r: (r[0], r[1] is not None, r[1] or 0))
+    batches = [
+        pa.RecordBatch.from_arrays(
+            [pa.array([r[i] for r in flags[at : at + 7]], t) for i, t in enumerate((pa.bool_(), pa.int64(), pa.int64(), pa.float64()))],
+            ["left", "place", "other", "v"],
+        )
+        for at in range(0, len(flags), 7)
+    ]
+    sums = {}
+    for b in linalg._row_sums(iter(batches)):
+        for r in b.to_pylist():
+            old = sums.get((r["row"], r["col"]))
+            sums[r["row"], r["col"]] = old if r["v"] is None else (old or 0.0) + r["v"]
+    assert sums == _reference(left, right)
+
+
+def test_empty_sides_have_no_sparse_product(spark):
+    cell = spark.createDataFrame([(1, 2, 3.0)], "row bigint, col bigint, v double")
+    for left, right in ((cell.limit(0), cell), (cell, cell.limit(0)), (cell, cell)):
+        assert linalg.multiply(left, right).count() == 0

@@ -3,7 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tabloom.plans import fields, ingest
+from tabloom.plans import fields, ingest, matrices
+from tabloom.session import dealt_by
 
 
 @pytest.fixture(scope="module")
@@ -36,3 +37,18 @@ def test_forum_pages_of_one_file_are_parsed_by_every_core(spark, customers, quer
 def test_documents_of_one_file_are_searched_by_every_core(spark, customers, query):
     found = shares(query(spark, customers))
     assert len(found) >= spark.sparkContext.defaultParallelism and found[-1] <= 2 * found[0]
+
+
+def test_parts_follow_the_number_of_rows(spark):
+    rows = spark.range(4000).selectExpr("id AS a", "id % 7 AS b").coalesce(1)
+    found = shares(dealt_by(rows, "a", "b", part=100))
+    assert len(found) == 40 and found[-1] < 200
+    assert len(shares(dealt_by(rows, "a"))) == spark.sparkContext.defaultParallelism
+
+
+@pytest.mark.parametrize("side", [matrices._left, matrices._right])
+def test_cells_are_not_grouped_in_the_tasks_of_the_scan(spark, tmp_path, side):
+    lines = spark.range(50).selectExpr("id % 5 AS l_suppkey", "id % 3 AS l_partkey", "1.0D AS l_quantity", "timestamp'1995-01-02' AS l_shipdate")
+    lines.write.parquet(f"{tmp_path}/lineitem.parquet")
+    plan = side(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and plan.rindex("HashAggregate") < plan.index("Exchange")
