@@ -1,8 +1,13 @@
 """K-means of all restarts at once, against NumPy."""
 
+import os
+from types import SimpleNamespace
+
 import numpy as np
 import pytest
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.linalg import Vectors
+from pyspark.sql import functions as F
 
 from tabloom.operators import clustering
 
@@ -73,3 +78,33 @@ def test_centres_are_laid_out_once_for_all_blocks():
     laid = held.columns
     clustering._gaps(block, held)
     assert held.columns is laid
+
+
+def test_passes_hand_a_few_blocks_at_a_time_to_python(spark, tmp_path):
+    """A pass does not hold a whole partition (here 16 MB) as one Arrow batch, and the session's limit stays as it was."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    long = spark.range(120).select(array_to_vector(F.expr("array_repeat(1.0D * id, 1 << 16)")).alias("vector"))
+
+    before = spark.conf.get(key)
+    rows = clustering.Rows(long, "vector")
+    blocks = rows.blocks
+
+    def watched(run, schema):
+        def seen(batches):
+            for batch in batches:
+                with open(f"{tmp_path}/{os.getpid()}", "a") as f:
+                    print(batch.num_rows, batch.nbytes, file=f)
+                yield batch
+
+        return blocks.mapInArrow(lambda batches: run(seen(batches)), schema)
+
+    try:
+        rows.blocks = SimpleNamespace(mapInArrow=watched)
+        assert rows.totals(lambda block: [np.array([float(block.n)])], 1).tolist() == [[120.0]]
+        drawn = rows.drawn([np.zeros((0, rows.size))], 5, 1)[0]
+        assert drawn.shape == (5, 1 << 16) and (drawn == drawn[:, :1]).all()
+        held = [x.split() for f in tmp_path.iterdir() for x in f.read_text().splitlines()]
+        assert sum(int(n) for n, _ in held) == 2 * 60 and max(int(size) for _, size in held) < 4 << 20
+        assert spark.conf.get(key) == before
+    finally:
+        blocks.unpersist()
