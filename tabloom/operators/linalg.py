@@ -14,12 +14,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tabloom.session import scratch_dir
+
 _BLOCK = "bi bigint, bj bigint, places binary, data binary"
+_PACKED = "bk bigint, deal bigint, block bigint, outer binary, places binary, data binary"
 _CELL = "row bigint, col bigint, v double"
 # Products of single cells formed at a time, and cells of sparse sums a task holds.
 _FORMED, _SUMMED = 1 << 20, 1 << 21
-# A dense product is taken where the single products exceed this share of its multiplications.
+# A dense product is taken where the single products exceed this share of its multiplications; blocks filled less never reach it.
 _DENSE_SHARE = 1 / 16
+# Groups that the blocks of an inner block are dealt into before they are packed, and cells a task is given and holds.
+_DEALT, _TAKEN = 16, 1 << 21
 
 
 def multiply(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -209,46 +214,68 @@ def _block_rows(blocks: list[tuple[tuple[int, int], bytes | None, bytes]]) -> pa
     )
 
 
-def _pack(cells: DataFrame, size: int) -> DataFrame:
+def _packed_rows(bk: np.ndarray, block: np.ndarray, places: np.ndarray, values: np.ndarray, size: int, inner_first: bool) -> pa.RecordBatch:
+    """Cells in the order of their inner block, dealt group and block: well filled blocks one by one, the others of a group in one row."""
+    first = np.flatnonzero(np.append(True, (block[1:] != block[:-1]) | (bk[1:] != bk[:-1])))
+    ends = np.append(first[1:], len(block))
+    alone = (ends - first) * 1.0 >= _DENSE_SHARE * size * size
+    rows: list[tuple] = [
+        (int(bk[f]), int(block[f]), int(block[f]), None, *_coded(places[f:e], values[f:e], size))
+        for f, e in zip(first[alone].tolist(), ends[alone].tolist())
+    ]
+    left = np.repeat(~alone, ends - first)
+    bk, block, places, values = bk[left], block[left], places[left], values[left]
+    if len(bk):
+        inner, outer = (places // size, places % size) if inner_first else (places % size, places // size)
+        outer, inner, deal = outer + block * size, inner.astype(np.int32), block % _DEALT
+        cuts = np.flatnonzero((bk[1:] != bk[:-1]) | (deal[1:] != deal[:-1])) + 1
+        for f, e in zip([0, *cuts.tolist()], [*cuts.tolist(), len(bk)]):
+            rows.append((int(bk[f]), int(block[f]), None, outer[f:e].tobytes(), inner[f:e].tobytes(), values[f:e].tobytes()))
+    types = [pa.int64()] * 3 + [pa.binary()] * 3
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], ["bk", "deal", "block", "outer", "places", "data"])
+
+
+def _pack(cells: DataFrame, size: int, inner: str) -> DataFrame:
     """``size`` x ``size`` blocks, as long as their cells need; cells that come more than once are summed.
 
-    A block's cells are summed whenever they exceed its area, so memory is bounded by that however often cells repeat.
+    Nearly empty blocks share a row: ``outer`` has the index of each cell along the other side than ``inner``, ``places`` its place in
+    the inner block. A block's cells are summed whenever they exceed its area, so memory is bounded by that however often cells repeat.
     """
+    area, outer = size * size, "col" if inner == "row" else "row"
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, held, count, done = None, [], 0, []
+        held: list[list[np.ndarray]] = []
+        count, most = 0, max(1 << 19, 2 * area)
 
-        def summed() -> tuple[np.ndarray, np.ndarray]:
-            return _summed(np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held]))
+        def summed() -> list[np.ndarray]:
+            bk, block, places, values = (np.concatenate(c) for c in zip(*held))
+            first = np.append(True, (block[1:] != block[:-1]) | (bk[1:] != bk[:-1]))
+            at, values = _summed((np.cumsum(first) - 1) * area + places, values)
+            start = np.flatnonzero(first)[at // area]
+            return [bk[start], block[start], at % area, values]
 
         for batch in batches:
-            places, values = batch.column("place").to_numpy(), batch.column("v").to_numpy()
-            for spot, first, end in _runs(batch):
-                if spot != now:
-                    if now is not None:
-                        done.append((now, *_coded(*summed(), size)))
-                    now, held, count = spot, [], 0
-                held.append((places[first:end], values[first:end]))
-                count += end - first
-                if count > 2 * size * size:
-                    held = [summed()]
-                    count = len(held[0][0])
-            if sum(len(d[2]) for d in done) > 1 << 24 or len(done) > 1024:
-                yield _block_rows(done)
-                done = []
-        if now is not None:
-            done.append((now, *_coded(*summed(), size)))
-        if done:
-            yield _block_rows(done)
-
-    return _by_block(
-        cells.where("row is not null and col is not null and v is not null").select(
-            F.floor(F.col("row") / size).alias("bi"),
-            F.floor(F.col("col") / size).alias("bj"),
-            (F.pmod("row", F.lit(size)) * size + F.pmod("col", F.lit(size))).cast("long").alias("place"),
-            F.col("v").cast("double").alias("v"),
-        )
-    ).mapInArrow(pack, _BLOCK)
+            held.append([batch.column(c).to_numpy() for c in ("bk", "block", "place", "v")])
+            count += len(batch)
+            if count > most:
+                whole = summed()
+                # the last block may go on
+                last = int(np.flatnonzero((whole[1] != whole[1][-1]) | (whole[0] != whole[0][-1])).max(initial=-1)) + 1
+                if last:
+                    yield _packed_rows(*(c[:last] for c in whole), size, inner == "row")
+                held = [[c[last:] for c in whole]]
+                count = len(held[0][0])
+        if count:
+            yield _packed_rows(*summed(), size, inner == "row")
+
+    whole = cells.where("row is not null and col is not null and v is not null").select(
+        F.floor(F.col(inner) / size).alias("bk"),
+        F.floor(F.col(outer) / size).alias("block"),
+        (F.pmod("row", F.lit(size)) * size + F.pmod("col", F.lit(size))).cast("long").alias("place"),
+        F.col("v").cast("double").alias("v"),
+    )
+    deal = F.pmod("block", F.lit(_DEALT))
+    return whole.repartition("bk", deal).sortWithinPartitions("bk", deal, "block").mapInArrow(pack, _PACKED)
 
 
 def _joined(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -287,9 +314,100 @@ def _row_by_row(
 def _parts(cells: DataFrame, outer: str, inner: str, size: int, group: int, name: str) -> DataFrame:
     """How many parts a side's blocks of each inner block make; a block counts with its cells, at most its area."""
     area = size * size
-    whole = cells.where("row is not null and col is not null and v is not null")
-    blocks = whole.groupBy(F.floor(F.col(inner) / size).alias("bk"), F.floor(F.col(outer) / size).alias("_b")).count()
-    return blocks.groupBy("bk").agg(F.ceil(F.sum(F.least("count", F.lit(area))) / (group * area)).alias(name))
+    whole = cells.where("row is not null and col is not null and v is not null").select(
+        F.floor(F.col(inner) / size).alias("bk"), F.floor(F.col(outer) / size).alias("_b")
+    )
+    all_cells = whole.groupBy("bk").agg(F.count("*").alias("_n"))
+    # Blocks only matter where there are more cells than one part takes: at most one inner block for every ``group * area`` cells.
+    many = F.broadcast(all_cells.where(F.col("_n") > group * area).select("bk"))
+    blocks = whole.join(many, "bk").groupBy("bk", "_b").count()
+    parts = blocks.groupBy("bk").agg(F.ceil(F.sum(F.least("count", F.lit(area))) / (group * area)).alias(name))
+    return all_cells.join(parts, "bk", "left").select("bk", F.coalesce(name, F.lit(1).cast("bigint")).alias(name), F.col("_n").alias(f"{name}_n"))
+
+
+class _RightSide:
+    """Packed right rows of a task by key; sets of them become cells where left cells need these."""
+
+    def __init__(self, size: int):
+        self.size, self.rows, self.order = size, {}, {}
+
+    def add(self, key: tuple[int, int, int], block: int | None, row: tuple) -> None:
+        self.rows.setdefault(key, []).append((block, row))
+
+    def alone(self, key: tuple[int, int, int]) -> list[tuple[int, int, tuple]]:
+        """Single blocks of a key as (cells, block, row), the emptiest first."""
+        if key not in self.order:
+            area = self.size * self.size
+            blocks = [(len(r[1].as_buffer()) // 4 if r[1].is_valid else area, b, r) for b, r in self.rows.get(key, ()) if b is not None]
+            self.order[key] = sorted(blocks, key=lambda x: x[0])
+        return self.order[key]
+
+    def cells(self, key: tuple[int, int, int], single: int) -> list[np.ndarray]:
+        """Inner place, column and value of what shares rows and of the ``single`` emptiest single blocks."""
+        parts = []
+        for block, row in self.rows[key]:
+            if block is None:
+                parts.append([np.frombuffer(row[1].as_buffer(), np.int32), np.frombuffer(row[0].as_buffer(), np.int64), np.frombuffer(row[2].as_buffer())])
+        for _, block, row in self.alone(key)[:single]:
+            places, values = _cells(row[1], row[2])
+            parts.append([places // self.size, places % self.size + block * self.size, values])
+        return [np.concatenate(c) for c in zip(*parts)] if parts else [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
+
+
+def _swept(left: list[np.ndarray], right: list[np.ndarray], size: int) -> Iterator[pa.RecordBatch]:
+    """Partial blocks of the sums of left cells (row, inner index, value, in any order) with right ones (inner index, column, value).
+
+    At most ``_FORMED`` products (or one left cell's) are formed at a time, cut between block rows where that is possible. Both lists
+    are emptied, as a task may hold no second copy of its cells.
+    """
+    rows, inner, values = left
+    left[:] = []
+    by_inner = np.argsort(right[0], kind="stable")
+    weight = right[2][by_inner]
+    columns, column = np.unique(right[1][by_inner], return_inverse=True)
+    right[0] = right[0][by_inner]
+    low = np.searchsorted(right[0], inner, "left").astype(np.int32)
+    many = np.searchsorted(right[0], inner, "right").astype(np.int32) - low
+    column, right[:] = column.astype(np.int32), []
+    del inner
+    order = np.argsort(rows, kind="stable")
+    order = order[many[order] > 0].astype(np.int32)
+    rows, values, low, many = rows[order], values[order], low[order], many[order]
+    ends, wide, first = np.cumsum(many, dtype=np.int64), len(columns), 0
+    while first < len(rows):
+        end = max(first + 1, int(np.searchsorted(ends, (ends[first - 1] if first else 0) + _FORMED, "right")))
+        if end < len(rows) and rows[end] // size == rows[end - 1] // size:
+            edge = int(np.searchsorted(rows, rows[end] // size * size))
+            end = edge if edge > first else end
+        n = many[first:end]
+        which = np.repeat(low[first:end] - (np.cumsum(n, dtype=np.int64) - n), n) + np.arange(n.sum(dtype=np.int64))
+        starts = np.append(True, rows[first + 1 : end] != rows[first : end - 1])
+        run = np.repeat(np.cumsum(starts) - 1, n)
+        products = np.repeat(values[first:end], n) * weight[which]
+        at, own = run * wide + column[which], rows[first:end][starts]
+        if len(own) * wide <= 4 * len(at):
+            sums = np.bincount(at, products, len(own) * wide)
+            at = np.flatnonzero(sums)
+            sums = sums[at]
+        else:
+            at, sums = _summed(at, products)
+        yield from _as_blocks(own[at // wide], columns[at % wide], sums, size)
+        first = end
+
+
+def _as_blocks(rows: np.ndarray, columns: np.ndarray, values: np.ndarray, size: int) -> Iterator[pa.RecordBatch]:
+    """Cells in the order of rows and columns as blocks."""
+    if not len(rows):
+        return
+    bi, bj = rows // size, columns // size
+    order = np.lexsort((bj, bi)) if len(np.unique(bj)) > 1 else np.arange(len(rows))
+    bi, bj = bi[order], bj[order]
+    places, values = (rows % size * size + columns % size)[order], values[order]
+    cuts = np.flatnonzero((bi[1:] != bi[:-1]) | (bj[1:] != bj[:-1])) + 1
+    edges = [0, *cuts.tolist(), len(bi)]
+    out = [((int(bi[f]), int(bj[f])), *_coded(places[f:e], values[f:e], size)) for f, e in zip(edges, edges[1:])]
+    for i in range(0, len(out), 1024):
+        yield _block_rows(out[i : i + 1024])
 
 
 def block_multiply(a: DataFrame, b: DataFrame, size: int = 256, group: int = 4, held: int = 64) -> DataFrame:
@@ -297,80 +415,95 @@ def block_multiply(a: DataFrame, b: DataFrame, size: int = 256, group: int = 4,
 
     Blocks meet per (row part, column part, inner block), where a part holds blocks with the cells of about
     ``group`` full ones: a block is copied once for each part of the other side, so what is shuffled follows the
-    number of cells, however many nearly empty blocks they lie in. Nearly empty blocks are multiplied row by row, many pairs in one
-    call, with work in proportion to the products of cells; a pair whose fill makes these the larger work is
-    multiplied as dense blocks. A task holds up to ``held`` dense result blocks and a bounded number of sparse
-    cells before it passes them on, and the final sum streams over partial blocks. Rows with a null are left out.
+    number of cells, however many nearly empty blocks they lie in; these share rows. A task takes its right blocks and then its left ones, so
+    each goes to Python once. Nearly empty blocks are multiplied row by row, all left cells of a task in one sweep in the order of
+    their rows, with work in proportion to the products of cells; a pair whose fill makes these the larger work is
+    multiplied as dense blocks. A task is dealt about ``_TAKEN`` cells of a side, holds the right ones, up to ``_TAKEN`` left ones and
+    ``held`` dense result blocks, and the final sum streams over partial blocks. Rows with a null are left out.
     """
-    area = size * size
-    left, right = _pack(a, size), _pack(b, size)
-
-    met = _parts(a, "row", "col", size, group, "_i").join(_parts(b, "col", "row", size, group, "_j"), "bk")
+    area, spark = size * size, a.sparkSession
+    counts = _parts(a, "row", "col", size, group, "_i").join(_parts(b, "col", "row", size, group, "_j"), "bk")
+    counts.write.parquet(folder := scratch_dir(spark, "parts"))
+    met = spark.read.schema(counts.schema).parquet(folder)
+    # what both sides come to with their copies: partial sums grow with the tasks, so these are as large as memory allows
+    copies = met.agg(*(F.coalesce(F.sum(F.col(n) * F.col(c)), F.lit(0)) for n, c in (("_i_n", "_j"), ("_j_n", "_i")))).first()
+    cores = spark.sparkContext.defaultParallelism
+    tasks = -(-max(cores, -(-max(copies) // _TAKEN)) // cores) * cores
+    met = met.select("bk", "_i", "_j")
 
     def places(count: str) -> Column:
         return F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(count) - 1))
 
-    pairs = left.withColumnRenamed("bj", "bk").join(met, "bk").select(
-        "bi", "bk", F.pmod(F.xxhash64("bi"), "_i").alias("gi"), places("_j").alias("gj"), F.struct("places", "data").alias("l"),
-    ).join(
-        right.withColumnRenamed("bi", "bk").join(met, "bk").select(
-            "bj", "bk", places("_i").alias("gi"), F.pmod(F.xxhash64("bj"), "_j").alias("gj"), F.struct("places", "data").alias("r"),
-        ),
-        ["gi", "gj", "bk"],
-    )
+    def side(rows: DataFrame, left: bool) -> DataFrame:
+        own, other = ("gi", "gj") if left else ("gj", "gi")
+        deal = F.pmod(F.xxhash64("deal"), "_i" if left else "_j").alias(own)
+        copied = rows.join(met, "bk").select("bk", deal, places("_j" if left else "_i").alias(other), "block", "outer", "places", "data")
+        return copied.select(F.lit(left).alias("left"), "gi", "gj", "bk", "block", "outer", "places", "data")
+
+    both = side(_pack(b, size, "row"), False).unionByName(side(_pack(a, size, "col"), True))
 
     def dense_rows(sums: dict[tuple[int, int], np.ndarray]) -> pa.RecordBatch:
         return _block_rows([(spot, *_coded(np.flatnonzero(s), s.ravel()[np.flatnonzero(s)], size)) for spot, s in sums.items()])
 
-    def sparse_rows(spots: list[tuple[int, int]], places: np.ndarray, values: np.ndarray) -> Iterator[pa.RecordBatch]:
-        if not len(places):
-            return
-        cuts = np.flatnonzero(np.diff(places // area)) + 1
-        edges = [0, *cuts.tolist(), len(places)]
-        out = [
-            (spots[places[f] // area], *_coded(places[f:e] % area, values[f:e], size)) for f, e in zip(edges, edges[1:]) if e > f
-        ]
-        for i in range(0, len(out), 1024):
-            yield _block_rows(out[i : i + 1024])
-
     def product(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        right = _RightSide(size)
         sums: dict[tuple[int, int], np.ndarray] = {}
-        number: dict[tuple[int, int], int] = {}
-        places, values = np.zeros(0, np.int64), np.zeros(0)
+        sets: dict[tuple, int] = {}
+        cells: list[list[np.ndarray]] = []
+        waiting: list[list[np.ndarray]] = []
+        count = 0
+
+        def sweep() -> Iterator[pa.RecordBatch]:
+            left, own = ([np.concatenate(c) for c in zip(*x)] for x in (waiting, cells))
+            sets.clear(), cells.clear(), waiting.clear()
+            return _swept(left, own, size)
+
         for batch in batches:
-            spots = list(zip(batch.column("bi").to_pylist(), batch.column("bj").to_pylist()))
-            lp, ld, rp, rd = (batch.column(c) for c in ("left_places", "left_data", "right_places", "right_data"))
-            sparse: list[int] = []
-            cells: list[tuple] = []
-            for i, spot in enumerate(spots):
-                filled = [len(p.as_buffer()) // 4 if p.is_valid else area for p in (lp[i], rp[i])]
-                if filled[0] * filled[1] / size < _DENSE_SHARE * size * area:
-                    sparse.append(i)
-                    cells.append((_cells(lp[i], ld[i]), _cells(rp[i], rd[i])))
+            keys = list(zip(*(batch.column(c).to_pylist() for c in ("gi", "gj", "bk"))))
+            blocks, lefts = batch.column("block").to_pylist(), batch.column("left").to_pylist()
+            for i, (key, block, left) in enumerate(zip(keys, blocks, lefts)):
+                row = tuple(batch.column(c)[i] for c in ("outer", "places", "data"))
+                if not left:
+                    right.add(key, block, row)
+                    continue
+                if key not in right.rows:
                     continue
-                part = _block(lp[i], ld[i], size) @ _block(rp[i], rd[i], size)
-                if spot in sums:
-                    sums[spot] += part
+                alone = right.alone(key)
+                single = len(alone)
+                if block is None:
+                    outer, inner = np.frombuffer(row[0].as_buffer(), np.int64), np.frombuffer(row[1].as_buffer(), np.int32)
+                    values = np.frombuffer(row[2].as_buffer())
                 else:
-                    if len(sums) >= held:
-                        yield dense_rows(sums)
-                        sums = {}
-                    sums[spot] = part
-            if not sparse:
-                continue
-            target = np.array([number.setdefault(spots[i], len(number)) for i in sparse], dtype=np.int64)
-            for p, v in _row_by_row([c[0] for c in cells], [c[1] for c in cells], target, size):
-                places, values = _summed(np.concatenate([places, p]), np.concatenate([values, v]))
-                if len(places) > _SUMMED:
-                    yield from sparse_rows(list(number), places, values)
-                    places, values = places[:0], values[:0]
-            if len(number) > _FORMED >> 4:
-                yield from sparse_rows(list(number), places, values)
-                number, places, values = {}, places[:0], values[:0]
+                    filled = len(row[1].as_buffer()) // 4 if row[1].is_valid else area
+                    single = sum(filled * n / size < _DENSE_SHARE * size * area for n, _, _ in alone)
+                    whole = _block(row[1], row[2], size) if single < len(alone) else None
+                    for _, other, r in alone[single:]:
+                        part, spot = whole @ _block(r[1], r[2], size), (block, other)
+                        if spot in sums:
+                            sums[spot] += part
+                        else:
+                            if len(sums) >= held:
+                                yield dense_rows(sums)
+                                sums = {}
+                            sums[spot] = part
+                    if not single and len(alone) == len(right.rows[key]):
+                        continue
+                    at, values = _cells(row[1], row[2])
+                    outer, inner = at // size + block * size, at % size
+                if (key, single) not in sets:
+                    sets[key, single] = len(sets)
+                    found = right.cells(key, single)
+                    cells.append([found[0] + sets[key, single] * size, *found[1:]])
+                    count += len(found[0])
+                waiting.append([outer, inner + np.int64(sets[key, single] * size), values])
+                count += len(outer)
+                if count > 3 * _TAKEN:
+                    yield from sweep()
+                    count = 0
+        if waiting:
+            yield from sweep()
         if sums:
             yield dense_rows(sums)
-        if len(places):
-            yield from sparse_rows(list(number), places, values)
 
     def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, parts, block, waiting = None, [], None, 0
@@ -415,11 +548,8 @@ def block_multiply(a: DataFrame, b: DataFrame, size: int = 256, group: int = 4,
         if out:
             yield from pa.Table.from_batches(out).combine_chunks().to_batches()
 
-    flat = pairs.select(
-        "bi", "bj", F.col("l.places").alias("left_places"), F.col("l.data").alias("left_data"),
-        F.col("r.places").alias("right_places"), F.col("r.data").alias("right_data"),
-    )
-    return _by_block(flat.mapInArrow(product, _BLOCK)).mapInArrow(total, _CELL)
+    dealt = both.repartition(tasks, "gi", "gj", "bk").sortWithinPartitions("left", "gi", "gj", "bk")
+    return _by_block(dealt.mapInArrow(product, _BLOCK)).mapInArrow(total, _CELL)
 
 
 def filter_grid(grid: DataFrame, kernel: list[list[float]], side: int, tile: int = 256) -> DataFrame:

@@ -197,3 +197,63 @@ def test_empty_sides_have_no_sparse_product(spark):
     cell = spark.createDataFrame([(1, 2, 3.0)], "row bigint, col bigint, v double")
     for left, right in ((cell.limit(0), cell), (cell, cell.limit(0)), (cell, cell)):
         assert linalg.multiply(left, right).count() == 0
+
+
+def test_nearly_empty_blocks_share_rows(spark):
+    """A cell alone in its block costs a cell, not a row; cells that repeat still add up and full blocks stay blocks."""
+    alone = spark.range(2000).selectExpr("id * 8 AS row", "id % 2 AS col", "1.0D AS v")
+    full = spark.range(64).selectExpr("id div 8 AS row", "8 + id % 8 AS col", "2.0D AS v")
+    rows = linalg._pack(alone.unionByName(alone).unionByName(full), 8, "col").collect()
+    single = [r for r in rows if r["block"] is not None]
+    assert [(r["bk"], r["block"], r["places"]) for r in single] == [(1, 0, None)]
+    assert set(np.frombuffer(single[0]["data"])) == {2.0}
+    shared = [r for r in rows if r["block"] is None]
+    assert len(shared) == linalg._DEALT
+    found = {int(o): (int(p), float(v)) for r in shared for o, p, v in zip(
+        np.frombuffer(r["outer"], np.int64), np.frombuffer(r["places"], np.int32), np.frombuffer(r["data"]), strict=True
+    )}
+    assert found == {i * 8: (i % 2, 2.0) for i in range(2000)}
+
+
+@pytest.mark.parametrize("formed", [1 << 20, 200, 1])
+def test_a_sweep_sums_the_rows_of_all_pairs_of_a_task(formed, monkeypatch):
+    """Left cells of many inner blocks give one block for each block of the result, unless their products exceed the bound."""
+    monkeypatch.setattr(linalg, "_FORMED", formed)
+    rng = np.random.default_rng(5)
+    size, left, right = 16, rng.integers(0, 9, (64, 300)) * (rng.random((64, 300)) < 0.05), rng.integers(-2, 3, (300, 20))
+    (rows, inner), (places, columns) = np.nonzero(left), np.nonzero(right)
+    mixed = rng.permutation(len(rows))
+    blocks = list(linalg._swept(
+        [rows[mixed], inner[mixed], left[rows, inner][mixed].astype(float)], [places, columns, right[places, columns].astype(float)], size
+    ))
+    out = np.zeros((64, 32))
+    spots = [r for b in blocks for r in b.to_pylist()]
+    for r in spots:
+        block = np.zeros(size * size)
+        values = np.frombuffer(r["data"])
+        if r["places"] is None:
+            block[:] = values
+        else:
+            block[np.frombuffer(r["places"], np.int32)] = values
+        out[r["bi"] * size : (r["bi"] + 1) * size, r["bj"] * size : (r["bj"] + 1) * size] += block.reshape(size, size)
+    assert np.array_equal(out[:, :20], left @ right)
+    if formed == 1 << 20:
+        assert len(spots) == 4 * 2
+
+
+@pytest.mark.parametrize("taken", [1 << 8, 1 << 21])
+def test_blocks_of_all_fills_side_by_side_equal_numpy(spark, taken, monkeypatch):
+    """Single and shared blocks of an inner block on both sides, columns far apart, negative indices."""
+    monkeypatch.setattr(linalg, "_TAKEN", taken)
+    rng = np.random.default_rng(11)
+    fills = np.repeat(np.repeat([[0.02, 0.2, 0.9], [0.4, 0.01, 0.1], [0.03, 0.03, 1.0]], 16, axis=0), 16, axis=1)
+    a = rng.integers(1, 9, (48, 48)) * (rng.random((48, 48)) < fills)
+    b = rng.integers(-3, 9, (48, 48)) * (rng.random((48, 48)) < fills[:, ::-1])
+    left = cells(spark, a).withColumn("row", F.col("row") * 1000 - 7)
+    right = cells(spark, b).withColumn("col", F.col("col") - 20)
+    for sides in ((cells(spark, a), right), (left, right)):
+        got = linalg.block_multiply(*sides, size=16, group=1, held=2).collect()
+        found = np.zeros((48, 48))
+        for r in got:
+            found[r["row"] if sides[0] is not left else (r["row"] + 7) // 1000, r["col"] + 20] += r["v"]
+        assert np.array_equal(found, a @ b) and len(got) == np.count_nonzero(a @ b)
